@@ -250,3 +250,26 @@ def fk_report(df: DataFrame, fks: Mapping[str, tuple[DataFrame, str]], ignore_nu
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# --------------------------------------------------------------------------- V8
+def suggest_spelling(df: DataFrame, column: str, allowed: Sequence[str], out: str | None = None,
+                     max_distance: int | None = None, ignore_case: bool = True) -> DataFrame:
+    """For values outside ``allowed``, the nearest allowed value by Levenshtein distance.
+
+    Adds ``<col>_suggestion`` (null for allowed values and nulls, or when the
+    nearest is farther than ``max_distance``) and ``<col>_distance``.  Ties go to
+    the allowed value that sorts first.  The allowed list is given, so this is
+    one expression per row, no join."""
+    (c,) = _resolve(df, [column])
+    x = F.upper(col(c)) if ignore_case else col(c)
+    cands = [F.struct(F.levenshtein(x, F.lit(a.upper() if ignore_case else a)).alias("d"), F.lit(a).alias("v"))
+             for a in sorted(allowed)]
+    best = F.least(*cands) if len(cands) > 1 else cands[0]
+    ok = col(c).isin(list(allowed))
+    dist = F.when(~ok, best["d"])
+    sugg = F.when(~ok, best["v"])
+    if max_distance is not None:
+        sugg = F.when(dist <= F.lit(max_distance), sugg)
+    name = out or f"{c}_suggestion"
+    return df.select("*", sugg.alias(name), dist.alias(f"{c}_distance"))

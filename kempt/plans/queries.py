@@ -497,6 +497,18 @@ def q_schema_diff(spark, sf):
     return quality.schema_diff(dirty_orders(spark, sf), _EXPECTED)
 
 
+@query("suggest_spelling", """WITH d AS (SELECT DISTINCT status FROM (
+  SELECT CASE WHEN o_orderkey % 9 = 0 THEN concat('  ', lower(o_orderstatus), ' ')
+              WHEN o_orderkey % 11 = 0 THEN 'Fx' ELSE o_orderstatus END AS status FROM orders)),
+c AS (SELECT status, v, dist, row_number() OVER (PARTITION BY status ORDER BY dist, v) AS rn FROM (
+  SELECT status, v, levenshtein(upper(status), v) AS dist FROM d, (VALUES ('F'), ('O'), ('P')) a(v)))
+SELECT status, CASE WHEN status IN ('F', 'O', 'P') THEN NULL ELSE v END AS status_suggestion,
+  CAST(CASE WHEN status IN ('F', 'O', 'P') THEN NULL ELSE dist END AS INTEGER) AS status_distance FROM c WHERE rn = 1""")
+def q_suggest_spelling(spark, sf):
+    d = dirty_orders(spark, sf).select("status").distinct()
+    return quality.suggest_spelling(d, "status", ["F", "O", "P"])
+
+
 # =========================================================================== C17
 @query("orphans", """SELECT * FROM lineitem WHERE NOT EXISTS (
   SELECT 1 FROM orders WHERE o_orderstatus IN ('F', 'P') AND o_orderkey = l_orderkey)""")
