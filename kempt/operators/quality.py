@@ -74,7 +74,8 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True
     base = _rows_per_column(df.agg(*structs), [F.col(f"p{i}") for i in range(len(cols))])
     dist = distinct_counts(df, cols, exact)
     return base.join(dist, "column", "left").select(
-        "column", "position", "type", "rows", "nulls", "null_pct", "distinct")
+        "column", "position", "type", "rows", "nulls", "null_pct",
+        F.coalesce(F.col("distinct"), F.lit(0).cast("bigint")).alias("distinct"))
 
 
 # --------------------------------------------------------------------------- C11 / M1
@@ -99,7 +100,8 @@ def validate(df: DataFrame, formats: Mapping[str, str] | None = None,
                                 fmt.alias("invalid_format"), dom.alias("invalid_domain")).alias(f"v{i}"))
     base = _rows_per_column(df.agg(*structs), [F.col(f"v{i}") for i in range(len(cols))])
     return base.join(distinct_counts(df, cols, exact), "column", "left").select(
-        "column", "type", "nulls", "distinct", "invalid_format", "invalid_domain")
+        "column", "type", "nulls", F.coalesce(F.col("distinct"), F.lit(0).cast("bigint")).alias("distinct"),
+        "invalid_format", "invalid_domain")
 
 
 # --------------------------------------------------------------------------- T15 / P7 / V3

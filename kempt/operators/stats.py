@@ -108,12 +108,13 @@ def min_max(df: DataFrame, cols: Sequence[str], suffix: str = "_normalized",
 
 
 def _with(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
-    """Add or replace columns in one projection."""
+    """Add or replace columns in one projection; every expression sees the input columns."""
+    lower = {k.lower(): (k, v) for k, v in new.items()}
     existing = {f.name.lower() for f in df.schema.fields}
-    replace = {k: v for k, v in new.items() if k.lower() in existing}
-    add = {k: v for k, v in new.items() if k.lower() not in existing}
-    out = _replace_cols(df, replace) if replace else df
-    return out.select("*", *[v.alias(k) for k, v in add.items()]) if add else out
+    out = [lower[f.name.lower()][1].alias(f.name) if f.name.lower() in lower else col(f.name)
+           for f in df.schema.fields]
+    out += [v.alias(k) for k, v in new.items() if k.lower() not in existing]
+    return df.select(*out)
 
 
 # --------------------------------------------------------------------------- M10 / T8

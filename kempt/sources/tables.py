@@ -76,7 +76,7 @@ def upsert_table(spark: SparkSession, table: str, incoming: DataFrame, keys: Seq
     table renamed: Spark refuses to overwrite a table the same plan reads, and
     the old data stays intact until the new copy is complete."""
     name = _full(database, table)
-    if not spark.catalog.tableExists(table, database):
+    if not spark.catalog.tableExists(f"{database}.{table}" if database else table):
         ks = _resolve(incoming, keys)
         first = dedupe(incoming, ks, order_by, keep="latest") if order_by else incoming
         first.write.format("parquet").saveAsTable(name)
