@@ -20,6 +20,7 @@ from kempt.functions.columns import (
     is_fractional,
     is_numeric,
     non_null_count,
+    guarded_cast,
     stable_round,
     string_columns,
 )
@@ -189,9 +190,10 @@ def cast_cols(df: DataFrame, types: Mapping[str, str], on_error: str = "null") -
     if on_error not in ("null", "fail"):
         raise ValueError("on_error must be 'null' or 'fail'")
     new = {}
+    src = {f.name: f.dataType for f in df.schema.fields}
     for name, t in types.items():
         (c,) = _resolve(df, [name])
-        new[c] = col(c).try_cast(t) if on_error == "null" else col(c).cast(t)
+        new[c] = guarded_cast(col(c), t, src[c]) if on_error == "null" else col(c).cast(t)
     return _replace_cols(df, new)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kempt.functions.columns import col
+from kempt.functions.columns import col, guarded_cast
 from kempt.operators.cleanse import _resolve
 from kempt.operators.stats import _with
 
@@ -98,7 +98,7 @@ def age_from_bracket(df: DataFrame, column: str, as_of: _dt.date | str, out: str
     Text without two leading digits gives null (``try_cast``), not a failed job."""
     (c,) = _resolve(df, [column])
     day = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
-    lead = F.substring(col(c).cast("string"), 1, 2).try_cast("int")
+    lead = guarded_cast(F.substring(col(c).cast("string"), 1, 2), "int")
     return _with(df, {out: F.lit(day.year) - lead})
 
 

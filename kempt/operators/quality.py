@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kempt.functions.columns import SPECIAL_CHARS, col, is_fractional, is_string, stable_round
+from kempt.functions.columns import SPECIAL_CHARS, col, guarded_cast, is_fractional, stable_round
 from kempt.operators.cleanse import _resolve
 
 
@@ -147,7 +147,7 @@ def schema_diff(df: DataFrame, expected: T.StructType | Mapping[str, str]) -> Da
         real, atype = hit
         seen.add(real)
         status = "match" if atype == etype else "type"
-        bad = F.count_if(col(real).isNotNull() & col(real).try_cast(etype).isNull())
+        bad = F.count_if(col(real).isNotNull() & guarded_cast(col(real), etype, df.schema[real].dataType).isNull())
         structs.append((name, etype, atype, status, bad))
     for f in df.schema.fields:
         if f.name not in seen:

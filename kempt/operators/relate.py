@@ -142,13 +142,20 @@ def pivot_table(df: DataFrame, index: Sequence[str] | str, columns: str, value:
                 values: Sequence | None = None) -> DataFrame:
     """Group by ``index``, one output column per ``columns`` value holding ``fn(value)``.
 
-    Pass ``values`` to skip the extra job that finds them."""
+    With ``values`` given this is one aggregation of conditional aggregates
+    (``fn(CASE WHEN columns = v THEN value END)``): one shuffle with map-side
+    partial aggregation.  Without ``values`` Spark's ``pivot`` first runs a job to
+    find them (at most ``spark.sql.pivotMaxValues``)."""
     idx = [index] if isinstance(index, str) else list(index)
     (pc,) = _resolve(df, [columns])
     (vc,) = _resolve(df, [value])
-    g = df.groupBy(*[col(c) for c in _resolve(df, idx)])
-    p = g.pivot(pc, list(values)) if values is not None else g.pivot(pc)
-    return p.agg(agg_expr(fn, vc))
+    keys = [col(c) for c in _resolve(df, idx)]
+    if values is None:
+        return df.groupBy(*keys).pivot(pc).agg(agg_expr(fn, vc))
+    if fn not in _AGGS:
+        raise ValueError(f"unknown aggregate {fn!r}")
+    cells = [_AGGS[fn](F.when(col(pc) == F.lit(v), col(vc))).alias(str(v)) for v in values]
+    return df.groupBy(*keys).agg(*cells)
 
 
 # --------------------------------------------------------------------------- T7
