@@ -117,24 +117,99 @@ def _with(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
     return df.select(*out)
 
 
+# --------------------------------------------------------------------------- exact quantile / mode
+def exact_quantile(df: DataFrame, column: str, q: float = 0.5, max_bracket_rows: int = 1_000_000,
+                   buckets: int = 1024, accuracy: int = 10000) -> float | None:
+    """Exact, interpolated quantile (same definition as SQL ``percentile`` / ``median``)
+    with bounded memory everywhere.
+
+    Spark's exact ``percentile`` keeps every distinct value in one map that is merged
+    in a single task; here instead:
+      1. one pass: row count and an approximate bracket around rank ``q*(n-1)``
+         (``percentile_approx`` guarantees a rank error of at most n/accuracy);
+      2. one pass: rows below the bracket and inside it;
+      3. while the bracket holds more than ``max_bracket_rows`` rows, one pass of a
+         ``buckets``-wide histogram narrows it to the bucket that holds the rank;
+      4. the few values needed are taken with ``orderBy().limit()`` (top-k per task).
+    Nulls are ignored.  Returns None for a column without values."""
+    (c,) = _resolve(df, [column])
+    x = df.select(col(c).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    eps = 2.0 / accuracy
+    r = x.agg(F.count(F.lit(1)).alias("n"),
+              F.percentile_approx("x", [max(q - eps, 0.0), min(q + eps, 1.0)], accuracy).alias("b")).collect()[0]
+    n = r["n"]
+    if not n:
+        return None
+    pos = q * (n - 1)
+    k_lo, k_hi = int(pos), min(int(pos) + (0 if pos == int(pos) else 1), n - 1)
+    lo, hi = r["b"][0], r["b"][1]
+    r2 = x.agg(F.count_if(F.col("x") < lo).alias("below"),
+               F.count_if(F.col("x").between(lo, hi)).alias("inside")).collect()[0]
+    below, inside = r2["below"], r2["inside"]
+    if not (below <= k_lo and k_hi < below + inside):  # bracket missed: fall back to the whole range
+        mm = x.agg(F.min("x"), F.max("x")).collect()[0]
+        lo, hi, below, inside = mm[0], mm[1], 0, n
+    while inside > max_bracket_rows and lo < hi:
+        width = (hi - lo) / buckets
+        b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
+        hist = (x.filter(F.col("x").between(lo, hi)).groupBy(b.alias("b"))
+                .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+                .orderBy("b").collect())
+        acc = below
+        for h in hist:
+            if acc + h["c"] > k_lo:
+                # the bucket holding rank k_lo; k_hi may be in the next bucket
+                if acc + h["c"] <= k_hi:
+                    nxt = next(g for g in hist if g["b"] > h["b"])
+                    lo, hi, inside = h["lo"], nxt["hi"], h["c"] + sum(
+                        g["c"] for g in hist if h["b"] < g["b"] <= nxt["b"])
+                else:
+                    lo, hi, inside = h["lo"], h["hi"], h["c"]
+                below = acc
+                break
+            acc += h["c"]
+    if lo == hi:
+        v_lo = v_hi = lo
+    else:
+        need = k_hi - below + 1
+        vals = [row[0] for row in x.filter(F.col("x").between(lo, hi)).orderBy("x").limit(need).collect()]
+        v_lo, v_hi = vals[k_lo - below], vals[k_hi - below]
+    return v_lo + (pos - k_lo) * (v_hi - v_lo)
+
+
+def exact_mode(df: DataFrame, column: str):
+    """Most frequent non-null value; ties go to the smallest value.
+
+    ``groupBy(value).count()`` (partial aggregation map-side), then a top-1 by
+    (count desc, value): no task ever holds more than one partition's values."""
+    (c,) = _resolve(df, [column])
+    top = (df.filter(col(c).isNotNull()).groupBy(col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+           .orderBy(F.col("n").desc(), F.col("v").asc()).limit(1).collect())
+    return top[0]["v"] if top else None
+
+
 # --------------------------------------------------------------------------- M10 / T8
 def fit_impute(df: DataFrame, spec: Mapping[str, object], accuracy: int = 10000) -> dict[str, object]:
-    """Resolve "mean" / "median" / "approx_median" / "mode" to values in one job."""
+    """Resolve "mean" / "approx_median" in one job, "median" / "mode" with the bounded
+    exact algorithms above; other values are constants."""
     stat_exprs, names = [], []
+    values: dict[str, object] = {}
     for i, (name, how) in enumerate(spec.items()):
         (c,) = _resolve(df, [name])
+        values[c] = how
         if how == "mean":
             stat_exprs.append(F.avg(col(c)).alias(f"v{i}"))
-        elif how == "median":
-            stat_exprs.append(F.median(col(c)).alias(f"v{i}"))
         elif how == "approx_median":
             stat_exprs.append(F.percentile_approx(col(c), 0.5, accuracy).alias(f"v{i}"))
+        elif how == "median":
+            values[c] = exact_quantile(df, c, 0.5)
+            continue
         elif how == "mode":
-            stat_exprs.append(F.mode(col(c), deterministic=True).alias(f"v{i}"))
+            values[c] = exact_mode(df, c)
+            continue
         else:
             continue
         names.append((i, c))
-    values = {c: how for c, how in ((_resolve(df, [n])[0], h) for n, h in spec.items())}
     if stat_exprs:
         r = _one_row(df, stat_exprs)
         for i, c in names:

@@ -86,3 +86,26 @@ def test_drop_sparse_nulls(spark):
     assert shares == {"a": 0.0, "b": 0.5, "c": 1.0, "d": 50.0}
     out = stats.drop_sparse_nulls(df, 1.0)
     assert out.count() == 199
+
+
+@pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 1.0])
+def test_exact_quantile_matches_percentile(spark, q):
+    import random
+    rnd = random.Random(3)
+    vals = [float(rnd.randint(0, 50)) for _ in range(701)] + [None] * 5 + [1e9] * 3
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    want = df.agg(F.percentile("x", q)).collect()[0][0]
+    # tiny bracket limit forces the histogram refinement loop
+    assert stats.exact_quantile(df, "x", q, max_bracket_rows=10, buckets=4) == pytest.approx(want)
+    assert stats.exact_quantile(df, "x", q) == pytest.approx(want)
+
+
+def test_exact_quantile_even_and_empty(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (10.0,)], "x double")
+    assert stats.exact_quantile(df, "x") == 3.0
+    assert stats.exact_quantile(spark.createDataFrame([(None,)], "x double"), "x") is None
+
+
+def test_exact_mode(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,), (None,), (None,)], "v string")
+    assert stats.exact_mode(df, "v") == "a"
