@@ -12,9 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_orders(spark: SparkSession, sf_dir: str, hot_customer: bool = False) -> DataFrame:
+    """``hot_customer``: every third order is moved to customer 0, so one key holds a
+    third of all rows (the skew every keyed operator here must survive)."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
     k = F.col("o_orderkey")
+    cust = F.when(k % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("o_custkey")) if hot_customer \
+        else F.col("o_custkey")
     amount = (F.when(k % 50 == 0, F.lit(None).cast("double"))
               .when(k % 97 == 0, F.col("o_totalprice") * 20)
               .when(k % 101 == 0, F.col("o_totalprice") * -20)
@@ -29,7 +33,7 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     region_txt = (F.when(k % 13 == 0, F.lit("NORTH-EAST"))
                   .when(k % 17 == 0, F.lit(None).cast("string"))
                   .otherwise(F.lit("north")))
-    b = o.select(k.alias("id"), F.col("o_custkey").alias("custkey"), amount.alias("amount"),
+    b = o.select(k.alias("id"), cust.alias("custkey"), amount.alias("amount"),
                  priority.alias("priority"), status.alias("status"), year_txt.alias("year_txt"),
                  region_txt.alias("region_txt"))
     return b.unionByName(b.filter(F.col("id") % 25 == 0))
@@ -52,3 +56,9 @@ DIRTY_CTE = """b AS (
          ELSE 'north' END AS region_txt
   FROM orders),
 dirty_orders AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE id % 25 = 0)"""
+
+
+# The hot-customer variant for DuckDB.
+DIRTY_HOT_CTE = DIRTY_CTE.replace(
+    "SELECT o_orderkey AS id, o_custkey AS custkey,",
+    "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN CAST(0 AS BIGINT) ELSE o_custkey END AS custkey,")

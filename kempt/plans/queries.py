@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from kempt.functions.columns import stable_round
 from kempt.operators import cleanse, derive, privacy, quality, relate, stats
-from kempt.plans.dirty import DIRTY_CTE, dirty_orders
+from kempt.plans.dirty import DIRTY_CTE, DIRTY_HOT_CTE, dirty_orders
 from kempt.plans.pipeline import run_pipeline
-from kempt.session import scratch_dir
+from kempt.session import materialize, scratch_dir
 from kempt.sources import files, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,16 +55,20 @@ REGION_FIX = {"NORTH-EAST": "north", "north": "south"}
 
 
 # =========================================================================== flagship
-def flagship_df(spark: SparkSession, sf: str) -> DataFrame:
+def flagship_df(spark: SparkSession, sf: str, materialize_clean: bool = True, hot_customer: bool = False) -> DataFrame:
     """read -> dedupe -> blank_to_null -> map_values -> winsorize -> aggregate by region.
 
     Orders are pre-aggregated per customer before the dimension joins (a hot
     customer collapses map-side), the customer join is left to AQE (it grows
     with the data), nation and region are fixed-size (25 / 5 rows) and broadcast."""
-    x = dirty_orders(spark, sf)
+    x = dirty_orders(spark, sf, hot_customer)
     x = cleanse.dedupe(x)
     x = cleanse.blank_to_null(x)
     x = cleanse.map_values(x, {"status": STATUS_FIX})
+    if materialize_clean:
+        # the winsorize fit and the aggregation both read the de-duplicated rows:
+        # write them once instead of running the de-duplication shuffle twice
+        x = materialize(x.select("custkey", "amount", "priority"), "flagship-clean")
     x = stats.winsorize(x, ["amount"], threshold=3.0, mode="clamp")
     per_cust = x.groupBy("custkey").agg(F.count(F.lit(1)).alias("n"), F.count("amount").alias("na"),
                                         F.sum("amount").alias("s"), F.max("amount").alias("hi"),
@@ -111,6 +115,42 @@ SELECT r_name, count(*) AS n_orders, count(amount) AS n_amount,
 FROM r GROUP BY r_name"""))(flagship_df)
 
 
+_FLAGSHIP_SQL = _CLEAN_SQL + f""",
+r AS (SELECT r_name, amount, priority FROM w
+      JOIN customer ON w.custkey = c_custkey
+      JOIN nation ON c_nationkey = n_nationkey
+      JOIN region ON n_regionkey = r_regionkey)
+SELECT r_name, count(*) AS n_orders, count(amount) AS n_amount,
+       {rnd('avg(amount)')} AS avg_amount, {rnd('max(amount)')} AS max_amount,
+       {rnd('min(amount)')} AS min_amount,
+       CAST(sum(CASE WHEN priority IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_priority
+FROM r GROUP BY r_name"""
+
+
+@query("flagship_hot_customer", f"WITH {DIRTY_HOT_CTE},\n{_FLAGSHIP_SQL}")
+def q_flagship_hot(spark, sf):
+    """The flagship with one customer holding a third of the orders."""
+    return flagship_df(spark, sf, hot_customer=True)
+
+
+@query("fk_report_hot_customer", f"""WITH {DIRTY_HOT_CTE},
+k AS (SELECT custkey AS k, count(*) AS n FROM dirty_orders GROUP BY custkey),
+r AS (SELECT DISTINCT c_custkey AS r FROM customer WHERE c_mktsegment <> 'AUTOMOBILE')
+SELECT 'custkey' AS "column", CAST(coalesce(sum(n) FILTER (WHERE r IS NULL), 0) AS BIGINT) AS orphan_rows,
+  count(*) FILTER (WHERE r IS NULL) AS orphan_keys, CAST(sum(n) AS BIGINT) AS rows
+FROM k LEFT JOIN r ON k = r""")
+def q_fk_report_hot(spark, sf):
+    ref = t(spark, sf, "customer").filter(F.col("c_mktsegment") != "AUTOMOBILE")
+    return quality.fk_report(dirty_orders(spark, sf, hot_customer=True), {"custkey": (ref, "c_custkey")})
+
+
+@query("dedupe_latest_hot_customer", f"""WITH {DIRTY_HOT_CTE}
+SELECT id, custkey, amount, priority, status, year_txt, region_txt FROM (
+  SELECT *, row_number() OVER (PARTITION BY custkey ORDER BY id DESC) AS rn FROM dirty_orders) WHERE rn = 1""")
+def q_dedupe_latest_hot(spark, sf):
+    return cleanse.dedupe(dirty_orders(spark, sf, hot_customer=True), ["custkey"], ["id"], keep="latest")
+
+
 # =========================================================================== C1 / M9
 @query("dedupe_rows", W("SELECT DISTINCT * FROM dirty_orders"))
 def q_dedupe_rows(spark, sf):

@@ -59,3 +59,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Used where a plan would otherwise be computed twice (a statistic is fitted on
+    it, then the rows are transformed with it).  Cuts the lineage too: a lost
+    executor later re-reads the files instead of recomputing the shuffles
+    before them.  A fresh folder per call, never overwritten."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
