@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kempt.functions.columns import SPECIAL_CHARS, col, guarded_cast, is_fractional, stable_round
+from kempt.functions.columns import SPECIAL_CHARS, col, guarded_cast, is_fractional, is_string, stable_round
 from kempt.operators.cleanse import _resolve
 
 
@@ -41,19 +41,42 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, exact: boo
                                    F.max(F.when(col(c).isNull(), 1).otherwise(0))).cast("bigint").alias("distinct")
                                   ).alias(f"d{i}"))
         return _rows_per_column(df.agg(*exprs), [F.col(f"d{i}") for i in range(len(cols))])
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), _as_text(df, c).alias("v")) for i, c in enumerate(cols)])
-    long = df.select(F.inline(pairs))
+    slots = []
+    for i, c in enumerate(cols):
+        lv, dv, sv = _typed_slot(df, c)
+        slots.append(F.struct(F.lit(i).alias("i"), lv.alias("l"), dv.alias("d"), sv.alias("s")))
+    long = df.select(F.inline(F.array(*slots)))
     per_col = long.distinct().groupBy("i").agg(F.count(F.lit(1)).alias("distinct"))
     names = F.array(*[F.lit(c) for c in cols])
     return per_col.select(F.get(names, F.col("i")).alias("column"), F.col("distinct"))
 
 
-def _as_text(df: DataFrame, c: str) -> Column:
+def _typed_slot(df: DataFrame, c: str) -> tuple[Column, Column, Column]:
+    """The value of ``c`` in one of three typed slots (long, double, text), so that all
+    columns can share one (column, value) distinct without formatting numbers as text.
+    Each encoding is one-to-one on the column's values."""
     dt = df.schema[c].dataType
-    if is_fractional(dt):
-        # -0.0 and 0.0 are one value for Spark's grouping; keep them one value as text.
-        return F.when(col(c) == 0, F.lit("0")).otherwise(col(c).cast("string"))
-    return col(c).cast("string")
+    x = col(c)
+    nl, nd, ns = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        return x.cast("bigint"), nd, ns
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        # -0.0 and 0.0 are one value for Spark's grouping; keep them one value here
+        return nl, F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")), ns
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(x), nd, ns
+    if isinstance(dt, T.TimestampNTZType):
+        # calendar arithmetic, not a cast through the session time zone (DST gaps would merge values)
+        micros = (F.unix_date(F.to_date(x)).cast("bigint") * F.lit(86_400_000_000)
+                  + F.hour(x).cast("bigint") * F.lit(3_600_000_000) + F.minute(x).cast("bigint") * F.lit(60_000_000)
+                  + (F.date_part(F.lit("SECOND"), x) * F.lit(1_000_000)).cast("bigint"))
+        return micros, nd, ns
+    if isinstance(dt, T.DateType):
+        return F.unix_date(x).cast("bigint"), nd, ns
+    if is_string(dt):
+        return nl, nd, x
+    return nl, nd, F.to_json(F.struct(x.alias("v"))) if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)) \
+        else x.cast("string")
 
 
 # --------------------------------------------------------------------------- P1-P8

@@ -441,6 +441,39 @@ def q_profile_docs(spark, sf):
     return quality.profile(t(spark, sf, "documents"))
 
 
+_WIDE_TYPES = {
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+    "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+    "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
+    "c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string",
+    "p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int",
+    "p_retailprice": "double",
+    "s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double",
+    "n_nationkey": "int", "n_name": "string", "n_regionkey": "int",
+}
+
+
+def wide_lineitem(spark, sf):
+    """Line items with their order, customer, part, supplier and customer nation: 35 columns."""
+    li, o, c = t(spark, sf, "lineitem"), t(spark, sf, "orders"), t(spark, sf, "customer")
+    p, s, n = t(spark, sf, "part"), t(spark, sf, "supplier"), t(spark, sf, "nation")
+    w = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+         .join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
+         .join(F.broadcast(n), c.c_nationkey == n.n_nationkey))
+    return w.select(*_WIDE_TYPES)
+
+
+@query("profile_wide", """WITH wide AS MATERIALIZED (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey
+  JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON c_nationkey = n_nationkey)
+""" + _profile_sql("wide", _WIDE_TYPES))
+def q_profile_wide(spark, sf):
+    """The reference's profiler ran 4 jobs per column; here the job count does not grow with width."""
+    return quality.profile(wide_lineitem(spark, sf))
+
+
 @query("profile_approx")
 def q_profile_approx(spark, sf):
     return quality.profile(t(spark, sf, "lineitem"), exact=False)

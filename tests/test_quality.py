@@ -73,3 +73,17 @@ def test_suggest_spelling(spark):
     df = spark.createDataFrame([("DIRECT",), ("Indriect",), ("zzzzzzzz",), (None,)], "v string")
     out = rows(quality.suggest_spelling(df, "v", ["DIRECT", "INDIRECT"], max_distance=3))
     assert out == [("DIRECT", None, None), ("Indriect", "INDIRECT", 2), ("zzzzzzzz", None, 8), (None, None, None)]
+
+
+def test_distinct_counts_all_types(spark):
+    import datetime as dt
+    from decimal import Decimal
+    rows_ = [(1, 0.0, "a", dt.datetime(2024, 3, 10, 2, 30), dt.date(2024, 1, 1), Decimal("1.50"), [1, 2], True),
+             (1, -0.0, "a", dt.datetime(2024, 3, 10, 3, 30), dt.date(2024, 1, 1), Decimal("1.5"), [1, 2], False),
+             (2, float("nan"), None, None, None, None, None, None),
+             (2, float("nan"), "b", dt.datetime(2024, 3, 10, 2, 30, 0, 1), dt.date(2024, 1, 2), Decimal("2"), [2], True)]
+    df = spark.createDataFrame(rows_, "a int, d double, s string, t timestamp_ntz, dd date, m decimal(10,2), "
+                                      "arr array<int>, b boolean")
+    got = {r["column"]: r["distinct"] for r in quality.distinct_counts(df).collect()}
+    want = {c: df.select(c).distinct().count() for c in df.columns}
+    assert got == want
