@@ -243,19 +243,25 @@ def impute(df: DataFrame, spec: Mapping[str, object], values: Mapping[str, objec
 
 
 # --------------------------------------------------------------------------- T1
-def describe_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One typed row per column: column, count, mean, stddev, min, max.
+def describe_cols(df: DataFrame, cols: Sequence[str], percentiles: Sequence[float] = (),
+                  accuracy: int = 10000) -> DataFrame:
+    """One typed row per column: column, count, mean, stddev, min, max (+ ``p<q>`` columns).
 
     A single aggregation computes every statistic of every column; the one-row
     result is turned into one row per column with ``inline`` (no driver trip,
-    unlike ``DataFrame.describe``, which also returns strings)."""
+    unlike ``DataFrame.describe``, which also returns strings).  Percentiles are
+    ``percentile_approx`` (bounded memory, rank error at most n/accuracy)."""
     cols = _resolve(df, cols)
     aggs = []
     for i, c in enumerate(cols):
         v = col(c).cast("double")
+        extra = []
+        if percentiles:
+            pa = F.percentile_approx(v, list(percentiles), accuracy)
+            extra = [F.get(pa, j).alias(f"p{int(round(q * 100))}") for j, q in enumerate(percentiles)]
         aggs.append(F.struct(F.lit(c).alias("column"), F.count(v).alias("count"), F.avg(v).alias("mean"),
                              F.stddev_samp(v).alias("stddev"), F.min(v).alias("min"),
-                             F.max(v).alias("max")).alias(f"d{i}"))
+                             F.max(v).alias("max"), *extra).alias(f"d{i}"))
     one = df.agg(*aggs)
     return one.select(F.inline(F.array(*[F.col(f"d{i}") for i in range(len(cols))])))
 

@@ -121,6 +121,22 @@ def build_marts(df: DataFrame, column: str, path: str, values: Sequence[str] | N
     return {mart_name(v): stored.filter(F.col(part_col) == mart_name(v, "").replace("_", "")) for v in names}
 
 
+def register_marts(spark: SparkSession, path: str, values: Sequence[str], database: str | None = None,
+                   part_col: str = "mart", prefix: str = "datamart_") -> list[str]:
+    """Catalog views ``<prefix><name>`` over the marts written by :func:`build_marts`.
+
+    Each view reads only its own partition folder (partition pruning), so the
+    per-region tables of the reference exist by name without a copy each."""
+    names = []
+    for v in values:
+        name = mart_name(v, prefix)
+        key = mart_name(v, "").replace("_", "")
+        spark.sql(f"CREATE OR REPLACE VIEW {_full(database, name)} AS "
+                  f"SELECT * FROM parquet.`{path}` WHERE {q(part_col)} = '{key}'")
+        names.append(_full(database, name))
+    return names
+
+
 def write_split(df: DataFrame, column: str, path: str) -> str:
     """All splits of T5 in one pass: ``partitionBy(column)``."""
     (c,) = _resolve(df, [column])

@@ -101,3 +101,45 @@ def test_pipeline_errors(spark):
         run_pipeline(df, [{"op": "trim_strings", "params": {"bogus": 1}}])
     out = run_pipeline(df, '[{"op": "trim_strings"}, {"op": "upper_strings", "enabled": false}]')
     assert rows(out) == [("a",)]
+
+
+def test_register_marts_views(spark, tmp):
+    df = spark.createDataFrame([(1, "North-East"), (2, "south"), (3, "NORTHEAST")], "id int, Region string")
+    tables.build_marts(df, "Region", f"{tmp}/m")
+    db = tables.ensure_database(spark, "kempt_marts", location=f"{tmp}/mdb")
+    names = tables.register_marts(spark, f"{tmp}/m", ["North-East", "south"], database=db)
+    assert names == ["`kempt_marts`.`datamart_north_east`", "`kempt_marts`.`datamart_south`"]
+    assert sorted(r.id for r in spark.table("kempt_marts.datamart_north_east").collect()) == [1, 3]
+
+
+def test_stream_applies_batch_fitted_stats(spark, tmp):
+    from kempt.operators import stats
+    schema = "id int, x double"
+    df = spark.createDataFrame([(i, float(i)) for i in range(40)] + [(99, 1000.0)], schema)
+    df.repartition(3).write.parquet(f"{tmp}/src")
+    fitted = stats.fit_moments(df, ["x"])
+    steps = [{"op": "winsorize", "params": {"cols": ["x"], "threshold": 2.0, "stats": fitted}},
+             {"op": "min_max", "params": {"cols": ["x"], "stats": fitted}}]
+    ingest_stream(spark, f"{tmp}/src", f"{tmp}/sink", f"{tmp}/ck", schema, steps=steps, max_files_per_trigger=1)
+    got = rows(spark.read.parquet(f"{tmp}/sink").drop("batch"))
+    assert got == rows(run_pipeline(df, steps))
+
+
+def test_dedupe_stream_drops_repeats_within_watermark(spark, tmp):
+    import datetime as dt
+    schema = "k int, ts timestamp"
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(1, t0), (1, t0 + dt.timedelta(minutes=5)), (2, t0), (2, t0), (3, t0 + dt.timedelta(hours=3))]
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{tmp}/e")
+    s = spark.readStream.schema(schema).parquet(f"{tmp}/e")
+    q = (dedupe_stream(s, ["k"], "ts", "1 hour").writeStream.format("memory").queryName("kempt_dedupe")
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.k for r in spark.table("kempt_dedupe").collect()) == [1, 2, 3]
+
+
+def test_describe_percentiles(spark):
+    from kempt.operators import stats
+    df = spark.range(101).selectExpr("CAST(id AS DOUBLE) AS x")
+    r = stats.describe_cols(df, ["x"], percentiles=[0.25, 0.5, 0.75]).collect()[0]
+    assert (r["p25"], r["p50"], r["p75"]) == (25.0, 50.0, 75.0)
