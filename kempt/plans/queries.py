@@ -1085,3 +1085,73 @@ PIPELINE_JSON = json.dumps([
 FROM dirty_orders"""))
 def q_run_pipeline(spark, sf):
     return run_pipeline(dirty_orders(spark, sf), PIPELINE_JSON)
+
+
+# =========================================================================== PL1 from a configuration file
+# A configuration in the loan-ETL JSON format, pointed at dirty_orders' columns.
+DIRTY_CONFIG = {
+    "cleansing_config": {
+        "remove_duplicates": True, "handle_missing_values": True, "standardize_data": False,
+        "correct_typos_and_inaccuracies": True, "handle_outliers": True, "handle_inconsistent_data": True,
+        "handle_incomplete_records": True, "convert_data_types": True, "standardize_categorical_data": True,
+        "validate_data": True, "handle_encoding_issues": True, "deal_with_inconsistent_units": True,
+        "validate_references_and_foreign_keys": False, "handle_special_characters_and_symbols": True,
+        "conform_to_data_privacy_regulations": True,
+    },
+    "massaging": {"data_formatting": True, "data_deduplication": True, "data_imputation": True},
+    "transforming": {"data_filtering": True, "data_redundancy_removal": True, "data_duplication": True},
+    "typing_error_inaccuracies": {"status": {"Fx": "F"}},
+    "columns_to_winsorize": ["amount"], "threshold": 3,
+    "inconsistant_column": ["amount"],
+    "null_threshold": 6,
+    "columns2convert_data": ["custkey"],
+    "standardizing_column": {"region_txt": {"north": "N", "NORTH-EAST": "NE"}},
+    "Text_encoding": "utf-8",
+    "inconsistant_unit_column": ["amount"],
+    "hashing_privacy": {"columns_to_hash": ["id"], "hash_length": 256},
+    "to_imputation": {"priority": "NA"},
+    "redundancy_columns": ["year_txt"],
+}
+
+_STR5 = ["id", "custkey", "priority", "status", "region_txt"]
+_CONFIG_SQL = W(f"""d1 AS (SELECT DISTINCT * FROM dirty_orders),
+d2 AS (SELECT id, custkey, amount, CASE WHEN priority = '' THEN NULL ELSE priority END AS priority,
+         CASE WHEN status = '' THEN NULL WHEN status = 'Fx' THEN 'F' ELSE status END AS status,
+         CASE WHEN year_txt = '' THEN NULL ELSE year_txt END AS year_txt,
+         CASE WHEN region_txt = '' THEN NULL ELSE region_txt END AS region_txt FROM d1),
+s AS (SELECT avg(amount) AS m, stddev_samp(amount) AS sd FROM d2),
+d3 AS (SELECT id, custkey, CASE WHEN abs((amount - m) / sd) > 3 AND amount > m THEN m + 3 * sd
+         WHEN abs((amount - m) / sd) > 3 THEN m - 3 * sd ELSE amount END AS amount,
+         priority, status, year_txt, region_txt FROM d2, s),
+d4 AS (SELECT id, custkey, {rnd('amount')} AS amount, priority, status, year_txt, region_txt FROM d3
+       WHERE {_NONNULL} >= 6),
+d5 AS (SELECT id, CAST(custkey AS VARCHAR) AS custkey,
+         TRY_CAST(ROUND(CAST(amount AS DECIMAL(38,6)), 0) AS INTEGER) AS amount, priority, status, year_txt,
+         CASE region_txt WHEN 'north' THEN 'N' WHEN 'NORTH-EAST' THEN 'NE' ELSE region_txt END AS region_txt
+       FROM d4),
+d6 AS (SELECT upper(sha256(CAST(id AS VARCHAR))) AS id,
+         upper(regexp_replace(custkey, '{_SPECIAL_RE2}', '', 'g')) AS custkey, amount,
+         upper(regexp_replace(priority, '{_SPECIAL_RE2}', '', 'g')) AS priority,
+         upper(regexp_replace(status, '{_SPECIAL_RE2}', '', 'g')) AS status,
+         upper(regexp_replace(year_txt, '{_SPECIAL_RE2}', '', 'g')) AS year_txt,
+         upper(regexp_replace(region_txt, '{_SPECIAL_RE2}', '', 'g')) AS region_txt FROM d5),
+d7 AS (SELECT DISTINCT id, custkey, amount, coalesce(priority, 'NA') AS priority, status, year_txt, region_txt
+       FROM d6),
+sh AS (SELECT {", ".join(f"CAST(count(*) - count({c}) AS DOUBLE) * 100.0 / count(*) AS s_{c}"
+                          for c in _DO_ALL)} FROM d7)
+SELECT d7.id, custkey, amount, priority, status, region_txt FROM d7, sh
+WHERE {" AND ".join(f"NOT ({c} IS NULL AND s_{c} > 0 AND s_{c} < 1)" for c in _DO_ALL)}""")
+
+
+@query("config_pipeline", _CONFIG_SQL)
+def q_config_pipeline(spark, sf):
+    from kempt.plans.config import steps_from_config
+    return run_pipeline(dirty_orders(spark, sf), steps_from_config(DIRTY_CONFIG))
+
+
+@query("config_reports", W(_DUP_SQL.format(src="dirty_orders", keys=", ".join(_DO_ALL))))
+def q_config_reports(spark, sf):
+    """The report switches of the same configuration; here the transforming stage's
+    duplicate count (T15) over the raw input."""
+    from kempt.plans.config import reports_from_config
+    return reports_from_config(dirty_orders(spark, sf), DIRTY_CONFIG)["transforming.data_duplication"]
