@@ -25,17 +25,26 @@ def _one_row(df: DataFrame, exprs: list[Column]) -> dict:
 
 
 # --------------------------------------------------------------------------- moments
-def fit_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
-    """mean, sample stddev, min, max and non-null count for each column, one job."""
-    cols = _resolve(df, cols)
+def moment_exprs(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """The aggregates behind :func:`fit_moments`, for use in ``agg`` or ``observe``."""
     exprs = []
-    for i, c in enumerate(cols):
+    for i, c in enumerate(_resolve(df, cols)):
         v = col(c).cast("double")
         exprs += [F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
                   F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"), F.count(v).alias(f"n{i}")]
-    r = _one_row(df, exprs)
+    return exprs
+
+
+def moments_from(values: Mapping, df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
+    """Turn the values of :func:`moment_exprs` into the per-column stats dict."""
+    r = values
     return {c: {"mean": r[f"m{i}"], "sd": r[f"s{i}"], "min": r[f"lo{i}"], "max": r[f"hi{i}"],
-                "n": r[f"n{i}"]} for i, c in enumerate(cols)}
+                "n": r[f"n{i}"]} for i, c in enumerate(_resolve(df, cols))}
+
+
+def fit_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
+    """mean, sample stddev, min, max and non-null count for each column, one job."""
+    return moments_from(_one_row(df, moment_exprs(df, cols)), df, cols)
 
 
 # --------------------------------------------------------------------------- C5

@@ -65,11 +65,14 @@ def flagship_df(spark: SparkSession, sf: str, materialize_clean: bool = True, ho
     x = cleanse.dedupe(x)
     x = cleanse.blank_to_null(x)
     x = cleanse.map_values(x, {"status": STATUS_FIX})
+    fitted = None
     if materialize_clean:
-        # the winsorize fit and the aggregation both read the de-duplicated rows:
-        # write them once instead of running the de-duplication shuffle twice
-        x = materialize(x.select("custkey", "amount", "priority"), "flagship-clean")
-    x = stats.winsorize(x, ["amount"], threshold=3.0, mode="clamp")
+        # the winsorize fit and the aggregation both need the de-duplicated rows: write
+        # them once, and compute the amount statistics during that same write
+        x = x.select("custkey", "amount", "priority")
+        x, metrics = materialize(x, "flagship-clean", observe=stats.moment_exprs(x, ["amount"]))
+        fitted = stats.moments_from(metrics, x, ["amount"])
+    x = stats.winsorize(x, ["amount"], threshold=3.0, mode="clamp", stats=fitted)
     per_cust = x.groupBy("custkey").agg(F.count(F.lit(1)).alias("n"), F.count("amount").alias("na"),
                                         F.sum("amount").alias("s"), F.max("amount").alias("hi"),
                                         F.min("amount").alias("lo"),

@@ -61,14 +61,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", observe: list | None = None):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     Used where a plan would otherwise be computed twice (a statistic is fitted on
     it, then the rows are transformed with it).  Cuts the lineage too: a lost
     executor later re-reads the files instead of recomputing the shuffles
-    before them.  A fresh folder per call, never overwritten."""
+    before them.  A fresh folder per call, never overwritten.
+
+    ``observe``: aggregate Columns computed during the same write
+    (``DataFrame.observe``); then returns ``(frame, metrics dict)``.  Metrics
+    are accumulated once per successful task, so retried tasks do not count twice."""
+    from pyspark.sql import Observation
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    obs = None
+    if observe:
+        obs = Observation(f"{name}-metrics")
+        df = df.observe(obs, *observe)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    return (out, dict(obs.get)) if obs is not None else out
