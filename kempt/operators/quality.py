@@ -83,22 +83,49 @@ def _typed_slot(df: DataFrame, c: str) -> tuple[Column, Column, Column]:
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """One row per column: column, position, type, rows, nulls, null_pct, distinct.
 
-    Two jobs in total whatever the width: one aggregate for rows and nulls, one
-    unpivot for distinct counts (or none with ``exact=False``)."""
+    exact: a single scan.  Every value becomes a (column, typed value) pair and is
+    counted per pair (partial aggregation map-side, so a value that fills a third
+    of the table is one row per task after the map side); a second aggregation
+    per column gives rows = sum of counts, nulls = count of the null value,
+    distinct = number of pairs.  ``exact=False``: one aggregate with
+    HyperLogLog++ distinct counts, no row expansion."""
     cols = _resolve(df, cols) if cols else df.columns
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    if not exact:
+        return _profile_approx(df, cols, types)
+    slots = []
+    for i, c in enumerate(cols):
+        lv, dv, sv = _typed_slot(df, c)
+        slots.append(F.struct(F.lit(i).alias("i"), lv.alias("l"), dv.alias("d"), sv.alias("s")))
+    long = df.select(F.inline(F.array(*slots)))
+    per_value = long.groupBy("i", "l", "d", "s").agg(F.count(F.lit(1)).alias("c"))
+    is_null = F.col("l").isNull() & F.col("d").isNull() & F.col("s").isNull()
+    per_col = per_value.groupBy("i").agg(
+        F.sum("c").alias("rows"), F.sum(F.when(is_null, F.col("c"))).alias("nulls"),
+        F.count(F.lit(1)).alias("distinct"))
+    # column metadata: one row per column, known on the driver (size = number of columns);
+    # it also gives an empty input its rows of zeros
+    meta = df.sparkSession.createDataFrame(
+        [(i, c, types[c]) for i, c in enumerate(cols)], "i int, column string, type string")
+    j = meta.join(F.broadcast(per_col), "i", "left")
+    rows = F.coalesce(F.col("rows"), F.lit(0)).cast("bigint")
+    nulls = F.coalesce(F.col("nulls"), F.lit(0)).cast("bigint")
+    return j.select("column", F.col("i").alias("position"), "type", rows.alias("rows"), nulls.alias("nulls"),
+                    (F.try_divide(nulls, rows) * 100.0).alias("null_pct"),
+                    F.coalesce(F.col("distinct"), F.lit(0)).cast("bigint").alias("distinct"))
+
+
+def _profile_approx(df: DataFrame, cols: list[str], types: Mapping[str, str]) -> DataFrame:
     rows = F.count(F.lit(1))
     structs = []
     for i, c in enumerate(cols):
         nulls = F.count_if(col(c).isNull())
+        distinct = (F.approx_count_distinct(col(c)) + F.max(F.when(col(c).isNull(), 1).otherwise(0))).cast("bigint")
         structs.append(F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"),
                                 F.lit(types[c]).alias("type"), rows.alias("rows"), nulls.alias("nulls"),
-                                (F.try_divide(nulls, rows) * 100.0).alias("null_pct")).alias(f"p{i}"))
-    base = _rows_per_column(df.agg(*structs), [F.col(f"p{i}") for i in range(len(cols))])
-    dist = distinct_counts(df, cols, exact)
-    return base.join(dist, "column", "left").select(
-        "column", "position", "type", "rows", "nulls", "null_pct",
-        F.coalesce(F.col("distinct"), F.lit(0).cast("bigint")).alias("distinct"))
+                                (F.try_divide(nulls, rows) * 100.0).alias("null_pct"),
+                                F.coalesce(distinct, F.lit(0).cast("bigint")).alias("distinct")).alias(f"p{i}"))
+    return _rows_per_column(df.agg(*structs), [F.col(f"p{i}") for i in range(len(cols))])
 
 
 # --------------------------------------------------------------------------- C11 / M1
