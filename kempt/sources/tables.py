@@ -72,9 +72,9 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
 def upsert_table(spark: SparkSession, table: str, incoming: DataFrame, keys: Sequence[str],
                  order_by: Sequence[str] | None = None, database: str | None = None) -> str:
     """Upsert into a catalog table.  First load creates it (H1).  Otherwise the merged
-    result goes to a staging table, the old table is dropped and the staging
-    table renamed: Spark refuses to overwrite a table the same plan reads, and
-    the old data stays intact until the new copy is complete."""
+    result goes to a staging table first (Spark refuses to overwrite a table the
+    same plan reads); then the old table is renamed aside, the staging table
+    renamed into place, and only then the old copy dropped."""
     name = _full(database, table)
     if not spark.catalog.tableExists(f"{database}.{table}" if database else table):
         ks = _resolve(incoming, keys)
@@ -82,10 +82,17 @@ def upsert_table(spark: SparkSession, table: str, incoming: DataFrame, keys: Seq
         first.write.format("parquet").saveAsTable(name)
         return name
     merged = upsert(spark.table(name), incoming, keys, order_by)
-    stage = f"{table}__stage_{uuid.uuid4().hex[:8]}"
-    merged.write.format("parquet").saveAsTable(_full(database, stage))
-    spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"ALTER TABLE {_full(database, stage)} RENAME TO {name}")
+    tag = uuid.uuid4().hex[:8]
+    stage, old = _full(database, f"{table}__stage_{tag}"), _full(database, f"{table}__old_{tag}")
+    merged.write.format("parquet").saveAsTable(stage)
+    # swap by renames: at every moment either the old or the new complete copy exists
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
     return name
 
 
