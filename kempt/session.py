@@ -34,20 +34,32 @@ def get_spark(master: str | None = None, app: str = "kempt", shuffle_partitions:
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001  (no SparkContext on Spark Connect)
+        pass
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set one under the local temp dir only if none is configured."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    """The shared checkpoint folder; set one under the local temp dir only if none is configured.
+
+    Reads the SparkContext's checkpoint dir, else ``spark.checkpoint.dir``; with
+    neither (local tests) creates a temp folder and sets it on the context."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session has no SparkContext)
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            root = tempfile.mkdtemp(prefix="kempt-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+    if not root:
+        root = tempfile.mkdtemp(prefix="kempt-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
