@@ -136,22 +136,50 @@ def validate(df: DataFrame, formats: Mapping[str, str] | None = None,
 
     A null value is not counted invalid (``~rlike`` / ``~isin`` on null is null,
     and ``count_if`` skips it), as in the reference.  ``invalid_format`` /
-    ``invalid_domain`` are null for columns without such a rule."""
+    ``invalid_domain`` are null for columns without such a rule.  exact: one scan,
+    as :func:`profile`; each row's rule results travel with its (column, value)
+    pair and are summed per column."""
     cols = _resolve(df, cols) if cols else df.columns
     formats = {_resolve(df, [k])[0]: v for k, v in (formats or {}).items()}
     domains = {_resolve(df, [k])[0]: v for k, v in (domains or {}).items()}
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    structs = []
+    none = F.lit(None).cast("boolean")
+    if not exact:
+        structs = []
+        for i, c in enumerate(cols):
+            fmt = F.count_if(~col(c).cast("string").rlike(formats[c])) if c in formats else F.lit(None).cast("bigint")
+            dom = F.count_if(~col(c).isin(list(domains[c]))) if c in domains else F.lit(None).cast("bigint")
+            structs.append(F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
+                                    F.count_if(col(c).isNull()).alias("nulls"),
+                                    fmt.alias("invalid_format"), dom.alias("invalid_domain")).alias(f"v{i}"))
+        base = _rows_per_column(df.agg(*structs), [F.col(f"v{i}") for i in range(len(cols))])
+        return base.join(distinct_counts(df, cols, False), "column", "left").select(
+            "column", "type", "nulls", F.coalesce(F.col("distinct"), F.lit(0).cast("bigint")).alias("distinct"),
+            "invalid_format", "invalid_domain")
+    slots = []
     for i, c in enumerate(cols):
-        fmt = F.count_if(~col(c).cast("string").rlike(formats[c])) if c in formats else F.lit(None).cast("bigint")
-        dom = F.count_if(~col(c).isin(list(domains[c]))) if c in domains else F.lit(None).cast("bigint")
-        structs.append(F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
-                                F.count_if(col(c).isNull()).alias("nulls"),
-                                fmt.alias("invalid_format"), dom.alias("invalid_domain")).alias(f"v{i}"))
-    base = _rows_per_column(df.agg(*structs), [F.col(f"v{i}") for i in range(len(cols))])
-    return base.join(distinct_counts(df, cols, exact), "column", "left").select(
-        "column", "type", "nulls", F.coalesce(F.col("distinct"), F.lit(0).cast("bigint")).alias("distinct"),
-        "invalid_format", "invalid_domain")
+        lv, dv, sv = _typed_slot(df, c)
+        bad_fmt = ~col(c).cast("string").rlike(formats[c]) if c in formats else none
+        bad_dom = ~col(c).isin(list(domains[c])) if c in domains else none
+        slots.append(F.struct(F.lit(i).alias("i"), lv.alias("l"), dv.alias("d"), sv.alias("s"),
+                              bad_fmt.alias("bf"), bad_dom.alias("bd")))
+    long = df.select(F.inline(F.array(*slots)))
+    per_value = long.groupBy("i", "l", "d", "s").agg(
+        F.count(F.lit(1)).alias("c"), F.count_if(F.col("bf")).alias("fb"), F.count_if(F.col("bd")).alias("db"))
+    is_null = F.col("l").isNull() & F.col("d").isNull() & F.col("s").isNull()
+    per_col = per_value.groupBy("i").agg(
+        F.sum(F.when(is_null, F.col("c"))).alias("nulls"), F.count(F.lit(1)).alias("distinct"),
+        F.sum("fb").alias("fb"), F.sum("db").alias("db"))
+    meta = df.sparkSession.createDataFrame(
+        [(i, c, types[c], c in formats, c in domains) for i, c in enumerate(cols)],
+        "i int, column string, type string, has_fmt boolean, has_dom boolean")
+    j = meta.join(F.broadcast(per_col), "i", "left")
+    zero = F.lit(0).cast("bigint")
+    return j.select(
+        "column", "type", F.coalesce(F.col("nulls"), zero).cast("bigint").alias("nulls"),
+        F.coalesce(F.col("distinct"), zero).cast("bigint").alias("distinct"),
+        F.when(F.col("has_fmt"), F.coalesce(F.col("fb"), zero)).cast("bigint").alias("invalid_format"),
+        F.when(F.col("has_dom"), F.coalesce(F.col("db"), zero)).cast("bigint").alias("invalid_domain"))
 
 
 # --------------------------------------------------------------------------- T15 / P7 / V3

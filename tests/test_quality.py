@@ -87,3 +87,12 @@ def test_distinct_counts_all_types(spark):
     got = {r["column"]: r["distinct"] for r in quality.distinct_counts(df).collect()}
     want = {c: df.select(c).distinct().count() for c in df.columns}
     assert got == want
+
+
+def test_validate_exact_and_approx_agree_on_small_data(spark):
+    df = spark.createDataFrame([("2019", "Male"), ("19x", "Other"), (None, None), ("2020", "Male")],
+                               "year string, Gender string")
+    a = {r["column"]: tuple(r) for r in quality.validate(df, {"year": r"^\d{4}$"}, {"Gender": ["Male"]}).collect()}
+    b = {r["column"]: tuple(r) for r in quality.validate(df, {"year": r"^\d{4}$"}, {"Gender": ["Male"]},
+                                                         exact=False).collect()}
+    assert a == b
