@@ -63,12 +63,12 @@ def encode_map(df: DataFrame, spec: Mapping[str, Mapping[object, int]]) -> DataF
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence[object], prefix: str | None = None) -> DataFrame:
-    """``<prefix>_<value>`` = 1 where the column equals the value, else 0.
+    """``<prefix>_<value>`` = 1 where the column equals the value, else 0 (also for null).
 
     The value list is given, so no job runs to discover it."""
     (c,) = _resolve(df, [column])
     p = prefix if prefix is not None else c
-    return _with(df, {f"{p}_{v}": (col(c) == F.lit(v)).cast("int") for v in values})
+    return _with(df, {f"{p}_{v}": F.when(col(c) == F.lit(v), F.lit(1)).otherwise(F.lit(0)) for v in values})
 
 
 # --------------------------------------------------------------------------- T13

@@ -702,8 +702,9 @@ def q_encode_map(spark, sf):
     return e.select("c_custkey", "c_mktsegment_encoded_1", "c_mktsegment_encoded_2")
 
 
-@query("one_hot", """SELECT o_orderkey, CAST(o_orderstatus = 'F' AS INTEGER) AS status_F,
-  CAST(o_orderstatus = 'O' AS INTEGER) AS status_O, CAST(o_orderstatus = 'P' AS INTEGER) AS status_P FROM orders""")
+@query("one_hot", """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS status_F,
+  CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS status_O,
+  CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS status_P FROM orders""")
 def q_one_hot(spark, sf):
     o = derive.one_hot(t(spark, sf, "orders"), "o_orderstatus", ["F", "O", "P"], prefix="status")
     return o.select("o_orderkey", "status_F", "status_O", "status_P")

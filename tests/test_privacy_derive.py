@@ -55,3 +55,23 @@ def test_derive_sql_text(spark):
     df = spark.createDataFrame([(2, 3)], "credit_score int, income int")
     out = derive.derive(df, {"risk_score": "credit_score * income", "income": "income / 2"})
     assert out.collect()[0].asDict() == {"credit_score": 2, "income": 1.5, "risk_score": 6}
+
+
+def test_extract_all(spark):
+    df = spark.createDataFrame([("a1b22c333",), (None,)], "s string")
+    out = derive.extract_all(df, "s", r"(\d+)", "nums", group=1).collect()
+    assert sorted([r["nums"] for r in out], key=str) == [None, ["1", "22", "333"]]
+
+
+def test_agg_timeframe_keeps_ntz(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5), 1.0), (dt.datetime(2024, 1, 1, 23), 2.0),
+                                (dt.datetime(2024, 1, 2, 0), 4.0)], "ts timestamp_ntz, v double")
+    out = derive.agg_timeframe(df, "ts", "day", aggs={"n": ("count", "*"), "s": ("sum", "v")})
+    assert out.schema["period"].dataType.simpleString() == "timestamp_ntz"
+    assert rows(out) == [(dt.datetime(2024, 1, 1), 2, 3.0), (dt.datetime(2024, 1, 2), 1, 4.0)]
+
+
+def test_one_hot_null_is_zero(spark):
+    df = spark.createDataFrame([("a",), (None,)], "v string")
+    assert rows(derive.one_hot(df, "v", ["a"]), "v_a") == [(0,), (1,)]

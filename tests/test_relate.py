@@ -77,3 +77,18 @@ def test_aggregate(spark):
     df = spark.createDataFrame([("M", 10), ("M", 20), ("F", 5)], "Gender string, loan_amount int")
     out = relate.aggregate(df, ["Gender"], {"Mean_Loan_Amount": ("mean", "loan_amount"), "n": ("count", "*")})
     assert rows(out) == [("F", 5.0, 1), ("M", 15.0, 2)]
+
+
+def test_split_random_is_a_partition(spark):
+    df = spark.range(500)
+    parts = relate.split_random(df, [0.7, 0.3], seed=1)
+    ids = [r.id for p in parts for r in p.collect()]
+    assert sorted(ids) == list(range(500))
+
+
+def test_merge_kinds(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, l string")
+    right = spark.createDataFrame([(2, "x"), (3, "y")], "k int, r string")
+    assert rows(relate.merge(left, right, "k", "right")) == [(2, "b", "x"), (3, None, "y")]
+    assert rows(relate.merge(left, right, "k", "full")) == [(1, "a", None), (2, "b", "x"), (3, None, "y")]
+    assert rows(relate.merge(left, right, "k", "inner", broadcast=True)) == [(2, "b", "x")]

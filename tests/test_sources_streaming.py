@@ -143,3 +143,11 @@ def test_describe_percentiles(spark):
     df = spark.range(101).selectExpr("CAST(id AS DOUBLE) AS x")
     r = stats.describe_cols(df, ["x"], percentiles=[0.25, 0.5, 0.75]).collect()[0]
     assert (r["p25"], r["p50"], r["p75"]) == (25.0, 50.0, 75.0)
+
+
+def test_save_table_partitioned(spark, tmp):
+    db = tables.ensure_database(spark, "kempt_save", location=f"{tmp}/sdb")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
+    name = tables.save_table(df, "t", db, partition_by=["p"])
+    assert rows(spark.table(name).select("id", "p")) == [(1, "a"), (2, "b")]
+    assert rows(spark.table(name).filter("p = 'b'").select("id")) == [(2,)]
