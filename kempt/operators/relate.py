@@ -180,7 +180,9 @@ def transpose(df: DataFrame, key: str, max_rows: int = 1000, var: str = "column"
     if len(set(keys)) != len(keys):
         raise ValueError("transpose needs a unique key")
     long = to_long(df, [k], None, var=var, val="__v", as_text=True)
-    return long.groupBy(var).pivot(k, keys).agg(F.first("__v"))
+    # one conditional aggregate per key value: a single shuffle, and each cell holds one value
+    cells = [F.max(F.when(col(k) == F.lit(v), F.col("__v"))).alias(str(v)) for v in keys]
+    return long.groupBy(var).agg(*cells)
 
 
 # --------------------------------------------------------------------------- M15 / T16
