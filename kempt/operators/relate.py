@@ -177,8 +177,8 @@ def transpose(df: DataFrame, key: str, max_rows: int = 1000, var: str = "column"
     keys = [r[0] for r in df.select(col(k)).limit(max_rows + 1).collect()]
     if len(keys) > max_rows:
         raise ValueError(f"transpose refused: more than {max_rows} rows")
-    if len(set(keys)) != len(keys):
-        raise ValueError("transpose needs a unique key")
+    if len(set(keys)) != len(keys) or any(v is None for v in keys):
+        raise ValueError("transpose needs a unique, non-null key")
     long = to_long(df, [k], None, var=var, val="__v", as_text=True)
     # one conditional aggregate per key value: a single shuffle, and each cell holds one value
     cells = [F.max(F.when(col(k) == F.lit(v), F.col("__v"))).alias(str(v)) for v in keys]
