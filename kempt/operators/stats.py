@@ -278,12 +278,20 @@ def describe_cols(df: DataFrame, cols: Sequence[str], percentiles: Sequence[floa
 # --------------------------------------------------------------------------- T2
 def fit_null_shares(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, float | None]:
     """Percentage of nulls per column, one job; None for an empty frame."""
+    return null_shares_from(_one_row(df, null_share_exprs(df, cols)), df, cols)
+
+
+def null_share_exprs(df: DataFrame, cols: Sequence[str] | None = None) -> list[Column]:
+    """The aggregates behind :func:`fit_null_shares`, for use in ``agg`` or ``observe``."""
+    cols = _resolve(df, cols) if cols else df.columns
+    return [F.count(F.lit(1)).alias("__n")] + \
+        [F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
+
+
+def null_shares_from(values: Mapping, df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, float | None]:
     cols = _resolve(df, cols) if cols else df.columns
-    exprs = [F.count(F.lit(1)).alias("__n")] + \
-            [F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
-    r = _one_row(df, exprs)
-    n = r["__n"]
-    return {c: (None if not n else 100.0 * r[f"n{i}"] / n) for i, c in enumerate(cols)}
+    n = values["__n"]
+    return {c: (None if not n else 100.0 * values[f"n{i}"] / n) for i, c in enumerate(cols)}
 
 
 def drop_sparse_nulls(df: DataFrame, max_pct: float = 1.0, shares: Mapping[str, float] | None = None) -> DataFrame:

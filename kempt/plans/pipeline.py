@@ -15,6 +15,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from kempt.operators import cleanse, derive, privacy, relate, stats
+from kempt.session import materialize
 
 # Operators usable as pipeline steps: every one is (df, **params) -> DataFrame.
 REGISTRY: dict[str, Callable[..., DataFrame]] = {
@@ -80,14 +81,43 @@ def check_steps(steps: Sequence[Mapping], registry: Mapping[str, Callable] | Non
     return plan
 
 
+# Steps that fit whole-table statistics: (aggregate expressions, values -> parameter, parameter name).
+FITTERS: dict[str, tuple[Callable, Callable, str]] = {
+    "winsorize": (lambda d, p: stats.moment_exprs(d, p["cols"]),
+                  lambda v, d, p: stats.moments_from(v, d, p["cols"]), "stats"),
+    "standardize": (lambda d, p: stats.moment_exprs(d, p["cols"]),
+                    lambda v, d, p: stats.moments_from(v, d, p["cols"]), "stats"),
+    "min_max": (lambda d, p: stats.moment_exprs(d, p["cols"]),
+                lambda v, d, p: stats.moments_from(v, d, p["cols"]), "stats"),
+    "drop_sparse_nulls": (lambda d, p: stats.null_share_exprs(d),
+                          lambda v, d, p: stats.null_shares_from(v, d), "shares"),
+}
+# Steps after which the plan contains a shuffle worth not repeating.
+SHUFFLING = {"dedupe", "sort_by"}
+
+
 def run_pipeline(df: DataFrame, steps: Sequence[Mapping] | str,
-                 registry: Mapping[str, Callable] | None = None) -> DataFrame:
-    """Fold the enabled steps over ``df`` (lazy; steps that fit statistics run their one job).
+                 registry: Mapping[str, Callable] | None = None, materialize_fits: bool = True) -> DataFrame:
+    """Fold the enabled steps over ``df`` (lazy, except where a step fits statistics).
 
-    ``steps`` may be a JSON string holding the list."""
+    ``steps`` may be a JSON string holding the list.  With ``materialize_fits``, a
+    fitting step that follows a shuffle (e.g. a de-duplication) does not make
+    Spark compute the plan twice (once for the fit, once for the result): the
+    frame is written once under the checkpoint folder and the step's statistics
+    are computed during that write (``DataFrame.observe``).  Without a shuffle
+    since the last write, the fit is a plain column-pruned aggregate."""
     if isinstance(steps, str):
         steps = json.loads(steps)
     out = df
-    for _name, fn, params in check_steps(steps, registry):
+    shuffled = False
+    for name, fn, params in check_steps(steps, registry):
+        fit = FITTERS.get(name) if registry is None or registry is REGISTRY else None
+        if fit is not None and materialize_fits and shuffled and not out.isStreaming \
+                and params.get(fit[2]) is None:
+            exprs_fn, values_fn, param = fit
+            out, metrics = materialize(out, f"pipeline-{name}", observe=exprs_fn(out, params))
+            params = {**params, param: values_fn(metrics, out, params)}
+            shuffled = False
         out = out.transform(lambda d, f=fn, p=params: f(d, **p))
+        shuffled = shuffled or name in SHUFFLING
     return out

@@ -151,3 +151,13 @@ def test_save_table_partitioned(spark, tmp):
     name = tables.save_table(df, "t", db, partition_by=["p"])
     assert rows(spark.table(name).select("id", "p")) == [(1, "a"), (2, "b")]
     assert rows(spark.table(name).filter("p = 'b'").select("id")) == [(2,)]
+
+
+def test_pipeline_fit_after_shuffle_is_materialized_and_equal(spark):
+    df = spark.createDataFrame([(i % 7, float(i % 7) * (100 if i == 3 else 1)) for i in range(60)], "k int, x double")
+    steps = [{"op": "dedupe"}, {"op": "winsorize", "params": {"cols": ["x"], "threshold": 1.0}},
+             {"op": "drop_sparse_nulls"}]
+    a = run_pipeline(df, steps, materialize_fits=True)
+    b = run_pipeline(df, steps, materialize_fits=False)
+    assert rows(a) == rows(b)
+    assert "kempt/pipeline-winsorize" in a.inputFiles()[0]
