@@ -226,6 +226,29 @@ def fit_impute(df: DataFrame, spec: Mapping[str, object], accuracy: int = 10000)
     return values
 
 
+def impute_exprs(df: DataFrame, spec: Mapping[str, object], accuracy: int = 10000) -> list[Column] | None:
+    """Aggregates that resolve ``spec`` in one pass (for ``agg`` or ``observe``); None when
+    the spec needs the multi-pass exact median or mode."""
+    if any(h in ("median", "mode") for h in spec.values()):
+        return None
+    exprs = []
+    for i, (name, how) in enumerate(spec.items()):
+        (c,) = _resolve(df, [name])
+        if how == "mean":
+            exprs.append(F.avg(col(c)).alias(f"v{i}"))
+        elif how == "approx_median":
+            exprs.append(F.percentile_approx(col(c), 0.5, accuracy).alias(f"v{i}"))
+    return exprs or None
+
+
+def impute_values_from(values: Mapping, df: DataFrame, spec: Mapping[str, object]) -> dict[str, object]:
+    out = {}
+    for i, (name, how) in enumerate(spec.items()):
+        (c,) = _resolve(df, [name])
+        out[c] = values[f"v{i}"] if how in ("mean", "approx_median") else how
+    return out
+
+
 def impute(df: DataFrame, spec: Mapping[str, object], values: Mapping[str, object] | None = None) -> DataFrame:
     """Fill nulls per column with a constant or a fitted statistic.
 

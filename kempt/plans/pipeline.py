@@ -91,6 +91,8 @@ FITTERS: dict[str, tuple[Callable, Callable, str]] = {
                 lambda v, d, p: stats.moments_from(v, d, p["cols"]), "stats"),
     "drop_sparse_nulls": (lambda d, p: stats.null_share_exprs(d),
                           lambda v, d, p: stats.null_shares_from(v, d), "shares"),
+    "impute": (lambda d, p: stats.impute_exprs(d, p["spec"]),
+               lambda v, d, p: stats.impute_values_from(v, d, p["spec"]), "values"),
 }
 # Steps after which the plan contains a shuffle worth not repeating.
 SHUFFLING = {"dedupe", "sort_by"}
@@ -112,11 +114,11 @@ def run_pipeline(df: DataFrame, steps: Sequence[Mapping] | str,
     shuffled = False
     for name, fn, params in check_steps(steps, registry):
         fit = FITTERS.get(name) if registry is None or registry is REGISTRY else None
-        if fit is not None and materialize_fits and shuffled and not out.isStreaming \
-                and params.get(fit[2]) is None:
-            exprs_fn, values_fn, param = fit
-            out, metrics = materialize(out, f"pipeline-{name}", observe=exprs_fn(out, params))
-            params = {**params, param: values_fn(metrics, out, params)}
+        exprs = fit[0](out, params) if fit is not None and materialize_fits and shuffled \
+            and not out.isStreaming and params.get(fit[2]) is None else None
+        if exprs:
+            out, metrics = materialize(out, f"pipeline-{name}", observe=exprs)
+            params = {**params, fit[2]: fit[1](metrics, out, params)}
             shuffled = False
         out = out.transform(lambda d, f=fn, p=params: f(d, **p))
         shuffled = shuffled or name in SHUFFLING

@@ -161,3 +161,10 @@ def test_pipeline_fit_after_shuffle_is_materialized_and_equal(spark):
     b = run_pipeline(df, steps, materialize_fits=False)
     assert rows(a) == rows(b)
     assert "kempt/pipeline-winsorize" in a.inputFiles()[0]
+
+
+def test_pipeline_impute_mean_after_shuffle(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 1.0), (2, None), (3, 4.0)], "k int, x double")
+    steps = [{"op": "dedupe"}, {"op": "impute", "params": {"spec": {"x": "mean"}}}]
+    assert rows(run_pipeline(df, steps)) == [(1, 1.0), (2, 2.5), (3, 4.0)]
+    assert rows(run_pipeline(df, steps, materialize_fits=False)) == [(1, 1.0), (2, 2.5), (3, 4.0)]
