@@ -1,12 +1,13 @@
 """Profiling and data-quality checks, each one aggregation pass.
 
 The reference ran one Spark job per column per statistic (139 jobs to profile a
-34-column table).  Here every report is a lazy DataFrame: null counts, rule
-violations and type checks for all columns share one ``agg``; exact distinct
-counts share one unpivot + two-level ``groupBy`` (partial aggregation on the
-map side, so a value that fills a third of the table is collapsed before the
-shuffle).  Results are one row per column, produced with ``inline`` on the
-executor side, never assembled on the driver.
+34-column table).  Here every report is a lazy DataFrame over a single scan:
+rule violations and type checks for all columns share one ``agg``; exact
+profiles unpivot every value into a (column, typed value) pair and count per
+pair, then per column (partial aggregation on the map side, so a value that
+fills a third of the table is collapsed before the shuffle).  Results are one
+row per column, produced on the executors (``inline``), never assembled from
+data on the driver.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ def _rows_per_column(one_row: DataFrame, structs: list[Column]) -> DataFrame:
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """(column, distinct) per column; null counts as one value, as ``select(c).distinct().count()``.
 
-    exact: unpivot to (column index, value-as-text), distinct (partial
-    aggregation map-side), count per column.  Otherwise HyperLogLog++
+    exact: unpivot to (column index, typed value), distinct (partial aggregation
+    map-side), count per column.  Otherwise HyperLogLog++
     (``approx_count_distinct``, one pass, no expansion) plus the null flag."""
     cols = _resolve(df, cols) if cols else df.columns
     if not exact:
