@@ -168,3 +168,11 @@ def test_pipeline_impute_mean_after_shuffle(spark):
     steps = [{"op": "dedupe"}, {"op": "impute", "params": {"spec": {"x": "mean"}}}]
     assert rows(run_pipeline(df, steps)) == [(1, 1.0), (2, 2.5), (3, 4.0)]
     assert rows(run_pipeline(df, steps, materialize_fits=False)) == [(1, 1.0), (2, 2.5), (3, 4.0)]
+
+
+@pytest.mark.parametrize("fmt", ["json", "orc", "parquet"])
+def test_formats_round_trip(spark, tmp, fmt):
+    df = spark.createDataFrame([(1, "a", 1.5), (2, None, None)], "id int, s string, d double")
+    files.write_table(df, f"{tmp}/{fmt}", fmt, mode="overwrite", partition_by=["id"])
+    back = files.read_table(spark, f"{tmp}/{fmt}", fmt, schema="s string, d double, id int")
+    assert rows(back.select("id", "s", "d")) == [(1, "a", 1.5), (2, None, None)]
