@@ -71,6 +71,34 @@ def one_hot(df: DataFrame, column: str, values: Sequence[object], prefix: str |
     return _with(df, {f"{p}_{v}": F.when(col(c) == F.lit(v), F.lit(1)).otherwise(F.lit(0)) for v in values})
 
 
+def label_index(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
+    """``<col>_index``: 0 for the most frequent label, 1 for the next, ...; ties by label
+    ascending; null stays null (the order ``StringIndexer`` calls frequencyDesc, with an
+    explicit tie rule).
+
+    Distributed: labels are counted (partial aggregation), range-sorted by (count
+    desc, label), written once with their partition id, and numbered as offset of
+    the partition (from a table with one row per partition) plus the position inside
+    it.  No task holds more than one sorted partition; the labels never reach the driver."""
+    from pyspark.sql import Window
+
+    from kempt.session import materialize
+    (c,) = _resolve(df, [column])
+    counts = (df.filter(col(c).isNotNull()).groupBy(col(c).alias("__label"))
+              .agg(F.count(F.lit(1)).alias("__n")))
+    order = [F.col("__n").desc(), F.col("__label").asc()]
+    staged = materialize(counts.orderBy(*order).withColumn("__pid", F.spark_partition_id()), "label-index")
+    sizes = staged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__pid", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__off"))
+    inside = Window.partitionBy("__pid").orderBy(*order)
+    idx = (staged.join(F.broadcast(offsets), "__pid")
+           .select("__label", (F.col("__off") + F.row_number().over(inside) - 1).cast("bigint").alias("__idx")))
+    name = out or f"{c}_index"
+    j = df.join(idx, col(c) == F.col("__label"), "left")
+    return j.select(*[col(x) for x in df.columns], F.col("__idx").alias(name))
+
+
 # --------------------------------------------------------------------------- T13
 def bin_col(df: DataFrame, column: str, splits: Sequence[float], labels: Sequence[str],
             out: str | None = None, other: str = "Unknown") -> DataFrame:

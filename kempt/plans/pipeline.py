@@ -45,6 +45,7 @@ REGISTRY: dict[str, Callable[..., DataFrame]] = {
     "concat_cols": derive.concat_cols,
     "encode_map": derive.encode_map,
     "one_hot": derive.one_hot,
+    "label_index": derive.label_index,
     "bin_col": derive.bin_col,
     "age_from_bracket": derive.age_from_bracket,
     "extract_pattern": derive.extract_pattern,

@@ -710,6 +710,14 @@ def q_one_hot(spark, sf):
     return o.select("o_orderkey", "status_F", "status_O", "status_P")
 
 
+@query("label_index", """WITH c AS (SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand),
+r AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY n DESC, p_brand ASC) - 1 AS BIGINT) AS p_brand_index FROM c)
+SELECT p_partkey, part.p_brand, r.p_brand_index FROM part LEFT JOIN r ON part.p_brand = r.p_brand""")
+def q_label_index(spark, sf):
+    p = t(spark, sf, "part").select("p_partkey", "p_brand")
+    return derive.label_index(p, "p_brand")
+
+
 _SPLITS = [-1000, 0, 2500, 5000, 7500, 9000]
 _LABELS = ["Poor", "Fair", "Good", "Very Good", "Excellent"]
 

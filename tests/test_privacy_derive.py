@@ -75,3 +75,20 @@ def test_agg_timeframe_keeps_ntz(spark):
 def test_one_hot_null_is_zero(spark):
     df = spark.createDataFrame([("a",), (None,)], "v string")
     assert rows(derive.one_hot(df, "v", ["a"]), "v_a") == [(0,), (1,)]
+
+
+def test_label_index_frequency_then_label(spark):
+    vals = ["b"] * 3 + ["a"] * 3 + ["c"] * 5 + ["d"] + [None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string").repartition(3)
+    got = {r["v"]: r["v_index"] for r in derive.label_index(df, "v").collect()}
+    assert got == {"c": 0, "a": 1, "b": 2, "d": 3, None: None}
+
+
+def test_label_index_many_labels_across_partitions(spark):
+    df = spark.range(3000).selectExpr("CAST(id % 997 AS STRING) AS v")
+    out = derive.label_index(df, "v").select("v", "v_index").distinct().collect()
+    idx = sorted(r["v_index"] for r in out)
+    assert idx == list(range(997))
+    by = {r["v"]: r["v_index"] for r in out}
+    # labels 0..8 occur 4 times (3000 = 3*997 + 9), the rest 3 times; ties by label text
+    assert by["0"] == 0 and by["8"] == 8 and by["10"] == 9
