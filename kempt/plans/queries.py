@@ -1020,8 +1020,9 @@ def q_save_version(spark, sf):
     o = t(spark, sf, "orders")
     tables.save_version(o, base, "v1")
     tables.save_version(cleanse.convert_unit(o, "o_totalprice", 0.012), base, "v2")
-    tables.save_version(o, base, "v2")  # saved twice by mistake ...
-    tables.save_version(cleanse.convert_unit(o, "o_totalprice", 0.012), base, "v2")  # ... re-save replaces it
+    # saving a version again (as a retried job would) replaces that version only
+    tables.save_version(o, base, "v2")
+    tables.save_version(cleanse.convert_unit(o, "o_totalprice", 0.012), base, "v2")
     v = tables.read_version(spark, base)
     return v.groupBy("version").agg(F.count(F.lit(1)).alias("rows"),
                                     stable_round(F.sum("o_totalprice"), 2).alias("total"))
