@@ -295,16 +295,19 @@ def quality_report(df: DataFrame, checks: Sequence[Mapping]) -> DataFrame:
 
 # --------------------------------------------------------------------------- C17
 def orphans(df: DataFrame, fk: str, ref: DataFrame, ref_key: str, ignore_null: bool = False) -> DataFrame:
-    """Rows of ``df`` whose ``fk`` has no match in ``ref.ref_key`` (a left-anti join).
+    """Rows of ``df`` whose ``fk`` has no match in ``ref.ref_key``.
 
     A null key is an orphan unless ``ignore_null``.  Repeated reference keys do
-    not repeat rows.  The reference side is not broadcast by force: AQE picks a
-    broadcast only when its measured size is under the threshold, and splits a
-    skewed key of ``df`` when it is not."""
+    not repeat rows.  Planned in two steps so the rows themselves are never
+    shuffled for the check: the distinct keys of ``df`` (partial aggregation
+    map-side) are anti-joined with the reference keys, then ``df`` keeps its rows
+    with a semi join on that orphan-key set, which AQE broadcasts when it is
+    small (the usual case) and otherwise joins with its skew split."""
     (f,) = _resolve(df, [fk])
     left = df.filter(col(f).isNotNull()) if ignore_null else df
-    r = ref.select(F.col(ref_key).alias("__ref_key"))
-    return left.join(r, col(f) == F.col("__ref_key"), "left_anti")
+    keys = left.select(col(f).alias("__k")).distinct()
+    missing = keys.join(ref.select(F.col(ref_key).alias("__r")), F.col("__k") == F.col("__r"), "left_anti")
+    return left.join(missing, col(f).eqNullSafe(F.col("__k")), "left_semi")
 
 
 def fk_report(df: DataFrame, fks: Mapping[str, tuple[DataFrame, str]], ignore_null: bool = False) -> DataFrame:
