@@ -52,7 +52,10 @@ def stable_round(c: Column, scale: int = 2) -> Column:
     """Half-up rounding of a double through a decimal, so that 0.125 -> 0.13 as written.
 
     Rounding a binary double directly depends on its last bits; going through
-    ``decimal(38, 6)`` makes the result depend on the decimal value only.
+    ``decimal(38, 6)`` makes the result depend on the decimal value only.  A value
+    with more than six decimals is first rounded at the sixth (so 0.1249996 gives
+    0.13 at two places); computed money amounts never get there, while their
+    binary noise (1234.5649999999998) is absorbed.
     """
     return F.round(c.cast("decimal(38,6)"), scale).cast("double")
 

@@ -33,10 +33,11 @@ def parse_address(df: DataFrame, column: str, parts: Sequence[str] = ("street",
 
 
 # --------------------------------------------------------------------------- M12 / D4
-def concat_cols(df: DataFrame, cols: Sequence[str], out: str, sep: str = "", null_safe: bool = True) -> DataFrame:
+def concat_cols(df: DataFrame, cols: Sequence[str], out: str, sep: str = "", null_safe: bool = False) -> DataFrame:
     """``out`` = the columns' text joined by ``sep``.
 
-    null_safe: nulls are skipped (``concat_ws``); otherwise any null makes the result null."""
+    By default any null makes the result null (``concat``, as the reference);
+    ``null_safe=True`` skips nulls instead (``concat_ws``)."""
     cs = [col(c).cast("string") for c in _resolve(df, cols)]
     if null_safe:
         v = F.concat_ws(sep, *cs)

@@ -682,7 +682,7 @@ def q_json_fields(spark, sf):
 FROM customer""")
 def q_concat_cols(spark, sf):
     c = t(spark, sf, "customer")
-    return derive.concat_cols(c, ["c_name", "c_mktsegment", "c_nationkey"], "label", sep=" / ").select(
+    return derive.concat_cols(c, ["c_name", "c_mktsegment", "c_nationkey"], "label", sep=" / ", null_safe=True).select(
         "c_custkey", "label")
 
 

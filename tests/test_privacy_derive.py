@@ -36,7 +36,7 @@ def test_bin_col_edges(spark):
 
 def test_concat_and_encode(spark):
     df = spark.createDataFrame([("a", None), ("b", "c")], "x string, y string")
-    assert rows(derive.concat_cols(df, ["x", "y"], "z", "-"), "z") == [("a",), ("b-c",)]
+    assert rows(derive.concat_cols(df, ["x", "y"], "z", "-", null_safe=True), "z") == [("a",), ("b-c",)]
     assert rows(derive.concat_cols(df, ["x", "y"], "z", "-", null_safe=False), "z") == [("b-c",), (None,)]
     e = derive.encode_map(df, {"x": {"a": 7}})
     assert rows(e, "x_encoded_7") == [(0,), (7,)]
