@@ -70,21 +70,32 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def upsert_table(spark: SparkSession, table: str, incoming: DataFrame, keys: Sequence[str],
-                 order_by: Sequence[str] | None = None, database: str | None = None) -> str:
+                 order_by: Sequence[str] | None = None, database: str | None = None,
+                 buckets: int | None = None) -> str:
     """Upsert into a catalog table.  First load creates it (H1).  Otherwise the merged
     result goes to a staging table first (Spark refuses to overwrite a table the
     same plan reads); then the old table is renamed aside, the staging table
-    renamed into place, and only then the old copy dropped."""
+    renamed into place, and only then the old copy dropped.
+
+    ``buckets``: store the table bucketed (and sorted) by the keys.  The anti join
+    of the next upsert then reads the existing table in key buckets and shuffles
+    only the incoming rows, instead of the whole table."""
     name = _full(database, table)
+    ks = _resolve(incoming, keys)
+
+    def write(df: DataFrame, target: str) -> None:
+        w = df.write.format("parquet")
+        if buckets:
+            w = w.bucketBy(int(buckets), *ks).sortBy(*ks)
+        w.saveAsTable(target)
+
     if not spark.catalog.tableExists(f"{database}.{table}" if database else table):
-        ks = _resolve(incoming, keys)
-        first = dedupe(incoming, ks, order_by, keep="latest") if order_by else incoming
-        first.write.format("parquet").saveAsTable(name)
+        write(dedupe(incoming, ks, order_by, keep="latest") if order_by else incoming, name)
         return name
     merged = upsert(spark.table(name), incoming, keys, order_by)
     tag = uuid.uuid4().hex[:8]
     stage, old = _full(database, f"{table}__stage_{tag}"), _full(database, f"{table}__old_{tag}")
-    merged.write.format("parquet").saveAsTable(stage)
+    write(merged, stage)
     # swap by renames: at every moment either the old or the new complete copy exists
     spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     try:

@@ -61,3 +61,24 @@ def test_filter_pushed_to_scan(spark):
     formatted = _explain(out, "formatted")
     assert re.search(r"PushedFilters: \[.*GreaterThan\(o_totalprice,1000.0\)", formatted)
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in formatted
+
+
+def test_bucketed_upsert_reads_existing_without_shuffle(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from kempt.sources import tables
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    db = tables.ensure_database(spark, "kempt_bucketed", location=f"{tmp}/bdb")
+    tables.upsert_table(spark, "orders_b", o, ["o_orderkey"], database=db, buckets=4)
+    inc = o.filter("o_orderstatus = 'O'").withColumn("o_orderstatus", F.lit("F"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(tables.upsert(spark.table(f"{db}.orders_b"), inc, ["o_orderkey"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = [ln for ln in plan.splitlines() if "orders_b" in ln][0]
+    assert "Bucketed: true" in scan
+    # exactly one exchange: the incoming keys; the bucketed table is read in place
+    assert plan.count("Exchange hashpartitioning") == 1
+    tables.upsert_table(spark, "orders_b", inc, ["o_orderkey"], database=db, buckets=4)
+    assert spark.table(f"{db}.orders_b").filter("o_orderstatus = 'O'").count() == 0
