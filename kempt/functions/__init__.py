@@ -3,6 +3,8 @@
 from kempt.functions.columns import (
     SPECIAL_CHARS,
     blank_as_null,
+    col,
+    guarded_cast,
     is_numeric,
     is_string,
     non_null_count,
@@ -14,6 +16,8 @@ from kempt.functions.columns import (
 __all__ = [
     "SPECIAL_CHARS",
     "blank_as_null",
+    "col",
+    "guarded_cast",
     "is_numeric",
     "is_string",
     "non_null_count",
