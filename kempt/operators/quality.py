@@ -157,16 +157,31 @@ def validate(df: DataFrame, formats: Mapping[str, str] | None = None,
         return base.join(distinct_counts(df, cols, False), "column", "left").select(
             "column", "type", "nulls", F.coalesce(F.col("distinct"), F.lit(0).cast("bigint")).alias("distinct"),
             "invalid_format", "invalid_domain")
+    # Rules on string and integer columns are tested once per distinct value, after the
+    # per-value count (their text is exactly the s slot, or the l slot as text); rules on
+    # other types are tested per row, where the original text is at hand.
+    dtypes = {f.name: f.dataType for f in df.schema.fields}
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    fmt_late = {c for c in formats if is_string(dtypes[c]) or isinstance(dtypes[c], integral)}
+    dom_late = {c for c in domains if is_string(dtypes[c])}
     slots = []
     for i, c in enumerate(cols):
         lv, dv, sv = _typed_slot(df, c)
-        bad_fmt = ~col(c).cast("string").rlike(formats[c]) if c in formats else none
-        bad_dom = ~col(c).isin(list(domains[c])) if c in domains else none
+        bad_fmt = ~col(c).cast("string").rlike(formats[c]) if c in formats and c not in fmt_late else none
+        bad_dom = ~col(c).isin(list(domains[c])) if c in domains and c not in dom_late else none
         slots.append(F.struct(F.lit(i).alias("i"), lv.alias("l"), dv.alias("d"), sv.alias("s"),
                               bad_fmt.alias("bf"), bad_dom.alias("bd")))
     long = df.select(F.inline(F.array(*slots)))
     per_value = long.groupBy("i", "l", "d", "s").agg(
         F.count(F.lit(1)).alias("c"), F.count_if(F.col("bf")).alias("fb"), F.count_if(F.col("bd")).alias("db"))
+    late_fb, late_db = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
+    for i, c in enumerate(cols):
+        text = F.col("s") if is_string(dtypes[c]) else F.col("l").cast("string")
+        if c in fmt_late:
+            late_fb = F.when((F.col("i") == i) & ~text.rlike(formats[c]), F.col("c")).otherwise(late_fb)
+        if c in dom_late:
+            late_db = F.when((F.col("i") == i) & ~F.col("s").isin(list(domains[c])), F.col("c")).otherwise(late_db)
+    per_value = per_value.withColumn("fb", F.col("fb") + late_fb).withColumn("db", F.col("db") + late_db)
     is_null = F.col("l").isNull() & F.col("d").isNull() & F.col("s").isNull()
     per_col = per_value.groupBy("i").agg(
         F.sum(F.when(is_null, F.col("c"))).alias("nulls"), F.count(F.lit(1)).alias("distinct"),

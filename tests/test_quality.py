@@ -96,3 +96,20 @@ def test_validate_exact_and_approx_agree_on_small_data(spark):
     b = {r["column"]: tuple(r) for r in quality.validate(df, {"year": r"^\d{4}$"}, {"Gender": ["Male"]},
                                                          exact=False).collect()}
     assert a == b
+
+
+def test_validate_rules_per_value_and_per_row_agree(spark):
+    import datetime as dt
+    df = spark.createDataFrame(
+        [("2019", 2019, 1.5, dt.date(2020, 1, 1)), ("19x", 19, -0.0, dt.date(2020, 1, 2)),
+         (None, None, None, None), ("2019", 123456, 0.0, dt.date(2020, 1, 1))],
+        "s string, n int, d double, t date")
+    rules = {"s": r"^\d{4}$", "n": r"^\d{4}$", "d": r"^-", "t": r"-01$"}
+    doms = {"s": ["2019"], "n": [2019]}
+    got = {r["column"]: (r["invalid_format"], r["invalid_domain"], r["nulls"], r["distinct"])
+           for r in quality.validate(df, rules, doms).collect()}
+    for c, rx in rules.items():
+        want_fmt = df.filter(~df[c].cast("string").rlike(rx)).count()
+        want_dom = df.filter(~df[c].isin(doms[c])).count() if c in doms else None
+        assert got[c][:2] == (want_fmt, want_dom), c
+    assert got["d"][3] == 3  # 0.0 and -0.0 are one value
