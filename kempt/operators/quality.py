@@ -76,6 +76,8 @@ def _typed_slot(df: DataFrame, c: str) -> tuple[Column, Column, Column]:
         return F.unix_date(x).cast("bigint"), nd, ns
     if is_string(dt):
         return nl, nd, x
+    if isinstance(dt, T.BinaryType):
+        return nl, nd, F.hex(x)  # a text cast would merge byte strings that are not valid UTF-8
     return nl, nd, F.to_json(F.struct(x.alias("v"))) if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)) \
         else x.cast("string")
 

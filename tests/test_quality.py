@@ -113,3 +113,9 @@ def test_validate_rules_per_value_and_per_row_agree(spark):
         want_dom = df.filter(~df[c].isin(doms[c])).count() if c in doms else None
         assert got[c][:2] == (want_fmt, want_dom), c
     assert got["d"][3] == 3  # 0.0 and -0.0 are one value
+
+
+def test_distinct_counts_binary(spark):
+    df = spark.createDataFrame([(bytearray(b"\xff"),), (bytearray(b"\xfe"),), (bytearray(b"\xff"),), (None,)], "b binary")
+    assert quality.distinct_counts(df).collect()[0]["distinct"] == 3
+    assert quality.profile(df).collect()[0]["distinct"] == 3
