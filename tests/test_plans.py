@@ -82,3 +82,10 @@ def test_bucketed_upsert_reads_existing_without_shuffle(spark, tmp):
     assert plan.count("Exchange hashpartitioning") == 1
     tables.upsert_table(spark, "orders_b", inc, ["o_orderkey"], database=db, buckets=4)
     assert spark.table(f"{db}.orders_b").filter("o_orderstatus = 'O'").count() == 0
+
+
+def test_no_python_udf_in_any_query_plan(spark):
+    import __spark_entry__ as E
+    for name, fn in E.queries().items():
+        plan = _explain(fn(spark, SF), "extended")
+        assert "EvalPython" not in plan and "PythonUDF" not in plan, name
