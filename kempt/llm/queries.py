@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kempt.llm import exact_dedup
+from kempt.llm import exact_dedup, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,3 +33,8 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM n WINDOW w AS (PARTITION BY text_sha256)""")
 def op1(spark, sf):
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
+
+
+@query("op2_simhash")
+def op2(spark, sf):
+    return simhash.near_dedup(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
