@@ -207,8 +207,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     wanted = stored(suspects.groupBy("sha").agg(F.min(first).alias("keep"), F.sum("n").cast("long").alias("size")),
                     "dedup-suspects")
     # byte verification: the rows of a suspect are grouped by the text itself; copies
-    # collapse before the shuffle
-    texts = (hashed.join(wanted.select("sha"), "sha", "left_semi")
+    # collapse before the shuffle. The join is a sorted one at every size, so its cost
+    # grows with the input and a hot text's rows can be split
+    texts = (hashed.join(wanted.select("sha").hint("merge"), "sha", "left_semi")
              .groupBy("sha", "norm").agg(F.count(F.lit(1)).alias("n")))
     verified = stored(texts.groupBy("sha").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
                       .join(wanted, "sha")
