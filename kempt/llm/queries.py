@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kempt.llm import exact_dedup, simhash
+from kempt.llm import exact_dedup, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +38,8 @@ def op1(spark, sf):
 @query("op2_simhash")
 def op2(spark, sf):
     return simhash.near_dedup(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op7_packing")
+def op7(spark, sf):
+    return packing.pack(table(spark, sf, "documents"))

@@ -17,9 +17,21 @@ import numpy as np
 REMEMBER = 1 << 20
 
 _SAFE = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.S)
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _WORD_MARK = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([^\\w\\s']+)")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters for bytes of byte-level vocabularies: a visible Latin-1 character stands
+    for itself, the others follow from code 256 on in order."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
 class Unsafe(Exception):
     """A chunk whose borders may not be borders of pieces."""
 
@@ -29,40 +41,16 @@ class _Chunks(dict):
 
     def __init__(self, tokenizer, dtype: str, lead: str, bare: "_Chunks | None"):
         super().__init__()
+        self.merge = tokenizer.model.tokenize
+        self.lower = tokenizer.encode("A").ids == tokenizer.encode("a").ids
+        # a vocabulary of word ends drops white space
+        self.before = lead if tokenizer.encode(" a").ids != tokenizer.encode("a").ids else ""
         self.tokenizer, self.dtype, self.lead = tokenizer, dtype, lead
         self.bare = self if bare is None else bare
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def learn(self, chunks: set[str], mark: tuple[str, int] | None) -> None:
-        """Encode many new chunks as one text, ``mark`` between them; without a mark, or if
-        a chunk holds it, one by one."""
-        words = set()
-        for c in chunks:
-            if not _SAFE.fullmatch(c):
-                raise Unsafe
-            if m := _WORD_MARK.fullmatch(c):
-                words.add(m[1])
-            elif "\n" not in c:
-                words.add(c)
-        words = [w for w in words if w not in self]
-        if len(self) >= REMEMBER:
-            self.clear()
-        if not words:
-            return
-        if mark:
-            ids = np.array(self.tokenizer.encode(self.lead + (mark[0] + self.lead).join(words),
-                                                 add_special_tokens=False).ids, self.dtype)
-            at = np.flatnonzero(ids == mark[1])
-            if len(at) == len(words) - 1:
-                raw, size = ids.tobytes(), ids.itemsize
-                starts, ends = [0, *((at + 1) * size).tolist()], [*(at * size).tolist(), len(raw)]
-                self.update((w, raw[a:b]) for w, a, b in zip(words, starts, ends, strict=True))
-                return
-        for w in words:
-            self[w] = self.ids(self.lead + w)
-
     def __missing__(self, chunk: str) -> bytes:
         if not _SAFE.fullmatch(chunk):
             raise Unsafe
@@ -74,6 +62,11 @@ class _Chunks(dict):
             return self[first] + b"".join([feed + self.bare[x] for x in more])
         if m := _WORD_MARK.fullmatch(chunk):
             got = self[m[1]] + self.bare[m[2]]  # letters end a piece at marks
+        elif _WORD.fullmatch(chunk):
+            # letters are one piece, so only the merges are left to do
+            word = self.before + (chunk.lower() if self.lower else chunk)
+            word = word.encode().decode("latin-1").translate(_LETTERS)
+            got = np.array([t.id for t in self.merge(word)], self.dtype).tobytes()
         else:
             got = self.ids(self.lead + chunk)
         if len(self) >= REMEMBER:
@@ -94,24 +87,13 @@ class Encoder:
             raise ValueError(f"ids of {path} do not fit into {dtype}")
         self.bare = _Chunks(tokenizer, dtype, "", None)
         self.spaced = _Chunks(tokenizer, dtype, " ", self.bare)
-        self.mark = next((m for m in map(self._mark, ("\n", " \x01")) if m), None)
-
-    def _mark(self, mark: str) -> tuple[str, int] | None:
-        """``mark`` and its id, if it is a piece of its own between two words."""
-        ids = lambda x: np.frombuffer(self.bare.ids(x), self.bare.dtype).tolist()
-        a, b, both = ids(" a"), ids(" b"), ids(f" a{mark} b")
-        return (mark, both[len(a)]) if both == [*a, *both[len(a):len(a) + 1], *b] and len(both) > len(a + b) else None
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
         first, *more = text.split(" ")
         try:
-            got = list(map(self.spaced.get, more))
-            if None in got:
-                self.spaced.learn({c for c, x in zip(more, got, strict=True) if x is None}, self.mark)
-                got = map(self.spaced.__getitem__, more)
-            return self.bare[first] + b"".join(got)
+            return self.bare[first] + b"".join(map(self.spaced.__getitem__, more))
         except Unsafe:
             return self.bare.ids(text)
 
