@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kempt.llm import exact_dedup, packing, simhash
+from kempt.llm import exact_dedup, packing, simhash, simple8b
+from kempt.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +44,10 @@ def op2(spark, sf):
 @query("op7_packing")
 def op7(spark, sf):
     return packing.pack(table(spark, sf, "documents"))
+
+
+@query("op8_simple8b")
+def op8(spark, sf):
+    path = scratch_dir(spark, "simple8b")
+    simple8b.write_ids(table(spark, sf, "documents"), path)
+    return simple8b.read_ids(spark, path, with_ids=False)
