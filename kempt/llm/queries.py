@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kempt.llm import exact_dedup, packing, simhash, simple8b
+from kempt.llm import exact_dedup, packing, separator_scan, simhash, simple8b
 from kempt.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,13 @@ def op2(spark, sf):
     return simhash.near_dedup(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+@query("op6_separator_scan")
+def op6(spark, sf):
+    path = scratch_dir(spark, "flat-tokens")
+    separator_scan.write_flat(table(spark, sf, "documents"), path)
+    return separator_scan.count_tokens(spark, path)
+
+
 @query("op7_packing")
 def op7(spark, sf):
     return packing.pack(table(spark, sf, "documents"))
