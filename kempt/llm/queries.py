@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kempt.llm import exact_dedup, packing, separator_scan, simhash, simple8b
+from kempt.llm import exact_dedup, language_id, packing, separator_scan, simhash, simple8b, toxicity
 from kempt.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,17 @@ def op2(spark, sf):
     return simhash.near_dedup(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+@query("op4_language_id")
+def op4(spark, sf):
+    return language_id.identify(table(spark, sf, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark, sf):
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels")).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 @query("op6_separator_scan")
 def op6(spark, sf):
     path = scratch_dir(spark, "flat-tokens")
