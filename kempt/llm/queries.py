@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kempt.llm import exact_dedup, language_id, packing, separator_scan, simhash, simple8b, toxicity
+from kempt.llm import exact_dedup, language_id, packing, separator_scan, simhash, simple8b, suffix_dedup, toxicity
 from kempt.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +70,9 @@ def op8(spark, sf):
     path = scratch_dir(spark, "simple8b")
     simple8b.write_ids(table(spark, sf, "documents"), path)
     return simple8b.read_ids(spark, path, with_ids=False)
+
+
+@query("op9_suffix_dedup")
+def op9(spark, sf):
+    found = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

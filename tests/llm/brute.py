@@ -31,3 +31,19 @@ def components_of(n, linked):
             if linked(i, j):
                 parent[max(root(i), root(j))] = min(root(i), root(j))
     return [root(i) for i in range(n)]
+
+
+def repeats_removed(texts, length):
+    """(n_bytes, n_removed, n_spans, kept bytes) for each text."""
+    from collections import Counter
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(r[i:i + length] for r in raw for i in range(len(r) - length + 1))
+    out = []
+    for r in raw:
+        gone = bytearray(len(r))
+        for i in range(len(r) - length + 1):
+            if seen[r[i:i + length]] > 1:
+                gone[i:i + length] = b"\x01" * length
+        runs = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((len(r), sum(gone), runs, bytes(c for c, g in zip(r, gone, strict=True) if not g)))
+    return out
