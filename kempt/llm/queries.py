@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.llm import exact_dedup, language_id, packing, separator_scan, simhash, simple8b, suffix_dedup, toxicity
+from kempt.llm import exact_dedup, language_id, mixing, packing, pivot_search, separator_scan, simhash, simple8b, suffix_dedup, toxicity
 from kempt.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,34 @@ def op2(spark, sf):
     return simhash.near_dedup(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+@query("op3_mixing", r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS source,
+                  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens FROM documents),
+t AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS total FROM d GROUP BY source),
+m AS (SELECT max(total) AS high, min(total) AS low, count(*) AS n FROM t WHERE total > 0),
+g AS (SELECT k, ln(sum(pow(total / high, k / 10000))) - k / 10000 * sum(pow(total / high, k / 10000) * ln(total / high))
+             / sum(pow(total / high, k / 10000)) AS entropy
+      FROM t, m, range(0, 10001) r(k) WHERE total > 0 GROUP BY k),
+a AS (SELECT greatest((SELECT coalesce(max(k), 0) FROM g, m WHERE entropy >= 0.999 * ln(n) - 1e-9),
+                      (SELECT min(k) FROM range(0, 10001) r(k), m WHERE pow(high / low, 1 - k / 10000) <= 1.5 + 1e-9)) / 10000 AS alpha),
+q AS (SELECT source, total, CASE WHEN total > 0 THEN CAST(round(total * pow(high / total, 1 - alpha)) AS BIGINT) ELSE 0 END AS quota
+      FROM t, m, a),
+s AS (SELECT *, CASE WHEN total > 0 THEN quota // total ELSE 1 END AS epochs FROM q),
+p AS (SELECT d.*, total, quota, epochs, quota - epochs * total AS rest,
+             CAST('0x' || substr(md5(doc_id || ':' || epochs || ':0'), 1, 15) AS BIGINT) AS h
+      FROM d JOIN s ON d.source = s.source),
+c AS (SELECT *, epochs + CASE WHEN total > 0 AND sum(tokens) OVER (PARTITION BY source ORDER BY h RANGE UNBOUNDED PRECEDING) <= rest
+                              THEN 1 ELSE 0 END AS copies FROM p),
+e AS (SELECT doc_id, source, tokens, CASE WHEN total > 0 THEN quota / total ELSE 1 END AS passes,
+             unnest(range(CAST(copies AS BIGINT))) AS epoch FROM c)
+SELECT doc_id, source, tokens, CAST(epoch AS INTEGER) AS epoch, CAST(least(floor(least(
+         (epoch + CAST(CAST('0x' || substr(md5(doc_id || ':' || epoch || ':0'), 1, 15) AS BIGINT) AS DOUBLE) / 1152921504606846976.0)
+         / greatest(passes, 1.0), 1.0) * 1024), 1023) AS INTEGER) AS block
+FROM e""")
+def op3(spark, sf):
+    return mixing.mix(table(spark, sf, "documents")).select("doc_id", "source", "tokens", "epoch", "block")
+
+
 @query("op4_language_id")
 def op4(spark, sf):
     return language_id.identify(table(spark, sf, "documents"))
@@ -76,3 +104,15 @@ def op8(spark, sf):
 def op9(spark, sf):
     found = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_pivot_search", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""")
+def op10(spark, sf):
+    return pivot_search.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
