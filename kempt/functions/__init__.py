@@ -7,9 +7,7 @@ from kempt.functions.columns import (
     guarded_cast,
     is_numeric,
     is_string,
-    non_null_count,
     q,
-    stable_round,
     string_columns,
 )
 
@@ -20,8 +18,6 @@ __all__ = [
     "guarded_cast",
     "is_numeric",
     "is_string",
-    "non_null_count",
     "q",
-    "stable_round",
     "string_columns",
 ]

@@ -48,29 +48,6 @@ def blank_as_null(c: Column, trim: bool = False) -> Column:
     return F.when(probe == F.lit(""), F.lit(None)).otherwise(c)
 
 
-def stable_round(c: Column, scale: int = 2) -> Column:
-    """Half-up rounding of a double through a decimal, so that 0.125 -> 0.13 as written.
-
-    Rounding a binary double directly depends on its last bits; going through
-    ``decimal(38, 6)`` makes the result depend on the decimal value only.  A value
-    with more than six decimals is first rounded at the sixth (so 0.1249996 gives
-    0.13 at two places); computed money amounts never get there, while their
-    binary noise (1234.5649999999998) is absorbed.
-    """
-    return F.round(c.cast("decimal(38,6)"), scale).cast("double")
-
-
-def non_null_count(cols: Iterable[str]) -> Column:
-    """Number of non-null values among ``cols`` in the current row (int)."""
-    terms = [F.when(col(c).isNotNull(), F.lit(1)).otherwise(F.lit(0)) for c in cols]
-    if not terms:
-        return F.lit(0)
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
-
-
 # Shapes of text that a numeric cast can accept.  Checked before ``try_cast`` because
 # a failing string-to-number ``try_cast`` costs an exception per row inside the JVM,
 # about ten times the rest of a simple projection; the regex test is cheap.

@@ -17,21 +17,11 @@ from kempt.functions.columns import (
     SPECIAL_CHARS,
     blank_as_null,
     col,
-    is_fractional,
     is_numeric,
-    non_null_count,
     guarded_cast,
-    stable_round,
     string_columns,
 )
 
-# A literal map expression is fine up to this many entries; larger maps are
-# joined as a (broadcast) mapping table instead.
-_INLINE_MAP_LIMIT = 2000
-# A driver-side mapping becomes a broadcast table; its size is bounded by the
-# dict itself, and above this many entries it is joined without the hint.
-_BROADCAST_MAP_LIMIT = 1_000_000
-
 
 def _replace_cols(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
     """One projection that swaps the given columns in place (case-insensitive names)."""
@@ -105,19 +95,19 @@ def trim_strings(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def map_values(df: DataFrame, mapping: Mapping[str, Mapping] | None = None, *,
                table: DataFrame | None = None, column: str | None = None,
                from_col: str = "from", to_col: str = "to") -> DataFrame:
-    """Exact-value replacement per column; unmapped values and nulls stay as they are.
+    """Exact-value replacement per column; unmapped values and nulls stay as they are, a value
+    mapped to null becomes null.
 
     One lookup per value (no cascading: with a->b and b->c, 'a' becomes 'b').
-    Small driver-side maps become a literal map expression.  Large maps, or a
-    mapping ``table`` DataFrame for ``column``, are joined on the value; a
-    driver-side map has a known size and is broadcast, a table is left to AQE,
-    which broadcasts it only when its measured size is under the threshold.
+    A dict becomes a literal map in the row expression, whatever its size: meant for
+    the short lists of a configuration.  For long lists give a mapping ``table`` for
+    ``column``: it is joined on the value, and Spark broadcasts it only when its
+    measured size is under the threshold.
     """
     if table is not None:
         if column is None:
             raise ValueError("column is required with a mapping table")
-        return _map_by_join(df, column, table, from_col, to_col, hint=False)
-    out = df
+        return _map_by_join(df, column, table, from_col, to_col)
     inline: dict[str, Column] = {}
     types = {f.name.lower(): f.dataType for f in df.schema.fields}
     for name, m in (mapping or {}).items():
@@ -125,60 +115,41 @@ def map_values(df: DataFrame, mapping: Mapping[str, Mapping] | None = None, *,
         dt = types[real.lower()]
         if not m:
             continue
-        if len(m) > _INLINE_MAP_LIMIT:
-            spark = df.sparkSession
-            pairs = spark.createDataFrame([(k, v) for k, v in m.items()],
-                                          T.StructType([T.StructField("from", dt), T.StructField("to", dt)]))
-            out = _map_by_join(out, real, pairs, "from", "to", hint=len(m) <= _BROADCAST_MAP_LIMIT)
-            continue
         kv: list[Column] = []
         for k, v in m.items():
             kv += [F.lit(k).cast(dt), F.lit(v).cast(dt)]
         lookup = F.create_map(*kv)
         c = col(real)
-        inline[real] = F.coalesce(F.try_element_at(lookup, c), c)
-    return _replace_cols(out, inline) if inline else out
+        inline[real] = F.when(F.map_contains_key(lookup, c), F.try_element_at(lookup, c)).otherwise(c)
+    return _replace_cols(df, inline) if inline else df
 
 
-def _map_by_join(df: DataFrame, column: str, table: DataFrame, from_col: str, to_col: str,
-                 hint: bool) -> DataFrame:
+def _map_by_join(df: DataFrame, column: str, table: DataFrame, from_col: str, to_col: str) -> DataFrame:
     (real,) = _resolve(df, [column])
     m = table.select(F.col(from_col).alias("__from"), F.col(to_col).alias("__to")).dropDuplicates(["__from"])
-    if hint:
-        m = F.broadcast(m)
     joined = df.join(m, col(real) == F.col("__from"), "left")
-    return _replace_cols(joined, {real: F.coalesce(F.col("__to"), col(real))}).drop("__from", "__to")
+    mapped = F.when(F.col("__from").isNotNull(), F.col("__to")).otherwise(col(real))
+    return _replace_cols(joined, {real: mapped}).drop("__from", "__to")
 
 
 # --------------------------------------------------------------------------- C6 / D2
 def round_cols(df: DataFrame, cols: Sequence[str], scale: int = 2) -> DataFrame:
-    """Round numeric columns to ``scale`` places, half-up on the decimal value.
-
-    Doubles go through a decimal first so that ties round as written
-    (2083.095 -> 2083.10); integer and decimal columns use plain ``round``."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    new = {}
-    for c in _resolve(df, cols):
-        new[c] = stable_round(col(c), scale) if is_fractional(types[c]) else F.round(col(c), scale)
-    return _replace_cols(df, new)
+    """Round numeric columns to ``scale`` places, half-up on the value as written
+    (2083.095 -> 2083.10). NaN, infinity and null stay as they are."""
+    return _replace_cols(df, {c: F.round(col(c), scale) for c in _resolve(df, cols)})
 
 
 # --------------------------------------------------------------------------- C15 / M11 (as coded)
 def round_to_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Round to whole numbers and store as int; values out of int range become null."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    new = {}
-    for c in _resolve(df, cols):
-        r = stable_round(col(c), 0) if is_fractional(types[c]) else F.round(col(c), 0)
-        new[c] = r.try_cast("int")
-    return _replace_cols(df, new)
+    """Round half-up to whole numbers and store as int; NaN, infinity and values out of int
+    range become null."""
+    return _replace_cols(df, {c: F.round(col(c), 0).try_cast("int") for c in _resolve(df, cols)})
 
 
 # --------------------------------------------------------------------------- C7
 def drop_incomplete(df: DataFrame, min_non_null: int, subset: Sequence[str] | None = None) -> DataFrame:
-    """Keep rows with at least ``min_non_null`` non-null values (among ``subset``)."""
-    cols = _resolve(df, subset) if subset else df.columns
-    return df.filter(non_null_count(cols) >= F.lit(min_non_null))
+    """Keep rows with at least ``min_non_null`` values (among ``subset``) that are neither null nor NaN."""
+    return df.dropna(thresh=min_non_null, subset=_resolve(df, subset) if subset else None)
 
 
 # --------------------------------------------------------------------------- C8 / M3
@@ -219,6 +190,11 @@ def drop_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.drop(*[c for c in cols if c.lower() in present])
 
 
+# Other names of character sets and the names Spark accepts.
+_CHARSETS = {"ASCII": "US-ASCII", "LATIN1": "ISO-8859-1", "LATIN-1": "ISO-8859-1", "ISO8859-1": "ISO-8859-1",
+             "UTF8": "UTF-8", "UTF16": "UTF-16", "UTF32": "UTF-32"}
+
+
 # --------------------------------------------------------------------------- C14
 def reencode(df: DataFrame, cols: Sequence[str] | None = None, charset: str = "UTF-8",
              on_error: str = "replace") -> DataFrame:
@@ -228,14 +204,15 @@ def reencode(df: DataFrame, cols: Sequence[str] | None = None, charset: str = "U
     characters for narrow charsets, so with ``on_error="replace"`` and US-ASCII
     non-ASCII characters are first replaced by '?'; ISO-8859-1 keeps U+0000-U+00FF."""
     cs = charset.upper().replace("_", "-")
+    cs = _CHARSETS.get(cs, cs)
     targets = string_columns(df, cols)
     new = {}
     for c in targets:
         v = col(c)
         if on_error == "replace":
-            if cs in ("US-ASCII", "ASCII"):
+            if cs == "US-ASCII":
                 v = F.regexp_replace(v, r"[^\x00-\x7F]", "?")
-            elif cs in ("ISO-8859-1", "LATIN1"):
+            elif cs == "ISO-8859-1":
                 v = F.regexp_replace(v, r"[^\x00-\xFF]", "?")
         new[c] = F.decode(F.encode(v, cs), cs)
     return _replace_cols(df, new)
@@ -261,7 +238,7 @@ def convert_unit(df: DataFrame, column: str, factor: float, out: str | None = No
     (c,) = _resolve(df, [column])
     v = col(c) * F.lit(factor)
     if scale is not None:
-        v = stable_round(v, scale)
+        v = F.round(v, scale)
     return df.withColumn(out or c, v)
 
 

@@ -53,13 +53,14 @@ def concat_cols(df: DataFrame, cols: Sequence[str], out: str, sep: str = "", nul
 
 # --------------------------------------------------------------------------- T10
 def encode_map(df: DataFrame, spec: Mapping[str, Mapping[object, int]]) -> DataFrame:
-    """One indicator column per mapped value: ``<col>_encoded_<code>`` holds ``code`` where the
-    column equals the value, else 0 (null input gives 0)."""
+    """One indicator column per code: ``<col>_encoded_<code>`` holds ``code`` where the column
+    equals one of the values with that code, else 0 (null input gives 0)."""
     new = {}
     for name, m in spec.items():
         (c,) = _resolve(df, [name])
-        for value, code in m.items():
-            new[f"{c}_encoded_{code}"] = F.when(col(c) == F.lit(value), F.lit(code)).otherwise(F.lit(0))
+        for code in dict.fromkeys(m.values()):
+            values = [v for v, k in m.items() if k == code]
+            new[f"{c}_encoded_{code}"] = F.when(col(c).isin(values), F.lit(code)).otherwise(F.lit(0))
     return _with(df, new)
 
 

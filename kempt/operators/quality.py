@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kempt.functions.columns import SPECIAL_CHARS, col, guarded_cast, is_fractional, is_string, stable_round
+from kempt.functions.columns import SPECIAL_CHARS, col, guarded_cast, is_string
 from kempt.operators.cleanse import _resolve
 
 
@@ -277,9 +277,9 @@ def quality_report(df: DataFrame, checks: Sequence[Mapping]) -> DataFrame:
         elif kind == "uppercase":
             v = F.count_if(c != F.upper(c))
         elif kind == "decimal":
-            dt = df.schema[_resolve(df, [name])[0]].dataType
-            r = stable_round(c, ch.get("scale", 2)) if is_fractional(dt) else F.round(c, ch.get("scale", 2))
-            v = F.count_if(c != r)
+            # NaN and infinity have no decimal places to check: they violate
+            number = c.cast("double")
+            v = F.count_if((c != F.round(c, ch.get("scale", 2))) | F.isnan(number) | (F.abs(number) == F.lit(float("inf"))))
         elif kind == "allowed":
             v = F.count_if(~c.isin(list(ch["values"])))
         elif kind == "special_chars":

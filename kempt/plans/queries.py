@@ -11,10 +11,9 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.functions.columns import stable_round
 from kempt.operators import cleanse, derive, privacy, quality, relate, stats
 from kempt.plans.dirty import DIRTY_CTE, DIRTY_HOT_CTE, dirty_orders
 from kempt.plans.pipeline import run_pipeline
@@ -34,11 +33,22 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def stable_round(c: Column, scale: int = 2) -> Column:
+    """For comparing sums and means only, whose last bits depend on the order of addition:
+    half-up through six decimals, which absorbs that noise."""
+    return F.round(c.cast("decimal(38,6)"), scale).cast("double")
+
+
 def rnd(x: str, s: int = 2) -> str:
     """SQL twin of ``stable_round``."""
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,6)), {s}) AS DOUBLE)"
 
 
+def rnd_text(x: str, s: int = 2) -> str:
+    """Half-up rounding of a double as written, for the operators that round."""
+    return f"CAST(ROUND(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {s}) AS DOUBLE)"
+
+
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -267,7 +277,7 @@ def q_cast_cols(spark, sf):
 
 
 @query("round_cols", f"""SELECT l_orderkey, l_linenumber,
-  {rnd('l_extendedprice * (1 - l_discount)')} AS net, {rnd('l_extendedprice * (1 + l_tax)', 1)} AS gross
+  {rnd_text('l_extendedprice * (1 - l_discount)')} AS net, {rnd_text('l_extendedprice * (1 + l_tax)', 1)} AS gross
 FROM lineitem""")
 def q_round_cols(spark, sf):
     li = t(spark, sf, "lineitem")
@@ -277,15 +287,36 @@ def q_round_cols(spark, sf):
     return d.select("l_orderkey", "l_linenumber", "net", "gross")
 
 
-@query("round_to_int", """SELECT l_orderkey, l_linenumber,
-  TRY_CAST(ROUND(CAST(l_extendedprice AS DECIMAL(38,6)), 0) AS INTEGER) AS l_extendedprice,
-  TRY_CAST(ROUND(CAST(l_quantity AS DECIMAL(38,6)), 0) AS INTEGER) AS l_quantity FROM lineitem""")
+@query("round_to_int", f"""SELECT l_orderkey, l_linenumber,
+  TRY_CAST({rnd_text('l_extendedprice', 0)} AS INTEGER) AS l_extendedprice,
+  TRY_CAST({rnd_text('l_quantity', 0)} AS INTEGER) AS l_quantity FROM lineitem""")
 def q_round_to_int(spark, sf):
     li = t(spark, sf, "lineitem")
     return cleanse.round_to_int(li, ["l_extendedprice", "l_quantity"]).select(
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
 
 
+@query("round_scale8", f"""SELECT l_orderkey, l_linenumber,
+  {rnd_text('l_extendedprice * (1 - l_discount) / 7', 8)} AS net FROM lineitem""")
+def q_round_scale8(spark, sf):
+    """More decimals than money has: nothing may be cut before the eighth."""
+    d = derive.derive(t(spark, sf, "lineitem"), {"net": "l_extendedprice * (1 - l_discount) / 7"})
+    return cleanse.round_cols(d, ["net"], 8).select("l_orderkey", "l_linenumber", "net")
+
+
+@query("round_ties", f"""SELECT l_orderkey, l_linenumber,
+  {rnd_text("CAST(l_quantity || '.1249996' AS DOUBLE)")} AS below, {rnd_text("CAST(l_quantity || '.125' AS DOUBLE)")} AS tie,
+  {rnd_text("CAST('-' || l_quantity || '.12500001' AS DOUBLE)")} AS minus
+FROM (SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS l_quantity FROM lineitem)""")
+def q_round_ties(spark, sf):
+    """Values at, just below and just above a tie."""
+    d = derive.derive(t(spark, sf, "lineitem"), {
+        "below": "cast(concat(cast(l_quantity as bigint), '.1249996') as double)",
+        "tie": "cast(concat(cast(l_quantity as bigint), '.125') as double)",
+        "minus": "cast(concat('-', cast(l_quantity as bigint), '.12500001') as double)"})
+    return cleanse.round_cols(d, ["below", "tie", "minus"], 2).select("l_orderkey", "l_linenumber", "below", "tie", "minus")
+
+
 @query("parse_dates", W(f"""SELECT {_do_select({
     'year_txt': "CAST(TRY_STRPTIME(year_txt, '%Y') AS DATE) AS year_txt"})} FROM dirty_orders"""))
 def q_parse_dates(spark, sf):
@@ -319,7 +350,7 @@ def q_drop_cols(spark, sf):
     return cleanse.drop_cols(t(spark, sf, "orders"), ["o_orderstatus", "O_ORDERPRIORITY", "not_there"])
 
 
-@query("convert_unit", f"""SELECT o_orderkey, {rnd('o_totalprice * 0.012')} AS amount_usd FROM orders""")
+@query("convert_unit", f"""SELECT o_orderkey, {rnd_text('o_totalprice * 0.012')} AS amount_usd FROM orders""")
 def q_convert_unit(spark, sf):
     o = t(spark, sf, "orders")
     return cleanse.convert_unit(o, "o_totalprice", 0.012, out="amount_usd").select("o_orderkey", "amount_usd")
@@ -516,7 +547,7 @@ _QR_SQL = W(f"""q AS (
   SELECT 'not_null' AS "check", 'amount' AS "column", count(*) - count(amount) AS violations, count(*) AS total
     FROM dirty_orders
   UNION ALL SELECT 'uppercase', 'status', count(*) FILTER (WHERE status <> upper(status)), count(*) FROM dirty_orders
-  UNION ALL SELECT 'decimal', 'amount', count(*) FILTER (WHERE amount <> {rnd('amount')}), count(*) FROM dirty_orders
+  UNION ALL SELECT 'decimal', 'amount', count(*) FILTER (WHERE amount <> {rnd_text('amount')}), count(*) FROM dirty_orders
   UNION ALL SELECT 'allowed', 'status', count(*) FILTER (WHERE status NOT IN ('F', 'O', 'P')), count(*)
     FROM dirty_orders
   UNION ALL SELECT 'special_chars', 'region_txt',
@@ -1014,7 +1045,7 @@ def q_build_marts_named(spark, sf):
 
 
 @query("save_version", f"""SELECT 'v1' AS version, count(*) AS rows, {rnd('sum(o_totalprice)')} AS total FROM orders
-UNION ALL SELECT 'v2', count(*), {rnd('sum(' + rnd('o_totalprice * 0.012') + ')')} FROM orders""")
+UNION ALL SELECT 'v2', count(*), {rnd('sum(' + rnd_text('o_totalprice * 0.012') + ')')} FROM orders""")
 def q_save_version(spark, sf):
     base = scratch_dir(spark, "versions")
     o = t(spark, sf, "orders")
@@ -1057,7 +1088,7 @@ _STREAM_STEPS = [
 
 
 @query("ingest_stream", f"""SELECT event_id, ts, user_id, upper(event_type) AS event_type,
-  {rnd('value', 1)} AS value, props, json_extract_string(props, '$.k') AS k FROM events""")
+  {rnd_text('value', 1)} AS value, props, json_extract_string(props, '$.k') AS k FROM events""")
 def q_ingest_stream(spark, sf):
     from kempt.streaming.ingest import ingest_stream
     src = scratch_dir(spark, "stream-src")
@@ -1136,7 +1167,7 @@ s AS (SELECT avg(amount) AS m, stddev_samp(amount) AS sd FROM d2),
 d3 AS (SELECT id, custkey, CASE WHEN abs((amount - m) / sd) > 3 AND amount > m THEN m + 3 * sd
          WHEN abs((amount - m) / sd) > 3 THEN m - 3 * sd ELSE amount END AS amount,
          priority, status, year_txt, region_txt FROM d2, s),
-d4 AS (SELECT id, custkey, {rnd('amount')} AS amount, priority, status, year_txt, region_txt FROM d3
+d4 AS (SELECT id, custkey, {rnd_text('amount')} AS amount, priority, status, year_txt, region_txt FROM d3
        WHERE {_NONNULL} >= 6),
 d5 AS (SELECT id, CAST(custkey AS VARCHAR) AS custkey,
          TRY_CAST(ROUND(CAST(amount AS DECIMAL(38,6)), 0) AS INTEGER) AS amount, priority, status, year_txt,
