@@ -18,8 +18,11 @@ Two-stage sorting: a suffix smaller than its successor is sorted directly; every
 is larger than its successor, so its place follows from the successor's by a scan of the
 buckets of first bytes in ascending order. Suffixes are compared over ``length`` bytes.
 
-An anchor with more than ``hot`` different contexts is not gathered: its strings are grouped
-one by one, by their bytes.
+An anchor that occurs more than ``hot`` times is split: its strings are cut by their distance
+from the anchor into cells of ``CELL`` starts, and what all strings of a cell have in common
+(all but ``CELL`` - 1 of their bytes) deals them into finer groups. Should a group still have
+more than ``crowd`` different contexts, its strings are grouped one by one, by their bytes.
+Of equal whole texts only the first that a task meets sends contexts.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +39,7 @@ from pyspark.sql import functions as F
 from kempt.llm.common import id_text, n_parts, on_workers, stored
 
 _STEP = 0xD6E8FEB86659FD93  # odd, so that powers never vanish
+CELL = 16
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
 
@@ -104,26 +109,50 @@ def _compress(batches):
         yield b.drop_columns(["text"]).append_column("packed", pa.array(packed, pa.binary()))
 
 
+def cells(raw: bytes, first: int, last: int, length: int, gram: int) -> list[tuple[int, int, int]]:
+    """(hash, first start, last start) of the cells of an anchor's strings. Cells are counted
+    from the anchor, so equal strings are in cells of equal hash."""
+    anchor = first + int(gram_hashes(raw[first:first + length], gram).argmin())
+    out = []
+    for c in range((anchor - last) // CELL, (anchor - first) // CELL + 1):
+        common = raw[anchor - c * CELL:anchor - (c + 1) * CELL + 1 + length]
+        out.append((xxhash.xxh64_intdigest(common, c + 1) - (1 << 63), max(first, anchor - (c + 1) * CELL + 1),
+                    min(last, anchor - c * CELL)))
+    return out
+
+
 def _contexts(length: int, gram: int):
     """Texts with the anchors that repeat to their contexts; bytes only where this task has
-    not sent them before (the set of sent digests is emptied when it grows large)."""
+    not sent them before (the set of sent digests is emptied when it grows large). A text
+    that the task has met before repeats as a whole: a row without a hash."""
     def run(batches):
-        unzip, sent = zstandard.ZstdDecompressor(), set()
+        unzip, sent, met = zstandard.ZstdDecompressor(), set(), set()
         for b in batches:
             out = []
-            for key, packed, wanted in zip(b["key"].to_pylist(), b["packed"], b["hashes"], strict=True):
+            for key, packed, wanted, many in zip(b["key"].to_pylist(), b["packed"], b["hashes"], b["many"], strict=True):
                 raw = unzip.decompress(packed.as_buffer())
                 if len(raw) < length:
                     continue
+                if key in met:
+                    out.append((None, None, None, key, [0], len(raw) - length))
+                    continue
+                met.add(key)
                 h, first, last = anchors(raw, length, gram)
-                mine: dict[bytes, list] = {}
+                pieces = []
+                split = np.isin(h, many.values.to_numpy())
                 for i in np.flatnonzero(np.isin(h, wanted.values.to_numpy())).tolist():
-                    context = raw[first[i]:last[i] + length]
+                    if split[i]:
+                        pieces += cells(raw, int(first[i]), int(last[i]), length, gram)
+                    else:
+                        pieces.append((int(h[i]), int(first[i]), int(last[i])))
+                mine: dict[bytes, list] = {}
+                for hash_, a, z in pieces:
+                    context = raw[a:z + length]
                     cid = hashlib.md5(context, usedforsecurity=False).digest()
                     if cid in mine:
-                        mine[cid][1].append(int(first[i]))
+                        mine[cid][1].append(a)
                     else:
-                        mine[cid] = [context, [int(first[i])], int(h[i])]
+                        mine[cid] = [context, [a], hash_]
                 for cid, (context, starts, hash_) in mine.items():
                     out.append((hash_, cid, None if cid in sent else context, key, starts, len(context) - length))
                     if len(sent) > 1 << 19:
@@ -251,7 +280,7 @@ def _sort_contexts(length: int, chunk: int):
 
 
 def _strings(length: int):
-    """Every string of the contexts of hot anchors by itself."""
+    """Every string of the contexts of crowded groups by itself."""
     def run(batches):
         for b in batches:
             for cid, context in zip(b["cid"].to_pylist(), b["context"].to_pylist(), strict=True):
@@ -290,7 +319,7 @@ def _removed(length: int):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 64,
-                   chunk: int = 1 << 21, hot: int = 2048) -> DataFrame:
+                   chunk: int = 1 << 21, hot: int = 2048, crowd: int = 1 << 15) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans (maximal removed runs)
     and kept (the remaining bytes of the UTF-8 text).
 
@@ -305,35 +334,37 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     F.unhex(F.md5(F.col("text").cast("binary"))).alias("key")))
     found = stored(base.select("route", "text").mapInArrow(_anchor_rows(length, gram), "hash long, route long, n long"),
                    "anchors")
-    again = stored(found.groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1").select("hash"), "anchors-again")
+    again = stored(found.groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1")
+                   .select("hash", F.when(F.col("n") > hot, F.col("hash")).alias("many")), "anchors-again")
     # ``route`` only leads anchors back to texts: texts that share it by chance look for a few
     # anchors too many
-    wanted = stored(found.join(again.hint("merge"), "hash", "left_semi").groupBy("route")
-                    .agg(F.collect_set("hash").alias("hashes")), "anchors-wanted")
+    wanted = stored(found.select("hash", "route").join(again.hint("merge"), "hash").groupBy("route")
+                    .agg(F.collect_set("hash").alias("hashes"), F.collect_set("many").alias("many")), "anchors-wanted")
     texts = base.mapInArrow(_compress, "doc_id long, route long, key binary, packed binary")
-    occ = stored(texts.join(wanted.hint("merge"), "route").select("key", "packed", "hashes").mapInArrow(
+    made = stored(texts.join(wanted.hint("merge"), "route").select("key", "packed", "hashes", "many").mapInArrow(
         _contexts(length, gram), "hash long, cid binary, context binary, key binary, starts array<int>, last int"), "contexts")
 
+    occ = made.filter("hash IS NOT NULL")
     # contexts met more than once repeat as a whole
     whole = (occ.groupBy("cid").agg(F.sum(F.size("starts")).alias("n"), F.max("last").alias("last")).filter("n > 1")
              .select("cid", F.lit(0).alias("first"), "last"))
     sent = occ.filter("context IS NOT NULL").select("hash", "cid", "context")
-    counts = sent.groupBy("hash").agg(F.approx_count_distinct("cid").alias("n")).filter(F.col("n") > hot).select("hash")
-    heavy = stored(counts, "anchors-hot")
+    counts = sent.groupBy("hash").agg(F.approx_count_distinct("cid").alias("n")).filter(F.col("n") > crowd).select("hash")
+    heavy = stored(counts, "crowded")
     usual = (sent.join(heavy, "hash", "left_anti").repartition(n_parts(spark), "hash").sortWithinPartitions("hash")
              .mapInArrow(_sort_contexts(length, chunk), "cid binary, first int, last int"))
     repeats = whole.unionByName(usual)
     if not heavy.isEmpty():
         alone = (sent.join(heavy, "hash", "left_semi").dropDuplicates(["cid"])
                  .mapInArrow(_strings(length), "cid binary, first int, string binary"))
-        strings = stored(alone, "hot-strings")
-        twice = stored(strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("string"), "hot-repeats")
+        strings = stored(alone, "crowded-strings")
+        twice = stored(strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("string"), "crowded-repeats")
         hits = strings.join(twice, "string", "left_semi").select("cid", "first", F.col("first").alias("last"))
         repeats = repeats.unionByName(hits)
     repeats = stored(repeats, "repeats")
-    spans = (occ.select("cid", "key", "starts").join(repeats, "cid")
-             .select("key", F.explode("starts").alias("at"), "first", "last")
-             .groupBy("key").agg(F.collect_set(F.struct((F.col("at") + F.col("first")).alias("first"),
+    spans = (occ.select("cid", "key", "starts").join(repeats, "cid").select("key", "starts", "first", "last")
+             .unionByName(made.filter("hash IS NULL").select("key", "starts", F.lit(0).alias("first"), "last").distinct())
+             .select("key", F.explode("starts").alias("at"), "first", "last").groupBy("key").agg(F.collect_set(F.struct((F.col("at") + F.col("first")).alias("first"),
                                                         (F.col("at") + F.col("last")).alias("last"))).alias("spans")))
     spans = stored(spans, "spans")
     return (texts.join(spans.hint("merge"), "key", "left").select("doc_id", "packed", "spans")

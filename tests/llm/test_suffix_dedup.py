@@ -45,6 +45,19 @@ def test_anchors_cover_each_string_once_and_follow_content(text):
         assert len({t + int(grams[t:t + length - gram + 1].argmin()) for t in range(a, z + 1)}) == 1
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab", min_size=40, max_size=120))
+def test_cells_cover_each_string_once_and_follow_content(text):
+    raw, length, gram = text.encode(), 40, 6
+    place = {}
+    for _, first, last in zip(*S.anchors(raw, length, gram), strict=True):
+        got = sorted(S.cells(raw, int(first), int(last), length, gram), key=lambda c: c[1])
+        assert [t for _, a, z in got for t in range(a, z + 1)] == list(range(first, last + 1))
+        for h, a, z in got:
+            for t in range(a, z + 1):
+                assert place.setdefault(raw[t:t + length], h) == h
+
+
 def frame(spark, texts):
     return spark.createDataFrame([(i if i != 1 else None, t, "x", "k", 1) for i, t in enumerate(texts)],
                                  "doc_id long, text string, route string, key string, first int").repartition(3)
@@ -63,10 +76,11 @@ def corpus(rng):
     return texts
 
 
-@pytest.mark.parametrize("hot", [1, 2048])
-def test_removal(spark, hot):
-    texts = corpus(random.Random(hot))
-    got = S.remove_repeats(frame(spark, texts), length=20, gram=6, chunk=200, hot=hot).collect()
+@pytest.mark.parametrize(("hot", "crowd"), [(1, 1), (1, 1 << 15), (2048, 1), (2048, 1 << 15)])
+def test_removal(spark, monkeypatch, hot, crowd):
+    monkeypatch.setattr(S, "CELL", 4)
+    texts = corpus(random.Random(hot + crowd))
+    got = S.remove_repeats(frame(spark, texts), length=20, gram=6, chunk=200, hot=hot, crowd=crowd).collect()
     want = repeats_removed(texts, 20)
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == \
         sorted((i == 1, 0 if i == 1 else i, *w) for i, w in enumerate(want))
