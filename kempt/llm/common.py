@@ -44,6 +44,13 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def slices(batches, rows: int = 1024):
+    """Arrow batches cut into small ones, to bound what a Python worker holds at once."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def n_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kempt.llm.common import id_text, n_parts, on_workers, prefix_sums, stored
+from kempt.llm.common import id_text, n_parts, on_workers, prefix_sums, slices, stored
 from kempt.llm.tokens import encoder, vocabulary
 
 
@@ -23,7 +23,7 @@ from kempt.llm.tokens import encoder, vocabulary
 def _encode(path: str, dtype: str, file_bytes: int):
     def run(batches):
         encode, piece, size = encoder(path, dtype), 0, 0
-        for b in batches:
+        for b in slices(batches):
             out, pieces = [], []
             for t in b["text"].to_pylist():
                 out.append(encode(t))
@@ -36,7 +36,7 @@ def _encode(path: str, dtype: str, file_bytes: int):
 
 
 def write_flat(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocab: str | None = None,
-               end_id: int = 49407, dtype: str = "<u2", file_bytes: int = 1 << 24) -> None:
+               end_id: int = 49407, dtype: str = "<u2", file_bytes: int = 1 << 22) -> None:
     """Write flat token files: the ids of each document and ``end_id``, nothing else, in
     files of about ``file_bytes`` (more only if one document has more). Null text counts as
     empty. Spark's text writer commits the files on any file system; the end id is its
@@ -61,7 +61,7 @@ def _scan(end_id: int, dtype: str):
 
 
 def count_tokens(spark: SparkSession, path: str, end_id: int = 49407, dtype: str = "<u2",
-                 block_ids: int = 1 << 19) -> DataFrame:
+                 block_ids: int = 1 << 18) -> DataFrame:
     """One row per document of the files below ``path``: ordinal (documents before it, files
     in the order of their paths), start (ids before it), n_tokens (with the end id).
 
