@@ -248,7 +248,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
     placed = stored(ranked.mapInArrow(_placed(plan(hist, window)),
                                       "block long, row long, doc_id long, start long, skip long, length long, "
                                       "ids_crc32 long, doc_tokens long, sequence_id long, offset long"), "placed")
-    parts = placed.filter("ids_crc32 IS NULL")
+    # the cut pieces are written by themselves, so that Spark knows how few they are
+    parts = stored(placed.filter("ids_crc32 IS NULL"), "cut-pieces")
     ids = pieces.select("block", "row", "ids")
     cut = parts.join(ids, ["block", "row"])
     cut = cut.mapInArrow(_part_crc(dtype), cut.drop("ids").schema)
