@@ -22,6 +22,10 @@ from kempt.functions.columns import SPECIAL_CHARS, col, guarded_cast, is_string
 from kempt.operators.cleanse import _resolve
 
 
+# Relative standard deviation of estimated distinct counts: about 3 KB of state per column.
+_RSD = 0.02
+
+
 def _rows_per_column(one_row: DataFrame, structs: list[Column]) -> DataFrame:
     return one_row.select(F.inline(F.array(*structs)))
 
@@ -30,63 +34,68 @@ def _rows_per_column(one_row: DataFrame, structs: list[Column]) -> DataFrame:
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """(column, distinct) per column; null counts as one value, as ``select(c).distinct().count()``.
 
-    exact: unpivot to (column index, typed value), distinct (partial aggregation
-    map-side), count per column.  Otherwise HyperLogLog++
+    exact: unpivot to (column index, value digest of 16 bytes), distinct (partial
+    aggregation map-side), count per column.  Otherwise HyperLogLog++
     (``approx_count_distinct``, one pass, no expansion) plus the null flag."""
     cols = _resolve(df, cols) if cols else df.columns
     if not exact:
         exprs = []
         for i, c in enumerate(cols):
             exprs.append(F.struct(F.lit(c).alias("column"),
-                                  (F.approx_count_distinct(col(c)) +
+                                  (F.approx_count_distinct(col(c), _RSD) +
                                    F.max(F.when(col(c).isNull(), 1).otherwise(0))).cast("bigint").alias("distinct")
                                   ).alias(f"d{i}"))
         return _rows_per_column(df.agg(*exprs), [F.col(f"d{i}") for i in range(len(cols))])
-    slots = []
-    for i, c in enumerate(cols):
-        lv, dv, sv = _typed_slot(df, c)
-        slots.append(F.struct(F.lit(i).alias("i"), lv.alias("l"), dv.alias("d"), sv.alias("s")))
-    long = df.select(F.inline(F.array(*slots)))
-    per_col = long.distinct().groupBy("i").agg(F.count(F.lit(1)).alias("distinct"))
+    per_col = _pairs(df, cols).distinct().groupBy("i").agg(F.count(F.lit(1)).alias("distinct"))
     names = F.array(*[F.lit(c) for c in cols])
     return per_col.select(F.get(names, F.col("i")).alias("column"), F.col("distinct"))
 
 
-def _typed_slot(df: DataFrame, c: str) -> tuple[Column, Column, Column]:
-    """The value of ``c`` in one of three typed slots (long, double, text), so that all
-    columns can share one (column, value) distinct without formatting numbers as text.
-    Each encoding is one-to-one on the column's values."""
+def _digest(df: DataFrame, c: str) -> tuple[Column, Column]:
+    """The value of ``c`` as two longs, null for null, so that all columns share one small key:
+    integers, dates and timestamps as they are, anything else as a 128-bit digest (two
+    XXH64 of the value, equal only for equal values but for a chance of about n**2 / 2**129
+    among n distinct ones). Long text never travels."""
     dt = df.schema[c].dataType
     x = col(c)
-    nl, nd, ns = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    zero = F.lit(0).cast("bigint")
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
-        return x.cast("bigint"), nd, ns
-    if isinstance(dt, (T.FloatType, T.DoubleType)):
-        # -0.0 and 0.0 are one value for Spark's grouping; keep them one value here
-        return nl, F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")), ns
+        return x.cast("bigint"), zero
     if isinstance(dt, T.TimestampType):
-        return F.unix_micros(x), nd, ns
+        return F.unix_micros(x), zero
     if isinstance(dt, T.TimestampNTZType):
         # calendar arithmetic, not a cast through the session time zone (DST gaps would merge values)
         micros = (F.unix_date(F.to_date(x)).cast("bigint") * F.lit(86_400_000_000)
                   + F.hour(x).cast("bigint") * F.lit(3_600_000_000) + F.minute(x).cast("bigint") * F.lit(60_000_000)
                   + (F.date_part(F.lit("SECOND"), x) * F.lit(1_000_000)).cast("bigint"))
-        return micros, nd, ns
+        return micros, zero
     if isinstance(dt, T.DateType):
-        return F.unix_date(x).cast("bigint"), nd, ns
-    if is_string(dt):
-        return nl, nd, x
-    if isinstance(dt, T.BinaryType):
-        return nl, nd, F.hex(x)  # a text cast would merge byte strings that are not valid UTF-8
-    return nl, nd, F.to_json(F.struct(x.alias("v"))) if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)) \
-        else x.cast("string")
+        return F.unix_date(x).cast("bigint"), zero
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        # -0.0 and 0.0 are one value for Spark's grouping; keep them one value here
+        x = F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double"))
+    elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+        x = F.to_json(F.struct(x.alias("v")))
+    elif not is_string(dt) and not isinstance(dt, T.BinaryType):
+        x = x.cast("string")
+    return F.when(x.isNotNull(), F.xxhash64(x)), F.xxhash64(F.lit(1), x)
+
+
+def _pairs(df: DataFrame, cols: Sequence[str], *more: Mapping[str, Column]) -> DataFrame:
+    """One row (i, a, b, extras) for every column of every row: the column's number and its
+    value's digest. ``more``: name -> {column: expression} of extras."""
+    slots = []
+    for i, c in enumerate(cols):
+        a, b = _digest(df, c)
+        slots.append(F.struct(F.lit(i).alias("i"), a.alias("a"), b.alias("b"), *[m[c] for m in more]))
+    return df.select(F.inline(F.array(*slots)))
 
 
 # --------------------------------------------------------------------------- P1-P8
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """One row per column: column, position, type, rows, nulls, null_pct, distinct.
 
-    exact: a single scan.  Every value becomes a (column, typed value) pair and is
+    exact: a single scan.  Every value becomes a (column, 16-byte digest) pair and is
     counted per pair (partial aggregation map-side, so a value that fills a third
     of the table is one row per task after the map side); a second aggregation
     per column gives rows = sum of counts, nulls = count of the null value,
@@ -96,13 +105,8 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     if not exact:
         return _profile_approx(df, cols, types)
-    slots = []
-    for i, c in enumerate(cols):
-        lv, dv, sv = _typed_slot(df, c)
-        slots.append(F.struct(F.lit(i).alias("i"), lv.alias("l"), dv.alias("d"), sv.alias("s")))
-    long = df.select(F.inline(F.array(*slots)))
-    per_value = long.groupBy("i", "l", "d", "s").agg(F.count(F.lit(1)).alias("c"))
-    is_null = F.col("l").isNull() & F.col("d").isNull() & F.col("s").isNull()
+    per_value = _pairs(df, cols).groupBy("i", "a", "b").agg(F.count(F.lit(1)).alias("c"))
+    is_null = F.col("a").isNull()
     per_col = per_value.groupBy("i").agg(
         F.sum("c").alias("rows"), F.sum(F.when(is_null, F.col("c"))).alias("nulls"),
         F.count(F.lit(1)).alias("distinct"))
@@ -123,7 +127,7 @@ def _profile_approx(df: DataFrame, cols: list[str], types: Mapping[str, str]) ->
     structs = []
     for i, c in enumerate(cols):
         nulls = F.count_if(col(c).isNull())
-        distinct = (F.approx_count_distinct(col(c)) + F.max(F.when(col(c).isNull(), 1).otherwise(0))).cast("bigint")
+        distinct = (F.approx_count_distinct(col(c), _RSD) + F.max(F.when(col(c).isNull(), 1).otherwise(0))).cast("bigint")
         structs.append(F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"),
                                 F.lit(types[c]).alias("type"), rows.alias("rows"), nulls.alias("nulls"),
                                 (F.try_divide(nulls, rows) * 100.0).alias("null_pct"),
@@ -159,32 +163,13 @@ def validate(df: DataFrame, formats: Mapping[str, str] | None = None,
         return base.join(distinct_counts(df, cols, False), "column", "left").select(
             "column", "type", "nulls", F.coalesce(F.col("distinct"), F.lit(0).cast("bigint")).alias("distinct"),
             "invalid_format", "invalid_domain")
-    # Rules on string and integer columns are tested once per distinct value, after the
-    # per-value count (their text is exactly the s slot, or the l slot as text); rules on
-    # other types are tested per row, where the original text is at hand.
-    dtypes = {f.name: f.dataType for f in df.schema.fields}
-    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    fmt_late = {c for c in formats if is_string(dtypes[c]) or isinstance(dtypes[c], integral)}
-    dom_late = {c for c in domains if is_string(dtypes[c])}
-    slots = []
-    for i, c in enumerate(cols):
-        lv, dv, sv = _typed_slot(df, c)
-        bad_fmt = ~col(c).cast("string").rlike(formats[c]) if c in formats and c not in fmt_late else none
-        bad_dom = ~col(c).isin(list(domains[c])) if c in domains and c not in dom_late else none
-        slots.append(F.struct(F.lit(i).alias("i"), lv.alias("l"), dv.alias("d"), sv.alias("s"),
-                              bad_fmt.alias("bf"), bad_dom.alias("bd")))
-    long = df.select(F.inline(F.array(*slots)))
-    per_value = long.groupBy("i", "l", "d", "s").agg(
+    # A rule is part of the value's own pair: it is tested per row, where the value is at
+    # hand, so that no text has to travel with the pair.
+    bad_fmt = {c: (~col(c).cast("string").rlike(formats[c]) if c in formats else none).alias("bf") for c in cols}
+    bad_dom = {c: (~col(c).isin(list(domains[c])) if c in domains else none).alias("bd") for c in cols}
+    per_value = _pairs(df, cols, bad_fmt, bad_dom).groupBy("i", "a", "b").agg(
         F.count(F.lit(1)).alias("c"), F.count_if(F.col("bf")).alias("fb"), F.count_if(F.col("bd")).alias("db"))
-    late_fb, late_db = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
-    for i, c in enumerate(cols):
-        text = F.col("s") if is_string(dtypes[c]) else F.col("l").cast("string")
-        if c in fmt_late:
-            late_fb = F.when((F.col("i") == i) & ~text.rlike(formats[c]), F.col("c")).otherwise(late_fb)
-        if c in dom_late:
-            late_db = F.when((F.col("i") == i) & ~F.col("s").isin(list(domains[c])), F.col("c")).otherwise(late_db)
-    per_value = per_value.withColumn("fb", F.col("fb") + late_fb).withColumn("db", F.col("db") + late_db)
-    is_null = F.col("l").isNull() & F.col("d").isNull() & F.col("s").isNull()
+    is_null = F.col("a").isNull()
     per_col = per_value.groupBy("i").agg(
         F.sum(F.when(is_null, F.col("c"))).alias("nulls"), F.count(F.lit(1)).alias("distinct"),
         F.sum("fb").alias("fb"), F.sum("db").alias("db"))

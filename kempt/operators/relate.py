@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kempt.functions.columns import col
+from kempt.functions.columns import col, q
 from kempt.operators.cleanse import _resolve
 
 
@@ -75,25 +75,43 @@ def merge(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, h
     is bounded by construction.  Without it, Spark broadcasts only what it
     measures under ``spark.sql.autoBroadcastJoinThreshold`` (at runtime, with AQE)
     and otherwise shuffles both sides on the key; AQE also splits skewed
-    partitions.  ``salt_buckets=n`` spreads each left key over n tasks and
-    copies the right side n times (inner, left, semi, anti only): for a hot key
-    when AQE's skew split is not enough.  The salt is a hash of the row, so a
-    re-run task computes the same salt."""
+    partitions.  A full join on column names is planned as a left join plus the right
+    rows without a match, because AQE cannot split a full join.
+
+    ``salt_buckets=n`` (inner, left, semi, anti) deals with keys too hot for that split:
+    keys that hold more than one n-th of the left rows (fewer than n of them) are found
+    by a count; their left rows are spread over n tasks by their position, whatever
+    they contain, and only their right rows are copied n times. All other rows join as
+    usual. A row that is computed again may get another salt, which changes nothing, as
+    the right rows are there for every salt."""
     if how not in _HOWS:
         raise ValueError(f"unknown join type {how!r}")
     if how == "cross":
         raise ValueError("cross joins are not offered: they emit every pair")
     r = F.broadcast(right) if broadcast else right
+    names = [on] if isinstance(on, str) else list(on) if isinstance(on, (list, tuple)) else []
+    names = names if all(isinstance(n, str) for n in names) else []
     if salt_buckets and salt_buckets > 1:
         if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti"):
             raise ValueError("salting applies to inner, left, semi and anti joins")
-        if not isinstance(on, (str, list, tuple)):
+        if not names:
             raise ValueError("salting needs join column names")
-        keys = [on] if isinstance(on, str) else list(on)
         n = int(salt_buckets)
-        lsalt = left.withColumn("__salt", F.pmod(F.xxhash64(*[col(c) for c in left.columns]), F.lit(n)))
-        rsalt = r.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
-        return lsalt.join(rsalt, keys + ["__salt"], how).drop("__salt")
+        counts = left.groupBy(*[col(c) for c in names]).agg(F.count(F.lit(1)).alias("__n"))
+        limit = left.agg(F.lit(1).alias("__one"), (F.count(F.lit(1)) / F.lit(n)).alias("__limit"))
+        hot = (counts.withColumn("__one", F.lit(1)).join(F.broadcast(limit), "__one")
+               .filter((F.col("__n") > F.col("__limit")) & F.expr(" AND ".join(f"{q(c)} IS NOT NULL" for c in names))))
+        hot = F.broadcast(hot.select(*[col(c) for c in names]))
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(n))
+        lhot = left.join(hot, names, "left_semi").withColumn("__salt", salt)
+        rhot = right.join(hot, names, "left_semi").withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
+        hot_rows = lhot.join(rhot, [*names, "__salt"], how).drop("__salt")
+        return left.join(hot, names, "left_anti").join(r, names, how).union(hot_rows)
+    if how in ("full", "outer", "full_outer") and names:
+        others = {c.lower() for c in left.columns} & {c.lower() for c in right.columns} - {c.lower() for c in names}
+        if not others:
+            unmatched = right.join(left.select(*[col(c) for c in names]).distinct(), names, "left_anti")
+            return left.join(r, names, "left").unionByName(unmatched, allowMissingColumns=True)
     return left.join(r, on, how)
 
 
@@ -102,7 +120,7 @@ _AGGS = {
     "sum": F.sum, "avg": F.avg, "mean": F.avg, "min": F.min, "max": F.max,
     "count": F.count, "count_distinct": F.count_distinct, "approx_count_distinct": F.approx_count_distinct,
     "stddev": F.stddev_samp, "stddev_pop": F.stddev_pop, "variance": F.var_samp,
-    "median": F.median, "first": F.first, "last": F.last,
+    "approx_median": lambda c: F.percentile_approx(c, 0.5), "first": F.first, "last": F.last,
 }
 
 
@@ -117,10 +135,56 @@ def agg_expr(fn: str, column: str) -> Column:
 
 
 def aggregate(df: DataFrame, by: Sequence[str], aggs: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """``groupBy(by).agg(out=fn(column), ...)``; all aggregates here combine partially map-side."""
-    keys = [col(c) for c in _resolve(df, by)] if by else []
-    exprs = [agg_expr(fn, c if c == "*" else _resolve(df, [c])[0]).alias(out) for out, (fn, c) in aggs.items()]
-    return df.groupBy(*keys).agg(*exprs)
+    """``groupBy(by).agg(out=fn(column), ...)``; all aggregates here combine partially map-side.
+
+    ``median`` is exact: values are counted by group and value (partial aggregation), and a
+    running count finds the middle, so no task holds a group's values in memory as
+    Spark's own exact percentile does. ``approx_median`` needs one aggregation only."""
+    names = _resolve(df, by) if by else []
+    aggs = {out: (fn, c if c == "*" else _resolve(df, [c])[0]) for out, (fn, c) in aggs.items()}
+    plain = {out: agg_expr(fn, c).alias(out) for out, (fn, c) in aggs.items() if fn != "median"}
+    medians = {out: c for out, (fn, c) in aggs.items() if fn == "median"}
+    if not medians:
+        return df.groupBy(*[col(k) for k in names]).agg(*plain.values())
+    keys, by_cols = _keyed(names)
+    res = df.groupBy(*by_cols).agg(*plain.values(), F.count(F.lit(1)).alias("__rows"))
+    for i, (out, c) in enumerate(medians.items()):
+        m = _group_median(df, names, c).select(*[F.col(k).alias(f"__m{i}_{k}") for k in keys], F.col("__median").alias(out))
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"__m{i}_{k}"))
+        res = res.join(m, cond, "left")
+    return res.select(*[F.col(x).alias(k) for k, x in zip(names, keys, strict=False)], *[F.col(out) for out in aggs])
+
+
+def _keyed(names: Sequence[str]) -> tuple[list[str], list[Column]]:
+    """Internal key names and the columns behind them; without keys one constant key."""
+    cols = [col(k) for k in names] or [F.lit(0)]
+    keys = [f"__k{i}" for i in range(len(cols))]
+    return keys, [c.alias(k) for c, k in zip(cols, keys, strict=True)]
+
+
+def _group_median(df: DataFrame, names: Sequence[str], column: str) -> DataFrame:
+    """(__k0, ..., __median): SQL ``median`` of the non-null values by group."""
+    from pyspark.sql import Window
+
+    keys, by_cols = _keyed(names)
+    counts = (df.filter(col(column).isNotNull()).groupBy(*by_cols, col(column).cast("double").alias("__v"))
+              .agg(F.count(F.lit(1)).alias("__c")))
+    sizes = counts.groupBy(*keys).agg(F.sum("__c").alias("__size"))
+    w = Window.partitionBy(*keys).orderBy("__v")
+    upto = F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counts.withColumn("__upto", upto)
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__s_{k}"))
+    sizes = sizes.select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__size")
+    ranked = ranked.join(sizes, cond).drop(*[f"__s_{k}" for k in keys])
+    # ranks from 0 of the two middle values; a value holds the ranks [upto - c, upto)
+    low, high = F.floor((F.col("__size") - 1) / 2), F.floor(F.col("__size") / 2)
+    holds = lambda rank: (F.col("__upto") - F.col("__c") <= rank) & (rank < F.col("__upto"))
+    return (ranked.filter(holds(low) | holds(high)).groupBy(*keys)
+            .agg(((F.min("__v") + F.max("__v")) / 2).alias("__median")))
 
 
 # --------------------------------------------------------------------------- T5
@@ -150,6 +214,9 @@ def pivot_table(df: DataFrame, index: Sequence[str] | str, columns: str, value:
     (pc,) = _resolve(df, [columns])
     (vc,) = _resolve(df, [value])
     keys = [col(c) for c in _resolve(df, idx)]
+    if fn == "median":
+        cells = aggregate(df, [*idx, pc], {"__cell": ("median", vc)})
+        return pivot_table(cells, idx, pc, "__cell", "max", values)
     if values is None:
         return df.groupBy(*keys).pivot(pc).agg(agg_expr(fn, vc))
     if fn not in _AGGS:

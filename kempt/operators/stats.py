@@ -127,63 +127,88 @@ def _with(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- exact quantile / mode
-def exact_quantile(df: DataFrame, column: str, q: float = 0.5, max_bracket_rows: int = 1_000_000,
+def exact_quantile(df: DataFrame, column: str, q: float = 0.5, max_bracket_rows: int = 1000,
                    buckets: int = 1024, accuracy: int = 10000) -> float | None:
     """Exact, interpolated quantile (same definition as SQL ``percentile`` / ``median``)
     with bounded memory everywhere.
 
     Spark's exact ``percentile`` keeps every distinct value in one map that is merged
     in a single task; here instead:
-      1. one pass: row count and an approximate bracket around rank ``q*(n-1)``
+      1. one pass: counts and an approximate bracket around rank ``q*(n-1)``
          (``percentile_approx`` guarantees a rank error of at most n/accuracy);
       2. one pass: rows below the bracket and inside it;
       3. while the bracket holds more than ``max_bracket_rows`` rows, one pass of a
          ``buckets``-wide histogram narrows it to the bucket that holds the rank;
       4. the few values needed are taken with ``orderBy().limit()`` (top-k per task).
-    Nulls are ignored.  Returns None for a column without values."""
+    The two ends of a bracket fall into different buckets, so every pass leaves fewer
+    rows; if one bucket ends at the lower rank and the next starts at the upper one,
+    the buckets' own ends are the answer. Nulls are ignored; NaN is larger than
+    infinity. Returns None for a column without values."""
     (c,) = _resolve(df, [column])
     x = df.select(col(c).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    eps = 2.0 / accuracy
-    r = x.agg(F.count(F.lit(1)).alias("n"),
-              F.percentile_approx("x", [max(q - eps, 0.0), min(q + eps, 1.0)], accuracy).alias("b")).collect()[0]
+    eps, inf = 2.0 / accuracy, float("inf")
+    finite = x.filter(~F.isnan("x") & (F.abs("x") < F.lit(inf)))
+    r = x.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("x") == -inf).alias("first"),
+              F.count_if(F.col("x") == inf).alias("last"), F.count_if(F.isnan("x")).alias("nan"),
+              F.percentile_approx(F.when(~F.isnan("x") & (F.abs("x") < F.lit(inf)), F.col("x")),
+                                  [max(q - eps, 0.0), min(q + eps, 1.0)], accuracy).alias("b")).collect()[0]
     n = r["n"]
     if not n:
         return None
     pos = q * (n - 1)
     k_lo, k_hi = int(pos), min(int(pos) + (0 if pos == int(pos) else 1), n - 1)
-    lo, hi = r["b"][0], r["b"][1]
-    r2 = x.agg(F.count_if(F.col("x") < lo).alias("below"),
-               F.count_if(F.col("x").between(lo, hi)).alias("inside")).collect()[0]
-    below, inside = r2["below"], r2["inside"]
-    if not (below <= k_lo and k_hi < below + inside):  # bracket missed: fall back to the whole range
-        mm = x.agg(F.min("x"), F.max("x")).collect()[0]
-        lo, hi, below, inside = mm[0], mm[1], 0, n
-    while inside > max_bracket_rows and lo < hi:
-        width = (hi - lo) / buckets
-        b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
-        hist = (x.filter(F.col("x").between(lo, hi)).groupBy(b.alias("b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-                .orderBy("b").collect())
+    n_finite = n - r["first"] - r["last"] - r["nan"]
+
+    def special(k: int) -> float | None:
+        if k < r["first"]:
+            return -inf
+        if k >= n - r["nan"]:
+            return float("nan")
+        return inf if k >= r["first"] + n_finite else None
+
+    v_lo, v_hi = special(k_lo), special(k_hi)
+    inner = [k - r["first"] for k, v in ((k_lo, v_lo), (k_hi, v_hi)) if v is None]
+    if inner:
+        a, b = _finite_ranks(finite, n_finite, inner[0], inner[-1], r["b"], max_bracket_rows, buckets)
+        v_lo, v_hi = (a if v_lo is None else v_lo), (b if v_hi is None else v_hi)
+    return v_lo if v_lo == v_hi else v_lo + (pos - k_lo) * (v_hi - v_lo)
+
+
+def _finite_ranks(x: DataFrame, n: int, k_lo: int, k_hi: int, bracket: Sequence[float], few: int,
+                  buckets: int) -> tuple[float, float]:
+    """Values of the ranks ``k_lo`` and ``k_hi`` (equal or neighbours) of the finite column ``x``."""
+    lo, hi = bracket
+    r = x.agg(F.count_if(F.col("x") < lo).alias("below"), F.count_if(F.col("x").between(lo, hi)).alias("inside"),
+              F.min("x").alias("min"), F.max("x").alias("max")).collect()[0]
+    below, inside = r["below"], r["inside"]
+    if not (below <= k_lo and k_hi < below + inside):  # bracket missed: the whole range
+        lo, hi, below, inside = r["min"], r["max"], 0, n
+    while lo < hi and inside > few:
+        width = hi / buckets - lo / buckets
+        rows = x.filter(F.col("x").between(lo, hi))
+        if lo + width > lo:
+            # halves, so that the difference of two large numbers does not overflow
+            b = F.floor((F.col("x") / 2 - F.lit(lo / 2)) / F.lit(width / 2)).cast("int")
+            hist = (rows.groupBy(F.least(b, F.lit(buckets - 1)).alias("b"))
+                    .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+        else:  # so close that only about ``buckets`` different numbers fit between them
+            hist = rows.groupBy(F.col("x").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"),
+                                                           F.max("x").alias("hi"))
+        hist = hist.orderBy("b").collect()
         acc = below
-        for h in hist:
+        for i, h in enumerate(hist):
             if acc + h["c"] > k_lo:
-                # the bucket holding rank k_lo; k_hi may be in the next bucket
-                if acc + h["c"] <= k_hi:
-                    nxt = next(g for g in hist if g["b"] > h["b"])
-                    lo, hi, inside = h["lo"], nxt["hi"], h["c"] + sum(
-                        g["c"] for g in hist if h["b"] < g["b"] <= nxt["b"])
-                else:
-                    lo, hi, inside = h["lo"], h["hi"], h["c"]
-                below = acc
                 break
             acc += h["c"]
+        if acc + h["c"] <= k_hi:
+            return h["hi"], hist[i + 1]["lo"]
+        if h["c"] >= inside:
+            raise AssertionError("a pass over the bracket must leave fewer rows")
+        lo, hi, below, inside = h["lo"], h["hi"], acc, h["c"]
     if lo == hi:
-        v_lo = v_hi = lo
-    else:
-        need = k_hi - below + 1
-        vals = [row[0] for row in x.filter(F.col("x").between(lo, hi)).orderBy("x").limit(need).collect()]
-        v_lo, v_hi = vals[k_lo - below], vals[k_hi - below]
-    return v_lo + (pos - k_lo) * (v_hi - v_lo)
+        return lo, lo
+    vals = [v[0] for v in x.filter(F.col("x").between(lo, hi)).orderBy("x").limit(k_hi - below + 1).collect()]
+    return vals[k_lo - below], vals[k_hi - below]
 
 
 def exact_mode(df: DataFrame, column: str):
@@ -276,24 +301,29 @@ def impute(df: DataFrame, spec: Mapping[str, object], values: Mapping[str, objec
 
 # --------------------------------------------------------------------------- T1
 def describe_cols(df: DataFrame, cols: Sequence[str], percentiles: Sequence[float] = (),
-                  accuracy: int = 10000) -> DataFrame:
+                  accuracy: int = 10000, text: bool = False) -> DataFrame:
     """One typed row per column: column, count, mean, stddev, min, max (+ ``p<q>`` columns).
 
     A single aggregation computes every statistic of every column; the one-row
     result is turned into one row per column with ``inline`` (no driver trip,
-    unlike ``DataFrame.describe``, which also returns strings).  Percentiles are
-    ``percentile_approx`` (bounded memory, rank error at most n/accuracy)."""
+    unlike ``DataFrame.describe``, which also returns strings).  With ``text``, or if a
+    column is not numeric, ``min_text`` and ``max_text`` hold the exact smallest and
+    largest value as text; the numeric statistics of a column that is not numeric are
+    null.  Percentiles are ``percentile_approx`` (bounded memory, rank error at most
+    n/accuracy)."""
     cols = _resolve(df, cols)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    text = text or any(not is_numeric(types[c]) for c in cols)
     aggs = []
     for i, c in enumerate(cols):
-        v = col(c).cast("double")
-        extra = []
+        v = col(c).cast("double") if is_numeric(types[c]) else F.lit(None).cast("double")
+        extra = [f(col(c)).cast("string").alias(n) for f, n in ((F.min, "min_text"), (F.max, "max_text"))] if text else []
         if percentiles:
             pa = F.percentile_approx(v, list(percentiles), accuracy)
-            extra = [F.get(pa, j).alias(f"p{int(round(q * 100))}") for j, q in enumerate(percentiles)]
-        aggs.append(F.struct(F.lit(c).alias("column"), F.count(v).alias("count"), F.avg(v).alias("mean"),
-                             F.stddev_samp(v).alias("stddev"), F.min(v).alias("min"),
-                             F.max(v).alias("max"), *extra).alias(f"d{i}"))
+            extra += [F.get(pa, j).alias(f"p{int(round(q * 100))}") for j, q in enumerate(percentiles)]
+        aggs.append(F.struct(F.lit(c).alias("column"), F.count(col(c)).alias("count"), F.avg(v).alias("mean"),
+                             F.stddev_samp(v).alias("stddev"), F.min(v).alias("min"), F.max(v).alias("max"),
+                             *extra).alias(f"d{i}"))
     one = df.agg(*aggs)
     return one.select(F.inline(F.array(*[F.col(f"d{i}") for i in range(len(cols))])))
 

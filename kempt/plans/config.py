@@ -10,17 +10,20 @@ transforming) and takes each step's parameters from top-level keys.  Here:
   something (validation, describe, filters for display, pivots, ...) into named
   report DataFrames, computed lazily from the frame they are given.
 
-Steps whose parameters the configuration does not hold are left out and listed
-by :func:`unsupported_switches`, never skipped silently.
+A switch that is on but becomes neither a step nor a report (unknown name, missing
+parameters, or inputs a configuration cannot hold, such as a second table) raises
+``ConfigError``, unless the caller lists it in ``allow``; :func:`unsupported_switches`
+lists them all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from kempt.functions.columns import SPECIAL_CHARS
+from kempt.functions.columns import SPECIAL_CHARS, col, q
 from kempt.operators import cleanse, derive, quality, relate, stats
 
 # Section names and the switches of each section, in the order the
@@ -50,10 +53,27 @@ TRANSFORMING_ORDER = [
     "data_binning", "data_encoding", "data_normalization", "data_scaling", "data_agg_timeframes",
     "data_sampling", "data_parsing", "data_redundancy_removal", "data_transform_by_cal", "data_conversion",
 ]
+VALIDATION = "validation_config"
+VALIDATION_SWITCHES = [
+    "schema_validation", "datatypes_validation", "duplicates", "row_coulumn_count", "check_uppercase",
+    "null_count_validation", "decimal_validation", "spelling_validation", "standardization_check", "special_char_check",
+]
+# Positions in schema.columns that the massaging stage uses by number.
+CONCAT_AT, REDACT_AT, RECONCILE_AT, GROUP_AT, MEAN_AT = (4, 28), (1,), (13, 11), 3, 10
 # Fixed value: the column kept out of the special-character strip in the cleansing stage.
 STRIP_EXEMPT = ["age"]
 
 
+class ConfigError(ValueError):
+    pass
+
+
+def _at(c: Mapping, *positions: int) -> list[str] | None:
+    """Columns of the configuration's own column list by position."""
+    names = (c.get("schema") or {}).get("columns") or []
+    return [names[p] for p in positions] if len(names) > max(positions) else None
+
+
 def _on(config: Mapping, section: str, switch: str) -> bool:
     return bool((config.get(section) or {}).get(switch))
 
@@ -121,13 +141,16 @@ def _massaging_step(switch: str, c: Mapping) -> dict | None:
         return _step("impute", spec=c["to_imputation"])
     if switch == "data_normalization" and "rounding_after_cleaning" in c:
         return _step("round_to_int", cols=c["rounding_after_cleaning"])
+    if switch == "concatenate_columns" and _at(c, *CONCAT_AT):
+        return _step("concat_cols", cols=_at(c, *CONCAT_AT), out=c.get("concatenated_column", "new_col_name"))
     if switch == "concatenate_columns" and "concatenate_columns_1" in c:
         cols = c["concatenate_columns_1"]
         return _step("concat_cols", cols=cols, out=c.get("concatenated_column", "_".join(cols)))
-    if switch == "redact_sensitive_info" and "columns_to_redact" in c:
-        return _step("redact", cols=c["columns_to_redact"], mode="add")
-    if switch == "transform_data" and "data_transformation" in c:
-        return _step("derive", exprs=c["data_transformation"])
+    if switch == "redact_sensitive_info" and ("columns_to_redact" in c or _at(c, *REDACT_AT)):
+        return _step("redact", cols=c.get("columns_to_redact") or _at(c, *REDACT_AT), mode="add")
+    if switch == "transform_data" and {"column_name", "new_column_name"} <= set(c.get("data_transformation") or {}):
+        d = c["data_transformation"]
+        return _step("derive", exprs={d["new_column_name"]: f"{q(d['column_name'])} / 2"})
     return None
 
 
@@ -152,8 +175,10 @@ _STAGES: list[tuple[str, list[str], Callable[[str, Mapping], dict | None]]] = [
 ]
 
 
-def steps_from_config(config: Mapping, stages: tuple[str, ...] = (CLEANSING, MASSAGING, TRANSFORMING)) -> list[dict]:
+def steps_from_config(config: Mapping, stages: tuple[str, ...] = (CLEANSING, MASSAGING, TRANSFORMING),
+                      allow: Iterable[str] = ()) -> list[dict]:
     """Pipeline steps for the switches that are on and change the frame."""
+    _check(config, allow)
     out = []
     for section, order, build in _STAGES:
         if section not in stages:
@@ -174,72 +199,130 @@ def _schema_from_config(c: Mapping) -> dict[str, str] | None:
     return {f["name"]: f["type"] for f in hs.get("fields", [])}
 
 
-def reports_from_config(df: DataFrame, config: Mapping) -> dict[str, DataFrame]:
-    """Report frames for the switches that are on and only compute and show something.
+def _validate(df: DataFrame, c: Mapping) -> DataFrame:
+    present = {x.lower() for x in df.columns}
+    fmt = {k: r"^\d{4}$" for k in c.get("datetime_columns", []) if k.lower() in present}
+    dom = {k: list(m) for k, m in (c.get("standardizing_column") or {}).items() if k.lower() in present}
+    return quality.validate(df, fmt, dom)
+
 
-    Keys are ``<section>.<switch>``; each value is a lazy DataFrame over ``df``."""
-    c = config
-    r: dict[str, DataFrame] = {}
-    if _on(c, CLEANSING, "validate_data") or _on(c, MASSAGING, "data_validation"):
-        fmt = {k: r"^\d{4}$" for k in c.get("datetime_columns", []) if k in df.columns}
-        dom = {k: list(m) for k, m in (c.get("standardizing_column") or {}).items() if k in df.columns}
-        r["validate"] = quality.validate(df, fmt, dom)
-    if _on(c, MASSAGING, "data_verification") and _schema_from_config(c):
-        r["massaging.data_verification"] = quality.schema_diff(df, _schema_from_config(c))
-    if _on(c, MASSAGING, "data_filtering") and "filter1" in c:
-        f = c["filter1"]
-        r["massaging.data_filtering"] = relate.where_cmp(df, f["col_to_filter"], ">", f["filter_value"])
-    if _on(c, MASSAGING, "subset_extraction") and "Subset_column" in c:
-        name, value = c["Subset_column"]
-        r["massaging.subset_extraction"] = relate.where_cmp(df, name, "=", value)
-    for section in (MASSAGING, TRANSFORMING):
-        if _on(c, section, "data_sampling"):
-            r[f"{section}.data_sampling"] = relate.sample(df, float(c.get("sampling_fraction", 0.1)))
-    if _on(c, MASSAGING, "aggregate_data") and "aggregate" in c:
+def _converted(df: DataFrame, c: Mapping) -> DataFrame:
+    for name in c["col_to_convert"]:
+        df = cleanse.convert_unit(df, name, float(c.get("conversion_rate", 0.012)), out=f"{name}_usd", scale=2)
+    return df
+
+
+def _aggregated(df: DataFrame, c: Mapping) -> DataFrame:
+    if "aggregate" in c:
         a = c["aggregate"]
-        r["massaging.aggregate_data"] = relate.aggregate(df, [a["by"]], {a.get("out", "mean"): ("mean", a["col"])})
-    if _on(c, MASSAGING, "reconcile_data") and "reconcile_columns" in c:
-        a, b = c["reconcile_columns"]
-        r["massaging.reconcile_data"] = relate.reconcile_cols(df, a, b)
-    if _on(c, TRANSFORMING, "data_aggregation") and "col_to_describe" in c:
-        r["transforming.data_aggregation"] = stats.describe_cols(df, c["col_to_describe"])
-    if _on(c, TRANSFORMING, "data_sorting") and "col_to_sort" in c:
-        r["transforming.data_sorting"] = relate.sort_by(df, [(c["col_to_sort"], False)])
-    if _on(c, TRANSFORMING, "data_splitting") and "split_by_status" in c:
-        for v, part in relate.split_by(df, "Status", c["split_by_status"]).items():
-            r[f"transforming.data_splitting.{v}"] = part
-    if _on(c, TRANSFORMING, "data_reshaping") and "reshaping_col" in c:
-        p = c["reshaping_col"]
-        r["transforming.data_reshaping"] = relate.pivot_table(df, p["col"], p["pivot_by"], p["col_to_agg"])
-    if _on(c, TRANSFORMING, "data_duplication"):
-        r["transforming.data_duplication"] = quality.duplicate_stats(df)
-    if _on(c, TRANSFORMING, "data_extraction") and "col_to_extract" in c:
-        r["transforming.data_extraction"] = relate.project(df, c["col_to_extract"])
-    if _on(c, TRANSFORMING, "data_binning") and "cols_to_binning" in c:
-        for name, (splits, labels) in c["cols_to_binning"].items():
-            r[f"transforming.data_binning.{name}"] = derive.bin_col(df, name, splits, labels)
-    if _on(c, TRANSFORMING, "data_encoding") and "data_encoding" in c:
-        r["transforming.data_encoding"] = derive.encode_map(df, c["data_encoding"])
-    if _on(c, TRANSFORMING, "data_normalization") and "col_to_normalize" in c:
-        keep = [k for k in c.get("normalize_keep", []) if k in df.columns]
-        r["transforming.data_normalization"] = stats.min_max(df, c["col_to_normalize"], keep=keep)
-    if _on(c, TRANSFORMING, "data_transform_by_cal") and "bracket_column" in c:
-        r["transforming.data_transform_by_cal"] = derive.age_from_bracket(df, c["bracket_column"], c["as_of"])
-    if _on(c, TRANSFORMING, "data_conversion") and "col_to_convert" in c:
-        rate = float(c.get("conversion_rate", 0.012))
-        conv = df
-        for name in c["col_to_convert"]:
-            conv = cleanse.convert_unit(conv, name, rate, out=f"{name}_usd", scale=2)
-        r["transforming.data_conversion"] = conv
-    checks = quality_checks_from_config(c, df)
+        return relate.aggregate(df, [a["by"]], {a.get("out", "mean"): ("mean", a["col"])})
+    return relate.aggregate(df, _at(c, GROUP_AT), {"Mean_Loan_Amount": ("mean", _at(c, MEAN_AT)[0])})
+
+
+def _schema_names(df: DataFrame, c: Mapping) -> DataFrame:
+    """Names only: whatever type a column has counts as expected."""
+    actual = {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}
+    expected = {n: actual.get(n.lower(), "string") for n, wanted in c["data_schema"].items() if wanted}
+    return quality.schema_diff(df, expected).select("column", "status")
+
+
+def _spelling(df: DataFrame, c: Mapping) -> DataFrame:
+    name = c.get("spelling_column", "Security_Type")
+    found = quality.suggest_spelling(df.select(name), name, c["data_to_check"])
+    return found.groupBy(*found.columns).count().filter(f"{q(name + '_distance')} IS NOT NULL")
+
+
+_Need = Callable[[Mapping], object]
+_Build = Callable[[DataFrame, Mapping], DataFrame | dict[str, DataFrame]]
+_ALWAYS: _Need = lambda c: True
+
+
+def _has(*keys: str) -> _Need:
+    return lambda c: all(k in c for k in keys)
+
+
+#: Switches that only compute and show something: what they need of the configuration, and the report.
+REPORTS: dict[tuple[str, str], tuple[_Need, _Build]] = {
+    (CLEANSING, "validate_data"): (_ALWAYS, _validate),
+    (MASSAGING, "data_validation"): (_ALWAYS, _validate),
+    (MASSAGING, "data_verification"): (_schema_from_config, lambda d, c: quality.schema_diff(d, _schema_from_config(c))),
+    (MASSAGING, "data_filtering"): (_has("filter1"), lambda d, c: relate.where_cmp(
+        d, c["filter1"]["col_to_filter"], ">", c["filter1"]["filter_value"])),
+    (MASSAGING, "data_sampling"): (_ALWAYS, lambda d, c: relate.sample(d, float(c.get("sampling_fraction", 0.1)))),
+    (MASSAGING, "subset_extraction"): (_has("Subset_column"), lambda d, c: relate.where_cmp(
+        d, c["Subset_column"][0], "=", c["Subset_column"][1])),
+    (MASSAGING, "reconcile_data"): (lambda c: "reconcile_columns" in c or _at(c, *RECONCILE_AT), lambda d, c: relate.reconcile_cols(
+        d, *(c.get("reconcile_columns") or _at(c, *RECONCILE_AT)))),
+    (MASSAGING, "aggregate_data"): (lambda c: "aggregate" in c or _at(c, GROUP_AT, MEAN_AT), _aggregated),
+    (TRANSFORMING, "data_aggregation"): (_has("col_to_describe"), lambda d, c: stats.describe_cols(d, c["col_to_describe"])),
+    (TRANSFORMING, "data_sorting"): (_has("col_to_sort"), lambda d, c: relate.sort_by(d, [(c["col_to_sort"], False)])),
+    (TRANSFORMING, "data_splitting"): (_has("split_by_status"), lambda d, c: {
+        str(v): part for v, part in relate.split_by(d, "Status", c["split_by_status"]).items()}),
+    (TRANSFORMING, "data_reshaping"): (_has("reshaping_col"), lambda d, c: relate.pivot_table(
+        d, c["reshaping_col"]["col"], c["reshaping_col"]["pivot_by"], c["reshaping_col"]["col_to_agg"])),
+    (TRANSFORMING, "data_duplication"): (_ALWAYS, lambda d, c: quality.duplicate_stats(d)),
+    (TRANSFORMING, "data_extraction"): (_has("col_to_extract"), lambda d, c: relate.project(d, c["col_to_extract"])),
+    (TRANSFORMING, "data_binning"): (_has("cols_to_binning"), lambda d, c: {
+        name: derive.bin_col(d, name, splits, labels) for name, (splits, labels) in c["cols_to_binning"].items()}),
+    (TRANSFORMING, "data_encoding"): (_has("data_encoding"), lambda d, c: derive.encode_map(d, c["data_encoding"])),
+    (TRANSFORMING, "data_normalization"): (_has("col_to_normalize"), lambda d, c: stats.min_max(
+        d, c["col_to_normalize"], keep=[k for k in c.get("normalize_keep", []) if k in d.columns])),
+    (TRANSFORMING, "data_sampling"): (_ALWAYS, lambda d, c: relate.sample(d, float(c.get("sampling_fraction", 0.1)))),
+    (TRANSFORMING, "data_transform_by_cal"): (_has("bracket_column", "as_of"), lambda d, c: derive.age_from_bracket(
+        d, c["bracket_column"], c["as_of"])),
+    (TRANSFORMING, "data_conversion"): (_has("col_to_convert"), _converted),
+    (VALIDATION, "schema_validation"): (_has("data_schema"), _schema_names),
+    (VALIDATION, "datatypes_validation"): (_schema_from_config, lambda d, c: quality.schema_diff(d, _schema_from_config(c))),
+    (VALIDATION, "spelling_validation"): (_has("data_to_check"), _spelling),
+}
+# Declared checks that go together into one quality report, and what they need.
+CHECKS: dict[str, _Need] = {
+    "duplicates": _ALWAYS, "row_coulumn_count": _ALWAYS, "check_uppercase": _ALWAYS, "null_count_validation": _ALWAYS,
+    "decimal_validation": _has("dec_col_to_check"), "standardization_check": _has("std_col_to_check", "standardizing_column"),
+    "special_char_check": _ALWAYS,
+}
+#: The two validations of a frame are one report.
+_SAME = {(CLEANSING, "validate_data"): "validate", (MASSAGING, "data_validation"): "validate"}
+
+
+def reports_from_config(df: DataFrame, config: Mapping, allow: Iterable[str] = ()) -> dict[str, DataFrame]:
+    """Report frames for the switches that are on and only compute and show something.
+
+    Keys are ``<section>.<switch>`` (with ``.<part>`` for reports of several frames); each
+    value is a lazy DataFrame over ``df``."""
+    _check(config, allow)
+    out: dict[str, DataFrame] = {}
+    for (section, switch), (need, build) in REPORTS.items():
+        if not _on(config, section, switch) or not need(config):
+            continue
+        name = _SAME.get((section, switch), f"{section}.{switch}")
+        if name in out:
+            continue
+        got = build(df, config)
+        out.update({f"{name}.{k}": v for k, v in got.items()} if isinstance(got, dict) else {name: got})
+    checks = quality_checks_from_config(config, df)
     if checks:
-        r["validation_config"] = quality.quality_report(df, checks)
-    return r
+        out[VALIDATION] = quality.quality_report(df, checks)
+    return out
+
+
+def stack_reports(reports: Mapping[str, DataFrame]) -> DataFrame:
+    """All reports as one frame: report, item (the row's text columns), measure (a numeric or
+    boolean column) and its value."""
+    out = None
+    for name, df in reports.items():
+        kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        texts = [c for c, t in kinds.items() if t == "string"]
+        numbers = [c for c, t in kinds.items() if t in ("int", "bigint", "double", "float", "boolean") or t.startswith("decimal")]
+        cells = F.array(*[F.struct(F.lit(c).alias("measure"), col(c).cast("double").alias("value")) for c in numbers])
+        part = df.select(F.lit(name).alias("report"), F.concat_ws("|", *[col(c) for c in texts]).alias("item"), F.inline(cells))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def quality_checks_from_config(c: Mapping, df: DataFrame) -> list[dict]:
     """The declared post-run checks (validation section) as quality_report checks."""
-    v = c.get("validation_config") or {}
+    v = c.get(VALIDATION) or {}
     out: list[dict] = []
     present = set(df.columns)
     if v.get("duplicates"):
@@ -263,26 +346,25 @@ def quality_checks_from_config(c: Mapping, df: DataFrame) -> list[dict]:
     return out
 
 
-# Switches that only compute and show a result (handled by reports_from_config).
-REPORT_SWITCHES = {
-    (CLEANSING, "validate_data"), (MASSAGING, "data_validation"), (MASSAGING, "data_verification"),
-    (MASSAGING, "data_filtering"), (MASSAGING, "data_sampling"), (MASSAGING, "subset_extraction"),
-    (MASSAGING, "reconcile_data"), (MASSAGING, "aggregate_data"), (TRANSFORMING, "data_aggregation"),
-    (TRANSFORMING, "data_sorting"), (TRANSFORMING, "data_splitting"), (TRANSFORMING, "data_reshaping"),
-    (TRANSFORMING, "data_duplication"), (TRANSFORMING, "data_extraction"), (TRANSFORMING, "data_binning"),
-    (TRANSFORMING, "data_encoding"), (TRANSFORMING, "data_normalization"), (TRANSFORMING, "data_sampling"),
-    (TRANSFORMING, "data_transform_by_cal"), (TRANSFORMING, "data_conversion"),
-}
-
-
 def unsupported_switches(config: Mapping) -> list[str]:
-    """Switches that are on but become neither a step nor a report: their parameters are
-    missing, or they need inputs a configuration cannot hold (a second table for joins
-    and key checks, a gazetteer, a sink path for versions)."""
+    """Switches that are on but become neither a step nor a report: their names are unknown,
+    their parameters are missing, or they need inputs a configuration cannot hold (a second
+    table for joins and key checks, a gazetteer, a sink path for versions)."""
     missing = []
-    for section, order, build in _STAGES:
-        for switch in order:
-            if _on(config, section, switch) and (section, switch) not in REPORT_SWITCHES \
-                    and build(switch, config) is None:
+    builders = {section: (order, build) for section, order, build in _STAGES} | {VALIDATION: (VALIDATION_SWITCHES, None)}
+    for section, (order, build) in builders.items():
+        known = [*order, *[k for k in (config.get(section) or {}) if k not in order]]
+        for switch in known:
+            if not _on(config, section, switch):
+                continue
+            need = REPORTS.get((section, switch), (None, None))[0] or (CHECKS.get(switch) if section == VALIDATION else None)
+            step = build(switch, config) if build else None
+            if step is None and not (need and need(config)):
                 missing.append(f"{section}.{switch}")
     return missing
+
+
+def _check(config: Mapping, allow: Iterable[str]) -> None:
+    left = [s for s in unsupported_switches(config) if s not in set(allow)]
+    if left:
+        raise ConfigError(f"switches without a step or a report: {', '.join(left)}")

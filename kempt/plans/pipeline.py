@@ -114,6 +114,8 @@ def run_pipeline(df: DataFrame, steps: Sequence[Mapping] | str,
     out = df
     shuffled = False
     for name, fn, params in check_steps(steps, registry):
+        if out.isStreaming and name in SHUFFLING:
+            raise PipelineError(f"step {name!r} would keep state without limit on a stream; see streaming.ingest.dedupe_stream")
         fit = FITTERS.get(name) if registry is None or registry is REGISTRY else None
         exprs = fit[0](out, params) if fit is not None and materialize_fits and shuffled \
             and not out.isStreaming and params.get(fit[2]) is None else None
@@ -121,6 +123,10 @@ def run_pipeline(df: DataFrame, steps: Sequence[Mapping] | str,
             out, metrics = materialize(out, f"pipeline-{name}", observe=exprs)
             params = {**params, fit[2]: fit[1](metrics, out, params)}
             shuffled = False
+        elif fit is not None and materialize_fits and shuffled and not out.isStreaming and params.get(fit[2]) is None:
+            # a fit of several passes (exact median, mode): write once, then every pass reads the files
+            out = materialize(out, f"pipeline-{name}")
+            shuffled = False
         out = out.transform(lambda d, f=fn, p=params: f(d, **p))
         shuffled = shuffled or name in SHUFFLING
     return out

@@ -421,6 +421,22 @@ def q_impute_mean(spark, sf):
     return d.select("id", stable_round(F.col("amount"), 2).alias("amount"))
 
 
+@query("impute_median_balanced", """WITH h AS (SELECT o_orderkey, ntile(2) OVER (ORDER BY o_orderkey) - 1 AS half,
+  count(*) OVER () AS n, row_number() OVER (ORDER BY o_orderkey) AS nth FROM orders),
+x AS (SELECT o_orderkey, CASE WHEN nth = n AND n % 2 = 1 THEN NULL ELSE CAST(half AS DOUBLE) END AS bit FROM h)
+SELECT o_orderkey, coalesce(bit, (SELECT median(bit) FROM x)) AS bit FROM x
+UNION ALL SELECT -1, (SELECT median(bit) FROM x)""")
+def q_impute_median_balanced(spark, sf):
+    """Exactly as many zeros as ones: the median lies between two heavy values."""
+    o = t(spark, sf, "orders").select("o_orderkey")
+    n = o.count()
+    middle = stats.exact_quantile(o, "o_orderkey", (n // 2 - 1 + n % 2) / max(1, n - 1))
+    last = o.agg(F.max("o_orderkey")).first()[0]
+    bit = F.when((F.col("o_orderkey") == last) & F.lit(n % 2 == 1), None).otherwise((F.col("o_orderkey") > middle).cast("double"))
+    x = o.withColumn("bit", bit).unionByName(o.agg(F.min(F.lit(-1)).cast("bigint").alias("o_orderkey"), F.min(F.lit(None).cast("double")).alias("bit")))
+    return stats.impute(x, {"bit": "median"})
+
+
 @query("impute_median", W(f"""s AS (SELECT median(amount) AS m FROM dirty_orders)
 SELECT id, {rnd('coalesce(amount, m)')} AS amount FROM dirty_orders, s"""))
 def q_impute_median(spark, sf):
@@ -441,6 +457,21 @@ def _describe_sql(cols: list[str]) -> str:
 _DESC = ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
 
 
+@query("describe_text", """SELECT 'c_name' AS "column", count(c_name) AS count, CAST(NULL AS DOUBLE) AS mean,
+  CAST(NULL AS DOUBLE) AS stddev, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, min(c_name) AS min_text,
+  max(c_name) AS max_text FROM customer
+UNION ALL SELECT 'big', count(*), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+  CAST(min(c_custkey + 9007199254740993) AS VARCHAR), CAST(max(c_custkey + 9007199254740993) AS VARCHAR) FROM customer""")
+def q_describe_text(spark, sf):
+    """Text columns, and integers beyond the exact range of doubles."""
+    c = t(spark, sf, "customer").withColumn("big", (F.col("c_custkey") + 9007199254740993).cast("bigint"))
+    null = F.lit(None).cast("double")
+    big = F.col("column") == "big"
+    d = stats.describe_cols(c, ["c_name", "big"])
+    return d.select("column", "count", *[F.when(~big, F.col(x)).otherwise(null).alias(x) for x in ("mean", "stddev", "min", "max")],
+                    "min_text", "max_text")
+
+
 @query("describe_cols", _describe_sql(_DESC))
 def q_describe_cols(spark, sf):
     d = stats.describe_cols(t(spark, sf, "lineitem"), _DESC)
@@ -508,9 +539,19 @@ def q_profile_wide(spark, sf):
     return quality.profile(wide_lineitem(spark, sf))
 
 
-@query("profile_approx")
+_LI_COLS = [c for c in _WIDE_TYPES if c.startswith("l_")]
+
+
+@query("profile_approx", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, true AS distinct_within_5_pct FROM lineitem"""
+    for c in _LI_COLS))
 def q_profile_approx(spark, sf):
-    return quality.profile(t(spark, sf, "lineitem"), exact=False)
+    """Rows and nulls exactly; the estimated distinct counts against exact ones."""
+    li = t(spark, sf, "lineitem").select(*_LI_COLS)
+    exact = quality.distinct_counts(li).withColumnRenamed("distinct", "__exact")
+    near = quality.profile(li, exact=False).join(exact, "column")
+    return near.select("column", "rows", "nulls", (F.abs(F.col("distinct") - F.col("__exact")) <= 0.05 * F.col("__exact"))
+                       .alias("distinct_within_5_pct"))
 
 
 def _validate_sql() -> str:
@@ -695,6 +736,12 @@ def q_parse_address(spark, sf):
 _URL_RE = r"^(https?)://([^/]+)/([a-z]{2})/"
 
 
+@query("extract_all", """SELECT page_id, array_to_string(regexp_extract_all(url, '[a-z]+'), '|') AS words FROM pages""")
+def q_extract_all(spark, sf):
+    p = t(spark, sf, "pages")
+    return derive.extract_all(p, "url", "[a-z]+", out="words", group=0).select("page_id", F.concat_ws("|", "words").alias("words"))
+
+
 @query("extract_pattern", f"""SELECT page_id, regexp_extract(url, '{_URL_RE}', 1) AS scheme,
   regexp_extract(url, '{_URL_RE}', 2) AS host, regexp_extract(url, '{_URL_RE}', 3) AS lang FROM pages""")
 def q_extract_pattern(spark, sf):
@@ -709,6 +756,12 @@ def q_json_fields(spark, sf):
     return derive.json_fields(e, "props", {"k": "$.k", "missing": "$.missing"}).drop("props")
 
 
+@query("concat_default", W("""SELECT id, priority || status AS label FROM dirty_orders"""))
+def q_concat_default(spark, sf):
+    """The default form: null if any part is null."""
+    return derive.concat_cols(dirty_orders(spark, sf), ["priority", "status"], "label").select("id", "label")
+
+
 @query("concat_cols", """SELECT c_custkey, concat_ws(' / ', c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR)) AS label
 FROM customer""")
 def q_concat_cols(spark, sf):
@@ -800,12 +853,14 @@ def q_sort_by(spark, sf):
 
 
 # =========================================================================== T4
-_CUST_B = "(SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING')"
+# Keys shifted by a third of the customers, so that both sides have rows without a match.
+_CUST_S = "(SELECT c_custkey + (SELECT max(c_custkey) // 3 FROM customer) AS k, c_name FROM customer)"
 
 
-def _cust_b(spark, sf):
-    return t(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING").select(
-        F.col("c_custkey").alias("o_custkey"), "c_name")
+def _cust_s(spark, sf):
+    c = t(spark, sf, "customer")
+    shift = c.agg(F.max("c_custkey")).first()[0] // 3
+    return c.select((F.col("c_custkey") + shift).alias("o_custkey"), "c_name")
 
 
 def _orders_k(spark, sf):
@@ -813,34 +868,58 @@ def _orders_k(spark, sf):
 
 
 @query("merge_inner", f"""SELECT o_orderkey, o_custkey, o_totalprice, c_name FROM orders
-JOIN {_CUST_B} c ON o_custkey = c.c_custkey""")
+JOIN {_CUST_S} c ON o_custkey = c.k""")
 def q_merge_inner(spark, sf):
-    return relate.merge(_orders_k(spark, sf), _cust_b(spark, sf), "o_custkey", "inner")
+    return relate.merge(_orders_k(spark, sf), _cust_s(spark, sf), "o_custkey", "inner")
 
 
 @query("merge_left", f"""SELECT o_orderkey, o_custkey, o_totalprice, c_name FROM orders
-LEFT JOIN {_CUST_B} c ON o_custkey = c.c_custkey""")
+LEFT JOIN {_CUST_S} c ON o_custkey = c.k""")
 def q_merge_left(spark, sf):
-    return relate.merge(_orders_k(spark, sf), _cust_b(spark, sf), "o_custkey", "left")
+    return relate.merge(_orders_k(spark, sf), _cust_s(spark, sf), "o_custkey", "left")
 
 
-@query("merge_full", f"""SELECT coalesce(o_custkey, c.c_custkey) AS o_custkey, o_orderkey, o_totalprice, c_name
-FROM (SELECT * FROM orders WHERE o_orderstatus = 'O') o FULL JOIN {_CUST_B} c ON o_custkey = c.c_custkey""")
+@query("merge_right", f"""SELECT o_orderkey, c.k AS o_custkey, o_totalprice, c_name FROM orders
+RIGHT JOIN {_CUST_S} c ON o_custkey = c.k""")
+def q_merge_right(spark, sf):
+    return relate.merge(_orders_k(spark, sf), _cust_s(spark, sf), "o_custkey", "right")
+
+
+@query("merge_full", f"""SELECT coalesce(o_custkey, c.k) AS o_custkey, o_orderkey, o_totalprice, c_name
+FROM orders FULL JOIN {_CUST_S} c ON o_custkey = c.k""")
 def q_merge_full(spark, sf):
-    o = t(spark, sf, "orders").filter(F.col("o_orderstatus") == "O").select("o_orderkey", "o_custkey", "o_totalprice")
-    return relate.merge(o, _cust_b(spark, sf), "o_custkey", "full")
+    return relate.merge(_orders_k(spark, sf), _cust_s(spark, sf), "o_custkey", "full")
+
+
+@query("merge_full_hot", f"""WITH {DIRTY_HOT_CTE}
+SELECT coalesce(custkey, c.k) AS custkey, id, c_name FROM dirty_orders FULL JOIN {_CUST_S} c ON custkey = c.k""")
+def q_merge_full_hot(spark, sf):
+    """A full join in which one key holds a third of the left rows."""
+    left = dirty_orders(spark, sf, True).select("custkey", "id")
+    return relate.merge(left, _cust_s(spark, sf).withColumnRenamed("o_custkey", "custkey"), "custkey", "full")
 
 
 @query("merge_semi", f"""SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-WHERE o_custkey IN (SELECT c_custkey FROM {_CUST_B} c)""")
+WHERE o_custkey IN (SELECT k FROM {_CUST_S} c)""")
 def q_merge_semi(spark, sf):
-    return relate.merge(_orders_k(spark, sf), _cust_b(spark, sf), "o_custkey", "left_semi")
+    return relate.merge(_orders_k(spark, sf), _cust_s(spark, sf), "o_custkey", "left_semi")
 
 
 @query("merge_anti", f"""SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-WHERE o_custkey NOT IN (SELECT c_custkey FROM {_CUST_B} c)""")
+WHERE o_custkey NOT IN (SELECT k FROM {_CUST_S} c)""")
 def q_merge_anti(spark, sf):
-    return relate.merge(_orders_k(spark, sf), _cust_b(spark, sf), "o_custkey", "left_anti")
+    return relate.merge(_orders_k(spark, sf), _cust_s(spark, sf), "o_custkey", "left_anti")
+
+
+@query("merge_hot_identical", """SELECT o_custkey, c_name, count(*) AS n FROM (
+  SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS o_custkey FROM orders)
+LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""")
+def q_merge_hot_identical(spark, sf):
+    """A third of the rows are one key and nothing else, so that no value tells them apart."""
+    k = F.when(F.col("o_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("o_custkey")).cast("bigint")
+    c = t(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    j = relate.merge(t(spark, sf, "orders").select(k.alias("o_custkey")), c, "o_custkey", "left", salt_buckets=8)
+    return j.groupBy("o_custkey", "c_name").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("merge_salted", """SELECT l_orderkey, l_linenumber, o_orderstatus FROM lineitem
@@ -905,6 +984,20 @@ def q_transpose(spark, sf):
 
 
 # =========================================================================== M19 D1 T12
+@query("aggregate_median", """SELECT o_orderstatus, median(o_totalprice) AS mid, median(o_custkey) AS mid_customer, count(*) AS n
+FROM orders GROUP BY 1""")
+def q_aggregate_median(spark, sf):
+    return relate.aggregate(t(spark, sf, "orders"), ["o_orderstatus"], {
+        "mid": ("median", "o_totalprice"), "mid_customer": ("median", "o_custkey"), "n": ("count", "*")})
+
+
+@query("pivot_no_values", """SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS F,
+  count(*) FILTER (WHERE o_orderstatus = 'O') AS O, count(*) FILTER (WHERE o_orderstatus = 'P') AS P FROM orders GROUP BY 1""")
+def q_pivot_no_values(spark, sf):
+    """Columns found in the data."""
+    return relate.pivot_table(t(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", "o_orderkey", "count")
+
+
 @query("aggregate", f"""SELECT o_orderpriority, count(*) AS n, {rnd('sum(o_totalprice)')} AS total,
   {rnd('avg(o_totalprice)')} AS mean, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY o_orderpriority""")
 def q_aggregate(spark, sf):
@@ -950,9 +1043,19 @@ def q_stratified_sample(spark, sf):
                                     {"click": 0.1, "purchase": 0.5, "error": 1.0}, "event_id")
 
 
-@query("sample")
+@query("sample", """SELECT true AS size_near_share, true AS all_from_input, true AS no_repeats, count(*) AS input_rows
+FROM events""")
 def q_sample(spark, sf):
-    return relate.sample(t(spark, sf, "events"), 0.1, seed=7)
+    """A random tenth: its size within five standard deviations, rows of the input, none twice."""
+    ev = t(spark, sf, "events")
+    got = relate.sample(ev, 0.1, seed=7).select(F.col("event_id").alias("id"), F.struct(*ev.columns).alias("row"))
+    whole = ev.select(F.col("event_id").alias("id"), F.struct(*ev.columns).alias("origin"))
+    n = F.count(F.lit(1))
+    j = whole.join(got, "id", "left").agg(
+        (F.abs(F.count("row") - n * 0.1) <= 5 * F.sqrt(n * 0.09)).alias("size_near_share"),
+        (F.count_if(F.col("row") == F.col("origin")) == F.count("row")).alias("all_from_input"),
+        (n == F.count_distinct("id")).alias("no_repeats"), F.count_distinct("id").alias("input_rows"))
+    return j
 
 
 # =========================================================================== M18
@@ -963,7 +1066,8 @@ def q_reconcile_cols(spark, sf):
 
 
 @query("reconcile", f"""WITH l AS (SELECT o_orderkey AS k, count(*) AS left_rows, min(o_totalprice) AS total_left
-  FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
+  FROM (SELECT CASE WHEN o_orderstatus = 'P' THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, o_totalprice FROM orders)
+  GROUP BY 1),
 r AS (SELECT l_orderkey AS k, count(*) AS right_rows, min(t) AS total_right FROM (
   SELECT l_orderkey, {rnd('sum(l_extendedprice * (1 + l_tax) * (1 - l_discount))')} AS t FROM lineitem
   GROUP BY l_orderkey) GROUP BY 1)
@@ -974,8 +1078,8 @@ SELECT coalesce(l.k, r.k) AS k, CASE WHEN left_rows IS NULL THEN 'right_only' WH
   total_left, total_right
 FROM l FULL JOIN r ON l.k = r.k""")
 def q_reconcile(spark, sf):
-    left = t(spark, sf, "orders").filter(F.col("o_orderstatus") != "P").select(
-        F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("total"))
+    key = F.when(F.col("o_orderstatus") == "P", -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+    left = t(spark, sf, "orders").select(key.alias("k"), F.col("o_totalprice").alias("total"))
     li = t(spark, sf, "lineitem")
     right = li.groupBy(F.col("l_orderkey").alias("k")).agg(stable_round(F.sum(
         F.col("l_extendedprice") * (1 + F.col("l_tax")) * (1 - F.col("l_discount"))), 2).alias("total"))
@@ -1012,6 +1116,42 @@ def q_upsert(spark, sf):
     return tables.upsert(t(spark, sf, "orders"), inc, ["o_orderkey"], ["ver"])
 
 
+@query("upsert_null_keys", """WITH old AS (SELECT CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_custkey END AS k, o_orderpriority AS p,
+  count(*) AS n FROM orders GROUP BY 1, 2),
+inc AS (SELECT CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_custkey + 1 END AS k, '1-URGENT' AS p, -count(*) AS n FROM orders GROUP BY 1)
+SELECT * FROM inc UNION ALL SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM inc WHERE inc.k IS NOT DISTINCT FROM old.k
+  AND inc.p = old.p)""")
+def q_upsert_null_keys(spark, sf):
+    """A null in a key is a value: the null row is replaced, and a second run changes nothing."""
+    o = t(spark, sf, "orders")
+    null_4th = lambda c: F.when(F.col("o_orderkey") % 4 != 0, c)
+    old = o.groupBy(null_4th(F.col("o_custkey")).alias("k"), F.col("o_orderpriority").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    inc = o.groupBy(null_4th(F.col("o_custkey") + 1).alias("k")).agg((-F.count(F.lit(1))).alias("n")).select(
+        "k", F.lit("1-URGENT").alias("p"), "n")
+    once = tables.upsert(old, inc, ["k", "p"])
+    return tables.upsert(once, inc, ["k", "p"])
+
+
+@query("upsert_table", """WITH inc AS (SELECT o_orderkey, 'X' AS o_orderstatus FROM orders WHERE o_orderstatus = 'O'
+  UNION ALL SELECT -o_orderkey, 'N' FROM orders WHERE o_orderpriority = '5-LOW')
+SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM inc)
+UNION ALL SELECT * FROM inc UNION ALL SELECT 0, 'A'""")
+def q_upsert_table(spark, sf):
+    """The catalog path: a database at a scratch location, first load, the same upsert twice into a
+    bucketed table, an append with the columns in another order, and the table read back."""
+    db = tables.ensure_database(spark, f"kempt_{scratch_dir(spark, 'db').rsplit('-', 1)[-1]}", scratch_dir(spark, "database"))
+    o = t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    inc = (o.filter("o_orderstatus = 'O'").withColumn("o_orderstatus", F.lit("X"))
+           .unionByName(t(spark, sf, "orders").filter("o_orderpriority = '5-LOW'")
+                        .select((-F.col("o_orderkey")).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"))))
+    tables.upsert_table(spark, "orders_now", o, ["o_orderkey"], database=db, buckets=4)
+    for _ in range(2):
+        tables.upsert_table(spark, "orders_now", inc, ["o_orderkey"], database=db, buckets=4)
+    more = o.agg(F.lit("A").alias("o_orderstatus"), (F.count(F.lit(1)) * 0).cast("bigint").alias("o_orderkey"))
+    tables.append_table(more, "orders_now", db)
+    return spark.table(f"{db}.orders_now")
+
+
 @query("upsert_twice", """SELECT o_orderstatus, count(*) AS n FROM (
   SELECT CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS o_orderstatus FROM orders
   UNION ALL SELECT o_orderstatus FROM orders WHERE o_orderpriority = '5-LOW') GROUP BY 1""")
@@ -1032,6 +1172,48 @@ def q_build_marts(spark, sf):
                                           F.count_distinct("id").cast("bigint").alias("orders"))
 
 
+@query("marts_rerun", W("""SELECT regexp_replace(lower(trim(status)), '[^0-9a-z]+', '', 'g') AS mart, count(*) AS rows
+FROM dirty_orders WHERE regexp_replace(lower(trim(status)), '[^0-9a-z]+', '', 'g') IN ('f', 'p') GROUP BY 1"""))
+def q_marts_rerun(spark, sf):
+    """A second run with fewer marts leaves nothing of the first."""
+    path = scratch_dir(spark, "marts")
+    tables.build_marts(dirty_orders(spark, sf), "status", path)
+    tables.build_marts(dirty_orders(spark, sf), "status", path, values=["F", "P"])
+    return tables.build_marts(dirty_orders(spark, sf), "status", path, values=["F", "P"])["datamart_f"].sparkSession.read.parquet(
+        path).groupBy("mart").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("marts_empty", """SELECT 'datamart_nowhere' AS mart, 0 AS rows, count(*) AS input_rows FROM orders""")
+def q_marts_empty(spark, sf):
+    """A mart that no row belongs to is an empty frame with the mart's columns."""
+    o = t(spark, sf, "orders")
+    marts = tables.build_marts(o, "o_orderpriority", scratch_dir(spark, "marts"), values=["Nowhere"])
+    (name, mart), = marts.items()
+    rows = mart.agg(F.lit(name).alias("mart"), F.count("o_orderkey").cast("int").alias("rows"), F.lit(1).alias("one"))
+    return rows.join(o.agg(F.lit(1).alias("one"), F.count(F.lit(1)).alias("input_rows")), "one").drop("one")
+
+
+@query("version_schema_change", """SELECT '1' AS version, o_orderkey, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders
+UNION ALL SELECT '02', o_orderkey, o_orderpriority FROM orders""")
+def q_version_schema_change(spark, sf):
+    """A later version has a column more; version names that look like numbers stay text."""
+    base = scratch_dir(spark, "versions")
+    o = t(spark, sf, "orders")
+    tables.save_version(o.select("o_orderkey"), base, "1")
+    tables.save_version(o.select("o_orderkey", "o_orderpriority"), base, "02")
+    return tables.read_version(spark, base).select("version", "o_orderkey", "o_orderpriority")
+
+
+@query("version_columns", """SELECT o_orderkey, o_orderpriority FROM orders""")
+def q_version_columns(spark, sf):
+    """One version has its own columns."""
+    base = scratch_dir(spark, "versions")
+    o = t(spark, sf, "orders")
+    tables.save_version(o.select("o_orderkey"), base, "v1")
+    tables.save_version(o.select("o_orderkey", "o_orderpriority"), base, "v2")
+    return tables.read_version(spark, base, "v2")
+
+
 @query("build_marts_named", W("""SELECT 'datamart_north_east' AS mart, count(*) AS rows FROM dirty_orders
 WHERE region_txt = 'NORTH-EAST'"""))
 def q_build_marts_named(spark, sf):
@@ -1073,9 +1255,34 @@ def q_read_csv_options(spark, sf):
     return files.read_table(spark, path, "csv", schema=_DO_SCHEMA, header=True, null_value="NA")
 
 
-@query("file_stats")
+@query("read_csv_inferred", """SELECT o_orderkey AS o_orderkey, o_totalprice, o_orderstatus, o_orderdate FROM orders""")
+def q_read_csv_inferred(spark, sf):
+    """Types guessed from the text, as the reference reads its CSV."""
+    path = scratch_dir(spark, "csv")
+    o = t(spark, sf, "orders").select((F.col("o_orderkey") + 5_000_000_000).alias("o_orderkey"), "o_totalprice", "o_orderstatus",
+                                      F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"))
+    files.write_table(o, path, "csv", mode="overwrite", options={"header": "true"})
+    got = files.read_table(spark, path, "csv", infer_schema=True)
+    return got.select((F.col("o_orderkey") - 5_000_000_000).alias("o_orderkey"), "o_totalprice", "o_orderstatus",
+                      F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
+
+
+@query("write_parquet_stage", """SELECT o_orderpriority, count(*) AS rows FROM orders GROUP BY 1""")
+def q_write_parquet_stage(spark, sf):
+    """A stage's output saved twice as partitioned Parquet; the second run replaces the first."""
+    path = scratch_dir(spark, "stage")
+    o = t(spark, sf, "orders")
+    files.write_table(o.withColumn("o_orderpriority", F.lit("old")), path, partition_by=["o_orderpriority"])
+    files.write_table(o, path, mode="overwrite", partition_by=["o_orderpriority"])
+    return files.read_table(spark, path).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("file_stats", """SELECT 4 AS files, count(*) AS rows, true AS sizes_positive FROM lineitem""")
 def q_file_stats(spark, sf):
-    return files.file_stats(spark, f"{sf}/lineitem.parquet")
+    path = scratch_dir(spark, "files")
+    t(spark, sf, "lineitem").repartition(4).write.mode("overwrite").parquet(path)
+    return files.file_stats(spark, path).agg(F.count(F.lit(1)).cast("int").alias("files"), F.sum("rows").alias("rows"),
+                                             (F.min("size_kb") > 0).alias("sizes_positive"))
 
 
 # =========================================================================== ST1
@@ -1100,7 +1307,7 @@ def q_ingest_stream(spark, sf):
     ingest_stream(spark, f"{src}/part1", sink, ckpt, _EV_SCHEMA, steps=_STREAM_STEPS, max_files_per_trigger=2)
     ev.filter(F.col("event_type") == "view").write.mode("append").parquet(f"{src}/part1")
     ingest_stream(spark, f"{src}/part1", sink, ckpt, _EV_SCHEMA, steps=_STREAM_STEPS, max_files_per_trigger=2)
-    return spark.read.parquet(sink).drop("batch")
+    return spark.read.parquet(sink).drop("stream", "batch")
 
 
 # =========================================================================== PL1
@@ -1119,8 +1326,8 @@ PIPELINE_JSON = json.dumps([
 ])
 
 
-@query("run_pipeline", W("""SELECT DISTINCT id, sha256(CAST(custkey AS VARCHAR)) AS custkey,
-  CAST(ROUND(CAST(amount AS DECIMAL(38,6)), 0) AS DOUBLE) AS amount,
+@query("run_pipeline", W(f"""SELECT DISTINCT id, sha256(CAST(custkey AS VARCHAR)) AS custkey,
+  {rnd_text('amount', 0)} AS amount,
   coalesce(trim(CASE WHEN trim(priority) = '' THEN NULL ELSE priority END), 'UNKNOWN') AS priority,
   CASE trim(status) WHEN 'Fx' THEN 'F' WHEN 'o' THEN 'O' WHEN 'f' THEN 'F' WHEN 'p' THEN 'P' ELSE trim(status) END
     AS status,
@@ -1170,7 +1377,7 @@ d3 AS (SELECT id, custkey, CASE WHEN abs((amount - m) / sd) > 3 AND amount > m T
 d4 AS (SELECT id, custkey, {rnd_text('amount')} AS amount, priority, status, year_txt, region_txt FROM d3
        WHERE {_NONNULL} >= 6),
 d5 AS (SELECT id, CAST(custkey AS VARCHAR) AS custkey,
-         TRY_CAST(ROUND(CAST(amount AS DECIMAL(38,6)), 0) AS INTEGER) AS amount, priority, status, year_txt,
+         TRY_CAST({rnd_text('amount', 0)} AS INTEGER) AS amount, priority, status, year_txt,
          CASE region_txt WHEN 'north' THEN 'N' WHEN 'NORTH-EAST' THEN 'NE' ELSE region_txt END AS region_txt
        FROM d4),
 d6 AS (SELECT upper(sha256(CAST(id AS VARCHAR))) AS id,

@@ -7,7 +7,6 @@ absent (local tests) do we create one of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -42,35 +41,50 @@ def get_spark(master: str | None = None, app: str = "kempt", shuffle_partitions:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set one under the local temp dir only if none is configured.
+    """The shared checkpoint folder: the SparkContext's checkpoint dir, else ``spark.checkpoint.dir``.
 
-    Reads the SparkContext's checkpoint dir, else ``spark.checkpoint.dir``; with
-    neither (local tests) creates a temp folder and sets it on the context."""
+    With neither, a session whose master is ``local`` gets a temp folder (driver and
+    executors are one machine there); any other master raises, because executors of a
+    cluster would each write to a folder of their own and later reads would miss rows."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (e.g. a Spark Connect session has no SparkContext)
         sc = None
-    root = sc.getCheckpointDir() if sc is not None else None
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="kempt-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
-        else:
-            spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    master = sc.master if sc is not None else ""
+    if not is_local(master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master!r})")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="kempt-ckpt-"))
+    return sc.getCheckpointDir()
+
+
+def is_local(master: str) -> bool:
+    """True for ``local`` and ``local[...]``, where one process does everything."""
+    return master == "local" or master.startswith("local[")
+
+
+def _app_scratch(spark: SparkSession) -> str:
+    root = checkpoint_root(spark).rstrip("/")
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001  (Spark Connect)
+        app = "connect"
+    return f"{root}/kempt/{app}"
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the checkpoint root (never reused between calls)."""
-    root = checkpoint_root(spark)
-    sep = "" if root.endswith("/") else "/"
-    path = f"{root}{sep}kempt/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, unique folder name below the checkpoint root (never reused between calls);
+    whoever writes there creates it."""
+    return f"{_app_scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete everything this application wrote below the checkpoint root, through the file
+    system's own API. Call it when no DataFrame that reads it is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_app_scratch(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str = "stage", observe: list | None = None):

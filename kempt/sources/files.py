@@ -33,16 +33,19 @@ def read_table(spark: SparkSession, path: str | Sequence[str], fmt: str = "parqu
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
-                partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> str:
+                partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None,
+                replace: str = "all") -> str:
     """Write ``df``; returns the path.  ``mode="errorifexists"`` refuses to clobber a
-    previous run; re-runnable jobs use "overwrite" (and, for partitioned
-    writes, the dynamic partition-overwrite option set here), so a retried
-    job replaces exactly what it writes."""
+    previous run; re-runnable jobs use "overwrite", which replaces everything below the
+    path.  For partitioned writes ``replace="partitions"`` replaces only the partitions
+    that ``df`` has rows for."""
+    if replace not in ("all", "partitions"):
+        raise ValueError("replace must be 'all' or 'partitions'")
     w = df.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
         if mode == "overwrite":
-            w = w.option("partitionOverwriteMode", "dynamic")
+            w = w.option("partitionOverwriteMode", "static" if replace == "all" else "dynamic")
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w.save(path)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kempt.functions.columns import col, q
 from kempt.operators.cleanse import _resolve, dedupe
@@ -46,9 +47,16 @@ def save_table(df: DataFrame, table: str, database: str | None = None, mode: str
 
 # --------------------------------------------------------------------------- K4
 def append_table(df: DataFrame, table: str, database: str | None = None) -> str:
-    """Append rows by column name (``insertInto`` would match by position)."""
+    """Append rows by column name (``insertInto`` would match by position). The table keeps
+    its partitioning, buckets and sort columns, which an append through the writer would
+    have to repeat."""
     name = _full(database, table)
-    df.write.mode("append").saveAsTable(name)
+    view = f"kempt_append_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(view)
+    try:
+        df.sparkSession.sql(f"INSERT INTO {name} BY NAME SELECT * FROM {view}")
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
     return name
 
 
@@ -58,15 +66,31 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
     """Insert new keys and replace existing ones with the incoming row (lazy).
 
     When a key repeats in ``incoming`` the row with the greatest ``order_by``
-    wins (without ``order_by`` incoming keys must be unique).  Written as
-    ``existing`` anti-joined with the incoming keys, plus the incoming rows:
-    no row of ``existing`` is duplicated or lost, and applying the same
-    incoming frame twice gives the same result as once."""
+    wins; without ``order_by`` a repeated incoming key fails the job.  A null in a
+    key is a value like any other.  Written as ``existing`` anti-joined with the
+    incoming keys, plus the incoming rows: applying the same incoming frame twice
+    gives the same result as once.  Rows of ``existing`` without a null in their
+    keys join on plain equality, which can use the table's buckets."""
     ks = _resolve(incoming, keys)
-    latest = dedupe(incoming, ks, order_by, keep="latest") if order_by else incoming
+    if order_by:
+        latest = dedupe(incoming, ks, order_by, keep="latest")
+    else:
+        rest = [c for c in incoming.columns if c not in ks]
+        row = F.struct(*[col(c) for c in rest]) if rest else F.lit(0)
+        once = incoming.groupBy(*[col(k) for k in ks]).agg(F.first(row).alias("__row"), F.count(F.lit(1)).alias("__n"))
+        ok = F.assert_true(F.col("__n") == 1, F.lit("upsert: a key repeats among the incoming rows and order_by is not given"))
+        latest = once.filter(ok.isNull()).select(*[col(k) for k in ks], *(["__row.*"] if rest else []))
     latest = latest.select(*[col(c) for c in existing.columns])
-    kept = existing.join(latest.select(*[col(k) for k in ks]), list(ks), "left_anti")
-    return kept.unionByName(latest)
+    new_keys = incoming.select(*[col(k).alias(f"__k{i}") for i, k in enumerate(ks)])
+    es = _resolve(existing, ks)
+    any_null, plain, safe = F.lit(False), F.lit(True), F.lit(True)
+    for i, e in enumerate(es):
+        any_null = any_null | existing[q(e)].isNull()
+        plain = plain & (existing[q(e)] == F.col(f"__k{i}"))
+        safe = safe & existing[q(e)].eqNullSafe(F.col(f"__k{i}"))
+    kept = existing.filter(~any_null).join(new_keys, plain, "left_anti")
+    kept_null = existing.filter(any_null).join(new_keys, safe, "left_anti")
+    return kept.unionByName(kept_null).unionByName(latest)
 
 
 def upsert_table(spark: SparkSession, table: str, incoming: DataFrame, keys: Sequence[str],
@@ -90,7 +114,7 @@ def upsert_table(spark: SparkSession, table: str, incoming: DataFrame, keys: Seq
         w.saveAsTable(target)
 
     if not spark.catalog.tableExists(f"{database}.{table}" if database else table):
-        write(dedupe(incoming, ks, order_by, keep="latest") if order_by else incoming, name)
+        write(upsert(incoming.limit(0), incoming, keys, order_by), name)
         return name
     merged = upsert(spark.table(name), incoming, keys, order_by)
     tag = uuid.uuid4().hex[:8]
@@ -114,29 +138,40 @@ def mart_name(value: str, prefix: str = "datamart_") -> str:
     return prefix + re.sub(r"[^0-9a-z]+", "_", str(value).strip().lower()).strip("_")
 
 
+def _write_parts(df: DataFrame, path: str, part_col: str, mode: str) -> None:
+    """One pass, one folder per value. The rebalance hint gathers each value's rows into few
+    files and splits a value that is too large for one task."""
+    if mode not in ("all", "partitions"):
+        raise ValueError("replace must be 'all' or 'partitions'")
+    (df.hint("rebalance", col(part_col)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static" if mode == "all" else "dynamic").partitionBy(part_col).parquet(path))
+
+
 def build_marts(df: DataFrame, column: str, path: str, values: Sequence[str] | None = None,
-                part_col: str = "mart", drop_source: bool = True) -> dict[str, DataFrame]:
+                part_col: str = "mart", drop_source: bool = True, replace: str = "all") -> dict[str, DataFrame]:
     """One mart per value of ``column``, written in **one** pass partitioned by the
     normalised value (the reference scanned the input once per mart).
 
     Values are matched after normalising both sides (case, '-', spaces), so
     'North-East' and 'NORTHEAST' land in the same mart.  ``values`` restricts
-    the marts; returns name -> frame, each reading only its own partition."""
+    the marts; returns name -> frame, each reading only its own partition, empty
+    if no row belongs to it.  A run replaces all marts below ``path``;
+    ``replace="partitions"`` replaces only those it has rows for."""
     (c,) = _resolve(df, [column])
-    norm = F.regexp_replace(F.lower(F.trim(col(c))), r"[^0-9a-z]+", "")
+    if part_col in df.columns and part_col != c:
+        raise ValueError(f"the data already has a column {part_col!r}; choose another part_col")
+    norm = F.regexp_replace(F.lower(F.trim(col(c).cast("string"))), r"[^0-9a-z]+", "")
     out = df.withColumn(part_col, norm)
     if values is not None:
         wanted = sorted({mart_name(v, "").replace("_", "") for v in values})
         out = out.filter(F.col(part_col).isin(wanted))
-    if drop_source:
+    if drop_source and part_col != c:
         out = out.drop(c)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path)
-    spark = df.sparkSession
-    stored = spark.read.parquet(path)
-    names = values if values is not None else None
-    if names is None:
+    _write_parts(out, path, part_col, replace)
+    stored = df.sparkSession.read.schema(out.schema).parquet(path)  # a known schema: no files are needed to infer one
+    if values is None:
         return {"*": stored}
-    return {mart_name(v): stored.filter(F.col(part_col) == mart_name(v, "").replace("_", "")) for v in names}
+    return {mart_name(v): stored.filter(F.col(part_col) == mart_name(v, "").replace("_", "")) for v in values}
 
 
 def register_marts(spark: SparkSession, path: str, values: Sequence[str], database: str | None = None,
@@ -155,31 +190,46 @@ def register_marts(spark: SparkSession, path: str, values: Sequence[str], databa
     return names
 
 
-def write_split(df: DataFrame, column: str, path: str) -> str:
-    """All splits of T5 in one pass: ``partitionBy(column)``."""
+def write_split(df: DataFrame, column: str, path: str, replace: str = "all") -> str:
+    """All splits of T5 in one pass: ``partitionBy(column)``. A run replaces all splits below
+    ``path``; ``replace="partitions"`` only those it has rows for."""
     (c,) = _resolve(df, [column])
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(c).parquet(path)
+    _write_parts(df, path, c, replace)
     return path
 
 
 # --------------------------------------------------------------------------- K2 / M20
 def save_version(df: DataFrame, base: str, version: str | None = None, part_col: str = "version") -> str:
-    """Save ``df`` as one version under ``base`` (a partition ``version=<v>``).
+    """Save ``df`` as one version under ``base`` (a folder ``version=<v>``).
 
     Dynamic partition overwrite: re-saving the same version replaces only that
     version, other versions are untouched.  Default version: UTC yyyymmdd_HHMMSS."""
     v = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
+    _check_version(v)
+    if part_col.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the data already has a column {part_col!r}; choose another part_col")
     (df.withColumn(part_col, F.lit(v)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(base))
     return v
 
 
+def _check_version(v: str) -> None:
+    import re
+    if not re.fullmatch(r"[0-9A-Za-z_.-]+", v):
+        raise ValueError(f"version {v!r}: use letters, digits, '_', '.' and '-'")
+
+
 def read_version(spark: SparkSession, base: str, version: str | None = None, part_col: str = "version") -> DataFrame:
-    """One version (partition pruning reads only its folder), or all with ``version=None``."""
-    df = spark.read.parquet(base)
-    return df if version is None else df.filter(F.col(part_col) == F.lit(version)).drop(part_col)
+    """One version with its own columns (only its folder is read), or all with ``version=None``:
+    the columns of all versions, null where a version lacks them, and ``part_col`` as text."""
+    if version is not None:
+        _check_version(version)
+        return spark.read.parquet(f"{base.rstrip('/')}/{part_col}={version}")
+    found = spark.read.option("mergeSchema", "true").parquet(base).schema
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == part_col else f for f in found.fields])
+    return spark.read.schema(schema).parquet(base)
 
 
 def list_versions(spark: SparkSession, base: str, part_col: str = "version") -> DataFrame:
     """Versions present under ``base`` with their row counts."""
-    return spark.read.parquet(base).groupBy(part_col).agg(F.count(F.lit(1)).alias("rows"))
+    return read_version(spark, base, None, part_col).groupBy(part_col).agg(F.count(F.lit(1)).alias("rows"))

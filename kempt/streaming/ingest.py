@@ -3,17 +3,19 @@
 The file source's checkpoint remembers which files were processed, so a
 restarted query picks up exactly the files that arrived while it was down,
 and never a file twice.  Each micro-batch is cleansed by the given row-wise
-steps and written to ``<sink>/batch=<id>`` with overwrite: if a batch is
-retried after a failure it replaces its own output instead of appending a
-second copy.  The per-batch profile is written the same way.
+steps and written to ``<sink>/stream=<query id>/batch=<id>`` with overwrite: if a
+batch is retried after a failure it replaces its own output instead of appending a
+second copy, and a query that starts over with a new checkpoint has a new id, so its
+batch 0 does not replace an older one.  The per-batch profile is made from the
+written batch and stored the same way.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kempt.operators.quality import profile
@@ -44,15 +46,21 @@ def ingest_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
     src = r.load(source_dir)
     cleansed = stream_steps(src, steps)
 
+    started, query_id = threading.Event(), []
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink_dir}/batch={batch_id}")
+        started.wait()
+        folder = f"stream={query_id[0]}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(f"{sink_dir}/{folder}")
         if profile_dir:
-            (profile(batch).withColumn("batch", F.lit(batch_id))
-             .write.mode("overwrite").parquet(f"{profile_dir}/batch={batch_id}"))
+            done = batch.sparkSession.read.schema(batch.schema).parquet(f"{sink_dir}/{folder}")
+            profile(done).write.mode("overwrite").parquet(f"{profile_dir}/{folder}")
 
     w = cleansed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     query = w.start()
+    query_id.append(query.id)
+    started.set()
     if available_now:
         query.awaitTermination()
     return query

@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as E
+from kempt.plans.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -41,12 +41,12 @@ def _rows(rows, cols):
     return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     cols = df.columns
     got = _rows([tuple(r) for r in df.collect()], cols)
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(ORACLE[name])
     dcols = [d[0] for d in cur.description]
     want = _rows(cur.fetchall(), dcols)
     assert sorted(cols) == sorted(dcols)
@@ -56,6 +56,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_queries_run(spark, name):
-    assert E.queries()[name](spark, SF).count() > 0
+    assert QUERIES[name](spark, SF).count() > 0
