@@ -1400,9 +1400,166 @@ def q_config_pipeline(spark, sf):
     return run_pipeline(dirty_orders(spark, sf), steps_from_config(DIRTY_CONFIG))
 
 
-@query("config_reports", W(_DUP_SQL.format(src="dirty_orders", keys=", ".join(_DO_ALL))))
+def _config_reports_sql() -> str:
+    parts, none = [], "max(CAST(NULL AS INTEGER))"
+    for c, ty in _DO_TYPES.items():
+        dom = "count(*) FILTER (WHERE region_txt NOT IN ('north', 'NORTH-EAST'))" if c == "region_txt" else none
+        for measure, value in (("nulls", f"count(*) - count({c})"), ("invalid_format", none), ("invalid_domain", dom),
+                               ("distinct", f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)")):
+            parts.append(f"""SELECT 'validate' AS report, '{c}|{ty}' AS item, '{measure}' AS measure, CAST({value} AS DOUBLE) AS value
+FROM dirty_orders""")
+    for measure in ("rows", "distinct_rows", "duplicate_groups", "surplus_rows"):
+        parts.append(f"SELECT 'transforming.data_duplication', '', '{measure}', CAST({measure} AS DOUBLE) FROM dup")
+    dup = _DUP_SQL.format(src="dirty_orders", keys=", ".join(_DO_ALL))
+    return f"dup AS ({dup})\n" + "\nUNION ALL\n".join(parts)
+
+
+@query("config_reports", W(_config_reports_sql()))
 def q_config_reports(spark, sf):
-    """The report switches of the same configuration; here the transforming stage's
-    duplicate count (T15) over the raw input."""
+    """Every report of the same configuration, stacked."""
+    from kempt.plans.config import reports_from_config, stack_reports
+    return stack_reports(reports_from_config(dirty_orders(spark, sf), DIRTY_CONFIG))
+
+
+# =========================================================================== PL1, the reference's own switches
+# A table with the 34 columns that the shipped configuration names, one row per order. Each
+# expression is SQL that both engines read alike; the rules only place dirt, they drop no row.
+_K = "o_orderkey"
+LOAN = {
+    "ID": _K, "year": "CAST(2015 + o_orderkey % 4 AS INT)",
+    "loan_limit": f"CASE WHEN {_K} % 211 = 0 THEN NULL WHEN {_K} % 3 = 0 THEN 'ncf' ELSE 'cf' END",
+    "Gender": f"CASE WHEN {_K} % 4 = 0 THEN 'Male' WHEN {_K} % 4 = 1 THEN 'Female' WHEN {_K} % 4 = 2 THEN 'Joint' ELSE 'Sex Not Available' END",
+    "approv_in_adv": f"CASE WHEN {_K} % 89 = 0 THEN '' WHEN {_K} % 5 = 0 THEN 'pre' ELSE 'nopre' END",
+    "loan_type": f"CASE WHEN {_K} % 6 = 0 THEN 'type3' WHEN {_K} % 6 = 1 THEN 'type2' ELSE 'type1' END",
+    "loan_purpose": "lower(substr(c_mktsegment, 1, 2))", "Credit_Worthiness": "'l1'",
+    "open_credit": f"CASE WHEN {_K} % 50 = 0 THEN 'opc' ELSE 'nopc' END",
+    "business_or_commercial": f"CASE WHEN {_K} % 7 = 0 THEN 'b/c' ELSE 'nob/c' END",
+    "loan_amount": f"CASE WHEN {_K} % 97 = 0 THEN o_totalprice * 20 ELSE o_totalprice END",
+    "rate_of_interest": f"CASE WHEN {_K} % 150 = 0 THEN NULL ELSE CAST(2.5 + ({_K} % 16) * 0.125 AS DOUBLE) END",
+    "Interest_rate_spread": f"CAST({_K} % 1000 AS DOUBLE) / 999 - 0.25",
+    "Upfront_charges": f"CASE WHEN {_K} % 4 = 0 THEN NULL ELSE o_totalprice * 0.0125 END",
+    "term": f"CAST(CASE WHEN {_K} % 9 = 0 THEN 180 ELSE 360 END AS INT)", "Neg_ammortization": "'not_neg'",
+    "interest_only": f"CASE WHEN {_K} % 20 = 0 THEN 'int_only' ELSE 'not_int' END", "lump_sum_payment": "'not_lpsm'",
+    "property_value": "o_totalprice * 1.5 + c_custkey", "construction_type": f"CASE WHEN {_K} % 99 = 0 THEN 'mh' ELSE 'sb' END",
+    "occupancy_type": "'pr'", "Secured_by": "'home'", "total_units": f"CASE WHEN {_K} % 33 = 0 THEN '2U' ELSE '1U' END",
+    "income": f"CASE WHEN {_K} % 101 = 0 THEN c_acctbal * -30 ELSE c_acctbal END", "credit_type": "'EXP'",
+    "Credit_Score": f"CAST(500 + {_K} % 400 AS INT)", "co-applicant_credit_type": "'CIB'",
+    "age": f"CASE WHEN {_K} % 120 = 0 THEN NULL WHEN {_K} % 2 = 0 THEN '25-34' ELSE '>74' END",
+    "submission_of_application": f"CASE WHEN {_K} % 170 = 0 THEN NULL ELSE 'to_inst' END",
+    "LTV": "(o_totalprice + 1) * 100 / (o_totalprice * 1.5 + c_custkey)", "Region": "c_mktsegment || '-' || c_nationkey",
+    "Security_Type": f"CASE WHEN {_K} % 600 = 0 THEN 'Indriect' ELSE 'direct' END", "Status": f"CAST({_K} % 2 AS INT)",
+    "dtir1": f"CAST(20 + {_K} % 40 AS DOUBLE)",
+}
+
+
+def loans(spark, sf):
+    j = t(spark, sf, "orders").join(t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    copies = F.when(F.col("o_orderkey") % 40 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return j.select(*[F.expr(e).alias(n) for n, e in LOAN.items()], F.explode(copies).alias("__copy")).drop("__copy")
+
+
+# The switches and parameters as the configuration ships them.
+SHIPPED = {
+    "columns_to_winsorize": ["LTV", "income", "loan_amount", "property_value", "Upfront_charges"], "threshold": 3,
+    "inconsistant_column": ["LTV", "Interest_rate_spread"],
+    "typing_error_inaccuracies": {"Security_Type": {"Indriect": "Indirect"}},
+    "null_threshold": 6, "columns2convert_data": ["year", "Status"], "datetime_columns": ["year"],
+    "Text_encoding": "utf-8", "inconsistant_unit_column": ["Upfront_charges"],
+    "hashing_privacy": {"columns_to_hash": ["ID"], "hash_length": 256},
+    "standardizing_column": {
+        "Gender": {"Male": "M", "Female": "F", "Joint": "J", "Sex Not Available": "SNA"},
+        "loan_limit": {"cf": "CF", "ncf": "NCF"}, "approv_in_adv": {"pre": "P", "nopre": "NP"},
+        "loan_type": {"type1": "T1", "type2": "T2", "type3": "T3"}, "business_or_commercial": {"nob/c": "NBC", "b/c": "BC"}},
+    "rounding_after_cleaning": ["loan_amount", "property_value", "income"],
+    "to_imputation": {"age": "NA", "approv_in_adv": "NP"},
+    "col_to_extract": ["Credit_Score", "loan_amount", "property_value", "rate_of_interest", "dtir1", "income", "LTV",
+                       "Upfront_charges", "Status"],
+    "col_to_sort": "loan_amount", "col_to_convert": ["loan_amount", "property_value"],
+    "redundancy_columns": ["Secured_by", "construction_type", "Security_Type", "year", "ID"],
+    "col_to_describe": ["loan_amount", "rate_of_interest", "Interest_rate_spread", "Upfront_charges", "term", "property_value",
+                        "income", "Credit_Score", "LTV"],
+    "dec_col_to_check": ["LTV", "Interest_rate_spread"], "data_to_check": ["DIRECT", "INDIRECT"],
+    "std_col_to_check": ["Gender", "loan_limit", "approv_in_adv", "loan_type", "business_or_commercial"],
+    "data_schema": dict.fromkeys(LOAN, True),
+    "cleansing_config": dict.fromkeys([
+        "remove_duplicates", "handle_missing_values", "correct_typos_and_inaccuracies", "handle_outliers",
+        "handle_inconsistent_data", "handle_incomplete_records", "convert_data_types", "standardize_categorical_data",
+        "handle_encoding_issues", "deal_with_inconsistent_units", "handle_special_characters_and_symbols",
+        "conform_to_data_privacy_regulations"], True),
+    "massaging": dict.fromkeys(["data_validation", "data_verification", "data_conversion", "data_formatting",
+                                "data_deduplication", "data_imputation", "data_normalization"], True),
+    "transforming": dict.fromkeys(["data_aggregation", "data_filtering", "data_sorting", "data_extraction",
+                                   "data_duplication", "data_conversion", "data_redundancy_removal"], True),
+    "validation_config": dict.fromkeys([
+        "schema_validation", "datatypes_validation", "duplicates", "row_coulumn_count", "check_uppercase",
+        "null_count_validation", "decimal_validation", "spelling_validation", "standardization_check", "special_char_check"], True),
+    "hive_schema": {"fields": [{"name": n, "type": "string" if n in ("ID", "year", "Status") else "double"}
+                               for n in ("ID", "year", "Status", "loan_amount", "LTV")]},
+}
+_LOAN_TEXT = ["loan_limit", "Gender", "approv_in_adv", "loan_type", "loan_purpose", "Credit_Worthiness", "open_credit",
+              "business_or_commercial", "Neg_ammortization", "interest_only", "lump_sum_payment", "construction_type",
+              "occupancy_type", "Secured_by", "total_units", "credit_type", "co-applicant_credit_type", "age",
+              "submission_of_application", "Region", "Security_Type"]
+
+
+def _loan_sql() -> str:
+    """The shipped steps written out in SQL, one CTE for each group of steps."""
+    def select(new: dict[str, str], source: str, distinct: bool = False) -> str:
+        cols = ", ".join(f'{new[n]} AS "{n}"' if n in new else f'"{n}"' for n in LOAN)
+        return f"SELECT {'DISTINCT ' * distinct}{cols} FROM {source}"
+
+    wins = SHIPPED["columns_to_winsorize"]
+    blank = {n: f"""CASE WHEN "{n}" = '' THEN NULL ELSE "{n}" END""" for n in _LOAN_TEXT}
+    blank["Security_Type"] = """CASE "Security_Type" WHEN '' THEN NULL WHEN 'Indriect' THEN 'Indirect' ELSE "Security_Type" END"""
+    clamp = {n: f"""CASE WHEN abs(("{n}" - m_{n}) / s_{n}) > 3 AND "{n}" > m_{n} THEN m_{n} + 3 * s_{n}
+      WHEN abs(("{n}" - m_{n}) / s_{n}) > 3 THEN m_{n} - 3 * s_{n} ELSE "{n}" END""" for n in wins}
+    clamp["LTV"] = rnd_text(clamp["LTV"])
+    clamp["Interest_rate_spread"] = rnd_text('"Interest_rate_spread"')
+    clamp["Upfront_charges"] = f"TRY_CAST({rnd_text(clamp['Upfront_charges'], 0)} AS INTEGER)"
+    text = {n: f'"{n}"' for n in _LOAN_TEXT}
+    for n, m in SHIPPED["standardizing_column"].items():
+        text[n] = f'CASE "{n}" ' + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in m.items()) + f' ELSE "{n}" END'
+    text |= {"year": 'CAST("year" AS VARCHAR)', "Status": 'CAST("Status" AS VARCHAR)'}
+    text = {n: e if n == "age" else f"regexp_replace({e}, '{_SPECIAL_RE2}', '', 'g')" for n, e in text.items()}
+    text = {n: f"upper({e})" for n, e in text.items()} | {"ID": 'upper(sha256(CAST("ID" AS VARCHAR)))'}
+    last = {"age": "coalesce(\"age\", 'NA')", "approv_in_adv": "coalesce(\"approv_in_adv\", 'NP')"}
+    last |= {n: f'TRY_CAST({rnd_text(chr(34) + n + chr(34), 0)} AS INTEGER)' for n in SHIPPED["rounding_after_cleaning"]}
+    moments = ", ".join(f'avg("{n}") AS m_{n}, stddev_samp("{n}") AS s_{n}' for n in wins)
+    shares = ", ".join(f'CAST(count(*) - count("{n}") AS DOUBLE) * 100.0 / count(*) AS "h_{n}"' for n in LOAN)
+    filled = " + ".join(f'CASE WHEN "{n}" IS NULL THEN 0 ELSE 1 END' for n in LOAN)
+    keep = " AND ".join(f'NOT ("{n}" IS NULL AND "h_{n}" > 0 AND "h_{n}" < 1)' for n in LOAN)
+    out = ", ".join(f'"{n}"' for n in LOAN if n not in SHIPPED["redundancy_columns"])
+    base = ", ".join(f'{e} AS "{n}"' for n, e in LOAN.items())
+    return f"""WITH o AS (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 40 = 0),
+loan AS (SELECT DISTINCT {base} FROM o JOIN customer ON o_custkey = c_custkey),
+d2 AS ({select(blank, 'loan')}),
+mo AS (SELECT {moments} FROM d2),
+d3 AS (SELECT * FROM ({select(clamp, 'd2, mo')}) WHERE {filled} >= 6),
+d4 AS ({select(text, 'd3', True)}),
+d5 AS ({select(last, 'd4')}),
+sh AS (SELECT {shares} FROM d5)
+SELECT {out} FROM d5, sh WHERE {keep}"""
+
+
+@query("config_shipped", _loan_sql())
+def q_config_shipped(spark, sf):
+    """The configuration's own switches over a table with its own 34 columns."""
+    from kempt.plans.config import steps_from_config
+    return run_pipeline(loans(spark, sf), steps_from_config(SHIPPED))
+
+
+def _shipped_reports_sql() -> str:
+    checks = ", ".join(f"('{c}')" for c in LOAN)
+    return f"""SELECT 'validation_config.schema_validation' AS report, c || '|match' AS item, count(*) AS input_rows
+FROM (VALUES {checks}) v(c), orders GROUP BY 1, 2"""
+
+
+@query("config_shipped_reports", _shipped_reports_sql())
+def q_config_shipped_reports(spark, sf):
+    """All reports of the shipped configuration are built; its schema check is returned."""
     from kempt.plans.config import reports_from_config
-    return reports_from_config(dirty_orders(spark, sf), DIRTY_CONFIG)["transforming.data_duplication"]
+    reports = reports_from_config(loans(spark, sf), SHIPPED)
+    name = "validation_config.schema_validation"
+    n = t(spark, sf, "orders").agg(F.lit(1).alias("one"), F.count(F.lit(1)).alias("input_rows"))
+    return (reports[name].select(F.lit(name).alias("report"), F.concat_ws("|", "column", "status").alias("item"), F.lit(1).alias("one"))
+            .join(n, "one").drop("one"))
