@@ -63,21 +63,21 @@ def prefix_sums(df: DataFrame, order: str, values: list[str], chunk: int = 1024)
     chunk totals, so no window ever holds more than ``chunk`` rows."""
     from pyspark.sql import Window
 
-    out = df.withColumn("_chunk", F.floor(F.col(order) / chunk).cast("long"))
-    w = Window.partitionBy("_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    part = f"{order}_chunk"  # a name of its own at each level
+    chunks = F.floor(F.col(order) / chunk).cast("long")
+    out = df.withColumn(part, chunks)
+    w = Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     for v in values:
         out = out.withColumn(f"{v}_before", F.coalesce(F.sum(v).over(w), F.lit(0)).cast("long"))
     top = df.agg(F.max(order)).first()[0]
     if top is None or top < chunk:
-        return out.drop("_chunk")
-    totals = (df.groupBy(F.floor(F.col(order) / chunk).cast("long").alias("_chunk"))
-              .agg(*[F.sum(v).cast("long").alias(v) for v in values]))
-    base = prefix_sums(totals, "_chunk", values, chunk).select(
-        "_chunk", *[F.col(f"{v}_before").alias(f"_base_{v}") for v in values])
-    out = out.join(base, "_chunk")
+        return out.drop(part)
+    totals = df.groupBy(chunks.alias(part)).agg(*[F.sum(v).cast("long").alias(v) for v in values])
+    base = prefix_sums(totals, part, values, chunk).select(part, *[F.col(f"{v}_before").alias(f"_base_{v}") for v in values])
+    out = out.join(base, part)
     for v in values:
         out = out.withColumn(f"{v}_before", F.col(f"{v}_before") + F.col(f"_base_{v}"))
-    return out.drop("_chunk", *[f"_base_{v}" for v in values])
+    return out.drop(part, *[f"_base_{v}" for v in values])
 
 
 def keep_rows(docs: DataFrame, decisions: DataFrame, key: dict[str, Column]) -> DataFrame:
@@ -88,24 +88,20 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, key: dict[str, Column]) ->
     agree in the whole key (the same document stored twice) at most one stays: the one
     whose remaining columns are smallest. Only the dropped and repeated keys are joined, so
     documents move only if those keys are too many to broadcast (Spark decides by size)."""
-    names = list(key)
-    tmp = {k: f"__key_{k}" for k in names}
-    per = stored(decisions.groupBy(*names).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-                 .filter(~F.col("kept") | (F.col("n") > 1))
-                 .withColumnsRenamed(tmp), "keep-keys")
-    keyed = docs.withColumns({tmp[k]: c for k, c in key.items()})
-
-    def match(side):
-        cond = None
-        for k in names:
-            c = keyed[tmp[k]].eqNullSafe(side[tmp[k]])
-            cond = c if cond is None else cond & c
-        return cond
-
-    once = keyed.join(per, match(per), "left_anti").select(*[keyed[f"`{c}`"] for c in docs.columns])
+    names = [f"key_{k}" for k in key]
+    per = stored(decisions.groupBy(*[F.col(k).alias(n) for k, n in zip(key, names, strict=True)])
+                 .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+                 .filter(~F.col("kept") | (F.col("n") > 1)), "keep-keys")
+    # rows travel as one struct, so that no column of theirs can clash
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        *[c.alias(f"row_{k}") for k, c in key.items()])
+    cond = F.lit(True)
+    for k, n in zip(key, names, strict=True):
+        cond = cond & F.col(f"row_{k}").eqNullSafe(F.col(n))
+    rows = [F.col(f"row.`{c}`") for c in docs.columns]
+    once = keyed.join(per, cond, "left_anti").select(*rows)
     twice = per.filter(F.col("kept"))
     if twice.isEmpty():
         return once
-    rep = keyed.join(twice, match(twice), "left_semi")
-    rest = rep.groupBy(*tmp.values()).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row"))
-    return once.unionByName(rest.select(*[F.col(f"_row.`{c}`") for c in docs.columns]))
+    rest = (keyed.join(twice, cond, "left_semi").groupBy(*[f"row_{k}" for k in key]).agg(F.min("row").alias("row")))
+    return once.unionByName(rest.select(*rows))
