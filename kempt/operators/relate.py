@@ -241,7 +241,7 @@ def transpose(df: DataFrame, key: str, max_rows: int = 1000, var: str = "column"
     (values as text).  The output is as wide as the input is long, so the input is
     checked first: more than ``max_rows`` rows, or a repeated key, is refused."""
     (k,) = _resolve(df, [key])
-    keys = [r[0] for r in df.select(col(k)).limit(max_rows + 1).collect()]
+    keys = sorted((r[0] for r in df.select(col(k)).limit(max_rows + 1).collect()), key=lambda v: (v is None, str(v) if v is None else v))
     if len(keys) > max_rows:
         raise ValueError(f"transpose refused: more than {max_rows} rows")
     if len(set(keys)) != len(keys) or any(v is None for v in keys):

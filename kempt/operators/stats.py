@@ -171,7 +171,10 @@ def exact_quantile(df: DataFrame, column: str, q: float = 0.5, max_bracket_rows:
     if inner:
         a, b = _finite_ranks(finite, n_finite, inner[0], inner[-1], r["b"], max_bracket_rows, buckets)
         v_lo, v_hi = (a if v_lo is None else v_lo), (b if v_hi is None else v_hi)
-    return v_lo if v_lo == v_hi else v_lo + (pos - k_lo) * (v_hi - v_lo)
+    if v_lo == v_hi:
+        return v_lo
+    w, gap = pos - k_lo, v_hi - v_lo
+    return v_lo + w * gap if abs(gap) < inf else (1 - w) * v_lo + w * v_hi  # a gap may be too large for a double
 
 
 def _finite_ranks(x: DataFrame, n: int, k_lo: int, k_hi: int, bracket: Sequence[float], few: int,

@@ -79,14 +79,15 @@ def flagship_df(spark: SparkSession, sf: str, materialize_clean: bool = True, ho
     if materialize_clean:
         # the winsorize fit and the aggregation both need the de-duplicated rows: write
         # them once, and compute the amount statistics during that same write
-        x = x.select("custkey", "amount", "priority")
+        x = x.select("custkey", "amount", "priority", "status")
         x, metrics = materialize(x, "flagship-clean", observe=stats.moment_exprs(x, ["amount"]))
         fitted = stats.moments_from(metrics, x, ["amount"])
     x = stats.winsorize(x, ["amount"], threshold=3.0, mode="clamp", stats=fitted)
     per_cust = x.groupBy("custkey").agg(F.count(F.lit(1)).alias("n"), F.count("amount").alias("na"),
                                         F.sum("amount").alias("s"), F.max("amount").alias("hi"),
                                         F.min("amount").alias("lo"),
-                                        F.count_if(F.col("priority").isNull()).alias("np"))
+                                        F.count_if(F.col("priority").isNull()).alias("np"),
+                                        F.count_if(F.col("status") == "F").alias("nf"))
     cust = t(spark, sf, "customer").select("c_custkey", "c_nationkey")
     nation = F.broadcast(t(spark, sf, "nation").select("n_nationkey", "n_regionkey"))
     region = F.broadcast(t(spark, sf, "region").select("r_regionkey", "r_name"))
@@ -99,7 +100,7 @@ def flagship_df(spark: SparkSession, sf: str, materialize_clean: bool = True, ho
         stable_round(F.sum("s") / F.sum("na"), 2).alias("avg_amount"),
         stable_round(F.max("hi"), 2).alias("max_amount"),
         stable_round(F.min("lo"), 2).alias("min_amount"),
-        F.sum("np").cast("bigint").alias("null_priority"))
+        F.sum("np").cast("bigint").alias("null_priority"), F.sum("nf").cast("bigint").alias("finished"))
 
 
 _CLEAN_SQL = """d AS (SELECT DISTINCT * FROM dirty_orders),
@@ -116,29 +117,20 @@ w AS (SELECT c.id, c.custkey, c.priority, c.status,
              ELSE amount END AS amount
       FROM c, s)"""
 
-query("flagship", W(_CLEAN_SQL + f""",
-r AS (SELECT r_name, amount, priority FROM w
-      JOIN customer ON w.custkey = c_custkey
-      JOIN nation ON c_nationkey = n_nationkey
-      JOIN region ON n_regionkey = r_regionkey)
-SELECT r_name, count(*) AS n_orders, count(amount) AS n_amount,
-       {rnd('avg(amount)')} AS avg_amount, {rnd('max(amount)')} AS max_amount,
-       {rnd('min(amount)')} AS min_amount,
-       CAST(sum(CASE WHEN priority IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_priority
-FROM r GROUP BY r_name"""))(flagship_df)
-
-
 _FLAGSHIP_SQL = _CLEAN_SQL + f""",
-r AS (SELECT r_name, amount, priority FROM w
+r AS (SELECT r_name, amount, priority, status FROM w
       JOIN customer ON w.custkey = c_custkey
       JOIN nation ON c_nationkey = n_nationkey
       JOIN region ON n_regionkey = r_regionkey)
 SELECT r_name, count(*) AS n_orders, count(amount) AS n_amount,
        {rnd('avg(amount)')} AS avg_amount, {rnd('max(amount)')} AS max_amount,
        {rnd('min(amount)')} AS min_amount,
-       CAST(sum(CASE WHEN priority IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_priority
+       CAST(sum(CASE WHEN priority IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_priority,
+       count(*) FILTER (WHERE status = 'F') AS finished
 FROM r GROUP BY r_name"""
 
+query("flagship", W(_FLAGSHIP_SQL))(flagship_df)
+
 
 @query("flagship_hot_customer", f"WITH {DIRTY_HOT_CTE},\n{_FLAGSHIP_SQL}")
 def q_flagship_hot(spark, sf):
@@ -177,12 +169,18 @@ def q_dedupe_latest(spark, sf):
     return cleanse.dedupe(t(spark, sf, "events"), ["user_id"], ["ts", "event_id"], keep="latest")
 
 
-@query("dedupe_keys", W("""SELECT id, count(*) AS n FROM (
-  SELECT id, custkey, amount, priority, status, year_txt, region_txt,
-         row_number() OVER (PARTITION BY id ORDER BY id) AS rn FROM dirty_orders) WHERE rn = 1 GROUP BY id"""))
+@query("dedupe_keys", W("""SELECT DISTINCT id, custkey, amount, priority, status, year_txt, region_txt, true AS from_input
+FROM dirty_orders"""))
 def q_dedupe_keys(spark, sf):
-    d = cleanse.dedupe(dirty_orders(spark, sf), ["id"])
-    return d.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    """One whole row per key; repeats of an order are equal rows, so any of them is right."""
+    x = dirty_orders(spark, sf)
+    d = cleanse.dedupe(x, ["id"])
+    cols = d.columns
+    there = x.select(*[F.col(c).alias(f"x_{c}") for c in cols]).distinct().withColumn("found", F.lit(True))
+    same = F.lit(True)
+    for c in cols:
+        same = same & d[c].eqNullSafe(F.col(f"x_{c}"))
+    return d.join(there, same, "left").select(*cols, F.col("found").isNotNull().alias("from_input"))
 
 
 # =========================================================================== C2 / C7 / T2
@@ -803,13 +801,13 @@ def q_label_index(spark, sf):
 
 
 _SPLITS = [-1000, 0, 2500, 5000, 7500, 9000]
-_LABELS = ["Poor", "Fair", "Good", "Very Good", "Excellent"]
+_LABELS = ["overdrawn", "low", "middle", "high", "top"]
 
 
 @query("bin_col", """SELECT c_custkey, c_acctbal, CASE
-  WHEN c_acctbal >= -1000 AND c_acctbal < 0 THEN 'Poor' WHEN c_acctbal >= 0 AND c_acctbal < 2500 THEN 'Fair'
-  WHEN c_acctbal >= 2500 AND c_acctbal < 5000 THEN 'Good' WHEN c_acctbal >= 5000 AND c_acctbal < 7500 THEN 'Very Good'
-  WHEN c_acctbal >= 7500 AND c_acctbal <= 9000 THEN 'Excellent' ELSE 'Unknown' END AS acctbal_band FROM customer""")
+  WHEN c_acctbal >= -1000 AND c_acctbal < 0 THEN 'overdrawn' WHEN c_acctbal >= 0 AND c_acctbal < 2500 THEN 'low'
+  WHEN c_acctbal >= 2500 AND c_acctbal < 5000 THEN 'middle' WHEN c_acctbal >= 5000 AND c_acctbal < 7500 THEN 'high'
+  WHEN c_acctbal >= 7500 AND c_acctbal <= 9000 THEN 'top' ELSE 'Unknown' END AS acctbal_band FROM customer""")
 def q_bin_col(spark, sf):
     c = t(spark, sf, "customer").select("c_custkey", "c_acctbal")
     return derive.bin_col(c, "c_acctbal", _SPLITS, _LABELS, out="acctbal_band")

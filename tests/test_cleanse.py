@@ -122,3 +122,32 @@ def test_drop_cols_ignores_absent(spark):
 def test_convert_unit(spark):
     df = spark.createDataFrame([(100.0,), (None,)], "x double")
     assert rows(cleanse.convert_unit(df, "x", 0.012, out="y"), "y") == [(1.2,), (None,)]
+
+
+def test_round_keeps_what_is_there(spark):
+    vals = [1.23456789012, 0.1249996, 0.125, -0.125, float("nan"), float("inf"), 1e33, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
+    r8 = {r["i"]: r["x"] for r in cleanse.round_cols(df, ["x"], 8).collect()}
+    assert r8[0] == 1.23456789 and r8[5] == float("inf") and r8[4] != r8[4] and r8[6] == 1e33 and r8[7] is None
+    r2 = {r["i"]: r["x"] for r in cleanse.round_cols(df, ["x"], 2).collect()}
+    assert (r2[1], r2[2], r2[3]) == (0.12, 0.13, -0.13)
+    whole = {r["i"]: r["x"] for r in cleanse.round_to_int(df, ["x"]).collect()}
+    assert whole == {0: 1, 1: 0, 2: 0, 3: 0, 4: None, 5: None, 6: None, 7: None}
+
+
+def test_map_values_to_null(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "x string")
+    assert rows(cleanse.map_values(df, {"x": {"a": None}})) == rows(df.replace({"a": None}, subset=["x"]))
+    table = spark.createDataFrame([("a", None)], "`from` string, `to` string")
+    assert rows(cleanse.map_values(df, table=table, column="x")) == rows(df.replace({"a": None}, subset=["x"]))
+
+
+def test_drop_incomplete_is_dropna(spark):
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (None, "c"), (None, None)], "x double, s string")
+    assert rows(cleanse.drop_incomplete(df, 2)) == rows(df.dropna(thresh=2)) == [(1.0, "a")]
+
+
+def test_reencode_other_names(spark):
+    df = spark.createDataFrame([("aé漢",)], "s string")
+    assert rows(cleanse.reencode(df, charset="ASCII")) == [("a??",)]
+    assert rows(cleanse.reencode(df, charset="latin1")) == [("aé?",)]

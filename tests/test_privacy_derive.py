@@ -26,12 +26,11 @@ def test_parse_address(spark):
 
 
 def test_bin_col_edges(spark):
-    vals = [-1, 0, 499, 500, 899, 900, 950, None]
+    vals = [-1, 0, 9, 10, 29, 30, 31, None]
     df = spark.createDataFrame([(v,) for v in vals], "x int")
-    out = derive.bin_col(df, "x", [0, 500, 600, 700, 800, 900], ["Poor", "Fair", "Good", "Very Good", "Excellent"])
+    out = derive.bin_col(df, "x", [0, 10, 20, 30], ["low", "middle", "high"])
     got = {r["x"]: r["x_bins"] for r in out.collect()}
-    assert got == {-1: "Unknown", 0: "Poor", 499: "Poor", 500: "Fair", 899: "Excellent", 900: "Excellent",
-                   950: "Unknown", None: "Unknown"}
+    assert got == {-1: "Unknown", 0: "low", 9: "low", 10: "middle", 29: "high", 30: "high", 31: "Unknown", None: "Unknown"}
 
 
 def test_concat_and_encode(spark):
@@ -92,3 +91,10 @@ def test_label_index_many_labels_across_partitions(spark):
     by = {r["v"]: r["v_index"] for r in out}
     # labels 0..8 occur 4 times (3000 = 3*997 + 9), the rest 3 times; ties by label text
     assert by["0"] == 0 and by["8"] == 8 and by["10"] == 9
+
+
+def test_encode_map_shared_code(spark):
+    """Two values with one code share the column."""
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "x string")
+    out = derive.encode_map(df, {"x": {"a": 1, "b": 1, "c": 2}})
+    assert rows(out, "x", "x_encoded_1", "x_encoded_2") == [("a", 1, 0), ("b", 1, 0), ("c", 0, 2), (None, 0, 0)]

@@ -92,3 +92,32 @@ def test_merge_kinds(spark):
     assert rows(relate.merge(left, right, "k", "right")) == [(2, "b", "x"), (3, None, "y")]
     assert rows(relate.merge(left, right, "k", "full")) == [(1, "a", None), (2, "b", "x"), (3, None, "y")]
     assert rows(relate.merge(left, right, "k", "inner", broadcast=True)) == [(2, "b", "x")]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salting_identical_hot_rows(spark, how):
+    left = spark.createDataFrame([(1, "x")] * 300 + [(k, "y") for k in range(40)] + [(None, "z")], "k int, a string")
+    right = spark.createDataFrame([(1, "r1"), (1, "r2"), (5, "r5"), (99, "r99"), (None, "rn")], "k int, b string")
+    assert rows(relate.merge(left, right, "k", how, salt_buckets=4)) == rows(left.join(right, "k", how))
+
+
+def test_salts_spread_identical_rows(spark):
+    left = spark.createDataFrame([(1,)] * 1000, "k int").repartition(4)
+    plan = relate.merge(left, spark.createDataFrame([(1, "r")], "k int, b string"), "k", salt_buckets=8)
+    assert plan.count() == 1000
+
+
+def test_full_join_on_names_equals_full_join(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n")], "k int, a string")
+    right = spark.createDataFrame([(1, "x"), (3, "y"), (None, "m")], "k int, b string")
+    assert rows(relate.merge(left, right, "k", "full"), "k", "a", "b") == rows(left.join(right, "k", "full"), "k", "a", "b")
+
+
+def test_group_median(spark):
+    data = [("a", 1.0), ("a", 2.0), ("a", 10.0), ("b", 4.0), ("b", 8.0), ("c", None), (None, 7.0)]
+    df = spark.createDataFrame(data, "g string, x double")
+    got = rows(relate.aggregate(df, ["g"], {"m": ("median", "x"), "n": ("count", "*")}), "g", "m", "n")
+    assert got == rows(df.selectExpr("g", "x").groupBy("g").agg(F.median("x").alias("m"), F.count("*").alias("n")), "g", "m", "n")
+    assert rows(relate.aggregate(df, [], {"m": ("median", "x")})) == [(5.5,)]
+    p = relate.pivot_table(df.withColumn("one", F.lit(1)), "one", "g", "x", "median", values=["a", "b"])
+    assert rows(p, "a", "b") == [(2.0, 6.0)]

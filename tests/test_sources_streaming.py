@@ -176,3 +176,91 @@ def test_formats_round_trip(spark, tmp, fmt):
     files.write_table(df, f"{tmp}/{fmt}", fmt, mode="overwrite", partition_by=["id"])
     back = files.read_table(spark, f"{tmp}/{fmt}", fmt, schema="s string, d double, id int")
     assert rows(back.select("id", "s", "d")) == [(1, "a", 1.5), (2, None, None)]
+
+
+def test_rerun_leaves_nothing_stale(spark, tmp):
+    df = spark.createDataFrame([("north", 1), ("south", 2)], "r string, x int")
+    tables.build_marts(df, "r", f"{tmp}/m", values=["north", "south"])
+    marts = tables.build_marts(df.filter("r = 'north'"), "r", f"{tmp}/m", values=["north", "south"])
+    assert marts["datamart_south"].count() == 0 and marts["datamart_north"].count() == 1
+    files.write_table(df, f"{tmp}/w", partition_by=["r"])
+    files.write_table(df.filter("r = 'north'"), f"{tmp}/w", mode="overwrite", partition_by=["r"])
+    assert spark.read.parquet(f"{tmp}/w").count() == 1
+    files.write_table(df.filter("r = 'south'"), f"{tmp}/w", mode="overwrite", partition_by=["r"], replace="partitions")
+    assert spark.read.parquet(f"{tmp}/w").count() == 2
+    tables.write_split(df, "r", f"{tmp}/s")
+    tables.write_split(df.filter("r = 'south'"), "r", f"{tmp}/s")
+    assert rows(spark.read.parquet(f"{tmp}/s"), "r") == [("south",)]
+
+
+def test_versions_keep_their_columns(spark, tmp):
+    tables.save_version(spark.createDataFrame([(1,)], "a int"), f"{tmp}/v", "1")
+    tables.save_version(spark.createDataFrame([(2, "x")], "a int, b string"), f"{tmp}/v", "02")
+    assert tables.read_version(spark, f"{tmp}/v", "02").columns == ["a", "b"]
+    assert rows(tables.read_version(spark, f"{tmp}/v"), "version", "a", "b") == [("02", 2, "x"), ("1", 1, None)]
+    with pytest.raises(ValueError, match="version"):
+        tables.save_version(spark.createDataFrame([(1,)], "version int"), f"{tmp}/v", "3")
+
+
+def test_upsert_null_and_repeated_keys(spark):
+    old = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    new = spark.createDataFrame([(None, "c"), (2, "d")], "k int, v string")
+    once = tables.upsert(old, new, ["k"])
+    assert rows(once) == rows(tables.upsert(once, new, ["k"])) == [(1, "a"), (2, "d"), (None, "c")]
+    with pytest.raises(Exception, match="order_by"):
+        tables.upsert(old, new.union(new), ["k"]).collect()
+
+
+def test_append_to_a_bucketed_table(spark, tmp):
+    db = tables.ensure_database(spark, "kempt_append", location=f"{tmp}/adb")
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    tables.upsert_table(spark, "t", df, ["k"], database=db, buckets=2)
+    tables.append_table(spark.createDataFrame([("b", 2)], "v string, k int"), "t", db)
+    assert rows(spark.table(f"{db}.t"), "k", "v") == [(1, "a"), (2, "b")]
+
+
+def test_dedupe_on_a_stream_is_refused(spark, tmp):
+    spark.createDataFrame([(1,)], "k int").write.parquet(f"{tmp}/d")
+    with pytest.raises(PipelineError, match="stream"):
+        run_pipeline(spark.readStream.schema("k int").parquet(f"{tmp}/d"), [{"op": "dedupe"}])
+
+
+def test_new_checkpoint_does_not_replace_old_batches(spark, tmp):
+    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(f"{tmp}/in")
+    for ck in ("ck1", "ck2"):
+        ingest_stream(spark, f"{tmp}/in", f"{tmp}/out", f"{tmp}/{ck}", "k int, v string")
+    got = spark.read.parquet(f"{tmp}/out")
+    assert got.count() == 2 and got.select("stream").distinct().count() == 2
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    from kempt import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())
+    assert session.is_local("local") and session.is_local("local[4]") and not session.is_local("yarn")
+
+
+def test_median_after_dedupe_reads_written_rows(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(400).select((F.col("id") % 50).alias("k"), F.when(F.col("id") % 7 != 0, (F.col("id") % 50).cast("double")).alias("x"))
+    out = run_pipeline(df, [{"op": "dedupe"}, {"op": "impute", "params": {"spec": {"x": "median"}}}])
+    assert "/pipeline-impute" in out.inputFiles()[0]
+    assert rows(out) == rows(run_pipeline(df, [{"op": "dedupe"}, {"op": "impute", "params": {"spec": {"x": "median"}}}],
+                                          materialize_fits=False))

@@ -109,3 +109,31 @@ def test_exact_quantile_even_and_empty(spark):
 def test_exact_mode(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,), (None,), (None,)], "v string")
     assert stats.exact_mode(df, "v") == "a"
+
+
+@pytest.mark.parametrize("zeros,ones", [(20, 20), (20, 21), (1, 40)])
+def test_exact_quantile_ends_between_heavy_values(spark, zeros, ones):
+    df = spark.createDataFrame([(0.0,)] * zeros + [(1.0,)] * ones, "x double")
+    vals = [0.0] * zeros + [1.0] * ones
+    n = len(vals)
+    assert stats.exact_quantile(df, "x", max_bracket_rows=10) == (vals[(n - 1) // 2] + vals[n // 2]) / 2
+
+
+@pytest.mark.parametrize("vals", [[1.0, 1.0000000000000002] * 10, [-1.7e308, 1.7e308] * 10, [5e-324, 0.0, 1e-323] * 8,
+                                  [float("-inf")] * 5 + [1.0, 2.0, 3.0] + [float("inf")] * 4, [1e17 + 16 * i for i in range(40)]])
+def test_exact_quantile_extremes(spark, vals):
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    s = sorted(vals)
+    for q in (0.0, 0.5, 1.0):
+        k = int(q * (len(s) - 1))
+        if q * (len(s) - 1) == k:
+            assert stats.exact_quantile(df, "x", q, max_bracket_rows=3, buckets=4) == s[k]
+    got = stats.exact_quantile(df, "x", 0.5, max_bracket_rows=3, buckets=4)
+    assert s[(len(s) - 1) // 2] <= got <= s[len(s) // 2]
+
+
+def test_describe_text_and_large_integers(spark):
+    df = spark.createDataFrame([("b", 9007199254740993), ("a", 9007199254740995), (None, None)], "s string, n bigint")
+    out = {r["column"]: r for r in stats.describe_cols(df, ["s", "n"]).collect()}
+    assert (out["s"]["count"], out["s"]["min_text"], out["s"]["max_text"], out["s"]["mean"]) == (2, "a", "b", None)
+    assert (out["n"]["min_text"], out["n"]["max_text"]) == ("9007199254740993", "9007199254740995")
