@@ -187,8 +187,17 @@ def validate(df: DataFrame, formats: Mapping[str, str] | None = None,
 
 # --------------------------------------------------------------------------- T15 / P7 / V3
 def duplicate_stats(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """One row: rows, distinct_rows, duplicate_groups (groups of 2+), surplus_rows (rows - distinct)."""
-    keys = [col(c) for c in (_resolve(df, subset) if subset else df.columns)]
+    """One row: rows, distinct_rows, duplicate_groups (groups of 2+), surplus_rows (rows - distinct).
+
+    Text and binary columns are compared by a 128-bit digest, so long text does not travel."""
+    keys = []
+    for c in _resolve(df, subset) if subset else df.columns:
+        if is_string(df.schema[c].dataType) or isinstance(df.schema[c].dataType, T.BinaryType):
+            a, b = _digest(df, c)
+            keys.append(F.struct(a, b))
+        else:
+            keys.append(col(c))
+    keys = [k.alias(f"__k{i}") for i, k in enumerate(keys)]
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     return g.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("rows"),
                  F.count(F.lit(1)).alias("distinct_rows"),
