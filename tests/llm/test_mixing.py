@@ -59,7 +59,8 @@ def brute(rows, entropy, repeats, budget=None):
 
 def sources(rng, n=160):
     rows = [(i, "w " * rng.randint(0, 30), rng.choices(["a", "b", "c", None, ""], [12, 4, 2, 1, 1])[0], "x", 1) for i in range(n)]
-    return rows + [(None, "some words here", "a", "x", 1), (3, rows[3][1], rows[3][2], None, None), (900, None, "empty", "x", 1)]
+    return rows + [(None, "some words here", "a", "x", 1), (3, rows[3][1], rows[3][2], None, None), (900, None, "empty", "x", 1),
+                   (901, "w " * 3000, "long", "x", 1)]
 
 
 @pytest.mark.parametrize(("entropy", "repeats", "budget"), [(0.999, 1.5, None), (0.95, 100, None), (1.0, 100, None), (0.0, 1, None),

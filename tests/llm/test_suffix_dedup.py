@@ -65,7 +65,8 @@ def frame(spark, texts):
 
 def corpus(rng):
     shared = "".join(rng.choice("abcdefgh ") for _ in range(300))
-    texts = [None, "", "short", "x" * 19, "x" * 20, "y" * 50, "Ther " * 40, "Ther " * 60, shared, shared]
+    texts = [None, "", "short", "x" * 19, "x" * 20, "y" * 50, "Ther " * 40, "Ther " * 60, shared, shared,
+             "".join(rng.choice("klmnop") for _ in range(40_000)) + shared[5:60]]  # a long text
     for _ in range(40):
         t = "".join(rng.choice("abcdefgh éß\n\x00") for _ in range(rng.randint(0, 90)))
         if rng.random() < 0.6:
