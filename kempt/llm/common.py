@@ -86,8 +86,8 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, key: dict[str, Column]) ->
     ``decisions`` has the columns named in ``key`` and a boolean ``kept``, one row for each
     row of ``docs``; ``key`` says how each is computed from a row of ``docs``. Of rows that
     agree in the whole key (the same document stored twice) at most one stays: the one
-    whose remaining columns are smallest. Only the dropped and repeated keys are joined, so
-    documents move only if those keys are too many to broadcast (Spark decides by size)."""
+    whose remaining columns are smallest. Only the dropped and repeated keys are joined; the
+    join is a sorted one at every size, whose cost grows with the input."""
     names = [f"key_{k}" for k in key]
     per = stored(decisions.groupBy(*[F.col(k).alias(n) for k, n in zip(key, names, strict=True)])
                  .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
@@ -99,7 +99,7 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, key: dict[str, Column]) ->
     for k, n in zip(key, names, strict=True):
         cond = cond & F.col(f"row_{k}").eqNullSafe(F.col(n))
     rows = [F.col(f"row.`{c}`") for c in docs.columns]
-    once = keyed.join(per, cond, "left_anti").select(*rows)
+    once = keyed.join(per.hint("merge"), cond, "left_anti").select(*rows)
     twice = per.filter(F.col("kept"))
     if twice.isEmpty():
         return once
