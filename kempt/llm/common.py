@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from kempt.session import scratch_dir
 
+#: Bytes in an Arrow batch, unless the session sets its own limit.
+_BATCH_BYTES = 8 << 20
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package when it runs from a source folder.
+    """Prepare the session for operators that run Python: let workers import this package
+    when it runs from a source folder, and bound Arrow batches.
 
     Clusters install the package or ship it with ``--py-files``; this only adds the
     folder it was imported from to the workers' PYTHONPATH."""
@@ -21,6 +24,11 @@ def on_workers(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
+    # rows hold whole texts: bound the Arrow batches between Spark and the workers by bytes
+    # too, unless the session already does
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, str(_BATCH_BYTES))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

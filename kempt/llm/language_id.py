@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kempt.llm.common import held_out, on_workers
+from kempt.llm.common import held_out, on_workers, slices
 
 WINDOW = 256
 WIDTHS = (4, 3, 2)  # widest first, so that the filters that reach a place come first
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def _predict(net: Network | None):
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = b["text"].to_pylist()
             pred, score = ["und"] * len(texts), [0.0] * len(texts)
             which = [i for i, t in enumerate(texts) if net and t and _LETTER.search(t)]

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kempt.llm.common import id_text, on_workers, stored
+from kempt.llm.common import id_text, on_workers, slices, stored
 from kempt.llm.tokens import encoder, vocabulary
 
 _PIECES = ("block long, row long, doc_id long, start long, length int, nth long, ids_crc32 long, "
@@ -179,7 +179,7 @@ def _cut(path: str, end_id: int, window: int, dtype: str):
     def run(batches):
         block, row, seen = TaskContext.get().partitionId(), 0, {}
         encode, end = encoder(path, dtype), np.array([end_id], dtype)
-        for b in batches:
+        for b in slices(batches):
             out = []
             for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
                 ids = np.concatenate([np.frombuffer(encode(text), dtype), end])

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kempt.llm.common import id_text, keep_rows, n_parts, on_workers, stored
+from kempt.llm.common import id_text, keep_rows, n_parts, on_workers, slices, stored
 from kempt.llm.components import components
 
 _SEED = 42
@@ -51,7 +51,7 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 def _fingerprints(shingle: int):
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fp = np.array([fingerprint(t, shingle) for t in b["text"].to_pylist()], np.uint64).view(np.int64)
             yield pa.record_batch([b["doc_id"], b["text_key"], pa.array(fp)], names=["doc_id", "text_key", "fp"])
     return run

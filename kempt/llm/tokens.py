@@ -13,8 +13,9 @@ import re
 
 import numpy as np
 
-#: The remembered chunks of a worker are forgotten beyond this many, to bound its memory.
-REMEMBER = 1 << 20
+#: Chunks that a worker remembers for good, and chunks met once that it remembers until there
+#: are too many; most different chunks of a corpus are met once.
+REMEMBER, RECENT = 1 << 19, 1 << 18
 
 _SAFE = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.S)
 _WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
@@ -44,36 +45,49 @@ class _Chunks(dict):
         self.merge = tokenizer.model.tokenize
         self.lower = tokenizer.encode("A").ids == tokenizer.encode("a").ids
         # a vocabulary of word ends drops white space
-        self.before = lead if tokenizer.encode(" a").ids != tokenizer.encode("a").ids else ""
+        self.before = lead.translate(_LETTERS) if tokenizer.encode(" a").ids != tokenizer.encode("a").ids else ""
         self.tokenizer, self.dtype, self.lead = tokenizer, dtype, lead
         self.bare = self if bare is None else bare
+        self.once: dict[str, bytes] = {}
+        self.feed = self.ids("\n")
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        if not _SAFE.fullmatch(chunk):
+        if (got := self.once.pop(chunk, None)) is not None:  # met again
+            if len(self) >= REMEMBER:
+                self.clear()
+            self[chunk] = got
+            return got
+        if chunk.isascii() and chunk.isalpha():
+            # letters are one piece, so only the merges are left to do
+            got = self.pack([t.id for t in self.merge(self.before + (chunk.lower() if self.lower else chunk))])
+        elif not _SAFE.fullmatch(chunk):
             raise Unsafe
-        if "\n" in chunk:
+        elif "\n" in chunk:
             # a line feed alone is a piece, the next line starts without a space; not
             # remembered, as line ends are rarely met twice
             first, *more = chunk.split("\n")
-            feed = self.bare.ids("\n")
-            return self[first] + b"".join([feed + self.bare[x] for x in more])
-        if m := _WORD_MARK.fullmatch(chunk):
-            got = self[m[1]] + self.bare[m[2]]  # letters end a piece at marks
-        elif _WORD.fullmatch(chunk):
-            # letters are one piece, so only the merges are left to do
-            word = self.before + (chunk.lower() if self.lower else chunk)
-            word = word.encode().decode("latin-1").translate(_LETTERS)
-            got = np.array([t.id for t in self.merge(word)], self.dtype).tobytes()
+            return self[first] + b"".join([self.feed + self.bare[x] for x in more])
         else:
-            got = self.ids(self.lead + chunk)
-        if len(self) >= REMEMBER:
-            self.clear()
-        self[chunk] = got
+            got = self.encode(chunk)
+        if len(self.once) >= RECENT:
+            self.once.clear()
+        self.once[chunk] = got
         return got
 
+    def encode(self, chunk: str) -> bytes:
+        if m := _WORD_MARK.fullmatch(chunk):
+            return self[m[1]] + self.bare[m[2]]  # letters end a piece at marks
+        if _WORD.fullmatch(chunk):
+            word = (chunk.lower() if self.lower else chunk).encode().decode("latin-1").translate(_LETTERS)
+            return self.pack([t.id for t in self.merge(self.before + word)])
+        return self.ids(self.lead + chunk)
+
 
 class Encoder:
     """Encodes texts to the bytes of their ids (unsigned, little endian, ``dtype``)."""

@@ -19,6 +19,7 @@ times as many of label 0; the word beginnings are learned from one half of them,
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kempt.llm.common import held_out, id_text, on_workers, stored
+from kempt.llm.common import held_out, id_text, on_workers, slices, stored
 
 # The words of the grammar, in the languages of the corpus.
 INSULTS = """idiot idiots moron morons stupid scum loser losers trash worthless pathetic clown clowns disgusting imbecile
@@ -42,7 +43,7 @@ _FIXED = 6  # strength of the listed insults
 _MIN, _MAX = 3, 8  # letters of a learned word beginning
 _EDGES = re.compile(r"^\W+|\W+$")
 _END = re.compile(r"[.!?;:][\"')\]]*$")
-REMEMBER = 1 << 20
+REMEMBER = 1 << 17  # words that a task remembers before it starts over
 
 _HIT = re.compile(r"[1-9t]")
 _NEGATED = re.compile(r"n.{0,2}$")
@@ -71,7 +72,7 @@ class Lexicon(dict):
                 if (strength := self.prefixes.get(bare[:n])) is not None:
                     symbol = str(strength) if strength else "o"
                     break
-        got = symbol + "|" if _END.search(word) else symbol
+        got = sys.intern(symbol + "|" if _END.search(word) else symbol)
         if len(self) >= REMEMBER:
             self.clear()
         self[word] = got
@@ -146,7 +147,7 @@ def strengths(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> d
 def _features(prefixes: dict[str, int]):
     def run(batches):
         lexicon = Lexicon(prefixes)
-        for b in batches:
+        for b in slices(batches):
             x = np.array([features(lexicon.symbols(t)) for t in b["text"].to_pylist()]).reshape(-1, 4)
             yield pa.record_batch([b["toxic"], *[pa.array(c) for c in x.T]], names=["toxic", "f0", "f1", "f2", "f3"])
     return run
@@ -211,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def _score(prefixes: dict[str, int], w: np.ndarray):
     def run(batches):
         lexicon = Lexicon(prefixes)
-        for b in batches:
+        for b in slices(batches):
             x = np.array([features(lexicon.symbols(t)) for t in b["text"].to_pylist()]).reshape(-1, 4)
             p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
             yield b.drop_columns(["text"]).append_column("score", pa.array(p)).append_column(
@@ -245,7 +246,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     def run(batches):
         lexicon = Lexicon(prefixes)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(index).cast(pa.string()).to_pylist()
             x = np.array([features(lexicon.symbols(t or "")) for t in texts]).reshape(-1, 4)
             yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))) < 0.5))
