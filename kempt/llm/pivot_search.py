@@ -228,7 +228,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
 
     def ask(queries: DataFrame, home: bool) -> DataFrame:
         sent = queries.mapInArrow(_send(table, nearest, farthest, norm, home), "vec_id long, v array<long>, cell int, beat long")
-        packed = (sent.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(-(-total // query_rows // 50 // m) + 1)))
+        packed = (sent.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(query_salts)))
                   .repartition(n_parts(spark), "cell", "salt").sortWithinPartitions("cell", "salt")
                   .mapInArrow(_pack_queries(table, query_rows), _BLOCK + ", beat binary"))
         packed = stored(packed.withColumnsRenamed({"ids": "q_ids", "vectors": "q_vectors", "distances": "q_distances"}), "query-blocks")
@@ -236,7 +236,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
         nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         return stored(hits.withColumn("rank", nth).filter(F.col("rank") <= k), "hits")
 
-    queries = celled.filter("is_query").select("vec_id", "v", "cell").distinct()
+    queries = stored(celled.filter("is_query").select("vec_id", "v", "cell").distinct(), "queries")
+    query_salts = max(1, -(-queries.count() // (m * query_rows)))
     near = ask(queries.withColumn("beat", F.lit(None).cast("long")), True)
     beat = near.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("beat"))
     far = ask(queries.join(beat, "vec_id", "left"), False)
