@@ -22,20 +22,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.llm.common import id_text, n_parts, on_workers, prefix_sums
+from kempt.llm.common import id_text, n_parts, on_workers, prefix_sums, slices
 from kempt.llm.tokens import encoder, vocabulary
 
 # Ids in a word and bits of each, by selector; 0 is the escape, 1 a run of zeros.
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 
-FRAME = 8192
+FRAME = 1 << 16
+_WIDTH = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
 _BLOCK = ("part int, block int, before long, doc_ids array<long>, sizes array<int>, n_ids int, frames array<int>, "
           "words binary")
 
 
 def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits that each id needs."""
+    if len(ids) and ids.max() < len(_WIDTH):
+        return _WIDTH[ids]
     out, rest = np.zeros(len(ids), np.uint8), ids.copy()
     while rest.any():
         out += rest > 0
@@ -142,7 +145,7 @@ def _write(path: str, end_id: int, block_ids: int, dtype: str):
             block, before, doc_ids, sizes, held, n = block + 1, before + len(ids), [], [], [], 0
             return row
 
-        for b in batches:
+        for b in slices(batches):
             for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
                 raw = encode_text(text)
                 held += [raw, end]
