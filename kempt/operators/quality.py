@@ -53,9 +53,9 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, exact: boo
 
 def _digest(df: DataFrame, c: str) -> tuple[Column, Column]:
     """The value of ``c`` as two longs, null for null, so that all columns share one small key:
-    integers, dates and timestamps as they are, anything else as a 128-bit digest (two
-    XXH64 of the value, equal only for equal values but for a chance of about n**2 / 2**129
-    among n distinct ones). Long text never travels."""
+    integers, dates and timestamps as they are, fractions as a hash that is different for
+    different values, anything else as a 128-bit digest (two XXH64 of the value, equal only
+    for equal values but for a chance of about n**2 / 2**129 among n distinct ones). Long text never travels."""
     dt = df.schema[c].dataType
     x = col(c)
     zero = F.lit(0).cast("bigint")
@@ -72,9 +72,11 @@ def _digest(df: DataFrame, c: str) -> tuple[Column, Column]:
     if isinstance(dt, T.DateType):
         return F.unix_date(x).cast("bigint"), zero
     if isinstance(dt, (T.FloatType, T.DoubleType)):
-        # -0.0 and 0.0 are one value for Spark's grouping; keep them one value here
+        # -0.0 and 0.0 are one value for Spark's grouping; keep them one value here. XXH64 of
+        # eight bytes takes different values to different hashes, so one is enough
         x = F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double"))
-    elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+        return F.when(x.isNotNull(), F.xxhash64(x)), zero
+    if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
         x = F.to_json(F.struct(x.alias("v")))
     elif not is_string(dt) and not isinstance(dt, T.BinaryType):
         x = x.cast("string")
