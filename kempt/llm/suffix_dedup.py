@@ -155,7 +155,7 @@ def _contexts(length: int, gram: int):
                         mine[cid] = [context, [a], hash_]
                 for cid, (context, starts, hash_) in mine.items():
                     out.append((hash_, cid, None if cid in sent else context, key, starts, len(context) - length))
-                    if len(sent) > 1 << 19:
+                    if len(sent) > 1 << 18:
                         sent.clear()
                     sent.add(cid)
             if out:
@@ -319,7 +319,7 @@ def _removed(length: int):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 64,
-                   chunk: int = 1 << 21, hot: int = 2048, crowd: int = 1 << 15) -> DataFrame:
+                   chunk: int = 1 << 20, hot: int = 2048, crowd: int = 1 << 15) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans (maximal removed runs)
     and kept (the remaining bytes of the UTF-8 text).
 
