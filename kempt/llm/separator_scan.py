@@ -96,9 +96,10 @@ def count_tokens(spark: SparkSession, path: str, end_id: int = 49407, dtype: str
 
 def _numbered(files: DataFrame) -> DataFrame:
     """A dense number ``file`` from 0 in the order of the paths: each range of paths is numbered
-    by itself, then moved on by the sizes of the ranges before it."""
+    by itself, then moved on by the sizes of the ranges before it. The ranges are written once:
+    each range shuffle samples borders of its own, so sizes and numbers of two would not agree."""
     n = n_parts(files.sparkSession)
-    ranged = files.repartitionByRange(n, "path").withColumn("range", F.spark_partition_id())
+    ranged = stored(files.repartitionByRange(n, "path").withColumn("range", F.spark_partition_id()), "token-ranges")
     sizes = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("size"))
     ids = files.sparkSession.range(n).select(F.col("id").cast("int").alias("range"))
     base = prefix_sums(ids.join(sizes, "range", "left").select("range", F.coalesce("size", F.lit(0)).alias("size")),

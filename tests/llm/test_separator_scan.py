@@ -5,6 +5,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kempt.llm import separator_scan
 from kempt.llm.tokens import vocabulary
@@ -53,6 +54,14 @@ def test_write_flat(spark):
     assert counts(spark, path) == []
 
 
+def test_numbers_of_many_files(spark):
+    """More files in one partition than a range shuffle reads whole to find its borders."""
+    paths = spark.range(0, 20000, 1, 1).select(F.md5(F.col("id").cast("string")).alias("path"), F.col("id").alias("n"), (F.col("id") + 1).alias("docs"))
+    got = [(r.path, r.file) for r in separator_scan._numbered(paths).collect()]
+    assert sorted(f for _, f in got) == list(range(20000))
+    assert [p for p, _ in sorted(got, key=lambda g: g[1])] == sorted(p for p, _ in got)
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="driver test data not present")
 def test_query_counts_every_document(spark):
     from tokenizers import Tokenizer
