@@ -308,12 +308,14 @@ def reports_from_config(df: DataFrame, config: Mapping, allow: Iterable[str] = (
 
 def stack_reports(reports: Mapping[str, DataFrame]) -> DataFrame:
     """All reports as one frame: report, item (the row's text columns), measure (a numeric or
-    boolean column) and its value."""
+    boolean column) and its value. A report of texts alone has the measure ``rows``, its rows by item."""
     out = None
     for name, df in reports.items():
         kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         texts = [c for c, t in kinds.items() if t == "string"]
         numbers = [c for c, t in kinds.items() if t in ("int", "bigint", "double", "float", "boolean") or t.startswith("decimal")]
+        if not numbers:
+            df, numbers = df.groupBy(*[col(c) for c in texts]).agg(F.count(F.lit(1)).alias("rows")), ["rows"]
         cells = F.array(*[F.struct(F.lit(c).alias("measure"), col(c).cast("double").alias("value")) for c in numbers])
         part = df.select(F.lit(name).alias("report"), F.concat_ws("|", *[col(c) for c in texts]).alias("item"), F.inline(cells))
         out = part if out is None else out.unionByName(part)

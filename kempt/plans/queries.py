@@ -1554,10 +1554,138 @@ FROM (VALUES {checks}) v(c), orders GROUP BY 1, 2"""
 
 @query("config_shipped_reports", _shipped_reports_sql())
 def q_config_shipped_reports(spark, sf):
-    """All reports of the shipped configuration are built; its schema check is returned."""
+    """The schema check of the shipped configuration only: names, no values. All of its reports
+    are in ``config_shipped_stacked``."""
     from kempt.plans.config import reports_from_config
     reports = reports_from_config(loans(spark, sf), SHIPPED)
     name = "validation_config.schema_validation"
     n = t(spark, sf, "orders").agg(F.lit(1).alias("one"), F.count(F.lit(1)).alias("input_rows"))
     return (reports[name].select(F.lit(name).alias("report"), F.concat_ws("|", "column", "status").alias("item"), F.lit(1).alias("one"))
             .join(n, "one").drop("one"))
+
+
+_LOAN_INT = ["year", "term", "Credit_Score", "Status"]
+_LOAN_TYPES = {n: "string" if n in _LOAN_TEXT else "bigint" if n == "ID" else "int" if n in _LOAN_INT else "double" for n in LOAN}
+_USD = [f"{n}_usd" for n in SHIPPED["col_to_convert"]]
+
+
+def _shipped_stacked_sql() -> str:
+    """Every report from the loan table; reports of whole rows as counts by column, figures of the
+    numeric columns and, for the sorted one, the sum of place times value."""
+    parts = []
+
+    def row(report: str, item: str, source: str = "loan", **measures: str) -> None:
+        values = ", ".join(f"CAST({v} AS DOUBLE)" for v in measures.values())
+        names = ", ".join(f"'{m}'" for m in measures)
+        parts.append(f"""SELECT report, item, unnest(m) AS measure, unnest(v) AS value
+FROM (SELECT '{report}' AS report, '{item}' AS item, [{names}] AS m, [{values}] AS v FROM {source})""")
+
+    def counts(n: str) -> dict[str, str]:
+        return {"nulls": f'count(*) - count("{n}")',
+                "distinct": f'count(DISTINCT "{n}") + max(CASE WHEN "{n}" IS NULL THEN 1 ELSE 0 END)'}
+
+    def described(report: str, names: list[str], source: str = "loan") -> None:
+        for n in names:
+            row(report, n, source, count=f'count("{n}")', mean=rnd(f'avg("{n}")', 4), stddev=rnd(f'stddev_samp("{n}")', 4),
+                min=f'min("{n}")', max=f'max("{n}")')
+
+    def bad(test: str) -> dict[str, str]:
+        violations = f"count(*) FILTER (WHERE {test})"
+        return {"violations": violations, "total": "count(*)", "passed": f"{violations} = 0"}
+
+    for n, ty in _LOAN_TYPES.items():
+        domain = ", ".join(f"'{v}'" for v in SHIPPED["standardizing_column"].get(n, {}))
+        row("validate", f"{n}|{ty}", **counts(n),
+            invalid_format=f"""count(*) FILTER (WHERE NOT regexp_matches(CAST("{n}" AS VARCHAR), '^\\d{{4}}$'))""" if n in SHIPPED["datetime_columns"]
+            else "max(NULL::INT)",
+            invalid_domain=f'count(*) FILTER (WHERE "{n}" NOT IN ({domain}))' if domain else "max(NULL::INT)")
+    wanted = {f["name"]: f["type"] for f in SHIPPED["hive_schema"]["fields"]}
+    for report in ("massaging.data_verification", "validation_config.datatypes_validation"):
+        for n, ty in _LOAN_TYPES.items():
+            if n not in wanted:
+                row(report, f"{n}|{ty}|extra", bad_values="max(NULL::INT)")
+                continue
+            sql = {"string": "VARCHAR", "double": "DOUBLE"}[wanted[n]]
+            row(report, f"{n}|{wanted[n]}|{ty}|{'match' if ty == wanted[n] else 'type'}",
+                bad_values=f'count(*) FILTER (WHERE "{n}" IS NOT NULL AND TRY_CAST("{n}" AS {sql}) IS NULL)')
+    for n in LOAN:
+        row("validation_config.schema_validation", f"{n}|match", "(SELECT 1)", rows="1")
+    described("transforming.data_aggregation", SHIPPED["col_to_describe"])
+    for m in ("rows", "distinct_rows", "duplicate_groups", "surplus_rows"):
+        row("transforming.data_duplication", "", "dup", **{m: m})
+    types = _LOAN_TYPES | dict.fromkeys(_USD, "double")
+    for report, names in (("transforming.data_sorting", list(LOAN)), ("transforming.data_extraction", SHIPPED["col_to_extract"]),
+                          ("transforming.data_conversion", list(types))):
+        for n in names:
+            row(report, f"{n}|{types[n]}", "usd", **counts(n))
+        described(f"{report}.numbers", [n for n in names if types[n] != "string"], "usd")
+    row("transforming.data_sorting.places", "", "placed", rows="count(*)", place_times_value="sum(place * value)")
+    allowed = ", ".join(f"'{v}'" for v in SHIPPED["data_to_check"])
+    words = ", ".join(f"('{v}')" for v in SHIPPED["data_to_check"])
+    parts.append(f"""SELECT 'validation_config.spelling_validation', x || '|' || v, unnest(['Security_Type_distance', 'count']),
+  unnest([CAST(dist AS DOUBLE), CAST(n AS DOUBLE)])
+FROM (SELECT x, v, n, levenshtein(upper(x), v) AS dist, row_number() OVER (PARTITION BY x ORDER BY levenshtein(upper(x), v), v) AS rn
+      FROM (SELECT "Security_Type" AS x, count(*) AS n FROM loan WHERE "Security_Type" NOT IN ({allowed}) GROUP BY 1),
+           (VALUES {words}) w(v)) WHERE rn = 1""")
+    report = "validation_config"
+    row(report, "duplicates", "dup", violations="surplus_rows", total="rows", passed="surplus_rows = 0")
+    row(report, "row_count", violations="CASE WHEN count(*) < 1 THEN 1 ELSE 0 END", total="count(*)", passed="count(*) >= 1")
+    for n in LOAN:
+        row(report, f"not_null|{n}", **bad(f'"{n}" IS NULL'))
+    for n in _LOAN_TEXT:
+        row(report, f"uppercase|{n}", **bad(f'"{n}" <> upper("{n}")'))
+        row(report, f"special_chars|{n}", **bad(f"""regexp_matches("{n}", '{_SPECIAL_RE2}')"""))
+    for n in SHIPPED["dec_col_to_check"]:
+        quoted = f'"{n}"'
+        row(report, f"decimal|{n}", **bad(f"{quoted} <> {rnd_text(quoted)}"))
+    for n in SHIPPED["std_col_to_check"]:
+        targets = ", ".join(f"'{v}'" for v in SHIPPED["standardizing_column"][n].values())
+        row(report, f"allowed|{n}", **bad(f'"{n}" NOT IN ({targets})'))
+    base = ", ".join(f'{e} AS "{n}"' for n, e in LOAN.items())
+    usd = ", ".join(f"""{rnd_text(f'"{n}" * CAST(0.012 AS DOUBLE)')} AS {n}_usd""" for n in SHIPPED["col_to_convert"])
+    by = SHIPPED["col_to_sort"]
+    return f"""WITH o AS (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 40 = 0),
+loan AS MATERIALIZED (SELECT {base} FROM o JOIN customer ON o_custkey = c_custkey),
+usd AS MATERIALIZED (SELECT *, {usd} FROM loan),
+placed AS (SELECT CAST({by} AS DECIMAL(18, 2)) AS value, row_number() OVER (ORDER BY {by} DESC NULLS LAST) AS place FROM loan),
+dup AS MATERIALIZED ({_DUP_SQL.format(src="loan", keys=", ".join(f'"{n}"' for n in LOAN))})
+""" + "\nUNION ALL\n".join(parts)
+
+
+def _rounded(described: DataFrame) -> DataFrame:
+    return described.withColumns({c: stable_round(F.col(c), 4) for c in ("mean", "stddev")})
+
+
+def _summed(name: str, rows: DataFrame) -> dict[str, DataFrame]:
+    """A report of whole rows as two: nulls and distinct values of each column, figures of the numeric ones."""
+    return {name: quality.validate(rows).select("column", "type", "nulls", "distinct"),
+            f"{name}.numbers": _rounded(stats.describe_cols(rows, cleanse.numeric_columns(rows)))}
+
+
+def _places(rows: DataFrame, column: str) -> DataFrame:
+    """Rows of a sorted frame and the sum of place (from 1) times value, for stored ``rows`` with
+    ``__pid`` and the place ``__nth`` (from 0) inside it."""
+    from pyspark.sql import Window
+    sizes = rows.groupBy("__pid").agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__pid", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__off"))
+    place = F.col("__off") + F.col("__nth") + 1
+    return rows.join(F.broadcast(offsets), "__pid").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(place * F.col(column).cast("decimal(18,2)")).alias("place_times_value"))
+
+
+@query("config_shipped_stacked", _shipped_stacked_sql())
+def q_config_shipped_stacked(spark, sf):
+    """Every report of the shipped configuration, stacked; reports of whole rows are summed up."""
+    from kempt.plans.config import reports_from_config, stack_reports
+    reports = reports_from_config(loans(spark, sf), SHIPPED)
+    name = "transforming.data_aggregation"
+    reports[name] = _rounded(reports[name])
+    for name in ("transforming.data_extraction", "transforming.data_conversion"):
+        reports |= _summed(name, reports[name])
+    name = "transforming.data_sorting"
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # its upper bits are the partition
+    ranked = materialize(reports[name].withColumns({"__pid": F.spark_partition_id(), "__nth": place}), "sorted-report")
+    reports |= _summed(name, ranked.drop("__pid", "__nth"))
+    reports[f"{name}.places"] = _places(ranked, SHIPPED["col_to_sort"])
+    return stack_reports(reports)
