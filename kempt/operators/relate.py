@@ -138,8 +138,8 @@ def aggregate(df: DataFrame, by: Sequence[str], aggs: Mapping[str, tuple[str, st
     """``groupBy(by).agg(out=fn(column), ...)``; all aggregates here combine partially map-side.
 
     ``median`` is exact: values are counted by group and value (partial aggregation), and a
-    running count finds the middle, so no task holds a group's values in memory as
-    Spark's own exact percentile does. ``approx_median`` needs one aggregation only."""
+    running count over those near the approximate middle finds the exact one, so no task sorts
+    a group or holds its values in memory as Spark's own exact percentile does. ``approx_median`` needs one aggregation only."""
     names = _resolve(df, by) if by else []
     aggs = {out: (fn, c if c == "*" else _resolve(df, [c])[0]) for out, (fn, c) in aggs.items()}
     plain = {out: agg_expr(fn, c).alias(out) for out, (fn, c) in aggs.items() if fn != "median"}
@@ -164,29 +164,52 @@ def _keyed(names: Sequence[str]) -> tuple[list[str], list[Column]]:
     return keys, [c.alias(k) for c, k in zip(cols, keys, strict=True)]
 
 
+#: Of the approximate percentiles that bracket a median: their rank error is at most n / accuracy.
+_ACCURACY = 10000
+
+
 def _group_median(df: DataFrame, names: Sequence[str], column: str) -> DataFrame:
-    """(__k0, ..., __median): SQL ``median`` of the non-null values by group."""
+    """(__k0, ..., __median): SQL ``median`` of the non-null values by group.
+
+    ``percentile_approx`` brackets the middle of each group and the values inside the bracket
+    (some 6 / _ACCURACY of the group) are ranked exactly, so no group is sorted whole."""
     from pyspark.sql import Window
 
     keys, by_cols = _keyed(names)
-    counts = (df.filter(col(column).isNotNull()).groupBy(*by_cols, col(column).cast("double").alias("__v"))
-              .agg(F.count(F.lit(1)).alias("__c")))
-    sizes = counts.groupBy(*keys).agg(F.sum("__c").alias("__size"))
-    w = Window.partitionBy(*keys).orderBy("__v")
-    upto = F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counts.withColumn("__upto", upto)
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__s_{k}"))
-    sizes = sizes.select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__size")
-    ranked = ranked.join(sizes, cond).drop(*[f"__s_{k}" for k in keys])
+    x = df.filter(col(column).isNotNull()).select(*by_cols, col(column).cast("double").alias("__v"))
+    # a bracket around the middle of each group, twice as wide as the error of percentile_approx
+    eps = 2.0 / _ACCURACY
+    ends = F.percentile_approx("__v", [0.5 - eps, 0.5 + eps], _ACCURACY)
+    brackets = x.groupBy(*keys).agg(ends.alias("__ends")).select(
+        *keys, F.get("__ends", F.lit(0)).alias("__lo"), F.get("__ends", F.lit(1)).alias("__hi"))
+    counts = x.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    inside = F.col("__v").between(F.col("__lo"), F.col("__hi"))
+    bounded = _on_keys(counts, brackets, keys)
+    sizes = bounded.groupBy(*keys).agg(
+        F.sum("__c").alias("__size"), F.sum(F.when(F.col("__v") < F.col("__lo"), F.col("__c")).otherwise(0)).alias("__below"),
+        F.sum(F.when(inside, F.col("__c")).otherwise(0)).alias("__in"))
     # ranks from 0 of the two middle values; a value holds the ranks [upto - c, upto)
     low, high = F.floor((F.col("__size") - 1) / 2), F.floor(F.col("__size") / 2)
-    holds = lambda rank: (F.col("__upto") - F.col("__c") <= rank) & (rank < F.col("__upto"))
-    return (ranked.filter(holds(low) | holds(high)).groupBy(*keys)
+    # counted exactly: a group whose bracket does not hold both is ranked whole
+    hit = (F.col("__below") <= low) & (high < F.col("__below") + F.col("__in"))
+    sizes = sizes.select(*keys, low.alias("__low"), high.alias("__high"), hit.alias("__hit"), F.when(hit, F.col("__below")).otherwise(0).alias("__below"))
+    middle = _on_keys(bounded, sizes, keys).filter(~F.col("__hit") | inside)
+    w = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = middle.withColumn("__upto", F.col("__below") + F.sum("__c").over(w))
+    holds = lambda rank: (F.col("__upto") - F.col("__c") <= F.col(rank)) & (F.col(rank) < F.col("__upto"))
+    return (ranked.filter(holds("__low") | holds("__high")).groupBy(*keys)
             .agg(((F.min("__v") + F.max("__v")) / 2).alias("__median")))
 
 
+def _on_keys(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the columns of their group; null keys are equal."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__g_{k}"))
+    named = groups.select(*[F.col(c).alias(f"__g_{c}") if c in keys else F.col(c) for c in groups.columns])
+    return rows.join(named, cond).drop(*[f"__g_{k}" for k in keys])
+
+
 # --------------------------------------------------------------------------- T5
 def split_by(df: DataFrame, column: str, values: Sequence) -> dict:
     """One lazily filtered frame per value (each scan reads only its rows when the

@@ -113,6 +113,32 @@ def test_full_join_on_names_equals_full_join(spark):
     assert rows(relate.merge(left, right, "k", "full"), "k", "a", "b") == rows(left.join(right, "k", "full"), "k", "a", "b")
 
 
+def window_rows(node, below=False):
+    """Rows written by the shuffles right below the windows of an executed plan."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return window_rows(node.executedPlan(), below)
+    if "QueryStage" in name:
+        return window_rows(node.plan(), below)
+    if below and name == "Exchange":
+        found = node.metrics().get("shuffleRecordsWritten").get().value()
+        return found + window_rows(node.child(), False)
+    kids = node.children()
+    return sum(window_rows(kids.apply(i), below or name == "Window") for i in range(kids.size()))
+
+
+def test_group_median_ranks_only_the_middle(spark):
+    n = 40000
+    df = spark.range(n).selectExpr("CASE WHEN id % 2 = 0 THEN 'a' WHEN id % 1000 = 1 THEN NULL ELSE 'b' END AS g",
+                                   "pow(pmod(hash(id), 100003) + id / 100000, 3) AS x").repartition(3)
+    df = df.union(spark.createDataFrame([("n", float("nan")), ("n", 1.0), ("i", float("inf")), ("i", float("-inf")), ("i", 2.0)], "g string, x double"))
+    for by in (["g"], []):
+        out = relate.aggregate(df, by, {"m": ("median", "x")})
+        want = df.groupBy(*by).agg(F.median("x").alias("m"))
+        assert [str(r) for r in rows(out)] == [str(r) for r in rows(want)]
+        assert 0 < window_rows(out._jdf.queryExecution().executedPlan()) < n / 100
+
+
 def test_group_median(spark):
     data = [("a", 1.0), ("a", 2.0), ("a", 10.0), ("b", 4.0), ("b", 8.0), ("c", None), (None, 7.0)]
     df = spark.createDataFrame(data, "g string, x double")
