@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,10 +20,14 @@ from kempt.llm.common import id_text, n_parts, on_workers, prefix_sums, slices,
 from kempt.llm.tokens import encoder, vocabulary
 
 
+# Numbers of files: of one width, so that their order is that of their paths.
+_FIRST, _PIECES = 10**15, 10**7
+
+
 # ------------------------------------------------------------------ writing
 def _encode(path: str, dtype: str, file_bytes: int):
     def run(batches):
-        encode, piece, size = encoder(path, dtype), 0, 0
+        encode, piece, size, nth = encoder(path, dtype), _FIRST + TaskContext.get().partitionId() * _PIECES, 0, 0
         for b in slices(batches):
             out, pieces = [], []
             for t in b["text"].to_pylist():
@@ -31,7 +36,9 @@ def _encode(path: str, dtype: str, file_bytes: int):
                 size += len(out[-1])
                 if size >= file_bytes:
                     piece, size = piece + 1, 0
-            yield pa.record_batch([pa.array(pieces, pa.int32()), pa.array(out, pa.binary())], names=["piece", "ids"])
+            places = pa.array(range(nth, nth + len(out)), pa.int64())
+            nth += len(out)
+            yield pa.record_batch([pa.array(pieces, pa.int64()), places, pa.array(out, pa.binary())], names=["piece", "nth", "ids"])
     return run
 
 
@@ -39,13 +46,15 @@ def write_flat(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                end_id: int = 49407, dtype: str = "<u2", file_bytes: int = 1 << 24) -> None:
     """Write flat token files: the ids of each document and ``end_id``, nothing else, in
     files of about ``file_bytes`` (more only if one document has more). Null text counts as
-    empty. Spark's text writer commits the files on any file system; the end id is its
+    empty. Documents lie in ascending order of their ids (null first) over the files in the
+    order of their paths. Spark's text writer commits the files on any file system; the end id is its
     line separator."""
     on_workers(docs.sparkSession)
     separator = np.array([end_id], dtype).tobytes().decode("latin-1")
-    rows = id_text(docs, id_col, text_col).select("text").mapInArrow(
-        _encode(vocab or vocabulary("word_bpe_49k.json"), dtype, file_bytes), "piece int, ids binary")
-    (rows.select("piece", F.col("ids").cast("string").alias("value")).write.mode("overwrite").partitionBy("piece")
+    ordered = id_text(docs, id_col, text_col).repartitionByRange(n_parts(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")
+    rows = ordered.select("text").mapInArrow(
+        _encode(vocab or vocabulary("word_bpe_49k.json"), dtype, file_bytes), "piece long, nth long, ids binary")
+    (rows.sortWithinPartitions("piece", "nth").select("piece", F.col("ids").cast("string").alias("value")).write.mode("overwrite").partitionBy("piece")
      .option("lineSep", separator).option("encoding", "ISO-8859-1").text(path))
 
 
@@ -94,16 +103,22 @@ def count_tokens(spark: SparkSession, path: str, end_id: int = 49407, dtype: str
         (F.col("at") + F.col("d.end") + 1 - F.col("start")).alias("n_tokens"))
 
 
-def _numbered(files: DataFrame) -> DataFrame:
-    """A dense number ``file`` from 0 in the order of the paths: each range of paths is numbered
+def with_ids(counts: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``counts`` of the files that ``write_flat`` made of ``docs``, with the doc_id of each document."""
+    ids = _numbered(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id")), "doc_id", "ordinal")
+    return counts.join(ids, "ordinal").select("doc_id", "ordinal", "start", "n_tokens")
+
+
+def _numbered(rows: DataFrame, order: str = "path", out: str = "file") -> DataFrame:
+    """``rows`` with a dense number ``out`` from 0 in the order of ``order``: each range is numbered
     by itself, then moved on by the sizes of the ranges before it. The ranges are written once:
     each range shuffle samples borders of its own, so sizes and numbers of two would not agree."""
-    n = n_parts(files.sparkSession)
-    ranged = stored(files.repartitionByRange(n, "path").withColumn("range", F.spark_partition_id()), "token-ranges")
+    n = n_parts(rows.sparkSession)
+    ranged = stored(rows.repartitionByRange(n, order).withColumn("range", F.spark_partition_id()), "token-ranges")
     sizes = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("size"))
-    ids = files.sparkSession.range(n).select(F.col("id").cast("int").alias("range"))
+    ids = rows.sparkSession.range(n).select(F.col("id").cast("int").alias("range"))
     base = prefix_sums(ids.join(sizes, "range", "left").select("range", F.coalesce("size", F.lit(0)).alias("size")),
                        "range", ["size"]).select("range", "size_before")
-    w = Window.partitionBy("range").orderBy("path")
+    w = Window.partitionBy("range").orderBy(order)
     return (ranged.withColumn("nth", F.row_number().over(w) - 1).join(base, "range")
-            .select((F.col("nth") + F.col("size_before")).alias("file"), "path", "n", "docs"))
+            .select((F.col("nth") + F.col("size_before")).alias(out), *rows.columns))

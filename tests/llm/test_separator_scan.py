@@ -54,6 +54,16 @@ def test_write_flat(spark):
     assert counts(spark, path) == []
 
 
+def test_counts_lead_back_to_documents(spark):
+    texts = {i * 7919 % 3001 - 50: " ".join(["word"] * (i % 40)) for i in range(400)}
+    df = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string").repartition(5)
+    path = scratch_dir(spark, "flat")
+    separator_scan.write_flat(df, path, file_bytes=200)
+    got = separator_scan.with_ids(separator_scan.count_tokens(spark, path), df).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(t.split()) + 1 for i, t in texts.items()}
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.ordinal)] == sorted(texts)
+
+
 def test_numbers_of_many_files(spark):
     """More files in one partition than a range shuffle reads whole to find its borders."""
     paths = spark.range(0, 20000, 1, 1).select(F.md5(F.col("id").cast("string")).alias("path"), F.col("id").alias("n"), (F.col("id") + 1).alias("docs"))
