@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.llm import exact_dedup, language_id, mixing, packing, pivot_search, separator_scan, simhash, simple8b, suffix_dedup, toxicity
+from kempt.llm import exact_dedup, language_id, mixing, packing, periodic_runs, pivot_search, separator_scan, simhash, simple8b, suffix_dedup, toxicity
 from kempt.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""")
 def op10(spark, sf):
     return pivot_search.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf):
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf, "documents"))))
