@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.llm import exact_dedup, language_id, mixing, packing, periodic_runs, pivot_search, separator_scan, simhash, simple8b, suffix_dedup, toxicity
+from kempt.llm import exact_dedup, hyperplanes, language_id, mixing, packing, periodic_runs, pivot_search, separator_scan, simhash, simple8b, suffix_dedup, toxicity
 from kempt.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,17 @@ def op10(spark, sf):
 @query("op11_periodic_runs")
 def op11(spark, sf):
     return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf, "documents"))))
+
+
+@query("op12_hyperplanes", """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN list_transform(embedding, lambda x: CAST(x AS DOUBLE)) END AS e FROM embeddings),
+l AS (SELECT a.r AS u, b.r AS v FROM v a JOIN v b ON a.r <> b.r AND a.e IS NOT NULL AND b.e IS NOT NULL AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT r AS u, r AS v FROM v UNION SELECT reach.u, l.v FROM reach JOIN l ON reach.v = l.u),
+c AS (SELECT reach.u AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.v = v.r GROUP BY reach.u),
+n AS (SELECT u AS r, count(*) AS n_links FROM l GROUP BY u)
+SELECT v.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, v.vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN c ON v.r = c.r LEFT JOIN n ON v.r = n.r""")
+def op12(spark, sf):
+    return hyperplanes.near_vectors(table(spark, sf, "embeddings"))
