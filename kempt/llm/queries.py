@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.llm import exact_dedup, hyperplanes, language_id, mixing, packing, periodic_runs, pivot_search, separator_scan, simhash, simple8b, suffix_dedup, toxicity
+from kempt.llm import exact_dedup, hyperplanes, language_id, mixing, packing, periodic_runs, pivot_search, separator_scan, simhash, simple8b, suffix_dedup, toxicity, turn_repair
 from kempt.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,57 @@ SELECT v.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id,
 FROM v JOIN c ON v.r = c.r LEFT JOIN n ON v.r = n.r""")
 def op12(spark, sf):
     return hyperplanes.near_vectors(table(spark, sf, "embeddings"))
+
+
+def _repair_sql() -> str:
+    """A recursion from the last turn to the first. In each grammar state (s start, y after system,
+    u after user, a after assistant) it carries the best repair of the rest as one string: cost in
+    ten digits, audit, chr(1), repaired lines; the least string is the best repair."""
+    def step(x, cost, initial, line=None):
+        rest = f"substr({x}, strpos({x}, chr(1)) + 1)"
+        lines = rest if line is None else f"{line} || CASE WHEN {rest} = '' THEN '' ELSE chr(10) || {rest} END"
+        return (f"(lpad(CAST(CAST(substr({x}, 1, 10) AS BIGINT) + {cost} AS VARCHAR), 10, '0') || '{initial}' || "
+                f"substr({x}, 11, strpos({x}, chr(1)) - 11) || chr(1) || {lines})")
+
+    def base(q, following, role, keeps):
+        stay = [f"CASE WHEN NOT gone AND initial = '{i}' THEN {step(x, 'extra', 'K', turn)} END" for i, x in keeps]
+        other = f"CASE WHEN NOT gone THEN {step(following, '2 + extra', 'R', repr(role + ':') + ' || text')} END"
+        return f"least({', '.join([step(q, 3, 'D'), *stay, other])}) AS b{q if q != 'y' else 'y_'}"
+
+    turn = "role || ':' || text"
+    bases = ", ".join([base("s", "u", "user", [("s", "y"), ("u", "u")]), base("y", "u", "user", [("u", "u")]),
+                       base("u", "a", "assistant", [("a", "a")]), base("a", "u", "user", [("u", "u")])])
+    user = f"least(bu, {step('ba', 2, 'I', repr('assistant:'))})"
+    return f"""
+WITH RECURSIVE bits AS (SELECT i, i AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS crc FROM bits WHERE k = 8),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: ord(x)::BIGINT)),
+        lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS code FROM conversations, tab),
+d AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+        CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM (SELECT *, unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM k)),
+p AS (SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t, left(role, 1) AS initial,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS seen FROM p),
+f AS (SELECT *, t = '' OR seen > 1 AS gone, CASE WHEN right(t, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS extra,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair FROM o),
+e AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (t = '') AS blank,
+        count(*) FILTER (t <> '' AND seen > 1) AS duplicate, count(*) FILTER (NOT gone AND extra = 1) AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n FROM f GROUP BY conv_id),
+w AS (SELECT conv_id, n + 1 AS pos, '0000000000' || chr(1) AS s, '0000000004II' || chr(1) || 'user:' || chr(10) || 'assistant:' AS y,
+        '0000000002I' || chr(1) || 'assistant:' AS u, '0000000000' || chr(1) AS a FROM e
+  UNION ALL SELECT conv_id, pos, least(bs, {step(user, 2, 'I', repr('user:'))}), least(by_, {step(user, 2, 'I', repr('user:'))}),
+        {user}, least(ba, {step('bu', 2, 'I', repr('user:'))})
+      FROM (SELECT f.conv_id, f.pos, {bases} FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.pos = w.pos - 1))
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(CAST(substr(s, 1, 10) AS BIGINT), 0) AS cost,
+  coalesce(substr(s, 11, strpos(s, chr(1)) - 11), '') AS audit, sha256(coalesce(substr(s, strpos(s, chr(1)) + 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN e ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN w ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND w.pos = 1"""
+
+
+@query("op13_turn_repair", _repair_sql())
+def op13(spark, sf):
+    return turn_repair.summary(table(spark, sf, "conversations"))
