@@ -84,9 +84,8 @@ def op5(spark, sf):
 @query("op6_separator_scan")
 def op6(spark, sf):
     path = scratch_dir(spark, "flat-tokens")
-    docs = table(spark, sf, "documents")
-    separator_scan.write_flat(docs, path)
-    return separator_scan.with_ids(separator_scan.count_tokens(spark, path), docs)
+    separator_scan.write_flat(table(spark, sf, "documents"), path)
+    return separator_scan.with_ids(separator_scan.count_tokens(spark, path), path)
 
 
 @query("op7_packing")

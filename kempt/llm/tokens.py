@@ -9,9 +9,15 @@ neighbours are encoded whole.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from kempt.llm.common import id_text, n_parts, slices
 
 #: Chunks that a worker remembers for good, and chunks met once that it remembers until there
 #: are too many; most different chunks of a corpus are met once.
@@ -90,13 +96,21 @@ class _Chunks(dict):
 
 
 class Encoder:
-    """Encodes texts to the bytes of their ids (unsigned, little endian, ``dtype``)."""
+    """Encodes texts to the bytes of their ids (unsigned, little endian, ``dtype``).
+
+    ``plain``: strings of special tokens in a text are ordinary text, so none of their ids
+    occurs. Otherwise they give those ids, as the library does by itself."""
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, dtype: str, plain: bool):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # texts that hold such a string go to the library whole
+        self.special = [] if plain else [t.content.lower() for t in tokenizer.get_added_tokens_decoder().values()]
+        self.library = Tokenizer.from_file(path) if self.special else None
+        # how all of them begin, up to the first letter: most texts do not even hold that
+        self.probe = re.match(r"[^\w]*", os.path.commonprefix(self.special))[0]
+        tokenizer.encode_special_tokens = True
         if tokenizer.get_vocab_size() > np.iinfo(dtype).max + 1:
             raise ValueError(f"ids of {path} do not fit into {dtype}")
         self.bare = _Chunks(tokenizer, dtype, "", None)
@@ -105,6 +119,8 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
+        if self.special and self.probe in text and any(map(text.lower().__contains__, self.special)):
+            return self.bare.pack(self.library.encode(text, add_special_tokens=False).ids)
         first, *more = text.split(" ")
         try:
             return self.bare[first] + b"".join(map(self.spaced.__getitem__, more))
@@ -112,17 +128,43 @@ class Encoder:
             return self.bare.ids(text)
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple[str, str, bool], Encoder] = {}
 
 
-def encoder(path: str, dtype: str = "<u2") -> Encoder:
+def encoder(path: str, dtype: str = "<u2", plain: bool = False) -> Encoder:
     """The encoder of this Python worker; a worker serves many tasks and loads it once."""
-    if (path, dtype) not in _ENCODERS:
-        import os
-
+    if (path, dtype, plain) not in _ENCODERS:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _ENCODERS[path, dtype] = Encoder(path, dtype)
-    return _ENCODERS[path, dtype]
+        _ENCODERS[path, dtype, plain] = Encoder(path, dtype, plain)
+    return _ENCODERS[path, dtype, plain]
+
+
+def in_order(docs: DataFrame, path: str, dtype: str = "<u2", plain: bool = False, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """(doc_id, ids) of all texts, range by range in ascending order of doc_id (null first; rows of
+    one id by a hash of their texts, then by their ids). Texts are encoded where they are read, and
+    only ids are shuffled. Borders come from the ids alone; an id so frequent that borders coincide
+    at it is spread over their ranges by the hash of its texts."""
+    spark = docs.sparkSession
+    n = n_parts(spark)
+    least = F.lit(np.iinfo(np.int64).min)
+    rows = id_text(docs, id_col, text_col).withColumn("h", F.xxhash64("text"))
+    shares = [i / n for i in range(1, n)]
+    found = rows.agg(F.percentile_approx(F.coalesce("doc_id", least), shares, max(10_000, 10 * n))).first()[0] if shares else None
+    borders = np.array(found or [], np.int64)
+
+    def run(batches):
+        encode = encoder(path, dtype, plain)
+        for b in slices(batches):
+            doc_id = b["doc_id"].fill_null(np.iinfo(np.int64).min).to_numpy()
+            low, high = np.searchsorted(borders, doc_id, "left"), np.searchsorted(borders, doc_id, "right")
+            share = b["h"].to_numpy() / 2.0**64 + 0.5
+            at = np.minimum(low + (share * (high - low + 1)).astype(np.int64), high).astype(np.int32)
+            ids = pa.array([encode(t) for t in b["text"].to_pylist()], pa.binary())
+            yield pa.record_batch([pa.array(at), b["doc_id"], b["h"], ids], names=["range", "doc_id", "h", "ids"])
+
+    coded = rows.mapInArrow(run, "range int, doc_id long, h long, ids binary")
+    return coded.repartitionById(n, "range").sortWithinPartitions("doc_id", "h", "ids").select("doc_id", "ids")
 
 
 def vocabulary(name: str) -> str:

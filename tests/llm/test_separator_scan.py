@@ -43,7 +43,7 @@ def test_write_flat(spark):
     tk = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
     tk.encode_special_tokens = True
     lists = [tk.encode(t or "", add_special_tokens=False).ids + [49407] for t in texts]
-    names = glob.glob(f"{path.replace('file:', '')}/piece=*/part-*")
+    names = glob.glob(f"{path.replace('file:', '')}/kind=tokens/piece=*/part-*")
     assert len(names) > 1
     flat = np.concatenate([np.fromfile(n, "<u2") for n in names])
     assert len(flat) == sum(map(len, lists)) and (flat == 49407).sum() == len(texts)
@@ -59,9 +59,22 @@ def test_counts_lead_back_to_documents(spark):
     df = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string").repartition(5)
     path = scratch_dir(spark, "flat")
     separator_scan.write_flat(df, path, file_bytes=200)
-    got = separator_scan.with_ids(separator_scan.count_tokens(spark, path), df).collect()
+    got = separator_scan.with_ids(separator_scan.count_tokens(spark, path), path).collect()
     assert {r.doc_id: r.n_tokens for r in got} == {i: len(t.split()) + 1 for i, t in texts.items()}
-    assert [r.doc_id for r in sorted(got, key=lambda r: r.ordinal)] == sorted(texts)
+    got = sorted(got, key=lambda r: r.ordinal)
+    assert [r.doc_id for r in got] == sorted(texts) and [r.ordinal for r in got] == list(range(len(texts)))
+    assert [r.start for r in got] == np.concatenate([[0], np.cumsum([r.n_tokens for r in got])[:-1]]).tolist()
+
+
+def test_repeated_and_null_ids(spark):
+    rows = [(5, "a a"), (None, "b"), (5, "c c c"), (-1, None), (5, "a a"), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    path = scratch_dir(spark, "flat")
+    separator_scan.write_flat(df, path)
+    got = sorted(separator_scan.with_ids(separator_scan.count_tokens(spark, path), path).collect(), key=lambda r: r.ordinal)
+    assert [r.doc_id for r in got] == [None, None, -1, 5, 5, 5]
+    assert sorted(r.n_tokens for r in got[:2]) == [1, 2] and got[2].n_tokens == 1 and sorted(r.n_tokens for r in got[3:]) == [3, 3, 4]
+    assert [r.start for r in got] == np.concatenate([[0], np.cumsum([r.n_tokens for r in got])[:-1]]).tolist()
 
 
 def test_numbers_of_many_files(spark):

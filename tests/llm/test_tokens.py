@@ -11,18 +11,19 @@ from kempt.llm.tokens import encoder, vocabulary
 
 NAMES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 _PIECES = ["the", "Ered.", " ", "  ", "\n", "\n\n", "\t", "word,", "it's", "'s", "don't", "'", "é", "ñandú", "1234", "²x", "__",
-           "<|endoftext|>", "###", "a.b", " ", "́", "é", "İ", "漢字", "🙂", "\r\n", "x\ny", "!\n", " ", "ß", "½", "I'LL", "$'s"]
+           "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "###", "a.b", " ", "́", "é", "İ", "漢字", "🙂", "\r\n", "x\ny", "!\n", " ", "ß", "½", "I'LL", "$'s"]
 
 
-def direct(path, text):
+def direct(path, text, plain=True):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    if plain:
+        t.encode_special_tokens = True
     return [t.encode(x, add_special_tokens=False).ids for x in text]
 
 
-def ids(path, text):
-    return np.frombuffer(encoder(path)(text), "<u2").tolist()
+def ids(path, text, plain=True):
+    return np.frombuffer(encoder(path, plain=plain)(text), "<u2").tolist()
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -30,8 +31,9 @@ def test_mixed_pieces(name):
     rng = random.Random(3)
     texts = ["".join(rng.choice(_PIECES) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randint(0, 30))) for _ in range(1500)]
     path = vocabulary(name)
-    for t, want in zip(texts, direct(path, texts), strict=True):
-        assert ids(path, t) == want, repr(t)
+    for plain in (True, False):
+        for t, want in zip(texts, direct(path, texts, plain), strict=True):
+            assert ids(path, t, plain) == want, repr(t)
 
 
 @settings(max_examples=300, deadline=None)
@@ -39,5 +41,5 @@ def test_mixed_pieces(name):
 def test_any_text(text):
     for name in NAMES:
         path = vocabulary(name)
-        e = encoder(path)
+        e = encoder(path, plain=True)
         assert np.frombuffer(e(text), "<u2").tolist() == e.bare.tokenizer.encode(text, add_special_tokens=False).ids
