@@ -22,8 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kempt.llm.common import id_text, n_parts, on_workers, prefix_sums, slices
-from kempt.llm.tokens import encoder, vocabulary
+from kempt.llm.common import on_workers, prefix_sums, slices
+from kempt.llm.tokens import in_order, vocabulary
 
 # Ids in a word and bits of each, by selector; 0 is the escape, 1 a run of zeros.
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -128,10 +128,10 @@ def encode_block(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     return frames, np.concatenate(parts).astype("<u8").tobytes() if parts else b""
 
 
-def _write(path: str, end_id: int, block_ids: int, dtype: str):
+def _write(end_id: int, block_ids: int, dtype: str):
     def run(batches):
         part, block, before = TaskContext.get().partitionId(), 0, 0
-        encode_text, end = encoder(path, dtype), np.array([end_id], dtype).tobytes()
+        end = np.array([end_id], dtype).tobytes()
         doc_ids, sizes, held, n = [], [], [], 0
 
         def flush():
@@ -146,8 +146,7 @@ def _write(path: str, end_id: int, block_ids: int, dtype: str):
             return row
 
         for b in slices(batches):
-            for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
-                raw = encode_text(text)
+            for doc_id, raw in zip(b["doc_id"].to_pylist(), b["ids"].to_pylist(), strict=True):
                 held += [raw, end]
                 doc_ids.append(doc_id)
                 sizes.append(len(raw) // np.dtype(dtype).itemsize + 1)
@@ -162,15 +161,14 @@ def _write(path: str, end_id: int, block_ids: int, dtype: str):
 def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocab: str | None = None,
               end_id: int = 2, dtype: str = "<u2", block_ids: int = 1 << 18) -> None:
     """Write the ids of all documents to ``path`` in ascending document id (null ids first;
-    rows of one id in the order of a hash of their texts, then of the texts).
+    rows of one id in the order of a hash of their texts, then of their ids).
 
-    ``vocab``: path of a tokenizers file. Null text counts as empty; every document ends with
-    ``end_id``. An empty table gives an empty folder."""
+    ``vocab``: path of a tokenizers file; its special tokens count where their strings occur in a
+    text, as the library has it. Null text counts as empty; every document ends with ``end_id``.
+    An empty table gives an empty folder. Only ids are shuffled."""
     on_workers(docs.sparkSession)
-    rows = id_text(docs, id_col, text_col).withColumn("h", F.xxhash64("text"))
-    ordered = (rows.repartitionByRange(n_parts(docs.sparkSession), "doc_id", "h")
-               .sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text"))
-    (ordered.mapInArrow(_write(vocab or vocabulary("word_bpe_49k.json"), end_id, block_ids, dtype), _BLOCK)
+    ordered = in_order(docs, vocab or vocabulary("word_bpe_49k.json"), dtype, False, id_col, text_col)
+    (ordered.mapInArrow(_write(end_id, block_ids, dtype), _BLOCK)
      .write.mode("overwrite").option("compression", "none").parquet(path))
 
 
