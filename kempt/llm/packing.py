@@ -4,7 +4,7 @@
 2. Only the histogram of rest lengths (window - 1 numbers) comes to the driver. Shallow
    combinations of lengths that fill a window exactly are enumerated: all pairs, and triples
    of which two are among the most frequent lengths. Non-negative least squares finds how
-   often to repeat each; the counts are rounded down to what the histogram holds.
+   often to repeat each; the counts are rounded and held to what the histogram has.
 3. What rounding leaves is packed greedily, largest length first, then the largest that
    still fits; combinations that fill a window exactly are repeated as often as the
    histogram allows. The few pieces that remain are laid end to end and cut at window
@@ -242,8 +242,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
         hist[r["length"]] = r["n"]
     before = counts.select("block", "length", F.coalesce(F.sum("n").over(
         Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    ranked = (pieces.drop("ids").join(before, ["block", "length"])
-              .select("block", "row", "doc_id", "start", "length", (F.col("before") + F.col("nth")).alias("rank"),
+    # one row per block: pieces of each length in the blocks before it
+    before = stored(before.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("length", "before"))).alias("before")), "piece-ranks")
+    ranked = (pieces.drop("ids").join(before, "block")
+              .select("block", "row", "doc_id", "start", "length", (F.col("before")[F.col("length")] + F.col("nth")).alias("rank"),
                       "ids_crc32", "doc_tokens"))
     placed = stored(ranked.mapInArrow(_placed(plan(hist, window)),
                                       "block long, row long, doc_id long, start long, skip long, length long, "

@@ -55,7 +55,7 @@ def test_nnls_meets_an_exact_histogram():
 
 @pytest.fixture(scope="module")
 def frame(spark):
-    texts = [None, "", "a", "word " * 5000, "Hello, world!\n" * 40, "é" * 3000] + [f"text number {i} " * (i % 37) for i in range(150)]
+    texts = [None, "", "a", "word " * 5000, "Hello, world!\n" * 40, "é" * 3000, "a <|endoftext|> b"] + [f"text number {i} " * (i % 37) for i in range(150)]
     rows = [(i if i != 2 else None, t, "x", 1) for i, t in enumerate(texts)] + [(3, texts[3], "y", None)]
     return spark.createDataFrame(rows, "doc_id long, text string, ids string, length int").repartition(3)
 
@@ -96,7 +96,6 @@ def test_query_is_whole(spark):
         pytest.skip("driver test data not present")
     from tokenizers import Tokenizer
     tk = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
-    tk.encode_special_tokens = True
     want = {r.doc_id: tk.encode(r.text, add_special_tokens=False).ids + [1]
             for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = QUERIES["op7_packing"](spark, sf).collect()
