@@ -4,6 +4,7 @@ from kempt.functions.columns import (
     SPECIAL_CHARS,
     blank_as_null,
     col,
+    free_name,
     guarded_cast,
     is_numeric,
     is_string,
@@ -15,6 +16,7 @@ __all__ = [
     "SPECIAL_CHARS",
     "blank_as_null",
     "col",
+    "free_name",
     "guarded_cast",
     "is_numeric",
     "is_string",

@@ -23,6 +23,15 @@ def col(name: str) -> Column:
     return F.col(q(name))
 
 
+def free_name(name: str, *taken: str) -> str:
+    """``name``, with as many underscores before it as it takes to be none of ``taken``."""
+    low = {x.lower() for x in taken}
+    name = f"__{name}"
+    while name.lower() in low:
+        name = f"_{name}"
+    return name
+
+
 def is_string(dt: T.DataType) -> bool:
     return isinstance(dt, (T.StringType, T.VarcharType, T.CharType))
 

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kempt.functions.columns import col, guarded_cast
+from kempt.functions.columns import col, free_name, guarded_cast
 from kempt.operators.cleanse import _resolve
 from kempt.operators.stats import _with
 
@@ -97,8 +97,10 @@ def label_index(df: DataFrame, column: str, out: str | None = None) -> DataFrame
     idx = (staged.join(F.broadcast(offsets), "__pid")
            .select("__label", (F.col("__off") + F.row_number().over(inside) - 1).cast("bigint").alias("__idx")))
     name = out or f"{c}_index"
-    j = df.join(idx, col(c) == F.col("__label"), "left")
-    return j.select(*[col(x) for x in df.columns], F.col("__idx").alias(name))
+    label, place = free_name("label", *df.columns), free_name("idx", *df.columns)
+    idx = idx.select(F.col("__label").alias(label), F.col("__idx").alias(place))
+    j = df.join(idx, col(c) == F.col(label), "left")
+    return j.select(*[col(x) for x in df.columns], F.col(place).alias(name))
 
 
 # --------------------------------------------------------------------------- T13

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kempt.functions.columns import SPECIAL_CHARS, col, guarded_cast, is_string
+from kempt.functions.columns import SPECIAL_CHARS, col, free_name, guarded_cast, is_string
 from kempt.operators.cleanse import _resolve
 
 
@@ -300,6 +300,8 @@ def quality_report(df: DataFrame, checks: Sequence[Mapping]) -> DataFrame:
         parts.append(_rows_per_column(df.agg(*structs), [F.col(f"q{i}") for i, ch in enumerate(checks)
                                                          if ch["check"] != "duplicates"]))
     parts += extra
+    if not parts:  # no checks, no rows
+        return df.sparkSession.createDataFrame([], "check string, column string, violations bigint, total bigint, passed boolean")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -356,9 +358,12 @@ def suggest_spelling(df: DataFrame, column: str, allowed: Sequence[str], out: st
 
     Adds ``<col>_suggestion`` (null for allowed values and nulls, or when the
     nearest is farther than ``max_distance``) and ``<col>_distance``.  Ties go to
-    the allowed value that sorts first.  The allowed list is given, so this is
-    one expression per row, no join."""
+    the allowed value that sorts first; an empty list gives nulls.  The allowed list is given, so
+    this is one expression per row, no join: for a list of a few dozen values.  For a large one use
+    :func:`suggest_from`."""
     (c,) = _resolve(df, [column])
+    if not allowed:
+        return df.select("*", F.lit(None).cast("string").alias(out or f"{c}_suggestion"), F.lit(None).cast("int").alias(f"{c}_distance"))
     x = F.upper(col(c)) if ignore_case else col(c)
     cands = [F.struct(F.levenshtein(x, F.lit(a.upper() if ignore_case else a)).alias("d"), F.lit(a).alias("v"))
              for a in sorted(allowed)]
@@ -370,3 +375,41 @@ def suggest_spelling(df: DataFrame, column: str, allowed: Sequence[str], out: st
         sugg = F.when(dist <= F.lit(max_distance), sugg)
     name = out or f"{c}_suggestion"
     return df.select("*", sugg.alias(name), dist.alias(f"{c}_distance"))
+
+
+def _deletions(word: Column, times: int) -> Column:
+    """``word`` and all that is left of it after deleting up to ``times`` characters."""
+    out = F.array(word)
+    for _ in range(times):
+        shorter = F.flatten(F.transform(out, lambda w: F.when(F.length(w) > 0, F.transform(
+            F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))).otherwise(F.array(w))))
+        out = F.array_distinct(F.concat(out, shorter))
+    return out
+
+
+def suggest_from(df: DataFrame, column: str, allowed: DataFrame, allowed_col: str, max_distance: int = 2,
+                 ignore_case: bool = True, out: str | None = None) -> DataFrame:
+    """:func:`suggest_spelling` with ``max_distance`` against a dictionary of any size, given as a frame.
+
+    Words at most d edits apart have a common rest after deleting at most d characters of each, so
+    both sides are indexed by these rests and joined on equality; only words that meet are compared.
+    Each different value is looked up once, however many rows have it; the rests of a word of n
+    letters are about n**d / d!, so d is at most 3.  Adds ``<col>_suggestion`` and ``<col>_distance``:
+    null for allowed values, nulls, and values without an allowed one so near."""
+    if not 0 <= max_distance <= 3:
+        raise ValueError("max_distance must be 0 to 3: the index grows with its power")
+    (c,) = _resolve(df, [column])
+    (a,) = _resolve(allowed, [allowed_col])
+    words = allowed.select(col(a).cast("string").alias("word")).filter("word IS NOT NULL").distinct()
+    fold = F.upper if ignore_case else (lambda x: x)
+    values = df.select(col(c).alias("value")).filter("value IS NOT NULL").distinct().join(
+        words, F.col("value") == F.col("word"), "left_anti")
+    mine = values.select("value", F.explode(_deletions(fold(F.col("value")), max_distance)).alias("rest"))
+    theirs = words.select("word", F.explode(_deletions(fold(F.col("word")), max_distance)).alias("rest"))
+    d = F.levenshtein(fold(F.col("value")), fold(F.col("word")))
+    met = mine.join(theirs, "rest").select("value", "word").distinct().withColumn("d", d).filter(F.col("d") <= max_distance)
+    best = met.groupBy("value").agg(F.min(F.struct("d", "word")).alias("best"))
+    value, found = free_name("value", *df.columns), free_name("best", *df.columns)
+    best = best.select(F.col("value").alias(value), F.col("best").alias(found))
+    return df.join(best, col(c) == F.col(value), "left").select(
+        *[col(x) for x in df.columns], F.col(f"{found}.word").alias(out or f"{c}_suggestion"), F.col(f"{found}.d").alias(f"{c}_distance"))

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kempt.functions.columns import col, q
+from kempt.functions.columns import col, free_name, q
 from kempt.operators.cleanse import _resolve
 
 
@@ -97,15 +97,16 @@ def merge(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, h
         if not names:
             raise ValueError("salting needs join column names")
         n = int(salt_buckets)
-        counts = left.groupBy(*[col(c) for c in names]).agg(F.count(F.lit(1)).alias("__n"))
-        limit = left.agg(F.lit(1).alias("__one"), (F.count(F.lit(1)) / F.lit(n)).alias("__limit"))
-        hot = (counts.withColumn("__one", F.lit(1)).join(F.broadcast(limit), "__one")
-               .filter((F.col("__n") > F.col("__limit")) & F.expr(" AND ".join(f"{q(c)} IS NOT NULL" for c in names))))
+        size, one, most = (free_name(x, *names) for x in ("n", "one", "limit"))
+        counts = left.groupBy(*[col(c) for c in names]).agg(F.count(F.lit(1)).alias(size))
+        limit = left.agg(F.lit(1).alias(one), (F.count(F.lit(1)) / F.lit(n)).alias(most))
+        hot = (counts.withColumn(one, F.lit(1)).join(F.broadcast(limit), one)
+               .filter((F.col(size) > F.col(most)) & F.expr(" AND ".join(f"{q(c)} IS NOT NULL" for c in names))))
         hot = F.broadcast(hot.select(*[col(c) for c in names]))
-        salt = F.pmod(F.monotonically_increasing_id(), F.lit(n))
-        lhot = left.join(hot, names, "left_semi").withColumn("__salt", salt)
-        rhot = right.join(hot, names, "left_semi").withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
-        hot_rows = lhot.join(rhot, [*names, "__salt"], how).drop("__salt")
+        salt, extra = F.pmod(F.monotonically_increasing_id(), F.lit(n)), free_name("salt", *left.columns, *right.columns)
+        lhot = left.join(hot, names, "left_semi").withColumn(extra, salt)
+        rhot = right.join(hot, names, "left_semi").withColumn(extra, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
+        hot_rows = lhot.join(rhot, [*names, extra], how).drop(extra)
         return left.join(hot, names, "left_anti").join(r, names, how).union(hot_rows)
     if how in ("full", "outer", "full_outer") and names:
         others = {c.lower() for c in left.columns} & {c.lower() for c in right.columns} - {c.lower() for c in names}
@@ -232,7 +233,7 @@ def pivot_table(df: DataFrame, index: Sequence[str] | str, columns: str, value:
     With ``values`` given this is one aggregation of conditional aggregates
     (``fn(CASE WHEN columns = v THEN value END)``): one shuffle with map-side
     partial aggregation.  Without ``values`` Spark's ``pivot`` first runs a job to
-    find them (at most ``spark.sql.pivotMaxValues``)."""
+    find them (at most ``spark.sql.pivotMaxValues``; :func:`pivot_map` has no limit)."""
     idx = [index] if isinstance(index, str) else list(index)
     (pc,) = _resolve(df, [columns])
     (vc,) = _resolve(df, [value])
@@ -248,6 +249,29 @@ def pivot_table(df: DataFrame, index: Sequence[str] | str, columns: str, value:
     return df.groupBy(*keys).agg(*cells)
 
 
+def pivot_map(df: DataFrame, index: Sequence[str] | str, columns: str, value: str, fn: str = "sum",
+              cells: int = 4096) -> DataFrame:
+    """:func:`pivot_table` for any number of ``columns`` values: ``index``, block and ``cells``, an
+    array of (column, value) sorted by column.
+
+    Cells are aggregated first (one shuffle, partial aggregation), so an index value's rows are
+    bounded by its different ``columns`` values; those are dealt into blocks by a hash, enough of
+    them that a block holds about ``cells`` of the widest index value, so no group is unbounded.
+    A null ``columns`` value is a cell too."""
+    idx = [index] if isinstance(index, str) else list(index)
+    (pc,) = _resolve(df, [columns])
+    keys = _resolve(df, idx)
+    one, part = free_name("value", *keys, pc), free_name("block", *keys, pc, "value")
+    long = aggregate(df, [*keys, pc], {one: (fn, _resolve(df, [value])[0])})
+    from kempt.session import materialize
+    long = materialize(long, "pivot-cells")
+    widest = long.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    blocks = -(-int(widest) // cells)
+    block = F.pmod(F.xxhash64(col(pc)), F.lit(blocks)).cast("long") if blocks > 1 else F.lit(0).cast("long")
+    found = F.array_sort(F.collect_list(F.struct(col(pc).alias("column"), col(one).alias("value"))))
+    return (long.withColumn(part, block).groupBy(*[col(k) for k in keys], F.col(part).alias("block")).agg(found.alias("cells")))
+
+
 # --------------------------------------------------------------------------- T7
 def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str] | None = None,
             var: str = "column", val: str = "value", as_text: bool = False) -> DataFrame:
@@ -262,11 +286,12 @@ def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str] | None = No
 def transpose(df: DataFrame, key: str, max_rows: int = 1000, var: str = "column") -> DataFrame:
     """Rows become columns: one output row per non-key column, one output column per key value
     (values as text).  The output is as wide as the input is long, so the input is
-    checked first: more than ``max_rows`` rows, or a repeated key, is refused."""
+    checked first: more than ``max_rows`` rows, or a repeated key, is refused
+    (:func:`transpose_blocks` has no such limit)."""
     (k,) = _resolve(df, [key])
     keys = sorted((r[0] for r in df.select(col(k)).limit(max_rows + 1).collect()), key=lambda v: (v is None, str(v) if v is None else v))
     if len(keys) > max_rows:
-        raise ValueError(f"transpose refused: more than {max_rows} rows")
+        raise ValueError(f"transpose refused: more than {max_rows} rows; use transpose_blocks")
     if len(set(keys)) != len(keys) or any(v is None for v in keys):
         raise ValueError("transpose needs a unique, non-null key")
     long = to_long(df, [k], None, var=var, val="__v", as_text=True)
@@ -275,6 +300,39 @@ def transpose(df: DataFrame, key: str, max_rows: int = 1000, var: str = "column"
     return long.groupBy(var).agg(*cells)
 
 
+def transpose_blocks(df: DataFrame, key: str, block_rows: int = 1024, var: str = "column") -> DataFrame:
+    """:func:`transpose` at any number of rows: one output row per non-key column and block of
+    ``block_rows`` input rows in the order of ``key``: ``var``, block (from 0), first_key, keys and
+    values (arrays of text; a null value stays null).  Put one after another, a column's blocks
+    are its row of the wide form.
+
+    Rows are range-sorted by key and written once; each range numbers its rows by itself and
+    starts where the ranges before it end (a table of one row per range).  A block is gathered
+    with the values of all columns as one struct, so nothing is exploded before the grouping;
+    no group is larger than a block.  A repeated key keeps all its rows; a null key comes first."""
+    from pyspark.sql import Window
+
+    from kempt.session import materialize
+    (k,) = _resolve(df, [key])
+    rest = [c for c in df.columns if c != k]
+    rows = df.select(col(k).alias("key"), F.struct(*[col(c).cast("string").alias(f"v{i}") for i, c in enumerate(rest)]).alias("cells"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["key", "cells"]
+    ranged = materialize(rows.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()), "transpose")
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("part").orderBy(*order)
+    placed = (ranged.withColumn("nth", F.row_number().over(inside) - 1).join(F.broadcast(starts), "part")
+              .withColumn("nth", F.col("start") + F.col("nth")))
+    block = F.floor(F.col("nth") / F.lit(block_rows)).cast("long")
+    blocks = placed.groupBy(block.alias("block")).agg(F.array_sort(F.collect_list(F.struct("nth", "key", "cells"))).alias("rows"))
+    per = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"rows.cells.v{i}").alias("vals")) for i, c in enumerate(rest)])
+    out = blocks.select("block", F.col("rows.key").alias("keys"), F.explode(per).alias("c"))
+    return out.select(F.col("c.name").alias(var), "block", F.get("keys", 0).alias("first_key"),
+                      F.transform("keys", lambda x: x.cast("string")).alias("keys"), F.col("c.vals").alias("values"))
+
+
 # --------------------------------------------------------------------------- M15 / T16
 def sample(df: DataFrame, fraction: float = 0.1, seed: int | None = 42, with_replacement: bool = False) -> DataFrame:
     """Bernoulli sample (``DataFrame.sample``); seeded by default."""
@@ -314,13 +372,46 @@ def stratified_sample(df: DataFrame, column: str, fractions: Mapping, key: str |
     return df.filter(_unit_hash(text) < frac)
 
 
+def sample_per_stratum(df: DataFrame, column: str, n: int, key: str | Sequence[str], weight: str | None = None,
+                       salt: str = "") -> DataFrame:
+    """Exactly ``n`` rows of each value of ``column`` (all, if it has fewer), repeatable: the same rows
+    under any partitioning.  Null is a stratum too.
+
+    Rows are ordered by a hash of ``key`` (ties by the key, then by the row's other columns).  With
+    ``weight`` the hash u becomes -ln(1 - u) / weight, which draws without replacement in proportion
+    to the weights (Efraimidis and Spirakis, 2006); rows whose weight is null or not positive are
+    left out.  Spark keeps only the first ``n`` of each value in each task before the shuffle (for
+    ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``), so a stratum that holds most of
+    the rows is never gathered."""
+    from pyspark.sql import Window
+    (c,) = _resolve(df, [column])
+    keys = _resolve(df, [key] if isinstance(key, str) else list(key))
+    text = F.concat_ws("|", *[col(x).cast("string") for x in keys])
+    u = _unit_hash(F.concat(F.lit(salt), text))
+    if weight is not None:
+        (w,) = _resolve(df, [weight])
+        df = df.filter(col(w) > 0)
+        u = -F.log(1 - u) / col(w)
+    others = [x for x in df.columns if not df.schema[x].dataType.simpleString().startswith(("map", "variant", "interval"))]
+    nth = free_name("nth", *df.columns)
+    place = F.row_number().over(Window.partitionBy(col(c)).orderBy(u, text, *[col(x) for x in others]))
+    return df.withColumn(nth, place).filter(F.col(nth) <= n).drop(nth)
+
+
 # --------------------------------------------------------------------------- M18
+def _agree(a: Column, b: Column, tol: float) -> Column:
+    """True for two nulls, two NaN, two equal infinities and values at most ``tol`` apart, else
+    false; never null."""
+    if not tol:
+        return a.eqNullSafe(b)
+    return a.eqNullSafe(b) | F.coalesce(~F.isnan(a) & ~F.isnan(b) & (F.abs(a - b) <= F.lit(tol)), F.lit(False))
+
+
 def reconcile_cols(df: DataFrame, a: str, b: str, tol: float = 0.0) -> DataFrame:
-    """Rows where ``a`` and ``b`` disagree: differ by more than ``tol``, or exactly one is null."""
+    """Rows where ``a`` and ``b`` disagree: differ by more than ``tol``, or exactly one is null or
+    NaN.  Equal infinities agree."""
     ca, cb = (col(x) for x in _resolve(df, [a, b]))
-    one_null = ca.isNull() != cb.isNull()
-    differ = (F.abs(ca - cb) > F.lit(tol)) if tol else ~ca.eqNullSafe(cb)
-    return df.filter(one_null | (ca.isNotNull() & cb.isNotNull() & differ))
+    return df.filter(~_agree(ca, cb, tol))
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], cols: Sequence[str],
@@ -329,30 +420,32 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], cols: Sequ
 
     Rows: keys, status, left_rows, right_rows, and ``<c>_left`` / ``<c>_right``.
     status: matched, changed, left_only, right_only, or duplicate_key when a key
-    is not unique on a side.  Each side is first collapsed to one row per key
-    (partial aggregation map-side), so the full outer join is one-to-one and a
-    repeated key can never multiply rows."""
+    is not unique on a side.  A null in a key is a value like any other; NaN agrees with NaN, an
+    infinity with the same one.  Each side is first collapsed to one row per key
+    (partial aggregation map-side), so a repeated key can never multiply rows; the two sides are
+    then one row per key and side, gathered by one more grouping instead of a join, in which
+    null keys meet too."""
     def side(df: DataFrame, tag: str) -> DataFrame:
         ks = _resolve(df, keys)
         cs = _resolve(df, cols)
-        return df.groupBy(*[col(k) for k in ks]).agg(
-            F.count(F.lit(1)).alias(f"{tag}_rows"),
-            *[F.min(col(c)).alias(f"{c}_{tag}") for c in cs])
-    j = side(left, "left").join(side(right, "right"), list(keys), "full")
-    same = None
+        return df.groupBy(*[col(k).alias(n) for k, n in zip(ks, keys, strict=True)]).agg(
+            F.struct(F.count(F.lit(1)).alias("n"), *[F.min(col(c)).alias(f"v{i}") for i, c in enumerate(cs)]).alias(tag))
+    names = [free_name(f"{t}_side", *keys) for t in ("left", "right")]
+    both = side(left, names[0]).unionByName(side(right, names[1]), allowMissingColumns=True)
+    j = both.groupBy(*[col(k) for k in keys]).agg(*[F.first(n, ignorenulls=True).alias(n) for n in names])
+    j = j.select(*[col(k) for k in keys], *[F.col(f"{n}.n").alias(f"{t}_rows") for n, t in zip(names, ("left", "right"), strict=True)],
+                 *[F.col(f"{n}.v{i}").alias(f"{c}_{t}") for i, c in enumerate(cols) for n, t in zip(names, ("left", "right"), strict=True)])
+    same = F.lit(True)
     for c in cols:
-        lv, rv = F.col(f"{c}_left"), F.col(f"{c}_right")
-        eq = lv.eqNullSafe(rv) if not tol else ((lv.isNull() & rv.isNull()) | (F.abs(lv - rv) <= F.lit(tol)))
-        eq = F.coalesce(eq, F.lit(False))
-        same = eq if same is None else same & eq
+        same = same & _agree(col(f"{c}_left"), col(f"{c}_right"), tol)
     status = (F.when(F.col("left_rows").isNull(), "right_only")
               .when(F.col("right_rows").isNull(), "left_only")
               .when((F.col("left_rows") > 1) | (F.col("right_rows") > 1), "duplicate_key")
               .when(same, "matched").otherwise("changed"))
-    return j.select(*list(keys), status.alias("status"),
+    return j.select(*[col(k) for k in keys], status.alias("status"),
                     F.coalesce(F.col("left_rows"), F.lit(0)).cast("bigint").alias("left_rows"),
                     F.coalesce(F.col("right_rows"), F.lit(0)).cast("bigint").alias("right_rows"),
-                    *[x for c in cols for x in (F.col(f"{c}_left"), F.col(f"{c}_right"))])
+                    *[x for c in cols for x in (col(f"{c}_left"), col(f"{c}_right"))])
 
 
 # --------------------------------------------------------------------------- C18 (re-aimed)
@@ -360,15 +453,17 @@ def locate(df: DataFrame, key_cols: Sequence[str], gazetteer: DataFrame, place_c
            lat: str = "lat", lon: str = "lon", broadcast: bool = False) -> DataFrame:
     """Geocode by lookup instead of a web service: join a gazetteer (place, lat, lon) on
     ``upper(trim(...))`` of the address columns joined by ', '.  Adds lat, lon and
-    ``address_valid``.  Gazetteer places are made unique first, so a row is never
-    repeated.  ``broadcast=True`` only for a gazetteer of bounded size."""
+    ``address_valid``, replacing columns of these names.  Gazetteer places are made unique first
+    (the smallest position, one row's own pair), so a row is never repeated.
+    ``broadcast=True`` only for a gazetteer of bounded size."""
     cs = [col(c).cast("string") for c in _resolve(df, key_cols)]
     norm = F.upper(F.trim(F.concat_ws(", ", *cs)))
-    g = (gazetteer.select(F.upper(F.trim(F.col(place_col))).alias("__place"),
-                          F.col(lat).alias("__lat"), F.col(lon).alias("__lon"))
-         .groupBy("__place").agg(F.min("__lat").alias("__lat"), F.min("__lon").alias("__lon")))
+    place, found, row = (free_name(n, *df.columns) for n in ("place", "found", "row"))
+    g = (gazetteer.select(F.upper(F.trim(col(place_col))).alias(place), F.struct(col(lat).alias("lat"), col(lon).alias("lon")).alias(found))
+         .groupBy(place).agg(F.min(found).alias(found)))
     if broadcast:
         g = F.broadcast(g)
-    j = df.withColumn("__key", norm).join(g, F.col("__key") == F.col("__place"), "left")
-    return j.select(*[col(c) for c in df.columns], F.col("__lat").alias("lat"), F.col("__lon").alias("lon"),
-                    F.col("__place").isNotNull().alias("address_valid"))
+    new = ("lat", "lon", "address_valid")
+    j = df.withColumn(row, norm).join(g, F.col(row) == F.col(place), "left")
+    return j.select(*[col(c) for c in df.columns if c.lower() not in new], F.col(f"{found}.lat").alias("lat"),
+                    F.col(f"{found}.lon").alias("lon"), F.col(place).isNotNull().alias("address_valid"))

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kempt.functions.columns import col, is_numeric, is_string
+from kempt.functions.columns import col, is_fractional, is_numeric, is_string
 from kempt.operators.cleanse import _replace_cols, _resolve
 
 
@@ -24,12 +24,18 @@ def _one_row(df: DataFrame, exprs: list[Column]) -> dict:
     return row.asDict()
 
 
+def finite(v: Column) -> Column:
+    """``v`` where it is a number to fit on: null for NaN and the infinities, which would
+    otherwise turn a whole column's mean, deviation or range into NaN."""
+    return F.when(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), v)
+
+
 # --------------------------------------------------------------------------- moments
 def moment_exprs(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     """The aggregates behind :func:`fit_moments`, for use in ``agg`` or ``observe``."""
     exprs = []
     for i, c in enumerate(_resolve(df, cols)):
-        v = col(c).cast("double")
+        v = finite(col(c).cast("double"))
         exprs += [F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
                   F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"), F.count(v).alias(f"n{i}")]
     return exprs
@@ -43,7 +49,7 @@ def moments_from(values: Mapping, df: DataFrame, cols: Sequence[str]) -> dict[st
 
 
 def fit_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
-    """mean, sample stddev, min, max and non-null count for each column, one job."""
+    """mean, sample stddev, min, max and count of the finite values of each column, one job."""
     return moments_from(_one_row(df, moment_exprs(df, cols)), df, cols)
 
 
@@ -54,7 +60,8 @@ def winsorize(df: DataFrame, cols: Sequence[str], threshold: float = 3.0, mode:
 
     ``mode="clamp"``: high outliers go to ``mean + t*sd``, low ones to ``mean - t*sd``.
     ``mode="reference"``: every outlier goes to ``mean + t*sd`` (the upper fence,
-    also for low outliers).  Nulls stay null; with sd null (one row) or 0 the
+    also for low outliers).  Nulls stay null and NaN stays NaN; an infinity is an outlier
+    like any other.  The fit sees finite values only; with sd null (one row) or 0 the
     column is unchanged.  Result columns are double.
     """
     if mode not in ("clamp", "reference"):
@@ -71,17 +78,19 @@ def winsorize(df: DataFrame, cols: Sequence[str], threshold: float = 3.0, mode:
         z = F.abs((v - F.lit(mean)) / F.lit(sd))
         hi = F.lit(mean) + F.lit(threshold) * F.lit(sd)
         lo = F.lit(mean) - F.lit(threshold) * F.lit(sd)
+        far = (z > threshold) & ~F.isnan(v)  # NaN is larger than any number
         if mode == "clamp":
-            new[c] = F.when((z > threshold) & (v > F.lit(mean)), hi).when(z > threshold, lo).otherwise(v)
+            new[c] = F.when(far & (v > F.lit(mean)), hi).when(far, lo).otherwise(v)
         else:
-            new[c] = F.when(z > threshold, hi).otherwise(v)
+            new[c] = F.when(far, hi).otherwise(v)
     return _replace_cols(df, new)
 
 
 # --------------------------------------------------------------------------- M11 (as commented)
 def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "",
                 stats: Mapping[str, Mapping] | None = None) -> DataFrame:
-    """z-score: ``(x - mean) / sd`` with sample sd; sd 0 or null gives null."""
+    """z-score: ``(x - mean) / sd`` with sample sd; sd 0 or null gives null.  Mean and sd are
+    those of the finite values; NaN and the infinities stay what they are (null if sd is 0 or null)."""
     cols = _resolve(df, cols)
     stats = stats or fit_moments(df, cols)
     new = {}
@@ -97,7 +106,8 @@ def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "",
 # --------------------------------------------------------------------------- T9 / T11
 def min_max(df: DataFrame, cols: Sequence[str], suffix: str = "_normalized",
             keep: Sequence[str] | None = None, stats: Mapping[str, Mapping] | None = None) -> DataFrame:
-    """Scale to [0, 1]: ``(x - min) / (max - min)``; max = min gives null.
+    """Scale to [0, 1]: ``(x - min) / (max - min)``; max = min gives null.  The range is that of
+    the finite values; NaN and the infinities stay what they are (null if max = min).
 
     ``suffix=""`` scales in place (T11).  ``keep`` restricts the output to
     ``keep`` plus the scaled columns (T9 keeps ID and year)."""
@@ -226,6 +236,11 @@ def exact_mode(df: DataFrame, column: str):
 
 
 # --------------------------------------------------------------------------- M10 / T8
+def _mean(df: DataFrame, c: str) -> Column:
+    """Mean of the finite values."""
+    return F.avg(finite(col(c)) if is_fractional(df.schema[c].dataType) else col(c))
+
+
 def fit_impute(df: DataFrame, spec: Mapping[str, object], accuracy: int = 10000) -> dict[str, object]:
     """Resolve "mean" / "approx_median" in one job, "median" / "mode" with the bounded
     exact algorithms above; other values are constants."""
@@ -235,7 +250,7 @@ def fit_impute(df: DataFrame, spec: Mapping[str, object], accuracy: int = 10000)
         (c,) = _resolve(df, [name])
         values[c] = how
         if how == "mean":
-            stat_exprs.append(F.avg(col(c)).alias(f"v{i}"))
+            stat_exprs.append(_mean(df, c).alias(f"v{i}"))
         elif how == "approx_median":
             stat_exprs.append(F.percentile_approx(col(c), 0.5, accuracy).alias(f"v{i}"))
         elif how == "median":
@@ -263,7 +278,7 @@ def impute_exprs(df: DataFrame, spec: Mapping[str, object], accuracy: int = 1000
     for i, (name, how) in enumerate(spec.items()):
         (c,) = _resolve(df, [name])
         if how == "mean":
-            exprs.append(F.avg(col(c)).alias(f"v{i}"))
+            exprs.append(_mean(df, c).alias(f"v{i}"))
         elif how == "approx_median":
             exprs.append(F.percentile_approx(col(c), 0.5, accuracy).alias(f"v{i}"))
     return exprs or None
@@ -283,7 +298,8 @@ def impute(df: DataFrame, spec: Mapping[str, object], values: Mapping[str, objec
     ``spec`` maps column to a constant or one of "mean", "median",
     "approx_median", "mode".  A fill for an integral column is rounded half-up;
     a text constant for a numeric column is refused up front (ANSI would fail
-    the job at run time instead)."""
+    the job at run time instead).  A mean is that of the finite values; NaN and the
+    infinities are values and are not filled."""
     values = values or fit_impute(df, spec)
     types = {f.name: f.dataType for f in df.schema.fields}
     new = {}

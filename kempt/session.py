@@ -83,8 +83,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def drop_scratch(spark: SparkSession) -> bool:
     """Delete everything this application wrote below the checkpoint root, through the file
     system's own API. Call it when no DataFrame that reads it is needed any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_app_scratch(spark))
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path_delete(spark, _app_scratch(spark))
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the path names."""
+    p, fs = _path(spark, path)
+    return fs.exists(p)
+
+
+def path_delete(spark: SparkSession, path: str) -> bool:
+    """Delete a file, or a folder with all below it."""
+    p, fs = _path(spark, path)
+    return fs.delete(p, True)
 
 
 def materialize(df, name: str = "stage", observe: list | None = None):

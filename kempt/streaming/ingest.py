@@ -16,10 +16,13 @@ import threading
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kempt.operators.quality import profile
 from kempt.plans.pipeline import run_pipeline
+from kempt.session import materialize
+from kempt.sources.quarantine import parser_options, split_rows, with_record
 
 
 def stream_steps(df: DataFrame, steps: Sequence[Mapping] | None) -> DataFrame:
@@ -30,27 +33,47 @@ def stream_steps(df: DataFrame, steps: Sequence[Mapping] | None) -> DataFrame:
 def ingest_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                   schema: T.StructType | str, fmt: str = "parquet", steps: Sequence[Mapping] | None = None,
                   profile_dir: str | None = None, max_files_per_trigger: int | None = None,
-                  options: Mapping[str, str] | None = None, available_now: bool = True):
+                  options: Mapping[str, str] | None = None, available_now: bool = True,
+                  quarantine_dir: str | None = None, required: Sequence[str] = ()):
     """Start (and with ``available_now`` run to completion) the ingest query.
 
     Reads new files of ``source_dir`` (not recursive; the schema is required
     for streaming file sources), applies ``steps``, writes cleansed rows to
     ``sink_dir`` and, if given, one profile row per column per batch to
     ``profile_dir``.  Returns the StreamingQuery (already stopped when
-    ``available_now``)."""
-    r = spark.readStream.format(fmt).schema(schema)
+    ``available_now``).
+
+    ``quarantine_dir`` (CSV and JSON): records that do not fit the schema, or lack a value in a
+    column of ``required``, go there (reason, record, file), batch by batch in the same way, and
+    the steps see the others only: a file of bad records does not stop the query.  Each batch is
+    parsed once and written once before it is split.  A file that cannot be read at all (a
+    broken archive) still stops it, as its rows would be lost without a word."""
+    if quarantine_dir:
+        full, record = with_record(schema)
+        given = {k: v for k, v in (options or {}).items() if k not in ("header", "sep")}
+        header = str((options or {}).get("header", "false")).lower() == "true"
+        r = spark.readStream.format(fmt).schema(full).options(
+            **parser_options(fmt, record, header, None, (options or {}).get("sep", ","), given))
+    else:
+        r = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    for k, v in (options or {}).items():
-        r = r.option(k, v)
     src = r.load(source_dir)
-    cleansed = stream_steps(src, steps)
+    if quarantine_dir:
+        stream_steps(src.drop(record), steps)  # raises for steps that a stream cannot take
+        cleansed = src.select("*", F.col("_metadata.file_path").alias("file"))
+    else:
+        cleansed = stream_steps(src, steps)
 
     started, query_id = threading.Event(), []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         started.wait()
         folder = f"stream={query_id[0]}/batch={batch_id}"
+        if quarantine_dir:
+            good, bad = split_rows(materialize(batch, "stream-parsed"), record, required)
+            bad.write.mode("overwrite").parquet(f"{quarantine_dir}/{folder}")
+            batch = stream_steps(good, steps)
         batch.write.mode("overwrite").parquet(f"{sink_dir}/{folder}")
         if profile_dir:
             done = batch.sparkSession.read.schema(batch.schema).parquet(f"{sink_dir}/{folder}")
