@@ -6,9 +6,12 @@ Texts pass through a cascade of finite-state transducers:
    reporting word or other. Insults are a fixed list and word beginnings whose weights are
    learned (a weighted trie over the first letters). A word that ends a sentence also closes
    the clause, as does a line end.
-2. Symbols to clause matches. Clauses with neither insult nor threat end here. In the others
-   each insult counts with its strength: more if a target stands close, little if it is
-   negated or reported ("he said ..."). A threat counts only if it reaches a target.
+2. Symbols to clause matches. Clauses with neither insult nor threat end here. The others are
+   read once from the end, which notes how near the next target is, and then by one weighted
+   automaton: insult and threat transducers united, composed with those of target, negation
+   and reported speech. An insult counts with its strength: more if a target stands close,
+   little if it is negated, half if reported ("he said ..."). A threat counts only if it
+   reaches a target. A clause scores the summed weight of its path.
 3. Matched clauses to a score: logistic regression on how strong, how many and how dense
    the matched clauses are, never on words alone.
 
@@ -21,6 +24,7 @@ from __future__ import annotations
 import re
 import sys
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +50,103 @@ _END = re.compile(r"[.!?;:][\"')\]]*$")
 REMEMBER = 1 << 17  # words that a task remembers before it starts over
 
 _HIT = re.compile(r"[1-9t]")
-_NEGATED = re.compile(r"n.{0,2}$")
-_REPORTED = re.compile(r"r.{0,6}$")
-_TARGET_BEFORE, _TARGET_AFTER = re.compile(r"y.{0,2}$"), re.compile(r"^.{0,2}y")
-_THREAT = re.compile(r"^.{0,3}y")
+
+
+# ------------------------------------------------------------------ transducers
+class Transducer:
+    """Arcs by state and input: (weight put out, next state). Inputs are a symbol and how near the
+    next target is; a missing arc puts out 0 and leads back to the start."""
+
+    def __init__(self, start, arcs: dict):
+        self.start, self.arcs = start, arcs
+
+    def weights(self, tape: list[tuple[str, int]]) -> list[float]:
+        state, out = self.start, []
+        for x in tape:
+            weight, state = self.arcs.get((state, x), (0.0, self.start))
+            out.append(weight)
+        return out
+
+
+SYMBOLS = "o123456789tynr"
+STRENGTHS = "123456789"
+_FAR = 5  # targets are looked for up to four words ahead
+TAPE = [(c, n) for c in SYMBOLS for n in range(1, _FAR + 1)]
+
+
+def annotated(clause: str) -> list[tuple[str, int]]:
+    """The first transducer of the cascade, read from the end: each symbol with the distance to the
+    next target after it (``_FAR``: none near)."""
+    near, out = _FAR, []
+    for c in reversed(clause):
+        out.append((c, near))
+        near = 1 if c == "y" else min(near + 1, _FAR)
+    return out[::-1]
+
+
+def stateless(weight) -> Transducer:
+    return Transducer(0, {(0, x): (weight(x), 0) for x in TAPE})
+
+
+def since(mark: str, reach: int, weight) -> Transducer:
+    """States: words since ``mark``, 0 beyond ``reach``; puts out ``weight(input, whether it is near)``."""
+    arcs = {}
+    for state in range(reach + 1):
+        for x in TAPE:
+            arcs[state, x] = (weight(x, state > 0), 1 if x[0] == mark else (state + 1) % (reach + 1) if state else 0)
+    return Transducer(0, arcs)
+
+
+#: An insult weighs its strength.
+INSULT = stateless(lambda x: float(x[0]) if x[0] in STRENGTHS else 0.0)
+#: A threat weighs 5 if it reaches a target at most four words ahead.
+THREAT = stateless(lambda x: 5.0 if x[0] == "t" and x[1] < _FAR else 0.0)
+#: An insult at most three words before or behind a target counts more.
+TARGET = since("y", 3, lambda x, near: 1.25 if x[0] in STRENGTHS and (near or x[1] <= 3) else 1.0)
+#: Negated at most three words before, little is left; reported at most seven words before, half.
+NEGATION = since("n", 3, lambda x, near: 0.3 if near else 1.0)
+REPORTED = since("r", 7, lambda x, near: 0.5 if near else 1.0)
+
+
+def _product(a: Transducer, b: Transducer, combine) -> Transducer:
+    """The transducer whose states are the pairs that can be reached, whose arcs combine weights."""
+    start = (a.start, b.start)
+    arcs, queue, seen = {}, [start], {start}
+    while queue:
+        state = queue.pop()
+        for x in TAPE:
+            (wa, na), (wb, nb) = a.arcs[state[0], x], b.arcs[state[1], x]
+            arcs[state, x] = (combine(wa, wb), (na, nb))
+            if (na, nb) not in seen:
+                seen.add((na, nb))
+                queue.append((na, nb))
+    return Transducer(start, arcs)
+
+
+def union(a: Transducer, b: Transducer) -> Transducer:
+    """Matches of either: weights add."""
+    return _product(a, b, lambda x, y: x + y)
+
+
+def compose(a: Transducer, b: Transducer) -> Transducer:
+    """``b`` reweighs what ``a`` puts out: weights multiply."""
+    return _product(a, b, lambda x, y: x * y)
+
+
+def _numbered(t: Transducer) -> list[dict[tuple[str, int], tuple[float, int]]]:
+    """A table of arcs by state number; the start is 0."""
+    names = {t.start: 0}
+    for state, _ in t.arcs:
+        names.setdefault(state, len(names))
+    table: list[dict] = [{} for _ in names]
+    for (state, x), (weight, after) in t.arcs.items():
+        table[names[state]][x] = (weight, names[after])
+    return table
+
+
+#: The whole grammar as one weighted automaton.
+GRAMMAR = compose(compose(compose(union(INSULT, THREAT), TARGET), NEGATION), REPORTED)
+_ARCS = _numbered(GRAMMAR)
 
 
 class Lexicon(dict):
@@ -83,20 +180,10 @@ class Lexicon(dict):
 
 
 def clause_score(clause: str) -> float:
-    """Weight of one clause of symbols."""
-    total = 0.0
-    for m in _HIT.finditer(clause):
-        before, after = clause[:m.start()], clause[m.end():]
-        if m[0] == "t":
-            weight = 5.0 if _THREAT.search(after) else 0.0
-        else:
-            weight = float(m[0])
-            if _TARGET_BEFORE.search(before) or _TARGET_AFTER.search(after):
-                weight *= 1.25
-        if _NEGATED.search(before):
-            weight *= 0.3
-        if _REPORTED.search(before):
-            weight *= 0.5
+    """Weight of one clause of symbols: of its path through the grammar, summed."""
+    total, state = 0.0, 0
+    for x in annotated(clause):
+        weight, state = _ARCS[state][x]
         total += weight
     return total
 
@@ -242,13 +329,15 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     spark = docs.sparkSession
     on_workers(spark)
     prefixes, w = fit(docs, labels, id_col, text_col)
-    index = docs.columns.index(text_col)
+    on_texts = F.arrow_udf(_scores(prefixes, w), "double")
+    # only the text goes to Python; the other columns, whatever their types, stay where they are
+    return docs.filter(on_texts(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))) < 0.5)
 
-    def run(batches):
-        lexicon = Lexicon(prefixes)
-        for b in slices(batches):
-            texts = b.column(index).cast(pa.string()).to_pylist()
-            x = np.array([features(lexicon.symbols(t or "")) for t in texts]).reshape(-1, 4)
-            yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+def _scores(prefixes: dict[str, int], w: np.ndarray):
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lexicon = Lexicon(prefixes)
+        for part in texts:
+            x = np.array([features(lexicon.symbols(t)) for t in part.to_pylist()]).reshape(-1, 4)
+            yield pa.array(1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))))
+    return run
