@@ -93,8 +93,8 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, key: dict[str, Column]) ->
 
     ``decisions`` has the columns named in ``key`` and a boolean ``kept``, one row for each
     row of ``docs``; ``key`` says how each is computed from a row of ``docs``. Of rows that
-    agree in the whole key (the same document stored twice) at most one stays: the one
-    whose remaining columns are smallest. Only the dropped and repeated keys are joined; the
+    agree in the whole key (the same document stored twice) at most one stays: the one whose
+    columns, written as text, have the smallest MD5, which any column types allow. Only the dropped and repeated keys are joined; the
     join is a sorted one at every size, whose cost grows with the input."""
     names = [f"key_{k}" for k in key]
     per = stored(decisions.groupBy(*[F.col(k).alias(n) for k, n in zip(key, names, strict=True)])
@@ -111,5 +111,6 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, key: dict[str, Column]) ->
     twice = per.filter(F.col("kept"))
     if twice.isEmpty():
         return once
-    rest = (keyed.join(twice, cond, "left_semi").groupBy(*[f"row_{k}" for k in key]).agg(F.min("row").alias("row")))
+    rest = (keyed.join(twice, cond, "left_semi").groupBy(*[f"row_{k}" for k in key])
+            .agg(F.min_by("row", F.md5(F.col("row").cast("string"))).alias("row")))
     return once.unionByName(rest.select(*rows))

@@ -121,9 +121,9 @@ def _source(source_col: str) -> Column:
     return F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit(""))
 
 
-def _copies(doc_id: Column, seed: int, plan: str = "") -> Column:
-    epochs = F.col(f"{plan}epochs")
-    return (epochs + (place(doc_id, epochs, seed) < F.col(f"{plan}stop")).cast("long")).cast("int")
+def _copies(doc_id: Column, seed: int) -> Column:
+    epochs = F.col("epochs")
+    return (epochs + (place(doc_id, epochs, seed) < F.col("stop")).cast("long")).cast("int")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", entropy: float = 0.999,
@@ -149,8 +149,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     entropy: float = 0.999, repeats: float = 1.5, seed: int = 0) -> DataFrame:
     """``docs`` with each row as often as the mixture has it; columns unchanged."""
     plan = stored(schedule(_rows(docs, id_col, text_col, source_col), entropy, repeats, None, seed)
-                  .select(F.struct("*").alias("__plan")), "mix-schedule")
-    joined = docs.join(plan, _source(source_col) == F.col("__plan.source"))
-    times = _copies(F.col(f"`{id_col}`").cast("long"), seed, "__plan.")
-    return (joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), times)))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+                  .withColumnRenamed("source", "planned"), "mix-schedule")
+    # rows travel as one struct, so that no column of theirs can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(f"`{id_col}`").cast("long").alias("doc_id"), _source(source_col).alias("source"))
+    joined = rows.join(plan, F.col("source") == F.col("planned"))
+    copies = joined.select("row", F.explode(F.sequence(F.lit(1), _copies(F.col("doc_id"), seed))).alias("copy"))
+    return copies.select(*[F.col(f"row.`{c}`") for c in docs.columns])

@@ -100,3 +100,20 @@ def test_planted(spark):
     for name, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_any_columns_pass_all_stages(spark):
+    """Columns whose names the operators use themselves, other letter cases, and types that cannot be ordered or sent to Python."""
+    sql = """SELECT doc_id, text AS Text, lang, source, n_chars, 'p' AS __plan, 'c' AS __copy, 'k' AS key_id, 'e' AS epochs, 'w' AS row, 's' AS score,
+             map('a', doc_id) AS m, parse_json('{"a": 1}') AS v, make_dt_interval(1, 2) AS i, make_interval(1) AS ci FROM d"""
+    base = spark.read.parquet(f"{SF}/documents.parquet")
+    base.createOrReplaceTempView("d")
+    docs = spark.sql(sql)
+    docs = docs.unionByName(docs.filter("doc_id % 10 = 0"))  # repeated rows
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.dtypes == docs.dtypes, name
+        assert after.filter("__plan <> 'p' OR __copy <> 'c' OR key_id <> 'k' OR epochs <> 'e' OR row <> 'w' OR score <> 's' OR m['a'] <> doc_id").count() == 0, name
+        if name == "toxicity":
+            docs = after
+    assert corpus_pipeline.pack(spark, docs, SF).count() > 0
