@@ -1308,6 +1308,97 @@ def q_ingest_stream(spark, sf):
     return spark.read.parquet(sink).drop("stream", "batch")
 
 
+# =========================================================================== running profile, matching, discovery
+_EV_COLS = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
+
+
+def _running_sql() -> str:
+    parts = []
+    for i, (n, ty) in enumerate(_EV_COLS.items()):
+        number = ty in ("bigint", "double")
+        parts.append(f"""SELECT '{n}' AS "column", {i} AS position, '{ty}' AS type, count(*) AS rows, count(*) - count({n}) AS nulls,
+  CAST(min({n}) AS VARCHAR) AS min, CAST(max({n}) AS VARCHAR) AS max, {rnd(f'avg({n})', 4) if number else 'CAST(NULL AS DOUBLE)'} AS mean,
+  {rnd(f'stddev_samp({n})', 4) if number else 'CAST(NULL AS DOUBLE)'} AS stddev, true AS distinct_close, true AS median_close FROM events""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("running_profile", _running_sql())
+def q_running_profile(spark, sf):
+    """Events that arrive in four batches, one of which is processed twice; estimates against exact figures
+    (distinct within 3 %, the median's rank within 0.01 of a half; equal values share their ranks)."""
+    from kempt.streaming.running import running_profile, store_summary
+    path, ev = scratch_dir(spark, "running"), t(spark, sf, "events")
+    batch = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    store_summary(ev, path, 3)  # a batch that is replaced below, as by a replay after a failure
+    for b in range(4):
+        store_summary(ev.filter(batch == b), path, b)
+    got = materialize(running_profile(spark, path), "running-profile")
+    exact = quality.distinct_counts(ev).withColumnRenamed("distinct", "exact")
+    medians = {r["column"]: r["median"] for r in got.filter("median IS NOT NULL").collect()}  # one number a column
+    ranks = ev.agg(*[F.struct(F.avg((F.col(c) < F.lit(m)).cast("double")).alias("first"),
+                              F.avg((F.col(c) <= F.lit(m)).cast("double")).alias("last")).alias(c) for c, m in medians.items()])
+    share = ranks.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("share")) for c in medians])))
+    j = got.join(F.broadcast(exact), "column").join(F.broadcast(share), "column", "left")
+    return j.select("column", "position", "type", "rows", "nulls", "min", "max", stable_round(F.col("mean"), 4).alias("mean"),
+                    stable_round(F.col("stddev"), 4).alias("stddev"),
+                    (F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.03 * F.col("exact"))).alias("distinct_close"),
+                    F.coalesce((F.col("share.first") <= 0.51) & (F.col("share.last") >= 0.49), F.lit(True)).alias("median_close"))
+
+
+_TOKENS = r"list_sort(list_distinct(list_filter(string_split_regex(lower({x}), '[^\p{{L}}\p{{N}}]+'), lambda p: p <> '')))"
+
+
+@query("match_similar", rf"""WITH a AS (SELECT c_custkey, concat_ws(' ', c_mktsegment || ',', 'Street No.', CAST(c_custkey % 97 AS VARCHAR), n_name, r_name) AS address
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+g AS (SELECT {_TOKENS.format(x="text")} AS s, min(text) AS text FROM
+  (SELECT concat_ws(' ', CAST(c_custkey % 89 AS VARCHAR), lower(c_mktsegment), 'street', n_name, 'in', r_name) AS text
+   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) GROUP BY 1),
+l AS (SELECT DISTINCT {_TOKENS.format(x="address")} AS s FROM a),
+lt AS (SELECT s, unnest(s) AS token FROM l), gt AS (SELECT s, unnest(s) AS token FROM g),
+p AS (SELECT lt.s AS l, gt.s AS g, count(*) AS n FROM lt JOIN gt USING (token) GROUP BY 1, 2),
+b AS (SELECT p.l, text, n / (len(p.l) + len(p.g) - n) AS similarity,
+  row_number() OVER (PARTITION BY p.l ORDER BY n / (len(p.l) + len(p.g) - n) DESC, text) AS nth
+  FROM p JOIN g ON p.g = g.s WHERE n / (len(p.l) + len(p.g) - n) >= 0.75)
+SELECT c_custkey, address, b.text AS match_text, similarity AS match_similarity FROM a LEFT JOIN b ON {_TOKENS.format(x="address")} = b.l AND nth = 1""")
+def q_match_similar(spark, sf):
+    """Customers' addresses against a register that writes them otherwise, by their words."""
+    from kempt.operators.similar import match_similar
+    c = (t(spark, sf, "customer").join(t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")))
+    number = lambda m: (F.col("c_custkey") % m).cast("string")
+    a = c.select("c_custkey", F.concat_ws(" ", F.concat("c_mktsegment", F.lit(",")), F.lit("Street No."), number(97), "n_name", "r_name").alias("address"))
+    register = c.select(F.concat_ws(" ", number(89), F.lower("c_mktsegment"), F.lit("street"), "n_name", F.lit("in"), "r_name").alias("text"))
+    return match_similar(a, "address", register, "text", 0.75)
+
+
+_REL_COLS = {
+    "region": {"r_regionkey": "i", "r_name": "t"},
+    "nation": {"n_nationkey": "i", "n_name": "t", "n_regionkey": "i"},
+    "customer": {"c_custkey": "i", "c_name": "t", "c_nationkey": "i", "c_acctbal": "d", "c_mktsegment": "t"},
+    "supplier": {"s_suppkey": "i", "s_name": "t", "s_nationkey": "i", "s_acctbal": "d"},
+    "part": {"p_partkey": "i", "p_name": "t", "p_brand": "t", "p_type": "t", "p_size": "i", "p_retailprice": "d"},
+    "orders": {"o_orderkey": "i", "o_custkey": "i", "o_orderstatus": "t", "o_totalprice": "d", "o_orderdate": "ts", "o_orderpriority": "t"},
+    "events": {"event_id": "i", "ts": "ts", "user_id": "i", "event_type": "t", "value": "d", "props": "t"},
+}
+
+
+def _inclusions_sql() -> str:
+    cols = [(tab, c, k) for tab, cs in _REL_COLS.items() for c, k in cs.items()]
+    values = " UNION ALL ".join(f"SELECT DISTINCT '{tab}.{c}' AS c, '{k}' AS k, CAST({c} AS VARCHAR) AS v FROM {tab} WHERE {c} IS NOT NULL" for tab, c, k in cols)
+    facts = " UNION ALL ".join(f"SELECT '{tab}.{c}' AS c, count(DISTINCT {c}) AS n, count({c}) = count(DISTINCT {c}) AS u FROM {tab}" for tab, c, _ in cols)
+    return f"""WITH u AS MATERIALIZED ({values}), f AS MATERIALIZED ({facts}),
+s AS (SELECT a.c AS d, b.c AS r, count(*) AS shared FROM u a JOIN u b ON a.k = b.k AND a.v = b.v AND a.c <> b.c GROUP BY 1, 2)
+SELECT d AS dependent, r AS referenced, x.n AS distinct_values, shared AS shared_values, shared / x.n AS share, y.u AS referenced_unique
+FROM s JOIN f x ON x.c = d JOIN f y ON y.c = r WHERE shared / x.n >= 0.5"""
+
+
+@query("inclusions", _inclusions_sql())
+def q_inclusions(spark, sf):
+    """All pairs of columns of seven tables of which one has at least half of its values in the other."""
+    from kempt.operators.discover import inclusions
+    return inclusions({n: t(spark, sf, n) for n in _REL_COLS}, 0.5)
+
+
 # =========================================================================== PL1
 PIPELINE_JSON = json.dumps([
     {"op": "dedupe"},

@@ -23,6 +23,7 @@ from kempt.operators.quality import profile
 from kempt.plans.pipeline import run_pipeline
 from kempt.session import materialize
 from kempt.sources.quarantine import parser_options, split_rows, with_record
+from kempt.streaming.running import store_summary
 
 
 def stream_steps(df: DataFrame, steps: Sequence[Mapping] | None) -> DataFrame:
@@ -34,7 +35,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
                   schema: T.StructType | str, fmt: str = "parquet", steps: Sequence[Mapping] | None = None,
                   profile_dir: str | None = None, max_files_per_trigger: int | None = None,
                   options: Mapping[str, str] | None = None, available_now: bool = True,
-                  quarantine_dir: str | None = None, required: Sequence[str] = ()):
+                  quarantine_dir: str | None = None, required: Sequence[str] = (), running_dir: str | None = None):
     """Start (and with ``available_now`` run to completion) the ingest query.
 
     Reads new files of ``source_dir`` (not recursive; the schema is required
@@ -47,7 +48,10 @@ def ingest_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
     column of ``required``, go there (reason, record, file), batch by batch in the same way, and
     the steps see the others only: a file of bad records does not stop the query.  Each batch is
     parsed once and written once before it is split.  A file that cannot be read at all (a
-    broken archive) still stops it, as its rows would be lost without a word."""
+    broken archive) still stops it, as its rows would be lost without a word.
+
+    ``running_dir``: a summary of each batch's cleansed rows is stored there; ``running_profile``
+    merges them into the profile of everything that arrived."""
     if quarantine_dir:
         full, record = with_record(schema)
         given = {k: v for k, v in (options or {}).items() if k not in ("header", "sep")}
@@ -75,9 +79,11 @@ def ingest_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
             bad.write.mode("overwrite").parquet(f"{quarantine_dir}/{folder}")
             batch = stream_steps(good, steps)
         batch.write.mode("overwrite").parquet(f"{sink_dir}/{folder}")
+        done = batch.sparkSession.read.schema(batch.schema).parquet(f"{sink_dir}/{folder}")
         if profile_dir:
-            done = batch.sparkSession.read.schema(batch.schema).parquet(f"{sink_dir}/{folder}")
             profile(done).write.mode("overwrite").parquet(f"{profile_dir}/{folder}")
+        if running_dir:
+            store_summary(done, f"{running_dir}/stream={query_id[0]}", batch_id)
 
     w = cleansed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
