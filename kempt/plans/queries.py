@@ -1399,6 +1399,25 @@ def q_inclusions(spark, sf):
     return inclusions({n: t(spark, sf, n) for n in _REL_COLS}, 0.5)
 
 
+@query("k_anonymous", """SELECT count(*) AS rows, CAST(sum(c_custkey) AS BIGINT) AS keys, true AS at_least_k, true AS inside_ranges, true AS ids_are_groups,
+  count(DISTINCT c_mktsegment) AS segments FROM customer""")
+def q_k_anonymous(spark, sf):
+    """Customers released in groups of 25 or more alike in nation, segment and balance: what must hold of
+    them (the groups themselves are tested against cuts made one at a time)."""
+    from kempt.operators.anonymize import k_anonymous
+    c = t(spark, sf, "customer")
+    quasi = ["c_nationkey", "c_mktsegment", "c_acctbal"]
+    got = materialize(k_anonymous(c, quasi, 25), "released")
+    sizes = got.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"), F.min("group_rows").alias("lo"), F.max("group_rows").alias("hi"))
+    groups = sizes.agg(F.min("n").alias("least"), F.bool_and((F.col("n") == F.col("lo")) & (F.col("n") == F.col("hi"))).alias("ids")).first()
+    own = got.join(c.select(F.col("c_custkey"), *quasi), "c_custkey")
+    inside = F.lit(True)
+    for q in quasi:
+        inside = inside & F.when(F.col(q).isNull(), F.col(f"{q}_null")).otherwise(F.col(q).between(F.col(f"{q}_low"), F.col(f"{q}_high")))
+    return own.agg(F.count(F.lit(1)).alias("rows"), F.sum("c_custkey").alias("keys"), F.lit(groups["least"] >= 25).alias("at_least_k"),
+                   F.bool_and(inside).alias("inside_ranges"), F.lit(groups["ids"]).alias("ids_are_groups"), F.count_distinct("c_mktsegment").alias("segments"))
+
+
 # =========================================================================== PL1
 PIPELINE_JSON = json.dumps([
     {"op": "dedupe"},
