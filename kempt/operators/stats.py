@@ -246,6 +246,12 @@ def fit_impute(df: DataFrame, spec: Mapping[str, object], accuracy: int = 10000)
     exact algorithms above; other values are constants."""
     stat_exprs, names = [], []
     values: dict[str, object] = {}
+    medians = [name for name, how in spec.items() if how == "median"]
+    if len(medians) > 1:  # all in the passes of one
+        from kempt.operators.quantiles import exact_quantiles
+        found = exact_quantiles(df, {name: [0.5] for name in medians})
+    else:
+        found = {name: [exact_quantile(df, name, 0.5)] for name in medians}
     for i, (name, how) in enumerate(spec.items()):
         (c,) = _resolve(df, [name])
         values[c] = how
@@ -254,7 +260,7 @@ def fit_impute(df: DataFrame, spec: Mapping[str, object], accuracy: int = 10000)
         elif how == "approx_median":
             stat_exprs.append(F.percentile_approx(col(c), 0.5, accuracy).alias(f"v{i}"))
         elif how == "median":
-            values[c] = exact_quantile(df, c, 0.5)
+            (values[c],) = found[name]
             continue
         elif how == "mode":
             values[c] = exact_mode(df, c)

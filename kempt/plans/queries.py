@@ -1418,6 +1418,32 @@ def q_k_anonymous(spark, sf):
                    F.bool_and(inside).alias("inside_ranges"), F.lit(groups["ids"]).alias("ids_are_groups"), F.count_distinct("c_mktsegment").alias("segments"))
 
 
+_QUANTILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+_SHARES = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@query("exact_quantiles", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", unnest(CAST({_SHARES} AS DOUBLE[])) AS share, unnest(list_transform(quantile_cont(CAST({c} AS DOUBLE), {_SHARES}),
+  lambda v: {rnd('v', 4)})) AS value FROM lineitem""" for c in _QUANTILE_COLS))
+def q_exact_quantiles(spark, sf):
+    """Five exact quantiles of eight columns of the line items, all in one search."""
+    from kempt.operators.quantiles import exact_quantiles
+    got = exact_quantiles(t(spark, sf, "lineitem"), {c: _SHARES for c in _QUANTILE_COLS})
+    rows = [(c, s, v) for c, vs in got.items() for s, v in zip(_SHARES, vs, strict=True)]
+    return spark.createDataFrame(rows, "column string, share double, value double").withColumn("value", stable_round(F.col("value"), 4))
+
+
+@query("equal_frequency", """WITH e AS (SELECT quantile_cont(CAST(o_totalprice AS DOUBLE), [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS p,
+  quantile_cont(CAST(o_custkey AS DOUBLE), [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS c FROM orders)
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(len(list_filter(list_distinct(p), lambda x: x <= o_totalprice)) + 1 AS INTEGER) AS o_totalprice_bin,
+  CAST(len(list_filter(list_distinct(c), lambda x: x <= o_custkey)) + 1 AS INTEGER) AS o_custkey_bin FROM orders, e""")
+def q_equal_frequency(spark, sf):
+    """Orders in tenths of their prices and customers."""
+    from kempt.operators.quantiles import equal_frequency
+    o = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return equal_frequency(o, ["o_totalprice", "o_custkey"], 10)
+
+
 # =========================================================================== PL1
 PIPELINE_JSON = json.dumps([
     {"op": "dedupe"},
