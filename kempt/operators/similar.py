@@ -2,9 +2,11 @@
 
 Two sets whose Jaccard similarity reaches a threshold must share a token among the rarest few of
 each (the prefix), as otherwise too few are left to share.  So sets meet in an equality join on
-prefix tokens, rarest first by their counts on both sides, and only those that meet and are of
-like sizes are compared, each pair once: at its first common token.  Rows are collapsed to
-different sets before, and a token that is in the prefix of many sets is dealt out in blocks.
+prefix tokens, rarest first by their counts on both sides.  A pair is compared once, at its first
+common token, and only if the tokens after it on both sides are enough to reach the threshold and
+64-bit signatures of the sets do not differ in more bits than the sets may differ in tokens.
+Rows are collapsed to different sets before, and a token that is in the prefix of many sets is
+dealt out in blocks.
 """
 
 from __future__ import annotations
@@ -34,6 +36,13 @@ def _least_shared(size: Column, threshold: float) -> Column:
     return F.ceil(size * F.lit(threshold) - F.lit(1e-9))
 
 
+def _signature(tokens: Column) -> Column:
+    """One bit, by a hash, for each token: a bit that only one of two sets has is a token that the
+    other lacks, so the sets differ in at least as many tokens as their signatures in bits."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(t).bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t)))
+
+
 def similar_sets(left: DataFrame, right: DataFrame, threshold: float, block: int = 4096) -> DataFrame:
     """(left_set, right_set, similarity): all pairs of different token sets, one of each side, whose
     Jaccard similarity is at least ``threshold`` (above 0, up to 1).
@@ -50,27 +59,39 @@ def similar_sets(left: DataFrame, right: DataFrame, threshold: float, block: int
     both = sets(left).withColumn("side", F.lit(0)).unionByName(sets(right).withColumn("side", F.lit(1)))
     tokens = both.select("side", "tokens", F.explode("tokens").alias("token"))
     often = both.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    # each set again, its tokens with their counts, rarest first
-    ranked = tokens.join(often, "token").groupBy("side", "tokens").agg(
-        F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ranked"))
+    # each set again, rarest token first: counts of one width before the tokens order them as text
+    order = F.concat(F.lpad(F.col("n").cast("string"), 19, "0"), F.col("token"))
+    ranked = tokens.join(often, "token").groupBy("side", "tokens").agg(F.array_sort(F.collect_list(order)).alias("ranked"))
     size = F.size("ranked")
     prefix = F.slice("ranked", F.lit(1), (size - _least_shared(size, threshold) + 1).cast("int"))
-    keyed = ranked.select("side", "tokens", "ranked", F.explode(prefix).alias("key"))
-    rights = keyed.filter("side = 1").select("key", F.col("tokens").alias("right_set"), F.col("ranked").alias("r"))
-    lefts = keyed.filter("side = 0").select("key", F.col("tokens").alias("left_set"), F.col("ranked").alias("l"))
+    keyed = ranked.select("side", "tokens", "ranked", size.alias("size"), _signature(F.col("ranked")).alias("bits"), F.posexplode(prefix).alias("pos", "key"))
+
+    def of(side: int, name: str) -> DataFrame:
+        """The sets of a side by prefix token, and how many tokens they have from it on."""
+        return keyed.filter(F.col("side") == side).select(
+            "key", F.col("tokens").alias(f"{name}_set"), F.col("ranked").alias(f"{name}_ranked"),
+            F.col("size").alias(f"{name}_size"), F.col("bits").alias(f"{name}_bits"), (F.col("size") - F.col("pos")).alias(f"{name}_rest"))
+
+    lefts, rights = of(0, "left"), of(1, "right")
     # tokens that lie in the prefix of more than a block of sets: at most one for each block of rows
     hot = rights.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > block).select(
         "key", F.ceil(F.col("m") / block).cast("int").alias("parts"))
     parts = F.coalesce(F.col("parts"), F.lit(1))
-    rights = rights.join(hot, "key", "left").select("key", "right_set", "r", F.pmod(F.xxhash64("right_set"), parts).cast("int").alias("part"))
-    lefts = lefts.join(hot, "key", "left").select("key", "left_set", "l", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    sl, sr, shared = F.size("l"), F.size("r"), F.array_intersect("l", "r")
-    like = (sr >= _least_shared(sl, threshold)) & (sl >= _least_shared(sr, threshold))
-    met = lefts.join(rights, ["key", "part"]).filter(like).select("key", "left_set", "right_set", sl.alias("sl"), sr.alias("sr"), shared.alias("shared"))
-    n = F.size("shared")
-    return (met.filter(F.get("shared", F.lit(0)) == F.col("key"))
-            .select("left_set", "right_set", (n / (F.col("sl") + F.col("sr") - n)).alias("similarity"))
-            .filter(F.col("similarity") >= F.lit(threshold)))
+    rights = rights.join(hot, "key", "left").withColumn("part", F.pmod(F.xxhash64("right_set"), parts).cast("int")).drop("parts")
+    lefts = lefts.join(hot, "key", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    # the work is in the pairs, not in the bytes that adaptive execution would join partitions by
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lefts, rights = (x.repartition(tasks, "key", "part") for x in (lefts, rights))
+    # |a & b| >= t |a | b| asks for t / (1 + t) of both sizes, whatever the sizes are
+    sizes = F.col("left_size") + F.col("right_size")
+    needed = F.ceil(sizes * F.lit(threshold / (1 + threshold)) - F.lit(1e-9))
+    shared = F.array_intersect("left_ranked", "right_ranked")
+    similarity = F.size(shared) / (sizes - F.size(shared))
+    # one condition, the cheap tests first: Spark puts later filters before earlier ones in a join
+    differ = F.bit_count(F.col("left_bits").bitwiseXOR(F.col("right_bits")))
+    may = (F.least("left_rest", "right_rest") >= needed) & (differ <= sizes - 2 * needed)
+    alike = may & (F.get(shared, F.lit(0)) == F.col("key")) & (similarity >= F.lit(threshold))
+    return lefts.join(rights, ["key", "part"]).filter(alike).select("left_set", "right_set", similarity.alias("similarity"))
 
 
 def match_similar(df: DataFrame, column: str, known: DataFrame, known_col: str, threshold: float = 0.8,

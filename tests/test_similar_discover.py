@@ -31,6 +31,17 @@ def test_all_pairs_above_the_threshold(spark, threshold, block):
     assert similar_sets(*frames, threshold, block).count() == len(want)  # each pair once
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.9])
+def test_sets_larger_than_their_signatures(spark, threshold):
+    rng = random.Random(5)
+    base = [f"t{i}" for i in range(150)]
+    sets = [sorted(set(rng.sample(base, 140)) | {f"x{rng.randint(0, 40)}" for _ in range(rng.randint(0, 60))}) for _ in range(40)]
+    df = spark.createDataFrame([(x,) for x in sets], "tokens array<string>")
+    got = {(tuple(r.left_set), tuple(r.right_set)) for r in similar_sets(df, df, threshold).collect()}
+    want = {(tuple(a), tuple(b)) for a, b in itertools.product(sets, sets) if _jaccard(set(a), set(b)) >= threshold}
+    assert got == want and len(want) >= 40
+
+
 def test_best_match_of_each_row(spark):
     known = spark.createDataFrame([("12 High Street, Leeds",), ("12, HIGH street Leeds",), ("4 Low Road York",), (None,), ("!!",), ("Äcker 5",)], "Text string")
     df = spark.createDataFrame([(1, "leeds high street 12", "x"), (2, "4 low road, york uk", "y"), (3, None, "z"), (4, "...", "z"), (5, "mars", "z"),
