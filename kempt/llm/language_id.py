@@ -136,20 +136,36 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return net
 
 
-def _predict(net: Network | None):
+def _predict(net: Network | None, at_once: int = 4096):
+    """Predictions of Arrow batches; the network runs once for ``at_once`` windows, of whatever
+    documents of a batch they are."""
+    step, short = WINDOW - max(WIDTHS) + 1, max(WIDTHS) - 1
+
+    def logs(raws: list[bytes]) -> np.ndarray:
+        """Mean log-probabilities over the windows of each text, as :func:`windows` cuts it."""
+        n = np.array([max(1, -(-(len(r) - short) // step)) for r in raws])
+        firsts = np.cumsum(n) - n
+        # every text filled up with zeros to the end of its last window, one after another
+        flat = np.frombuffer(b"".join(r.ljust((k - 1) * step + WINDOW, b"\0") for r, k in zip(raws, n.tolist(), strict=True)), np.uint8)
+        starts = np.arange(n.sum()) * step + np.repeat(np.arange(len(n)) * (WINDOW - step), n)
+        views, total = np.lib.stride_tricks.sliding_window_view(flat, WINDOW), np.zeros((len(n), len(net.langs)))
+        for k in range(0, len(starts), at_once):
+            part = net.log_probs(views[starts[k:k + at_once]]).astype(np.float64)
+            i, j = np.searchsorted(firsts, (k, k + len(part) - 1), "right") - 1  # first and last text of these windows
+            total[i:j + 1] += np.add.reduceat(part, np.maximum(firsts[i:j + 1] - k, 0))
+        return total / n[:, None]
+
     def run(batches):
         for b in slices(batches):
             texts = b["text"].to_pylist()
             pred, score = ["und"] * len(texts), [0.0] * len(texts)
             which = [i for i, t in enumerate(texts) if net and t and _LETTER.search(t)]
-            for i in which:
-                x = windows(texts[i].encode("utf-8", "surrogatepass"))
-                total = np.zeros(len(net.langs))
-                for k in range(0, len(x), 4096):
-                    total += net.log_probs(x[k:k + 4096]).sum(axis=0, dtype=np.float64)
-                p = np.exp(total / len(x) - (total / len(x)).max())
-                p /= p.sum()
-                pred[i], score[i] = net.langs[int(p.argmax())], float(p.max())
+            if which:
+                p = logs([texts[i].encode("utf-8", "surrogatepass") for i in which])
+                p = np.exp(p - p.max(axis=1, keepdims=True))
+                p /= p.sum(axis=1, keepdims=True)
+                for i, best, s in zip(which, p.argmax(axis=1).tolist(), p.max(axis=1).tolist(), strict=True):
+                    pred[i], score[i] = net.langs[best], s
             yield pa.record_batch([b["doc_id"], b["held_out"], pa.array(pred), pa.array(score, pa.float64())],
                                   names=["doc_id", "held_out", "lang_pred", "score"])
     return run

@@ -76,7 +76,8 @@ def _plain(net, raw):
     return [t / n for t in total]
 
 
-def test_predictions_are_those_of_plain_loops():
+@pytest.mark.parametrize("at_once", [1, 2, 3, 4096])
+def test_predictions_are_those_of_plain_loops(at_once):
     import pyarrow as pa
     rng = np.random.default_rng(3)
     net = L.Network(["a", "b", "c"], seed=5)
@@ -84,7 +85,7 @@ def test_predictions_are_those_of_plain_loops():
     net.out_bias += rng.normal(0, 0.5, 3).astype(np.float32)
     texts = ["x", "der hund", "Übergröße " * 60, "the cat " * 31 + "sat", "12 ..", None, "дом " * 100]
     batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array([False] * len(texts)), pa.array(texts)], names=["doc_id", "held_out", "text"])
-    got = [r for b in L._predict(net)([batch]) for r in b.to_pylist()]
+    got = [r for b in L._predict(net, at_once)([batch]) for r in b.to_pylist()]
     assert [r["doc_id"] for r in got] == list(range(len(texts)))
     for r, t in zip(got, texts, strict=True):
         if t is None or not any(c.isalpha() for c in t):
