@@ -88,26 +88,64 @@ def prefix_sums(df: DataFrame, order: str, values: list[str], chunk: int = 1024)
     return out.drop(part, *[f"_base_{v}" for v in values])
 
 
-def keep_rows(docs: DataFrame, decisions: DataFrame, key: dict[str, Column]) -> DataFrame:
+#: 64-bit words of a membership filter: at most 8 MB of bits, whatever is put into it.
+FILTER_WORDS = 1 << 20
+
+
+def _bits(key: Column, words: int) -> tuple[Column, Column]:
+    """The word of a filter that a 64-bit hash falls into, and its four bits there."""
+    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"),
+                                    F.shiftright(key, 24 + 6 * i).bitwiseAND(F.lit(63)).cast("int"))
+    return F.pmod(key, F.lit(words).cast("long")), bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2)).bitwiseOR(bit(3))
+
+
+def membership(keys: DataFrame, key: Column, words: int = FILTER_WORDS) -> DataFrame:
+    """A Bloom filter of the hashes ``key`` of all rows, as (word, bits): at most ``words`` rows,
+    so it may be broadcast. A filter that is full lets every row pass, it never loses one."""
+    word, bits = _bits(key, words)
+    return stored(keys.select(word.alias("word"), bits.alias("bits")).groupBy("word")
+                  .agg(F.bit_or("bits").alias("bits")), "filter")
+
+
+def may_be_in(df: DataFrame, key: Column, members: DataFrame, words: int = FILTER_WORDS, inside: bool = True) -> DataFrame:
+    """The rows of ``df`` that may be among ``members`` (a :func:`membership` filter), or with
+    ``inside=False`` those that certainly are not. No row is shuffled."""
+    word, bits = _bits(key, words)
+    carried = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), word.alias("row_word"), bits.alias("row_bits"))
+    hit = F.coalesce(F.col("bits").bitwiseAND(F.col("row_bits")) == F.col("row_bits"), F.lit(False))
+    met = carried.join(F.broadcast(members), F.col("row_word") == F.col("word"), "inner" if inside else "left")
+    return met.filter(hit if inside else ~hit).select(*[F.col(f"row.`{c}`") for c in df.columns])
+
+
+def keep_rows(docs: DataFrame, decisions: DataFrame, key: dict[str, Column], words: int = FILTER_WORDS) -> DataFrame:
     """The rows of ``docs`` that ``decisions`` keeps, with all their columns unchanged.
 
     ``decisions`` has the columns named in ``key`` and a boolean ``kept``, one row for each
     row of ``docs``; ``key`` says how each is computed from a row of ``docs``. Of rows that
     agree in the whole key (the same document stored twice) at most one stays: the one whose
-    columns, written as text, have the smallest MD5, which any column types allow. Only the dropped and repeated keys are joined; the
-    join is a sorted one at every size, whose cost grows with the input."""
+    columns, written as text, have the smallest MD5, which any column types allow.
+
+    Only the keys of dropped and repeated rows are looked for. Rows whose first key a Bloom
+    filter of ``words`` 64-bit words excludes pass without a shuffle; the others meet the keys in
+    a sorted join, whose cost grows with them."""
     names = [f"key_{k}" for k in key]
-    per = stored(decisions.groupBy(*[F.col(k).alias(n) for k, n in zip(key, names, strict=True)])
+    first = next(iter(key.values()))
+    types = [f.dataType for f in docs.select(*[c.alias(k) for k, c in key.items()]).schema]
+    per = stored(decisions.groupBy(*[F.col(k).cast(t).alias(n) for k, n, t in zip(key, names, types, strict=True)])
                  .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
                  .filter(~F.col("kept") | (F.col("n") > 1)), "keep-keys")
+    if per.isEmpty():
+        return docs
+    members = membership(per, F.xxhash64(names[0]), words)
+    others = may_be_in(docs, F.xxhash64(first), members, words, inside=False)
     # rows travel as one struct, so that no column of theirs can clash
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                        *[c.alias(f"row_{k}") for k, c in key.items()])
+    keyed = may_be_in(docs, F.xxhash64(first), members, words).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(f"row_{k}") for k, c in key.items()])
     cond = F.lit(True)
     for k, n in zip(key, names, strict=True):
         cond = cond & F.col(f"row_{k}").eqNullSafe(F.col(n))
     rows = [F.col(f"row.`{c}`") for c in docs.columns]
-    once = keyed.join(per.hint("merge"), cond, "left_anti").select(*rows)
+    once = others.unionByName(keyed.join(per.hint("merge"), cond, "left_anti").select(*rows))
     twice = per.filter(F.col("kept"))
     if twice.isEmpty():
         return once

@@ -6,7 +6,8 @@
 2. An owner merges the messages of all blocks for its range and answers each with a bitmap:
    bit i is set if another block sent the i-th fingerprint too.
 3. Blocks read their bitmaps: texts whose bit is set, or that the block itself holds twice,
-   are suspects. Only suspects' texts are compared, byte by byte.
+   are suspects. Suspects' texts are shuffled and compared, byte by byte: a Bloom filter of
+   their digests, of fixed size, holds the other texts back where they are read.
 
 A text that holds a third of all rows is one fingerprint in each block, so it is neither a
 large message nor a large group. Blocks hold at most ``block_rows`` documents, owners about
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kempt.llm.common import id_text, keep_rows, n_parts, on_workers, stored
+from kempt.llm.common import FILTER_WORDS, keep_rows, may_be_in, membership, n_parts, on_workers, stored
 
 FP_BITS = 48
 
@@ -180,13 +181,15 @@ def _read_bitmaps(batches):
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                block_rows: int = 1 << 17, owner_rows: int = 1 << 21) -> DataFrame:
+                block_rows: int = 1 << 17, owner_rows: int = 1 << 21, filter_words: int = FILTER_WORDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal if identical after ``normalised``; of equal texts the row of the
     smallest id stays. Null text counts as empty, empty texts are equal to each other, a
     null id is larger than any other. Of several rows with the smallest id one stays. An
-    empty table gives no rows. Other columns are ignored."""
+    empty table gives no rows. Other columns are ignored. ``filter_words``: 64-bit words of the
+    filter that holds back texts that are no suspects; with more suspects than about four for
+    each word more and more of the others are shuffled too, which changes no result."""
     spark = docs.sparkSession
     on_workers(spark)
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
@@ -206,10 +209,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      F.col("block").alias("block"))
     wanted = stored(suspects.groupBy("sha").agg(F.min(first).alias("keep"), F.sum("n").cast("long").alias("size")),
                     "dedup-suspects")
-    # byte verification: the rows of a suspect are grouped by the text itself; copies
-    # collapse before the shuffle. The join is a sorted one at every size, so its cost
-    # grows with the input and a hot text's rows can be split
-    texts = (hashed.join(wanted.select("sha").hint("merge"), "sha", "left_semi")
+    # byte verification: the rows of a suspect are grouped by the text itself, and copies
+    # collapse before the shuffle. Texts that pass the filter by chance find no partner below
+    digest = F.xxhash64("sha")
+    texts = (may_be_in(hashed.select("sha", "norm"), digest, membership(wanted, digest, filter_words), filter_words)
              .groupBy("sha", "norm").agg(F.count(F.lit(1)).alias("n")))
     verified = stored(texts.groupBy("sha").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
                       .join(wanted, "sha")

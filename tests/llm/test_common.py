@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from kempt.llm.common import keep_rows, prefix_sums
+from kempt.llm.common import keep_rows, may_be_in, membership, prefix_sums
 from kempt.llm.components import components
 from tests.llm.brute import components_of
 
@@ -28,6 +28,32 @@ def test_keep_rows_of_repeated_keys(spark):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted([(1, "a", "x"), (None, "d", "y"), (3, "e", "z")], key=repr)
 
 
+@pytest.mark.parametrize("words", [1, 64, 1 << 20])
+def test_a_filter_loses_no_member(spark, words):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(i, f"t{i}", None) for i in range(3000)] + [(None, "none", 1)], "row long, word string, bits int")
+    members = membership(df.filter("row % 10 = 0 OR row IS NULL"), F.xxhash64("row"), words)
+    assert members.count() <= words
+    inside, outside = (may_be_in(df, F.xxhash64("row"), members, words, inside=x) for x in (True, False))
+    got, rest = ([tuple(r) for r in x.collect()] for x in (inside, outside))
+    assert inside.columns == df.columns and sorted(got + rest, key=repr) == sorted((tuple(r) for r in df.collect()), key=repr)
+    assert not any(r[0] is None or r[0] % 10 == 0 for r in rest)
+    assert len(got) == 3001 if words == 1 else len(got) < 320 or words == 64
+
+
+@pytest.mark.parametrize("words", [1, 1 << 20])
+def test_keep_rows_at_any_filter(spark, words):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(i % 400, f"v{i % 3}", i % 7) for i in range(900)], "id int, v string, bits int")
+    # the ids of the decisions are of another type; the filter hashes them as those of the rows
+    decisions = docs.select(F.col("id").cast("long").alias("id"), "v", (F.col("id") % 5 > 0).alias("kept"))
+    got = [tuple(r) for r in keep_rows(docs, decisions, {"id": F.col("id"), "v": F.col("v")}, words).collect()]
+    assert sorted(r[:2] for r in got) == sorted({(i % 400, f"v{i % 3}") for i in range(900) if i % 400 % 5})
+    assert set(got) <= {tuple(r) for r in docs.collect()}
+    every = keep_rows(docs.limit(9), docs.limit(9).select("id", "v", F.lit(True).alias("kept")), {"id": F.col("id"), "v": F.col("v")}, words)
+    assert every.count() == 9
+
+
 @pytest.mark.parametrize("shape", ["chain", "star", "random", "none"])
 def test_components(spark, shape):
     rng = random.Random(7)

@@ -64,10 +64,10 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize(("block_rows", "owner_rows"), [(7, 20), (1 << 17, 1 << 21)])
-def test_against_brute_force(spark, block_rows, owner_rows):
+@pytest.mark.parametrize(("block_rows", "owner_rows", "words"), [(7, 20, 1), (1 << 17, 1 << 21, 1 << 20)])
+def test_against_brute_force(spark, block_rows, owner_rows, words):  # a filter of one word is full
     rows = corpus(block_rows)
-    got = D.exact_dedup(frame(spark, rows), block_rows=block_rows, owner_rows=owner_rows).collect()
+    got = D.exact_dedup(frame(spark, rows), block_rows=block_rows, owner_rows=owner_rows, filter_words=words).collect()
     assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
 
 
