@@ -96,7 +96,9 @@ def _bits(key: Column, words: int) -> tuple[Column, Column]:
     """The word of a filter that a 64-bit hash falls into, and its four bits there."""
     bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"),
                                     F.shiftright(key, 24 + 6 * i).bitwiseAND(F.lit(63)).cast("int"))
-    return F.pmod(key, F.lit(words).cast("long")), bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2)).bitwiseOR(bit(3))
+    # coalesce: a word that is never null, or Spark would test the join key for null where the rows
+    # are read, by computing it there once more
+    return F.coalesce(F.pmod(key, F.lit(words).cast("long")), F.lit(0).cast("long")), bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2)).bitwiseOR(bit(3))
 
 
 def membership(keys: DataFrame, key: Column, words: int = FILTER_WORDS) -> DataFrame:
