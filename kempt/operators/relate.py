@@ -421,20 +421,22 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], cols: Sequ
     Rows: keys, status, left_rows, right_rows, and ``<c>_left`` / ``<c>_right``.
     status: matched, changed, left_only, right_only, or duplicate_key when a key
     is not unique on a side.  A null in a key is a value like any other; NaN agrees with NaN, an
-    infinity with the same one.  Each side is first collapsed to one row per key
-    (partial aggregation map-side), so a repeated key can never multiply rows; the two sides are
-    then one row per key and side, gathered by one more grouping instead of a join, in which
-    null keys meet too."""
+    infinity with the same one.  The rows of both sides, told apart by the columns they fill, are
+    collapsed by key in one grouping (partial aggregation map-side) instead of a join: a repeated key
+    can never multiply rows, null keys meet too, and a key is held once, as one flat row."""
+    tags = ("left", "right")
+    ns = {t: free_name(f"{t}_n", *keys) for t in tags}
+    vs = {t: [free_name(f"{t}_v{i}", *keys) for i in range(len(cols))] for t in tags}
+
     def side(df: DataFrame, tag: str) -> DataFrame:
         ks = _resolve(df, keys)
         cs = _resolve(df, cols)
-        return df.groupBy(*[col(k).alias(n) for k, n in zip(ks, keys, strict=True)]).agg(
-            F.struct(F.count(F.lit(1)).alias("n"), *[F.min(col(c)).alias(f"v{i}") for i, c in enumerate(cs)]).alias(tag))
-    names = [free_name(f"{t}_side", *keys) for t in ("left", "right")]
-    both = side(left, names[0]).unionByName(side(right, names[1]), allowMissingColumns=True)
-    j = both.groupBy(*[col(k) for k in keys]).agg(*[F.first(n, ignorenulls=True).alias(n) for n in names])
-    j = j.select(*[col(k) for k in keys], *[F.col(f"{n}.n").alias(f"{t}_rows") for n, t in zip(names, ("left", "right"), strict=True)],
-                 *[F.col(f"{n}.v{i}").alias(f"{c}_{t}") for i, c in enumerate(cols) for n, t in zip(names, ("left", "right"), strict=True)])
+        return df.select(*[col(k).alias(n) for k, n in zip(ks, keys, strict=True)], F.lit(1).cast("bigint").alias(ns[tag]),
+                         *[col(c).alias(v) for c, v in zip(cs, vs[tag], strict=True)])
+    both = side(left, "left").unionByName(side(right, "right"), allowMissingColumns=True)
+    j = both.groupBy(*[col(k) for k in keys]).agg(*[F.sum(ns[t]).alias(ns[t]) for t in tags], *[F.min(v).alias(v) for t in tags for v in vs[t]])
+    j = j.select(*[col(k) for k in keys], *[F.col(ns[t]).alias(f"{t}_rows") for t in tags],
+                 *[F.col(vs[t][i]).alias(f"{c}_{t}") for i, c in enumerate(cols) for t in tags])
     same = F.lit(True)
     for c in cols:
         same = same & _agree(col(f"{c}_left"), col(f"{c}_right"), tol)

@@ -18,3 +18,15 @@ def test_four_files_are_written_without_a_shuffle_of_rows(spark, tmp, monkeypatc
 def test_an_empty_table_has_no_rows(spark, tmp):
     spark.range(0).select(F.col("id").alias("l_orderkey")).write.parquet(f"{tmp}/lineitem.parquet")
     assert [tuple(r)[:2] for r in queries.QUERIES["file_stats"](spark, tmp).collect()] == [(0, None)]
+
+
+def test_reconcile_groups_once_and_sorts_nothing(spark):
+    left = spark.range(50).select(F.col("id").alias("k"), F.col("id").cast("double").alias("v"))
+    right = left.filter("k > 4").withColumn("v", F.col("v") + (F.col("k") % 2)).union(spark.createDataFrame([(60, 1.0), (7, 2.0)], "k long, v double"))
+    got = relate.reconcile(left, right, ["k"], ["v"])
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
+    counts = {r.status: r.n for r in got.groupBy("status").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"left_only": 5, "right_only": 1, "duplicate_key": 1, "matched": 22, "changed": 22}
+    assert [tuple(r) for r in got.filter("k in (0, 7, 60)").orderBy("k").collect()] == [
+        (0, "left_only", 1, 0, 0.0, None), (7, "duplicate_key", 1, 2, 7.0, 2.0), (60, "right_only", 0, 1, None, 1.0)]
