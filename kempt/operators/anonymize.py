@@ -19,22 +19,30 @@ from kempt.operators.cleanse import _resolve
 from kempt.session import materialize
 
 _BITS = 10  # of a rank looked at in one pass: at most 1,024 buckets for a group and column
+_FEW = 2048  # rows up to which a table of groups or values is sent to every task
+
+
+def _held(table: DataFrame, rows: int) -> DataFrame:
+    """``table`` of ``rows`` rows, for a join: a small one goes to every task (a few hot groups or values
+    then need no shuffle), a larger one is shuffled, so that nothing that grows passes the driver."""
+    return F.broadcast(table) if rows <= _FEW else table.hint("merge")
 
 
 def _ranks(tuples: DataFrame, c: str, i: int) -> DataFrame:
-    """(v, o): the different values of ``c`` and their places in ascending order, null first."""
+    """(v, o): the different values of ``c`` and their places in ascending order, null first, to be joined."""
     rows = tuples.select(F.col(c).alias("v")).distinct().repartitionByRange(F.asc_nulls_first("v")).sortWithinPartitions(F.asc_nulls_first("v"))
     nth = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # its upper bits are the partition
     rows = materialize(rows.select("v", F.spark_partition_id().alias("pid"), nth.alias("nth")), f"values-{i}")
     before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))  # one row for each partition
     offsets = sizes.select("pid", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return rows.join(F.broadcast(offsets), "pid").select("v", (F.col("before") + F.col("nth")).alias("o"))
+    return _held(rows.join(F.broadcast(offsets), "pid").select("v", (F.col("before") + F.col("nth")).alias("o")), rows.count())
 
 
-def _medians(long: DataFrame, top: int) -> DataFrame:
+def _medians(long: DataFrame, top: int, groups: int) -> DataFrame:
     """(path, dim, m, below, at, total) for ``long`` (path, dim, o, n): the rank m at which half of
-    the rows are reached, and the rows below and at it; ``top`` is the largest rank."""
+    the rows are reached, and the rows below and at it; ``top`` is the largest rank, ``groups`` the
+    number of (path, dim)."""
     shift = max(0, -(-max(1, top.bit_length()) // _BITS) - 1) * _BITS
     keys = ["path", "dim"]
     running = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -42,7 +50,7 @@ def _medians(long: DataFrame, top: int) -> DataFrame:
     while True:
         rows = long.withColumn("b", F.shiftright("o", shift))
         if found is not None:
-            rows = rows.join(found, [*keys]).filter(F.shiftright("b", _BITS) == F.col("m"))
+            rows = rows.join(_held(found, groups), [*keys]).filter(F.shiftright("b", _BITS) == F.col("m"))
         kept = [] if found is None else ["below", "total"]
         hist = rows.groupBy(*keys, *kept, "b").agg(F.sum("n").alias("c"))
         if found is None:
@@ -57,12 +65,12 @@ def _medians(long: DataFrame, top: int) -> DataFrame:
         found = found.drop("at")
 
 
-def _cuts(active: DataFrame, dims: int, k: int, top: int) -> DataFrame:
+def _cuts(active: DataFrame, dims: int, k: int, top: int, groups: int) -> DataFrame:
     """(path, dim, cut): for each group that can be cut the column and the rank up to which its rows
     go to the first side; the cut whose smaller side is largest, ties to the first column and the lower cut."""
     long = active.select("path", "n", F.posexplode(F.array(*[F.col(f"o{i}") for i in range(dims)])).alias("dim", "o"))
     long = long.groupBy("path", "dim", "o").agg(F.sum("n").alias("n"))
-    m = _medians(long, top)
+    m = _medians(long, top, groups * dims)
     sides = [F.struct((-F.least(first, F.col("total") - first)).alias("less"), F.col("dim").alias("dim"), cut.alias("cut"))
              for first, cut in ((F.col("below") + F.col("at"), F.col("m")), (F.col("below"), F.col("m") - 1))]
     best = m.groupBy("path").agg(F.min(F.least(*sides)).alias("best"))
@@ -92,12 +100,15 @@ def k_anonymous(df: DataFrame, quasi: Sequence[str], k: int, prefix: str = "grou
         active = active.join(_ranks(tuples, f"q{i}", i).withColumnRenamed("o", f"o{i}"), F.col(f"q{i}").eqNullSafe(F.col("v"))).drop("v")
     active = materialize(active.withColumn("path", F.lit("")), "level")
     top = active.agg(F.greatest(*[F.coalesce(F.max(f"o{i}"), F.lit(0)) for i in range(dims)], F.lit(0))).first()[0]
-    finished = []
+    finished, groups, whole = [], 1, 1  # groups of this level, and all
     while True:
-        cuts = materialize(_cuts(active, dims, k, top), "cuts")
-        if cuts.isEmpty():
+        cuts = materialize(_cuts(active, dims, k, top, groups), "cuts")
+        cut = cuts.count()
+        if not cut:
             finished.append(active)
             break
+        groups, whole = 2 * cut, whole + cut
+        cuts = _held(cuts, cut)
         finished.append(active.join(cuts, "path", "left_anti"))
         o = F.get(F.array(*[F.col(f"o{i}") for i in range(dims)]), F.col("dim"))
         side = F.when(o <= F.col("cut"), "0").otherwise("1")
@@ -109,7 +120,7 @@ def k_anonymous(df: DataFrame, quasi: Sequence[str], k: int, prefix: str = "grou
     facts = cells.groupBy("path").agg(F.sum("n").alias("rows"), *[
         F.struct(F.min(f"q{i}").alias("low"), F.max(f"q{i}").alias("high"), F.max(F.col(f"q{i}").isNull()).alias("null")).alias(f"g{i}") for i in range(dims)])
     held = free_name("held", *df.columns)
-    of = cells.drop("n").join(facts, "path").select(F.struct("*").alias(held))
+    of = cells.drop("n").join(_held(facts, whole), "path").select(F.struct("*").alias(held)).hint("merge")
     same = F.lit(True)
     for i, c in enumerate(names):
         same = same & col(c).eqNullSafe(F.col(f"{held}.q{i}"))

@@ -1419,7 +1419,7 @@ def q_k_anonymous(spark, sf):
     got = materialize(k_anonymous(c, quasi, 25), "released")
     sizes = got.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"), F.min("group_rows").alias("lo"), F.max("group_rows").alias("hi"))
     groups = sizes.agg(F.min("n").alias("least"), F.bool_and((F.col("n") == F.col("lo")) & (F.col("n") == F.col("hi"))).alias("ids")).first()
-    own = got.join(c.select(F.col("c_custkey"), *quasi), "c_custkey")
+    own = got.join(c.select(F.col("c_custkey"), *quasi).hint("merge"), "c_custkey")
     inside = F.lit(True)
     for q in quasi:
         inside = inside & F.when(F.col(q).isNull(), F.col(f"{q}_null")).otherwise(F.col(q).between(F.col(f"{q}_low"), F.col(f"{q}_high")))

@@ -30,3 +30,21 @@ def test_reconcile_groups_once_and_sorts_nothing(spark):
     assert counts == {"left_only": 5, "right_only": 1, "duplicate_key": 1, "matched": 22, "changed": 22}
     assert [tuple(r) for r in got.filter("k in (0, 7, 60)").orderBy("k").collect()] == [
         (0, "left_only", 1, 0, 0.0, None), (7, "duplicate_key", 1, 2, 7.0, 2.0), (60, "right_only", 0, 1, None, 1.0)]
+
+
+def test_many_groups_are_not_sent_through_the_driver(spark):
+    from kempt.operators import anonymize
+    few, many = anonymize._held(spark.range(9), 9), anonymize._held(spark.range(9), anonymize._FEW + 1)
+    assert "BroadcastHashJoin" in spark.range(9).join(few, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in spark.range(9).join(many, "id")._jdf.queryExecution().executedPlan().toString()
+    rows = spark.range(90).select("id", (F.col("id") % 9).alias("q"))
+    plan = anonymize.k_anonymous(rows, ["q"], 20)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+
+
+def test_groups_are_the_same_when_tables_are_shuffled(spark, monkeypatch):
+    from kempt.operators import anonymize
+    rows = spark.range(600).select("id", (F.col("id") % 9).alias("q"), F.when(F.col("id") % 4 > 0, F.col("id") * 7 % 101).alias("r"))
+    sent = sorted(map(str, anonymize.k_anonymous(rows, ["q", "r"], 40).collect()))
+    monkeypatch.setattr(anonymize, "_FEW", 0)
+    assert sorted(map(str, anonymize.k_anonymous(rows, ["q", "r"], 40).collect())) == sent
