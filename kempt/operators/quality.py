@@ -85,12 +85,15 @@ def _digest(df: DataFrame, c: str) -> tuple[Column, Column]:
 
 def _pairs(df: DataFrame, cols: Sequence[str], *more: Mapping[str, Column]) -> DataFrame:
     """One row (i, a, b, extras) for every column of every row: the column's number and its
-    value's digest. ``more``: name -> {column: expression} of extras."""
+    value's digest. ``more``: name -> {column: expression} of extras.
+
+    Unpivoted, not exploded from an array of all: a row's pairs are made one at a time, in
+    methods short enough for the JVM to compile however many columns there are."""
     slots = []
     for i, c in enumerate(cols):
         a, b = _digest(df, c)
-        slots.append(F.struct(F.lit(i).alias("i"), a.alias("a"), b.alias("b"), *[m[c] for m in more]))
-    return df.select(F.inline(F.array(*slots)))
+        slots.append(F.struct(F.lit(i).alias("i"), a.alias("a"), b.alias("b"), *[m[c] for m in more]).alias(f"p{i}"))
+    return df.select(*slots).unpivot([], [f"p{i}" for i in range(len(slots))], "of", "pair").select("pair.*")
 
 
 # --------------------------------------------------------------------------- P1-P8

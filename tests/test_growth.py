@@ -48,3 +48,13 @@ def test_groups_are_the_same_when_tables_are_shuffled(spark, monkeypatch):
     sent = sorted(map(str, anonymize.k_anonymous(rows, ["q", "r"], 40).collect()))
     monkeypatch.setattr(anonymize, "_FEW", 0)
     assert sorted(map(str, anonymize.k_anonymous(rows, ["q", "r"], 40).collect())) == sent
+
+
+def test_pairs_of_columns_and_values_are_unpivoted(spark):
+    from kempt.operators import quality
+    df = spark.createDataFrame([(1, "a", 0.0, None), (1, None, -0.0, [1]), (None, "b", 2.0, [1])], "n int, t string, d double, l array<int>")
+    got = quality.validate(df, {"t": "a"}, {"n": [2]})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan and "Generate" not in plan
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("d", "double", 0, 2, None, None), ("l", "array<int>", 1, 2, None, None), ("n", "int", 1, 2, None, 2), ("t", "string", 1, 3, 1, None)]
