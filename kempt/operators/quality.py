@@ -85,15 +85,18 @@ def _digest(df: DataFrame, c: str) -> tuple[Column, Column]:
 
 def _pairs(df: DataFrame, cols: Sequence[str], *more: Mapping[str, Column]) -> DataFrame:
     """One row (i, a, b, extras) for every column of every row: the column's number and its
-    value's digest. ``more``: name -> {column: expression} of extras.
+    value's digest. ``more``: {column: condition} of the extras x0, x1, ... (null is false)
 
     Unpivoted, not exploded from an array of all: a row's pairs are made one at a time, in
     methods short enough for the JVM to compile however many columns there are."""
+    # Spark takes the nullability of one column for all: no field may be null there, a flag says which are
     slots = []
     for i, c in enumerate(cols):
         a, b = _digest(df, c)
-        slots.append(F.struct(F.lit(i).alias("i"), a.alias("a"), b.alias("b"), *[m[c] for m in more]).alias(f"p{i}"))
-    return df.select(*slots).unpivot([], [f"p{i}" for i in range(len(slots))], "of", "pair").select("pair.*")
+        extras = [F.coalesce(m[c], F.lit(False)).alias(f"x{j}") for j, m in enumerate(more)]
+        slots.append(F.struct(F.lit(i).alias("i"), F.coalesce(a, F.lit(0).cast("bigint")).alias("a"), a.isNotNull().alias("there"), b.alias("b"), *extras).alias(f"p{i}"))
+    pairs = df.select(*slots).unpivot([], [f"p{i}" for i in range(len(slots))], "of", "pair").select("pair.*")
+    return pairs.select("i", F.when(F.col("there"), F.col("a")).alias("a"), "b", *[f"x{j}" for j in range(len(more))])
 
 
 # --------------------------------------------------------------------------- P1-P8
@@ -170,10 +173,10 @@ def validate(df: DataFrame, formats: Mapping[str, str] | None = None,
             "invalid_format", "invalid_domain")
     # A rule is part of the value's own pair: it is tested per row, where the value is at
     # hand, so that no text has to travel with the pair.
-    bad_fmt = {c: (~col(c).cast("string").rlike(formats[c]) if c in formats else none).alias("bf") for c in cols}
-    bad_dom = {c: (~col(c).isin(list(domains[c])) if c in domains else none).alias("bd") for c in cols}
+    bad_fmt = {c: (~col(c).cast("string").rlike(formats[c]) if c in formats else none) for c in cols}
+    bad_dom = {c: (~col(c).isin(list(domains[c])) if c in domains else none) for c in cols}
     per_value = _pairs(df, cols, bad_fmt, bad_dom).groupBy("i", "a", "b").agg(
-        F.count(F.lit(1)).alias("c"), F.count_if(F.col("bf")).alias("fb"), F.count_if(F.col("bd")).alias("db"))
+        F.count(F.lit(1)).alias("c"), F.count_if(F.col("x0")).alias("fb"), F.count_if(F.col("x1")).alias("db"))
     is_null = F.col("a").isNull()
     per_col = per_value.groupBy("i").agg(
         F.sum(F.when(is_null, F.col("c"))).alias("nulls"), F.count(F.lit(1)).alias("distinct"),

@@ -52,9 +52,13 @@ def test_groups_are_the_same_when_tables_are_shuffled(spark, monkeypatch):
 
 def test_pairs_of_columns_and_values_are_unpivoted(spark):
     from kempt.operators import quality
-    df = spark.createDataFrame([(1, "a", 0.0, None), (1, None, -0.0, [1]), (None, "b", 2.0, [1])], "n int, t string, d double, l array<int>")
+    df = spark.createDataFrame([(1, "a", 0.0, 5), (1, None, -0.0, None), (None, "b", 2.0, None)], "n int, t string, d double, m long")
+    df = df.select(F.monotonically_increasing_id().alias("id"), "*")  # never null, unlike those behind it
     got = quality.validate(df, {"t": "a"}, {"n": [2]})
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Expand" in plan and "Generate" not in plan
     assert sorted(tuple(r) for r in got.collect()) == [
-        ("d", "double", 0, 2, None, None), ("l", "array<int>", 1, 2, None, None), ("n", "int", 1, 2, None, 2), ("t", "string", 1, 3, 1, None)]
+        ("d", "double", 0, 2, None, None), ("id", "bigint", 0, 3, None, None), ("m", "bigint", 2, 2, None, None),
+        ("n", "int", 1, 2, None, 2), ("t", "string", 1, 3, 1, None)]
+    pairs = quality._pairs(df, df.columns)
+    assert pairs.filter("a IS NULL").count() == 4 and pairs.filter("a IS NOT NULL").count() == 11
