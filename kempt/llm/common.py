@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,12 +32,26 @@ def on_workers(spark: SparkSession) -> None:
         spark.conf.set(limit, str(_BATCH_BYTES))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def small_vectors(spark: SparkSession, rows: int = 256):
+    """While it lasts, Parquet is read in vectors of at most ``rows`` rows. Of whole texts, Spark's
+    4,096 rows make arrays of many MB, each of which the heap has to find in one piece, so that it
+    grows far beyond what is in use. For actions inside; the session's own setting then returns."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    own = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(own))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, own)
+
+
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back: cuts the lineage,
     so that a lost executor costs a re-read and not a recomputation, and gives Spark the
-    real size for its choice of join."""
+    real size for its choice of join. ``options``: of the Parquet writer."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -26,11 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kempt.llm.common import id_text, on_workers, slices, stored
-from kempt.llm.tokens import encoder, vocabulary
+from kempt.llm.common import id_text, on_workers, slices, small_vectors, stored
+from kempt.llm.tokens import encoder, release, vocabulary
 
 _PIECES = ("block long, row long, doc_id long, start long, length int, nth long, ids_crc32 long, "
            "doc_tokens long, ids binary")
+#: Bytes of a row group of stored pieces.
+_ROW_GROUP = 8 << 20
 
 
 def crc(ids: np.ndarray) -> int:
@@ -200,6 +202,7 @@ def _cut(path: str, end_id: int, window: int, dtype: str):
 
 def _placed(p: dict):
     def run(batches):
+        release()  # all texts are encoded by now
         for b in batches:
             piece, skip, part, seq, offset = place(p, b["length"].to_numpy(), b["rank"].to_numpy())
             old = b.take(pa.array(piece))
@@ -234,8 +237,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
     a few at the end, whose lengths are different powers of two. No rows: no pieces."""
     spark = docs.sparkSession
     on_workers(spark)
-    pieces = stored(id_text(docs, id_col, text_col)
-                    .mapInArrow(_cut(vocab or vocabulary("byte_bpe_50k.json"), end_id, window, dtype), _PIECES), "pieces")
+    cut = id_text(docs, id_col, text_col).mapInArrow(
+        _cut(vocab or vocabulary("byte_bpe_50k.json"), end_id, window, dtype), _PIECES)
+    with small_vectors(spark):  # a task holds a row group of ids until it is full
+        pieces = stored(cut, "pieces", **{"parquet.block.size": str(_ROW_GROUP)})
     counts = stored(pieces.groupBy("block", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     hist = np.zeros(window + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most ``window`` rows
@@ -254,7 +259,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
     parts = stored(placed.filter("ids_crc32 IS NULL"), "cut-pieces")
     ids = pieces.select("block", "row", "ids")
     cut = parts.join(ids, ["block", "row"])
-    cut = cut.mapInArrow(_part_crc(dtype), cut.drop("ids").schema)
+    with small_vectors(spark):
+        cut = stored(cut.mapInArrow(_part_crc(dtype), cut.drop("ids").schema), "cut-crc")
     out = placed.filter("ids_crc32 IS NOT NULL").unionByName(cut.select(*placed.columns))
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     if keep_ids:

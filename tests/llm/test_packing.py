@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from kempt.llm import packing
+from kempt.llm import packing, tokens
 from kempt.llm.tokens import vocabulary
 
 
@@ -87,6 +87,30 @@ def test_empty_table(spark, frame):
     assert packing.pack(frame.limit(0)).count() == 0
 
 
+def test_texts_and_ids_are_read_in_small_vectors(spark, frame, monkeypatch):
+    key, seen = "spark.sql.parquet.columnarReaderBatchSize", {}
+    stored = packing.stored
+
+    def spy(df, name, **options):
+        seen[name] = int(spark.conf.get(key))
+        return stored(df, name, **options)
+
+    monkeypatch.setattr(packing, "stored", spy)
+    own = spark.conf.get(key)
+    assert packing.pack(frame).count() > 0
+    assert seen["pieces"] <= 256 and seen["cut-crc"] <= 256
+    assert spark.conf.get(key) == own
+
+
+def test_encoders_are_forgotten_after_the_last_text():
+    path = vocabulary("byte_bpe_50k.json")
+    tokens.encoder(path)("some text to remember")
+    assert tokens._ENCODERS
+    list(packing._placed(packing.plan(np.zeros(33, np.int64), 32))([]))
+    assert not tokens._ENCODERS
+    assert np.frombuffer(tokens.encoder(path)("a b"), "<u2").size == 2
+
+
 def test_query_is_whole(spark):
     import os
 
