@@ -33,17 +33,21 @@ def on_workers(spark: SparkSession) -> None:
 
 
 @contextmanager
-def small_vectors(spark: SparkSession, rows: int = 256):
-    """While it lasts, Parquet is read in vectors of at most ``rows`` rows. Of whole texts, Spark's
-    4,096 rows make arrays of many MB, each of which the heap has to find in one piece, so that it
-    grows far beyond what is in use. For actions inside; the session's own setting then returns."""
-    key = "spark.sql.parquet.columnarReaderBatchSize"
-    own = spark.conf.get(key)
-    spark.conf.set(key, str(min(rows, int(own))))
+def small_batches(spark: SparkSession, rows: int = 256, size: int = 2 << 20):
+    """While it lasts, Parquet is read in vectors of at most ``rows`` rows, and Arrow batches have
+    about ``size`` bytes unless the session set a limit before :func:`on_workers`. Of whole texts,
+    Spark's 4,096 rows make arrays of many MB, each of which the heap has to find in one piece, so
+    that it grows far beyond what is in use. For actions inside; the former settings then return."""
+    vector, batch = "spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = {k: spark.conf.get(k) for k in (vector, batch)}
+    spark.conf.set(vector, str(min(rows, int(own[vector]))))
+    if own[batch] == str(_BATCH_BYTES):
+        spark.conf.set(batch, str(size))
     try:
         yield
     finally:
-        spark.conf.set(key, own)
+        for k, v in own.items():
+            spark.conf.set(k, v)
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:

@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kempt.llm.common import id_text, on_workers, slices, small_vectors, stored
-from kempt.llm.tokens import encoder, release, vocabulary
+from kempt.llm.common import id_text, on_workers, slices, small_batches, stored
+from kempt.llm.tokens import encoder, vocabulary
 
 _PIECES = ("block long, row long, doc_id long, start long, length int, nth long, ids_crc32 long, "
            "doc_tokens long, ids binary")
@@ -202,7 +202,6 @@ def _cut(path: str, end_id: int, window: int, dtype: str):
 
 def _placed(p: dict):
     def run(batches):
-        release()  # all texts are encoded by now
         for b in batches:
             piece, skip, part, seq, offset = place(p, b["length"].to_numpy(), b["rank"].to_numpy())
             old = b.take(pa.array(piece))
@@ -239,7 +238,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
     on_workers(spark)
     cut = id_text(docs, id_col, text_col).mapInArrow(
         _cut(vocab or vocabulary("byte_bpe_50k.json"), end_id, window, dtype), _PIECES)
-    with small_vectors(spark):  # a task holds a row group of ids until it is full
+    with small_batches(spark):  # a task holds a row group of ids until it is full
         pieces = stored(cut, "pieces", **{"parquet.block.size": str(_ROW_GROUP)})
     counts = stored(pieces.groupBy("block", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     hist = np.zeros(window + 1, np.int64)
@@ -255,12 +254,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
     placed = stored(ranked.mapInArrow(_placed(plan(hist, window)),
                                       "block long, row long, doc_id long, start long, skip long, length long, "
                                       "ids_crc32 long, doc_tokens long, sequence_id long, offset long"), "placed")
-    # the cut pieces are written by themselves, so that Spark knows how few they are
-    parts = stored(placed.filter("ids_crc32 IS NULL"), "cut-pieces")
+    # the cut pieces are written by themselves, so that Spark knows how few they are, and
+    # rebalanced, so that a few rows do not take a file for each task
+    parts = stored(placed.filter("ids_crc32 IS NULL").hint("rebalance"), "cut-pieces")
     ids = pieces.select("block", "row", "ids")
     cut = parts.join(ids, ["block", "row"])
-    with small_vectors(spark):
-        cut = stored(cut.mapInArrow(_part_crc(dtype), cut.drop("ids").schema), "cut-crc")
+    with small_batches(spark):
+        cut = stored(cut.mapInArrow(_part_crc(dtype), cut.drop("ids").schema).hint("rebalance"), "cut-crc")
     out = placed.filter("ids_crc32 IS NOT NULL").unionByName(cut.select(*placed.columns))
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     if keep_ids:

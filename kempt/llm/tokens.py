@@ -139,12 +139,6 @@ def encoder(path: str, dtype: str = "<u2", plain: bool = False) -> Encoder:
     return _ENCODERS[path, dtype, plain]
 
 
-def release() -> None:
-    """Forget this worker's encoders and what they remember, for steps after the last text: workers
-    stay between steps, and on a long job an encoder grows to hundreds of megabytes."""
-    _ENCODERS.clear()
-
-
 def in_order(docs: DataFrame, path: str, dtype: str = "<u2", plain: bool = False, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """(doc_id, ids) of all texts, range by range in ascending order of doc_id (null first; rows of

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from kempt.llm import packing, tokens
+from kempt.llm import packing
 from kempt.llm.tokens import vocabulary
 
 
@@ -87,28 +87,34 @@ def test_empty_table(spark, frame):
     assert packing.pack(frame.limit(0)).count() == 0
 
 
-def test_texts_and_ids_are_read_in_small_vectors(spark, frame, monkeypatch):
-    key, seen = "spark.sql.parquet.columnarReaderBatchSize", {}
+def test_texts_and_ids_are_read_in_small_batches(spark, frame, monkeypatch):
+    keys, seen = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxBytesPerBatch"), {}
     stored = packing.stored
 
     def spy(df, name, **options):
-        seen[name] = int(spark.conf.get(key))
+        seen[name] = [int(spark.conf.get(k)) for k in keys]
         return stored(df, name, **options)
 
+    packing.on_workers(spark)
+    own = [spark.conf.get(k) for k in keys]
     monkeypatch.setattr(packing, "stored", spy)
-    own = spark.conf.get(key)
     assert packing.pack(frame).count() > 0
-    assert seen["pieces"] <= 256 and seen["cut-crc"] <= 256
-    assert spark.conf.get(key) == own
+    for name in ("pieces", "cut-crc"):
+        assert seen[name][0] <= 256 and seen[name][1] <= 2 << 20
+    assert [spark.conf.get(k) for k in keys] == own
 
 
-def test_encoders_are_forgotten_after_the_last_text():
-    path = vocabulary("byte_bpe_50k.json")
-    tokens.encoder(path)("some text to remember")
-    assert tokens._ENCODERS
-    list(packing._placed(packing.plan(np.zeros(33, np.int64), 32))([]))
-    assert not tokens._ENCODERS
-    assert np.frombuffer(tokens.encoder(path)("a b"), "<u2").size == 2
+def test_cut_pieces_take_few_files(spark, frame, monkeypatch):
+    files, stored = {}, packing.stored
+
+    def spy(df, name, **options):
+        out = stored(df, name, **options)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(packing, "stored", spy)
+    packing.pack(frame.repartition(12)).collect()
+    assert files["pieces"] > 3 >= max(files["cut-pieces"], files["cut-crc"])
 
 
 def test_query_is_whole(spark):
